@@ -10,17 +10,21 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from neolake.shipping import ship
+
 #: Bytes of text handled at once by the vectorised helpers (a longer text is handled alone).
 SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -37,6 +41,7 @@ class Scratch:
     """Tables written to the shared folder by one query."""
 
     def __init__(self, spark: SparkSession, label: str) -> None:
+        ship(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
         self.n = 0
@@ -55,6 +60,18 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for the jobs started inside, for tables whose rows are long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def small_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", most: int = 100_000) -> DataFrame:
     """Join; ``small`` is broadcast only after a count has shown at most ``most`` rows of it."""
     fits = small.limit(most + 1).count() <= most

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, simhash, token_output
+from . import decontaminate, language, mixing, quality, simhash, suffix_dedup, token_output, url_filter, winnowing
 from ._common import Scratch, table
 
 
@@ -15,6 +15,32 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rule_table(spark))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.predict(docs.drop("lang"), language.fit(docs))
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+
+
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.winnow(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -27,8 +53,14 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_url_filter": op2_url_filter,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_language": op4_language,
+    "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_quality": op6_quality,
+    "op7_winnowing": op7_winnowing,
     "op9_simhash": op9_simhash,
     "op10_tokens": op10_tokens,
 }
 
-ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE, "op2_url_filter": url_filter.ORACLE, "op7_winnowing": winnowing.ORACLE}

@@ -8,6 +8,7 @@ Blocks hold whole documents in ascending doc_id order; part numbers ascend too.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -17,13 +18,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import rans
-from ._common import Scratch, slices, small_join
+from ._common import Scratch, batches_of, slices, small_join, span_hashes, utf8
 
 END = 2
 #: Ids of a block, but for the last document in it.
 BLOCK_IDS = 1 << 18
-#: Pieces that a worker's cache of encoded pieces holds.
-CACHE = 400_000
+#: Different pieces that a worker keeps the ids of, and how many of them before they are merged.
+CACHE, RECENT = 3_000_000, 200_000
 
 
 def default_vocabulary() -> str:
@@ -35,61 +36,141 @@ def default_vocabulary() -> str:
 class Encoder:
     """Ids of texts by a byte-level BPE file of the tokenizers library.
 
-    Its pre-tokenizer always starts a piece at a single space between two inked
-    characters, so texts are cut there and each different piece is encoded once.
-    Texts with other runs of spaces are encoded as they are.
+    Its pre-tokenizer starts a piece at every single space between two
+    characters that aren't white space. Texts are cut at such spaces (where the
+    bytes beside one leave no doubt), and each different piece is encoded once
+    and kept by its hash, while there is room.
     """
 
     def __init__(self, vocabulary: str) -> None:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.t = Tokenizer.from_file(vocabulary)
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of every text."""
-        cut: list[list[str] | None] = []
-        fresh: dict[str, None] = {}
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        for text in texts:
-            pieces = text.split(" ")
-            # an empty piece, or white space other than a space at a cut, changes where the pieces of the pre-tokenizer start
-            if len(pieces) > 1 and all(pieces) and not any(p[-1].isspace() or p[0].isspace() for p in pieces):
-                pieces[1:] = [" " + p for p in pieces[1:]]
-            else:
-                pieces = [text]
-            cut.append(pieces)
-            fresh.update((p, None) for p in pieces if p not in known)
-        new = list(fresh)
-        for i in range(0, len(new), 5000):
-            for p, e in zip(new[i : i + 5000], self.t.encode_batch_fast(new[i : i + 5000], add_special_tokens=False)):
-                known[p] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[p] for p in pieces]) for pieces in cut]
+        vocab = self.t.get_vocab(with_added_tokens=True)
+        #: Bytes of each id: a byte-level vocabulary writes every byte as one character.
+        self.width = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():
+            self.width[i] = len(token)
+        self.clear()
+
+    def clear(self) -> None:
+        """Known pieces: a large sorted table and a small recent one, as (hash, start in ids, number of ids)."""
+        none = np.zeros(0, np.int64)
+        self.tables = [(none.astype(np.uint64), none, none)] * 2
+        self.ids = np.zeros(0, np.uint32)
+
+    def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and number of ids of each hash, and whether it is known."""
+        at, n, known = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+        for hashes, starts, sizes in self.tables:
+            if len(hashes):
+                place = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+                hit = hashes[place] == h
+                at[hit], n[hit] = starts[place[hit]], sizes[place[hit]]
+                known |= hit
+        return at, n, known
+
+    def _learn(self, h: np.ndarray, pieces: list[bytes], joint: np.ndarray) -> None:
+        """``joint``: pieces that stand between two cuts; a run of them is encoded as one text and its ids are told apart by their bytes."""
+        order = np.r_[np.flatnonzero(joint), np.flatnonzero(~joint)]
+        one = [pieces[i] for i in order[: int(joint.sum())]]
+        ids, n = [], []
+        for i in range(0, len(one), 20_000):
+            part = one[i : i + 20_000]
+            x = np.array(self.t.encode_batch_fast([b"".join(part).decode("utf-8", "surrogatepass")], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.searchsorted(np.cumsum(self.width[x]), np.cumsum([len(p) for p in part])) + 1
+            ids.append(x)
+            n.append(np.diff(np.r_[0, ends]))
+        for e in self.t.encode_batch_fast([pieces[i].decode("utf-8", "surrogatepass") for i in order[len(one) :]], add_special_tokens=False):
+            ids.append(np.array(e.ids, np.uint32))
+            n.append(np.array([len(e.ids)]))
+        n = np.concatenate(n)
+        at = np.cumsum(n) - n + len(self.ids)
+        self.ids = np.concatenate([self.ids, *ids])
+        large, recent = self.tables
+        h, at, n = (np.concatenate(x) for x in zip(recent, (h[order], at, n)))
+        if len(h) > RECENT:
+            h, at, n = (np.concatenate(x) for x in zip(large, (h, at, n)))
+            large = (h[:0], at[:0], n[:0])
+        o = np.argsort(h)
+        table = (h[o], at[o], n[o])
+        self.tables = [large, table] if len(h) <= RECENT or len(large[0]) else [table, large]
+
+    def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts of a column, and where each text's begin and end."""
+        data, off = utf8(column)
+        starts = cuts(data, off)
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
+        ends = np.r_[starts[1:], len(data)]
+        h, first, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self.tables[0][0]) > CACHE:
+            self.clear()
+        at, n, known = self._find(h)
+        if not known.all():
+            raw, new = data.tobytes(), first[~known]
+            between = ~np.isin(starts[new], off) & ~np.isin(ends[new], off)
+            self._learn(h[~known], [raw[starts[i] : ends[i]] for i in new], between)
+            at, n, _ = self._find(h)
+        at, n = at[which], n[which]
+        upto = np.cumsum(n)
+        ids = self.ids[np.repeat(at - (upto - n), n) + np.arange(upto[-1])]
+        return ids, np.r_[0, upto][np.searchsorted(starts, off)]
+
+
+def cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Starts of pieces: of texts that aren't empty, and spaces that surely stand between two other characters."""
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.int64)
+    graphic = (data > 32) & (data < 127)
+    two = (data >= 0xC3) & (data <= 0xDF)  # starts a two-byte character; white space is C2, E1, E2 or E3
+    after = graphic | two | (data >= 0xE4)
+    before = graphic.copy()
+    before[1:] |= two[:-1]
+    cut = np.zeros(n, bool)
+    cut[1:-1] = (data[1:-1] == 32) & before[:-2] & after[2:]
+    edges = off[off < n]
+    cut[edges] = True
+    for side in (edges + 1, edges - 1):  # a neighbour in another text decides nothing
+        side = side[(side >= 0) & (side < n)]
+        own = np.isin(side, edges)
+        cut[side[~own]] &= False
+    return np.flatnonzero(cut)
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(vocabulary: str) -> Encoder:
+    """The worker's encoder of a vocabulary file; what it knows serves the tasks that follow."""
+    if vocabulary not in _encoders:
+        _encoders[vocabulary] = Encoder(vocabulary)
+    return _encoders[vocabulary]
 
 
 def tokenize(docs: DataFrame, vocabulary: str, end: int = END) -> DataFrame:
     """(doc_id, ids): the ids of every whole text (null: empty) and the end id, as little-endian unsigned 32-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, tail = Encoder(vocabulary), np.array([end], "<u4").tobytes()
+        encode = encoder(vocabulary)
         for batch in batches:
             for b in slices(batch, "text"):
-                ids = [x + tail for x in encoder([x or "" for x in b.column("text").to_pylist()])]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+                ids, off = encode(b.column("text"))
+                ids = np.insert(ids, off[1:], np.uint32(end)).astype("<u4")
+                off = off + np.arange(len(off))
+                out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b.num_rows, [None, pa.py_buffer((off * 4).astype(np.int64)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), out.cast(pa.binary())], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids binary")
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
-    for b in batches:
-        for x in b.column("ids"):
-            c = np.bincount(np.frombuffer(x.as_py(), "<u4"))
+    for batch in batches:
+        for b in slices(batch, "ids"):
+            c = np.bincount(utf8(b.column("ids"))[0].view("<u4"))
             if len(c) > len(total):
                 total = np.r_[total, np.zeros(len(c) - len(total), np.int64)]
             total[: len(c)] += c
@@ -141,14 +222,20 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end:
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     texts = plain.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
     ids = tokenize(texts, vocabulary or default_vocabulary(), end).withColumn("part", F.spark_partition_id())
-    tokens = scratch.store(ids, "ids", "zstd")
+    with batches_of(spark, 1000):
+        tokens = scratch.store(ids, "ids", "zstd")
+        _encode_files(tokens, path)
+    scratch.drop(tokens)
+
+
+def _encode_files(tokens: DataFrame, path: str) -> None:
+    spark = tokens.sparkSession
     counts = tokens.select("ids").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     rows = counts.collect()  # a row for each id that occurs: at most the vocabulary
     shared = rans.Table.of_counts(np.array([r["id"] for r in rows], np.int64), np.array([r["n"] for r in rows], np.int64))
     symbols, freq = shared.symbols.astype(np.int64), shared.freq.astype(np.int64)
     spark.createDataFrame([(int(s), int(f)) for s, f in zip(symbols, freq)], "id long, freq long").coalesce(1).write.parquet(f"{path}/table")
     tokens.mapInArrow(_encode(symbols, freq), BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
-    scratch.drop(tokens)
 
 
 def _decode(symbols: np.ndarray, freq: np.ndarray, keep_ids: bool):
