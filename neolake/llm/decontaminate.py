@@ -5,6 +5,15 @@ those; a distributed randomised SVD gives the space in which every passage is
 compared with every passage of the benchmark, a stated query set, in blocks of
 items. Candidates by cosine are then checked by their longest common subsequence
 with the item, and by the item's answer, its last sentence, for paraphrases.
+
+The matrix has the corpus's passages and the benchmark's, those with a larger
+weight: rare words tell items apart, and alone the corpus's leading directions
+hold almost none of them (at rank 128, 6 % of the items' energy). The sketch is
+a sparse one: the product of the Gram matrix with a random sign for one column
+of each word needs only the pairs of words of each passage, and Nystroem's
+formula turns it into singular vectors without another pass. Cosines divide by
+the whole vectors' lengths, so what a passage has outside the space counts
+against it; where the space holds too small a share of it, no cosine is needed.
 """
 
 from __future__ import annotations
@@ -21,12 +30,14 @@ from ._common import Scratch, slices, span_hashes, utf8, words
 
 #: Words of half a passage; passages overlap by one half.
 HALF = 16
-RANK, OVERSAMPLE = 32, 8
-COSINE = 0.5
+RANK, SKETCH = 256, 512
+#: Weight of the benchmark's passages against the corpus's, and the share of passages above which a word counts as common.
+EMPHASIS, COMMON = 10.0, 0.05
+COSINE = 0.3
 #: Share of the item's words in order that is a leak, and that is one if the answer is there too.
 LCS, LCS_WITH_ANSWER = 0.8, 0.6
 #: Benchmark items that are searched for at once (they are held by every task).
-ITEMS = 2000
+ITEMS = 256
 _FOLD = np.full(256, 32, np.uint8)
 for _c in range(256):
     if _c >= 128 or chr(_c).isalnum():
@@ -61,11 +72,11 @@ class Items:
         self.answers = [at[row == k] for k in range(len(rows))]
 
     def passages(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Item of every passage, passage of every word, and the words: starts at every half of HALF words."""
+        """Item of every passage, passage of every word, and the words: starts at every HALF words and at the end."""
         owner, where, out = [], [], []
         for k, w in enumerate(self.words):
             last = max(0, len(w) - 2 * HALF)
-            for s in sorted({*range(0, last + 1, HALF // 2), last}):
+            for s in sorted({*range(0, last + 1, HALF), last}):
                 out.append(w[s : s + 2 * HALF])
                 where.append(np.full(len(out[-1]), len(owner)))
                 owner.append(k)
@@ -92,8 +103,8 @@ def _to_ids(vocabulary: np.ndarray):
     return run
 
 
-def _blocks(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All ids, their document's offset, and of every half passage its first word and its document."""
+def _halves(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All ids, their texts' offsets, and of every half passage its first word and its text."""
     data, off = utf8(batch.column("ids"))
     ids, off = data.view("<i4"), off // 4
     n = -(-np.diff(off) // HALF)
@@ -102,91 +113,109 @@ def _blocks(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return ids, off, off[doc] + nth * HALF, doc
 
 
-def _passage_of(ids: np.ndarray, starts: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Passage (two halves, not overlapping) of each word that the benchmark has, and the word."""
-    nth = np.zeros(len(starts), np.int64)
+def _passages(ids: np.ndarray, starts: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Passage and word, once each, of passages of two halves that don't overlap; and the number of passages."""
     new = np.r_[True, doc[1:] != doc[:-1]]
     first = np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))
-    nth = (np.arange(len(doc)) - first) // 2
-    passage = np.cumsum(new | np.r_[True, nth[1:] != nth[:-1]]) - 1
+    passage = np.cumsum(new | ((np.arange(len(doc)) - first) % 2 == 0)) - 1
     half = np.zeros(len(ids), np.int64)
     half[starts[1:]] = 1
     known = ids >= 0
-    return passage[np.cumsum(half)][known], ids[known]
+    pair = np.unique(passage[np.cumsum(half)][known] * size + ids[known])
+    return pair // size, pair % size, int(passage[-1]) + 1
 
 
 def _frequencies(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = np.zeros(size + 1, np.int64), 0
+        df = np.zeros(size + 1, np.int64)
         for batch in batches:
             for b in slices(batch, "ids"):
-                ids, _, starts, doc = _blocks(b)
+                ids, _, starts, doc = _halves(b)
                 if len(starts):
-                    p, w = _passage_of(ids, starts, doc)
-                    df[:size] += np.bincount(np.unique(p * size + w) % size, minlength=size)
-                    df[size] += len(starts)
+                    _, w, n = _passages(ids, starts, doc, size)
+                    df[:size] += np.bincount(w, minlength=size)
+                    df[size] += n
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], ["id", "n"])
 
     return run
 
 
-def _sums(p: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Sums of the rows of ``values`` by ``p`` (ascending), one row for each different p."""
-    return np.add.reduceat(values, np.flatnonzero(np.r_[True, p[1:] != p[:-1]]), axis=0)
-
+def _pairs(passage: np.ndarray, w: np.ndarray, x: np.ndarray, column: np.ndarray, sign: np.ndarray) -> np.ndarray:
+    """Gram matrix times sketch, as words by SKETCH, of passages given as (passage, word, value), ascending."""
+    out = np.zeros(len(column) * SKETCH)
+    if not len(w):
+        return out
+    start = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
+    size = np.diff(np.r_[start, len(w)])
+    each, base = np.repeat(size, size), np.repeat(start, size)
+    upto = np.cumsum(each)
+    for i in range(0, len(w), 1 << 17):
+        j = min(i + (1 << 17), len(w))
+        a = np.repeat(np.arange(i, j), each[i:j])
+        b = base[a] + np.arange(len(a)) - (upto[a] - each[a] - (upto[i] - each[i]))
+        wa, wb = w[a], w[b]
+        out += np.bincount(wa * SKETCH + column[wb], x[a] * x[b] * sign[wb], len(out))
+    return out
 
-def _sketch(idf: np.ndarray, basis: np.ndarray, gram: bool):
-    """Rows of A'(A basis) by word; with ``gram`` instead the one row of (A basis)'(A basis). A: passages by words, TF times IDF."""
-    size, k = basis.shape
-    scaled = (basis * idf[:, None]).astype(np.float32)
 
+def _sketch(idf: np.ndarray, column: np.ndarray, sign: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros((k if gram else size, k))
+        out = np.zeros(len(idf) * SKETCH)
         for batch in batches:
             for b in slices(batch, "ids"):
-                ids, _, starts, doc = _blocks(b)
-                if not len(starts):
-                    continue
-                p, w = _passage_of(ids, starts, doc)
-                if not len(p):
-                    continue
-                y = _sums(p, scaled[w])
-                if gram:
-                    out += y.T.astype(np.float64) @ y
-                    continue
-                dense = np.cumsum(np.r_[True, p[1:] != p[:-1]]) - 1
-                order = np.argsort(w, kind="stable")
-                seen = w[order]
-                out[np.unique(seen)] += _sums(seen, y[dense[order]])
-        at = np.flatnonzero(out.any(axis=1))
-        if not gram:
-            out[at] *= idf[at, None]
-        yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(out[at, i].copy()) for i in range(k)]], ["id", *[f"g{i}" for i in range(k)]])
+                ids, _, starts, doc = _halves(b)
+                if len(starts):
+                    ids = np.where((ids >= 0) & (idf[ids] > 0), ids, -1)
+                    passage, w, _ = _passages(ids, starts, doc, len(idf))
+                    out += _pairs(passage, w, idf[w], column, sign)
+        rows = out.reshape(len(idf), SKETCH).astype("<f4")
+        at = np.flatnonzero(rows.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array([rows[i].tobytes() for i in at], pa.binary())], ["id", "row"])
 
     return run
 
 
-def _summed(tokens: DataFrame, idf: np.ndarray, basis: np.ndarray, gram: bool) -> np.ndarray:
-    k = basis.shape[1]
-    rows = tokens.select("ids").mapInArrow(_sketch(idf, basis, gram), "id long, " + ", ".join(f"g{i} double" for i in range(k)))
-    out = np.zeros((k if gram else len(basis), k))
-    for r in rows.groupBy("id").agg(*[F.sum(f"g{i}").alias(f"g{i}") for i in range(k)]).collect():  # a row a benchmark word
-        out[r["id"]] = r[1:]
-    return out
+def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for b in batches:
+        for i, x in zip(b.column("id").to_pylist(), b.column("row")):
+            total[i] = total.get(i, 0) + np.frombuffer(x.as_buffer(), "<f4").astype(np.float64)
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([x.astype("<f4").tobytes() for x in total.values()], pa.binary())], ["id", "row"])
 
 
-def latent_space(tokens: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(IDF, right singular vectors) of the corpus's TF-IDF passages over the ``size`` words of a block."""
+def latent_space(tokens: DataFrame, items: Items) -> tuple[np.ndarray, np.ndarray]:
+    """(IDF, right singular vectors) of the TF-IDF passages over the block's words; common words have an IDF of 0."""
+    size = len(items.vocabulary)
     counts = np.zeros(size + 1)
     for r in tokens.select("ids").mapInArrow(_frequencies(size), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():  # a row a benchmark word
         counts[r["id"]] = r["n"]
     idf = np.log((1 + counts[size]) / (1 + counts[:size]))
-    k = min(RANK + OVERSAMPLE, size)
-    start = np.random.default_rng(7).standard_normal((size, k))
-    q, _ = np.linalg.qr(_summed(tokens, idf, start, False) + 1e-9 * start)
-    values, vectors = np.linalg.eigh(_summed(tokens, idf, q, True))
-    return idf, q @ vectors[:, np.argsort(-values)[: min(RANK, k)]]
+    idf[counts[:size] > max(1, COMMON * counts[size])] = 0
+    random = np.random.default_rng(7)
+    column, sign = random.integers(0, SKETCH, size), random.choice([-1.0, 1.0], size)
+    parts = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # few partial sums: a task adds up several splits before its rows (words x SKETCH at most) are shuffled by word
+    partial = tokens.select("ids").coalesce(max(8, parts // 4)).mapInArrow(_sketch(idf, column, sign), "id long, row binary")
+    gram = np.zeros((size, SKETCH))
+    for r in partial.repartition("id").mapInArrow(_sum_rows, "id long, row binary").collect():  # a row a benchmark word
+        gram[r["id"]] = np.frombuffer(r["row"], "<f4")
+    owner, where, w = items.passages()
+    pair = np.unique(where * size + w)
+    pair = pair[idf[pair % size] > 0]
+    # rows of the benchmark have one length each, so that short items are in the space as well
+    x = idf[pair % size] / np.sqrt(np.bincount(pair // size, idf[pair % size] ** 2, len(owner)))[pair // size]
+    own = _pairs(pair // size, pair % size, x, column, sign).reshape(size, SKETCH)
+    signs = np.zeros((size, SKETCH))
+    signs[np.arange(size), column] = sign
+    mass = counts[:size] @ (idf * idf) / max(1, len(owner))
+    gram += EMPHASIS * mass * own
+    core = signs.T @ gram
+    values, vectors = np.linalg.eigh((core + core.T) / 2)
+    good = values > max(values[-1], 1e-300) * 1e-10
+    u, _, _ = np.linalg.svd(gram @ (vectors[:, good] / np.sqrt(values[good])), full_matrices=False)
+    return idf, u[:, :RANK]
 
 
 def lcs(a: np.ndarray, b: np.ndarray) -> int:
@@ -208,34 +237,49 @@ def contains(text: np.ndarray, run: np.ndarray) -> bool:
 
 
 def _search(items: Items, idf: np.ndarray, space: np.ndarray, cosine: float):
-    weights = (space * idf[:, None]).astype(np.float32)
-
-    def unit(x: np.ndarray) -> np.ndarray:
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-
+    weights = np.r_[space * idf[:, None], np.zeros((1, space.shape[1]))].astype(np.float32)  # id -1 is the last row: nothing
+    square = np.r_[idf * idf, 0.0]
     owner, where, w = items.passages()
-    bench = np.zeros((len(owner), weights.shape[1]), np.float32)
-    np.add.at(bench, where, weights[w])
-    bench = unit(bench)
-    padded = np.r_[weights, np.zeros((1, weights.shape[1]), np.float32)]  # id -1 is the last row: nothing
+    pair = np.unique(where * len(idf) + w)
+    bench, length = np.zeros((len(owner), space.shape[1]), np.float32), np.zeros(len(owner))
+    np.add.at(bench, pair // len(idf), weights[pair % len(idf)])
+    np.add.at(length, pair // len(idf), square[pair % len(idf)])
+    bench /= np.sqrt(np.maximum(length, 1e-12))[:, None].astype(np.float32)
+
+    def halves(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in the space and squared length of every half passage, a word once."""
+        half = np.zeros(len(ids), np.int64)
+        half[starts[1:]] = 1
+        half = np.cumsum(half)
+        counts = (ids >= 0) & (square[ids] > 0)
+        pair = np.unique(half[counts] * len(idf) + ids[counts])
+        h, w = pair // len(idf), pair % len(idf)
+        z = np.zeros((len(starts), weights.shape[1]), np.float32)
+        if len(h):
+            first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            z[h[first]] = np.add.reduceat(weights[w], first, axis=0)
+        return z, np.bincount(h, square[w], len(starts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[tuple[int, int], tuple] = {}
-            for b in slices(batch, "ids", 1 << 20):
-                ids, off, starts, doc = _blocks(b)
+            for b in slices(batch, "ids", 1 << 19):
+                ids, off, starts, doc = _halves(b)
                 if not len(starts):
                     continue
                 name = b.column("doc_id").to_pylist()
-                half = np.add.reduceat(padded[ids], starts, axis=0)
-                both = half.copy()
-                same = doc[1:] == doc[:-1]
-                both[:-1][same] += half[1:][same]
-                both = unit(both)
-                for i in range(0, len(both), 8192):
-                    near = both[i : i + 8192] @ bench.T
-                    for p, q in zip(*np.nonzero(near >= cosine)):
-                        p, k = i + int(p), int(owner[q])
+                z, length = halves(ids, starts)
+                same = np.flatnonzero(doc[1:] == doc[:-1])
+                both, total = z.copy(), length.copy()
+                both[same] += z[same + 1]
+                total[same] += length[same + 1]
+                both /= np.sqrt(np.maximum(total, 1e-12))[:, None].astype(np.float32)
+                near_enough = np.flatnonzero(np.einsum("ij,ij->i", both, both) >= cosine * cosine)  # else no cosine can reach it
+                for i in range(0, len(near_enough), 8192):
+                    rows = near_enough[i : i + 8192]
+                    near = both[rows] @ bench.T
+                    for r, q in zip(*np.nonzero(near >= cosine)):
+                        p, k = int(rows[r]), int(owner[q])
                         d, item = int(doc[p]), items.words[k]
                         key = (name[d], items.ids[k])
                         old = found.get(key)
@@ -248,7 +292,7 @@ def _search(items: Items, idf: np.ndarray, space: np.ndarray, cosine: float):
                             continue
                         told = contains(ids[lo:hi], items.answers[k])
                         if share >= LCS or told:
-                            found[key] = (float(near[p - i, q]), share, told)
+                            found[key] = (float(near[r, q]), share, told)
             if found:
                 cols = [[k[0] for k in found], [k[1] for k in found], *zip(*found.values())]
                 types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()]
@@ -281,7 +325,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, items_a
             continue
         items = Items(rows)
         tokens = scratch.store(plain.mapInArrow(_to_ids(items.vocabulary), "doc_id long, ids binary"), "ids", "zstd")
-        idf, space = latent_space(tokens, len(items.vocabulary))
+        idf, space = latent_space(tokens, items)
         schema = "doc_id long, item_id long, cosine double, lcs double, answer boolean"
         found = scratch.store(tokens.mapInArrow(_search(items, idf, space, cosine), schema), "found")
         scratch.drop(tokens)
