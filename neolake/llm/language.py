@@ -25,7 +25,7 @@ PER_LANGUAGE = 1500
 LANGUAGES = 256
 UNKNOWN = "und"
 #: A pipeline rejects documents below this probability.
-REJECT = 0.5
+REJECT = 0.3
 ALPHA, BETA, L1, L2, EPOCHS = 2.0, 1.0, 1e-3, 1e-4, 3
 
 _letter: np.ndarray | None = None

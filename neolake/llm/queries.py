@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, mixing, quality, simhash, suffix_dedup, token_output, url_filter, winnowing
+from . import decontaminate, html_crf, language, mixing, quality, simhash, suffix_dedup, token_output, url_filter, winnowing
 from ._common import Scratch, table
 
 
@@ -41,6 +41,10 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.winnow(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quality": op6_quality,
     "op7_winnowing": op7_winnowing,
+    "op8_html_text": op8_html_text,
     "op9_simhash": op9_simhash,
     "op10_tokens": op10_tokens,
 }

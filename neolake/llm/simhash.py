@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import Scratch
+from ._common import Scratch, mix64, small_join
 from .graph import connected_components
 
 SEED = 42
@@ -209,7 +209,83 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3) -> Da
     return own.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def near_dedup(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document with the least doc_id, once."""
-    ids = simhash_components(docs, shingle, radius).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(ids, "doc_id", "left_semi").select(*docs.columns)
+def _word_sets(tables: int):
+    """The text's 128-bit name and ``tables`` fingerprints of its set of words."""
+    salts = [np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)) for k in range(tables)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names, fps = [], np.zeros((b.num_rows, tables), np.uint64)
+            for i, x in enumerate(b.column("text").to_pylist()):
+                words = (x or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+                names.append(xxhash.xxh3_128_digest(b" ".join(words)))
+                h = np.array([xxhash.xxh64_intdigest(w, SEED) for w in set(words)], np.uint64)
+                if len(h):
+                    for k, salt in enumerate(salts):
+                        bits = np.unpackbits(mix64(h ^ salt).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                        fps[i, k] = np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(h), bitorder="little").view("<u8")[0]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(names, pa.binary()), *[pa.array(fps[:, k].view(np.int64).copy()) for k in range(tables)]], ["doc_id", "name", *[f"fp{k}" for k in range(tables)]])
+
+    return run
+
+
+def _shingle_sets(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for x in b.column("text").to_pylist():
+                words = (x or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+                h = {xxhash.xxh64_intdigest(b" ".join(words[i : i + shingle]), SEED) for i in range(max(1, len(words) - shingle + 1))}
+                out.append(np.array(list(h), np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "shingles"])
+
+    return run
+
+
+def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, tables: int = 4) -> DataFrame:
+    """(doc_id, component_id) of the documents that are copies of one with a smaller id.
+
+    Candidates are documents whose word sets have fingerprints within 3 bits, in
+    one of ``tables``; a SimHash of long shingles would put copies at this
+    similarity some ten bits apart. Links stay where the sets of ``shingle``-word
+    shingles have a Jaccard index of ``similarity`` or more. Equal word sequences
+    are linked without candidates.
+    """
+    scratch = Scratch(docs.sparkSession, "copies")
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    fps = [f"fp{k}" for k in range(tables)]
+    own = scratch.store(texts.mapInArrow(_word_sets(tables), "doc_id long, name binary, " + ", ".join(f"{x} long" for x in fps)), "words")
+    heads = scratch.store(own.groupBy("name").agg(F.min("doc_id").alias("head"), *[F.first(x).alias(x) for x in fps]), "heads")
+    edges = None
+    for x in fps:
+        first = scratch.store(heads.groupBy(F.col(x).alias("fp")).agg(F.min("head").alias("node")), "first")
+        met = links(first.select("fp"), scratch)
+        u, v = first.toDF("u", "node_u"), first.toDF("v", "node_v")
+        far = met.join(u, "u").join(v, "v").select(F.least("node_u", "node_v").alias("u"), F.greatest("node_u", "node_v").alias("v"))
+        same = heads.select(F.col(x).alias("fp"), "head").join(first, "fp").where("head <> node").select(F.col("node").alias("u"), F.col("head").alias("v"))
+        both = far.union(same)
+        edges = both if edges is None else edges.union(both)
+    edges = scratch.store(edges.distinct(), "candidates")
+    nodes = edges.select(F.col("u").alias("doc_id")).union(edges.select("v")).distinct()
+    sets = small_join(texts, nodes, ["doc_id"], "left_semi").mapInArrow(_shingle_sets(shingle), "doc_id long, shingles array<bigint>")
+    sets = scratch.store(sets.dropDuplicates(["doc_id"]), "shingles")
+    a, b = sets.toDF("u", "a"), sets.toDF("v", "b")
+    shared = F.size(F.array_intersect("a", "b"))
+    close = edges.join(a, "u").join(b, "v").where(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("u", "v")
+    parts = connected_components(close, scratch).withColumnRenamed("node", "head")
+    named = heads.select("name", "head").join(parts, "head", "left").select("name", F.coalesce("component", "head").alias("component_id"))
+    return own.select("doc_id", "name").join(named, "name").where("doc_id <> component_id").select("doc_id", "component_id")
+
+
+def near_dedup(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each group of copies the document with the least doc_id.
+
+    Of rows that repeat a doc_id one stays. Rows with a null doc_id stay and take
+    no part; null and wordless texts are copies of each other.
+    """
+    gone = near_copies(docs, shingle, similarity).select("doc_id").distinct()
+    known = docs.where("doc_id is not null")
+    n, different = known.select(F.count("doc_id"), F.count_distinct("doc_id")).first()
+    if n != different:
+        known = known.dropDuplicates(["doc_id"])
+    return small_join(known, gone, ["doc_id"], "left_anti").select(*docs.columns).union(docs.where("doc_id is null"))
