@@ -32,7 +32,7 @@ from ._common import Scratch, slices, span_hashes, utf8, words
 HALF = 16
 RANK, SKETCH = 256, 512
 #: Weight of the benchmark's passages against the corpus's, and the share of passages above which a word counts as common.
-EMPHASIS, COMMON = 10.0, 0.05
+EMPHASIS, COMMON = 10.0, 0.02
 COSINE = 0.3
 #: Share of the item's words in order that is a leak, and that is one if the answer is there too.
 LCS, LCS_WITH_ANSWER = 0.8, 0.6
@@ -91,22 +91,30 @@ def lookup(hashes: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
     return np.where(vocabulary[at] == hashes, at, -1).astype(np.int32)
 
 
+def _kind(size: int) -> str:
+    """The type that written ids of ``size`` words have."""
+    return "<i2" if size < 1 << 15 else "<i4"
+
+
 def _to_ids(vocabulary: np.ndarray):
+    kind = _kind(len(vocabulary))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in slices(batch, "text"):
                 h, row = word_hashes(b.column("text"))
-                ids = lookup(h, vocabulary).astype("<i4")
+                ids = lookup(h, vocabulary).astype(kind)
                 off = np.searchsorted(row, np.arange(b.num_rows + 1))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([ids[i:j].tobytes() for i, j in zip(off, off[1:])], pa.binary())], ["doc_id", "ids"])
 
     return run
 
 
-def _halves(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _halves(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All ids, their texts' offsets, and of every half passage its first word and its text."""
     data, off = utf8(batch.column("ids"))
-    ids, off = data.view("<i4"), off // 4
+    kind = np.dtype(_kind(size))
+    ids, off = data.view(kind).astype(np.int32), off // kind.itemsize
     n = -(-np.diff(off) // HALF)
     doc = np.repeat(np.arange(len(n)), n)
     nth = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
@@ -129,8 +137,8 @@ def _frequencies(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros(size + 1, np.int64)
         for batch in batches:
-            for b in slices(batch, "ids"):
-                ids, _, starts, doc = _halves(b)
+            for b in slices(batch, "ids", 1 << 20):
+                ids, _, starts, doc = _halves(b, size)
                 if len(starts):
                     _, w, n = _passages(ids, starts, doc, size)
                     df[:size] += np.bincount(w, minlength=size)
@@ -163,8 +171,8 @@ def _sketch(idf: np.ndarray, column: np.ndarray, sign: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros(len(idf) * SKETCH)
         for batch in batches:
-            for b in slices(batch, "ids"):
-                ids, _, starts, doc = _halves(b)
+            for b in slices(batch, "ids", 1 << 20):
+                ids, _, starts, doc = _halves(b, len(idf))
                 if len(starts):
                     ids = np.where((ids >= 0) & (idf[ids] > 0), ids, -1)
                     passage, w, _ = _passages(ids, starts, doc, len(idf))
@@ -263,8 +271,8 @@ def _search(items: Items, idf: np.ndarray, space: np.ndarray, cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[tuple[int, int], tuple] = {}
-            for b in slices(batch, "ids", 1 << 19):
-                ids, off, starts, doc = _halves(b)
+            for b in slices(batch, "ids", 1 << 18):
+                ids, off, starts, doc = _halves(b, len(idf))
                 if not len(starts):
                     continue
                 name = b.column("doc_id").to_pylist()
