@@ -2,9 +2,10 @@
 
 A string of LENGTH bytes has a key: the least hash of the K-byte strings in it.
 Consecutive strings of one text with equal keys form a segment. Texts meet by key,
-so equal strings meet: first only keys and document ids travel, to tell which keys
-occur in more than one document; then the segments of those keys, equal ones
-once, in blocks of whole keys. Each block gets a suffix order and its
+so equal strings meet: first only keys and hashes of whole texts travel, to tell
+which keys occur in more than one text; then the segments of those keys, equal
+ones once, in blocks of whole keys. Equal texts count as one: all but the first
+go whole. Each block gets a suffix order and its
 Burrows-Wheeler transform. Breadth-first backward extension sets common prefixes
 by increasing length and stops at LENGTH; neighbours still without a value share
 LENGTH bytes or more. So each string gets the least document that has it, and
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import Scratch, slices, span_hashes, utf8
@@ -137,7 +138,7 @@ def segment_starts(data: np.ndarray, off: np.ndarray, length: int = LENGTH, k: i
 
 
 def _keys(parts: int):
-    """Of each slice: keys in more than one of its documents, and a document for each key to the key's part."""
+    """Of each slice: keys in more than one of its texts, and a text for each key to the key's part. Texts are told apart by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,7 +147,7 @@ def _keys(parts: int):
                 key, row, _, _ = segment_starts(data, off)
                 if not len(key):
                     continue
-                doc = b.column("doc_id").to_numpy()[row]
+                doc = b.column("h").to_numpy()[row]
                 o = np.lexsort((doc, key))
                 key, doc = key[o], doc[o]
                 new = np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]
@@ -169,7 +170,7 @@ def _keys(parts: int):
 
 
 def _known(doc: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
-    """Keys by document, as rows with part -1."""
+    """Keys by text, as rows with part -1."""
     o = np.argsort(doc, kind="stable")
     doc, key = doc[o], key[o]
     cut = np.r_[np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]), len(doc)]
@@ -180,7 +181,7 @@ def _known(doc: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of one part, the keys that came from more than one slice with different documents, by document."""
+    """Of one part, the keys that came with different texts, by text."""
     keys, docs, ready = [], [], []
     for b in batches:
         for p, k, d in zip(b.column("part").to_pylist(), b.column("keys"), b.column("docs")):
@@ -191,7 +192,7 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keys.append(k)
                 docs.append(d)
         if ready:
-            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in ready], pa.int64()), pa.array([k for _, k in ready], pa.binary())], ["doc_id", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in ready], pa.int64()), pa.array([k for _, k in ready], pa.binary())], ["h", "keys"])
             ready = []
     if not keys:
         return
@@ -204,7 +205,7 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keep = np.repeat(many, np.diff(np.r_[group, len(key)]))
     if keep.any():
         b = _known(doc[keep], key[keep])
-        yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(x.as_py() for x in b.column("docs")), "<i8")), b.column("keys")], ["doc_id", "keys"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(x.as_py() for x in b.column("docs")), "<i8")), b.column("keys")], ["h", "keys"])
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,17 +226,27 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = data.tobytes()
             name = span_hashes(data, start, end) ^ np.uint64(0x5851F42D4C957F2D)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(name.view(np.int64)), pa.array(b.column("doc_id").to_numpy()[row]), pa.array(start - off[row]), pa.array([raw[i:j] for i, j in zip(start, end)], pa.binary())],
-                ["key", "name", "doc_id", "start", "segment"],
+                [pa.array(key.view(np.int64)), pa.array(name.view(np.int64)), pa.array(b.column("doc_id").to_numpy()[row]), pa.array(b.column("twin").to_numpy()[row]), pa.array(start - off[row]), pa.array([raw[i:j] for i, j in zip(start, end)], pa.binary())],
+                ["key", "name", "doc_id", "twin", "start", "segment"],
             )
 
 
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of whole keys (rows come sorted by key): per segment the least holders of its strings."""
+    """Blocks of whole keys (rows come sorted by key): per segment the least holders of its strings.
 
-    def solve(name: np.ndarray, holder: np.ndarray, data: np.ndarray, off: np.ndarray) -> pa.RecordBatch:
-        least = least_holders(data, off, holder)
+    The only segment of a key shares no string with another one, so it isn't put into the block.
+    """
+
+    def solve(rows: pa.RecordBatch) -> pa.RecordBatch:
+        key, name, holder = (rows.column(c).to_numpy() for c in ("key", "name", "holder"))
+        data, off = utf8(rows.column("segment"))
         n = np.diff(off) - LENGTH + 1
+        new = np.r_[True, key[1:] != key[:-1]]
+        several = ~(new & np.r_[new[1:], True])
+        least = np.repeat(holder, n)
+        if several.any():
+            own, many = utf8(rows.filter(pa.array(several)).column("segment"))
+            least[np.repeat(several, n)] = least_holders(own, many, holder[several])
         cut = np.r_[0, np.cumsum(n)]
         return pa.RecordBatch.from_arrays([pa.array(name), pa.array([least[i:j].astype("<i8").tobytes() for i, j in zip(cut, cut[1:])], pa.binary())], ["name", "least"])
 
@@ -251,15 +262,13 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key = t.column("key").to_numpy()
             cut = int(np.flatnonzero(key != key[-1])[-1]) + 1 if (key != key[-1]).any() else 0
             if cut:
-                x = t.slice(0, cut)
-                yield solve(x.column("name").to_numpy(), x.column("holder").to_numpy(), *utf8(x.column("segment")))
+                yield solve(t.slice(0, cut))
             held = [t.slice(cut)]
             size = len(utf8(held[0].column("segment"))[0])
     if held:
         t = pa.Table.from_batches(held).combine_chunks().to_batches()
         if t and t[0].num_rows:
-            x = t[0]
-            yield solve(x.column("name").to_numpy(), x.column("holder").to_numpy(), *utf8(x.column("segment")))
+            yield solve(t[0])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,7 +296,8 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pos = b.column("start").to_numpy()[row[at]] + at - off[row[at]]
         new = np.r_[True, (row[at][1:] != row[at][:-1]) | (at[1:] != at[:-1] + 1)]
         end = np.r_[new[1:], True]
-        yield pa.RecordBatch.from_arrays([pa.array(doc[row[at][new]]), pa.array(pos[new]), pa.array(pos[end] + LENGTH)], ["doc_id", "from", "to"])
+        twin = b.column("twin").to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array(doc[row[at][new]]), pa.array(twin[row[at][new]]), pa.array(pos[new]), pa.array(pos[end] + LENGTH)], ["doc_id", "twin", "from", "to"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,20 +329,21 @@ def _release(scratch: Scratch) -> None:
     scratch.spark._jvm.System.gc()
 
 
-def removed_runs(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc_id, from, to): runs of bytes, overlapping maybe, of every whole text that an earlier document's strings cover."""
-    spark = docs.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null and text is not null")
-    met = texts.mapInArrow(_keys(parts), "part int, keys binary, docs binary").repartition(parts, F.when(F.col("part") < 0, F.xxhash64("docs")).otherwise(F.col("part").cast("long")))
-    wanted = scratch.store(met.mapInArrow(_repeated, "doc_id long, keys binary"), "keys")
+def removed_runs(texts: DataFrame, firsts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, twin, from, to): runs of bytes, overlapping maybe, that an earlier document's strings cover, of the first of equal texts."""
+    parts = max(1, int(scratch.spark.conf.get("spark.sql.shuffle.partitions")))
+    met = texts.select("text", "h").mapInArrow(_keys(parts), "part int, keys binary, docs binary").repartition(parts, F.when(F.col("part") < 0, F.xxhash64("docs")).otherwise(F.col("part").cast("long")))
+    wanted = scratch.store(met.mapInArrow(_repeated, "h long, keys binary"), "keys")
+    del met
     _release(scratch)
-    wanted = wanted.groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
-    found = texts.join(wanted, "doc_id").select("doc_id", "text", "keys")
-    found = scratch.store(found.mapInArrow(_segments, "key long, name long, doc_id long, start long, segment binary"), "segments", "zstd")
+    asked = wanted.join(firsts.select("h", "g", F.col("first").alias("doc_id"), "twin"), "h").groupBy("doc_id", "h", "g", "twin").agg(F.collect_list("keys").alias("keys"))
+    # rows that repeat an id and a text give equal rows here; they count once below
+    own = texts.join(asked, ["doc_id", "h", "g"]).select("doc_id", "twin", "text", "keys")
+    found = scratch.store(own.mapInArrow(_segments, "key long, name long, doc_id long, twin int, start long, segment binary"), "segments", "zstd")
+    scratch.drop(wanted)
+    del asked, own
     _release(scratch)
-    distinct = found.groupBy("key", "name", "segment").agg(F.min("doc_id").alias("holder"))
-    distinct = scratch.store(distinct.select("key", "name", "holder", "segment"), "distinct", "zstd")
+    distinct = scratch.store(found.groupBy("key", "name", "segment").agg(F.min("doc_id").alias("holder")).select("key", "name", "holder", "segment"), "distinct", "zstd")
     _release(scratch)
     hot = scratch.store(distinct.groupBy("key").count().where(F.col("count") > HOT).select("key"), "hot")
     solve = lambda df: df.repartition("key").sortWithinPartitions("key").mapInArrow(_resolve, "name long, least binary")
@@ -348,9 +359,14 @@ def removed_runs(docs: DataFrame, scratch: Scratch) -> DataFrame:
         joined = back.groupBy("parent").agg(F.sort_array(F.collect_list(F.struct("nth", "least"))).alias("x"))
         least = least.union(joined.select(F.col("parent").alias("name"), F.expr("aggregate(x, cast('' as binary), (a, y) -> concat(a, y.least))").alias("least")))
     least = scratch.store(least, "least", "zstd")
+    scratch.drop(distinct)
+    _release(scratch)
+    hits = found.select("name", "doc_id", "twin", "start").join(least, "name")
+    runs = scratch.store(hits.select("doc_id", "twin", "start", "least").mapInArrow(_removed, "doc_id long, twin int, `from` long, `to` long"), "runs")
+    scratch.drop(found)
+    scratch.drop(least)
     _release(scratch)
-    hits = found.select("name", "doc_id", "start").join(least, "name")
-    return scratch.store(hits.select("doc_id", "start", "least").mapInArrow(_removed, "doc_id long, `from` long, `to` long"), "runs")
+    return runs
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -360,10 +376,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     smaller doc_id too; strings are those of the input and stay inside one text.
     A null text is an empty one. A row with a null doc_id neither loses bytes nor
     makes others lose some; rows that repeat a doc_id don't count against each
-    other, but share their runs only if their texts are equal. Other columns are ignored.
+    other. Other columns are ignored. Texts are told apart by two 64-bit hashes.
     """
     scratch = Scratch(docs.sparkSession, "repeats")
-    runs = removed_runs(docs, scratch).groupBy("doc_id").agg(F.collect_set(F.struct("from", "to")).alias("runs"))
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    out = texts.join(runs, "doc_id", "left").select("doc_id", "text", "runs")
-    return out.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    texts = texts.withColumns({"h": F.xxhash64("text"), "g": F.xxhash64(F.lit(7), F.col("text"))})
+    firsts = texts.where("doc_id is not null").groupBy("h", "g").agg(F.min("doc_id").alias("first"))
+    twins = Window.partitionBy("first").orderBy("h", "g")
+    firsts = scratch.store(firsts.withColumn("twin", F.row_number().over(twins) - 1), "firsts")
+    runs = removed_runs(texts.where("doc_id is not null"), firsts, scratch)
+    runs = runs.groupBy("doc_id", "twin").agg(F.collect_set(F.struct("from", "to")).alias("runs"))
+    runs = firsts.join(runs.withColumnRenamed("doc_id", "first"), ["first", "twin"], "left").select("h", "g", "first", "runs")
+    out = texts.join(runs, ["h", "g"], "left")
+    size = F.octet_length("text").cast("long")
+    whole = (F.col("doc_id") > F.col("first")) & (size >= LENGTH)
+    all_of_it = F.array(F.struct(F.lit(0).cast("long").alias("from"), size.alias("to")))
+    runs = F.when(F.col("doc_id").isNull(), F.lit(None)).when(whole, all_of_it).otherwise(F.col("runs"))
+    return out.select("doc_id", "text", runs.alias("runs")).mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
