@@ -19,8 +19,8 @@ K, W = 5, 8
 BASE, MODULUS = 1_000_003, 2_147_483_629
 SHIFT = 24
 LAST = (1 << SHIFT) - 1
-#: Document ids that are put in order together.
-ROWS = 2048
+#: Document ids that are put in order together, and the most parts that the id range is cut into.
+ROWS, PARTS = 1024, 1 << 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -72,12 +72,15 @@ def digest(fp: Column) -> Column:
     return F.md5(F.array_join(fp.cast("array<string>"), " ").cast("binary"))
 
 
-def next_ids(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc_id, next_id): the following id in ascending order, after the last the first; ids range-sorted in parts."""
+def _ids(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, part): the different ids, range-sorted into parts."""
     ids = docs.select("doc_id").where("doc_id is not null").distinct()
     n = ids.count()
-    ids = ids.repartitionByRange(max(1, -(-n // ROWS)), "doc_id").withColumn("part", F.spark_partition_id())
-    ids = scratch.store(ids, "ids")
+    return scratch.store(ids.repartitionByRange(max(1, min(PARTS, -(-n // ROWS))), "doc_id").withColumn("part", F.spark_partition_id()), "ids")
+
+
+def next_ids(ids: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, next_id): the following id in ascending order, after the last the first."""
     heads = ids.groupBy("part").agg(F.min("doc_id").alias("head"))  # a row a part
     order = Window.orderBy("part")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -87,17 +90,47 @@ def next_ids(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def with_next_text(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc_id, text, next_text) for every row; of rows that share an id the least text (null first) counts as the next one's."""
+    """(doc_id, text, next_text) for every row; of rows that share an id the least text counts as the next one's.
+
+    With ids that are all there and different, whole rows are shuffled once, by
+    part of the id range; the first row of each part is sent to the part before
+    as well. Else rows are joined by id.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    following = next_ids(docs, scratch)
+    ids = _ids(docs, scratch)
+    n, known, different = docs.count(), docs.where("doc_id is not null").count(), ids.count()
+    if n == known == different:
+        return _by_parts(docs, ids)
+    following = next_ids(ids, scratch)
     first = following.agg(F.min("doc_id")).first()[0]
-    unique = docs.where("doc_id is not null").count() == following.count()
-    texts = docs if unique else docs.groupBy("doc_id").agg(F.min("text").alias("text"))
+    texts = docs.groupBy(F.col("doc_id").alias("next_id")).agg(F.min("text").alias("next_text"))
     known = docs.join(following, "doc_id", "left").withColumn("next_id", F.coalesce("next_id", F.lit(first).cast("long")))
-    texts = texts.select(F.col("doc_id").alias("next_id"), F.col("text").alias("next_text"))
     return known.join(texts, "next_id", "left").select("doc_id", "text", F.coalesce("next_text", F.lit("")).alias("next_text"))
 
 
+def _by_parts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    heads = sorted(r[1] for r in ids.groupBy("part").agg(F.min("doc_id")).collect())  # PARTS ids at most
+    if not heads:
+        return docs.withColumn("next_text", F.lit(""))
+    steps = max(1, len(heads).bit_length())
+    last = len(heads) - 1
+
+    def part(head: Column) -> Column:
+        """The last part whose first id isn't beyond doc_id, by bisection."""
+        halve = lambda s, _: _let((s["lo"] + s["hi"] + 1).bitwiseAND(F.lit(~1)) / 2, lambda m: F.when(F.element_at(head, m.cast("int") + 1) <= F.col("doc_id"), F.struct(m.cast("int").alias("lo"), s["hi"].alias("hi"))).otherwise(F.struct(s["lo"].alias("lo"), (m - 1).cast("int").alias("hi"))))
+        start = F.struct(F.lit(0).alias("lo"), F.lit(last).alias("hi"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve)["lo"]
+
+    known = F.array(*[F.lit(h).cast("long") for h in heads]) if len(heads) <= 64 else F.from_json(F.lit(str(heads)), "array<bigint>")
+    rows = docs.withColumn("_part", part(known))
+    rows = rows.withColumn("_guest", F.element_at(known, F.col("_part") + 1) == F.col("doc_id"))
+    own = F.struct(F.col("_part").alias("part"), F.lit(False).alias("guest"))
+    before = F.struct(F.when(F.col("_part") == 0, last).otherwise(F.col("_part") - 1).alias("part"), F.lit(True).alias("guest"))
+    rows = rows.select("doc_id", "text", F.explode(F.when(F.col("_guest"), F.array(own, before)).otherwise(F.array(own))).alias("at"))
+    ahead = F.lead("text").over(Window.partitionBy("at.part").orderBy("at.guest", "doc_id"))
+    return rows.withColumn("next_text", ahead).where("not at.guest").select("doc_id", "text", "next_text")
+
+
 def winnow(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next), a row for every row.
 
