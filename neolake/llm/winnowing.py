@@ -89,8 +89,10 @@ def next_ids(ids: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.store(ids.withColumn("ahead", ahead).join(heads, "part").select("doc_id", F.coalesce("ahead", "after").alias("next_id")), "next")
 
 
-def with_next_text(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc_id, text, next_text) for every row; of rows that share an id the least text counts as the next one's.
+def with_next(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, text, own, next) for every row of (doc_id, text): its fingerprint, and text and own of the next document.
+
+    Of rows that share an id the least text counts as the next one's.
 
     With ids that are all there and different, whole rows are shuffled once, by
     part of the id range; the first row of each part is sent to the part before
@@ -98,20 +100,21 @@ def with_next_text(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ids = _ids(docs, scratch)
+    marked = docs.withColumn("own", fingerprint(F.col("text")))
     n, known, different = docs.count(), docs.where("doc_id is not null").count(), ids.count()
     if n == known == different:
-        return _by_parts(docs, ids)
+        return _by_parts(marked, ids)
     following = next_ids(ids, scratch)
     first = following.agg(F.min("doc_id")).first()[0]
-    texts = docs.groupBy(F.col("doc_id").alias("next_id")).agg(F.min("text").alias("next_text"))
-    known = docs.join(following, "doc_id", "left").withColumn("next_id", F.coalesce("next_id", F.lit(first).cast("long")))
-    return known.join(texts, "next_id", "left").select("doc_id", "text", F.coalesce("next_text", F.lit("")).alias("next_text"))
+    texts = marked.groupBy(F.col("doc_id").alias("next_id")).agg(F.min(F.struct("text", "own")).alias("next"))
+    known = marked.join(following, "doc_id", "left").withColumn("next_id", F.coalesce("next_id", F.lit(first).cast("long")))
+    return known.join(texts, "next_id", "left").select("doc_id", "text", "own", "next")
 
 
 def _by_parts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     heads = sorted(r[1] for r in ids.groupBy("part").agg(F.min("doc_id")).collect())  # PARTS ids at most
     if not heads:
-        return docs.withColumn("next_text", F.lit(""))
+        return docs.withColumn("next", F.struct("text", "own"))
     steps = max(1, len(heads).bit_length())
     last = len(heads) - 1
 
@@ -126,9 +129,9 @@ def _by_parts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     rows = rows.withColumn("_guest", F.element_at(known, F.col("_part") + 1) == F.col("doc_id"))
     own = F.struct(F.col("_part").alias("part"), F.lit(False).alias("guest"))
     before = F.struct(F.when(F.col("_part") == 0, last).otherwise(F.col("_part") - 1).alias("part"), F.lit(True).alias("guest"))
-    rows = rows.select("doc_id", "text", F.explode(F.when(F.col("_guest"), F.array(own, before)).otherwise(F.array(own))).alias("at"))
-    ahead = F.lead("text").over(Window.partitionBy("at.part").orderBy("at.guest", "doc_id"))
-    return rows.withColumn("next_text", ahead).where("not at.guest").select("doc_id", "text", "next_text")
+    rows = rows.select("doc_id", "text", "own", F.explode(F.when(F.col("_guest"), F.array(own, before)).otherwise(F.array(own))).alias("at"))
+    ahead = F.lead(F.struct("text", "own")).over(Window.partitionBy("at.part").orderBy("at.guest", "doc_id"))
+    return rows.withColumn("next", ahead).where("not at.guest").select("doc_id", "text", "own", "next")
 
 
 def winnow(docs: DataFrame) -> DataFrame:
@@ -139,11 +142,11 @@ def winnow(docs: DataFrame) -> DataFrame:
     empty one; a row with a null doc_id is followed by the first document and
     follows none. Other columns are ignored.
     """
-    rows = with_next_text(docs, Scratch(docs.sparkSession, "winnow"))
+    rows = with_next(docs, Scratch(docs.sparkSession, "winnow"))
     rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn("half", F.floor(F.col("n_chars") / 2).cast("int"))
-    edited = F.concat(F.expr("left(text, cast(n_chars - half as int))"), F.expr("left(next_text, half)"))
+    edited = F.concat(F.expr("left(text, cast(n_chars - half as int))"), F.expr("left(coalesce(next.text, ''), half)"))
     rows = rows.withColumn("edited", edited)
-    rows = rows.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), fingerprint(F.col("text")).alias("own"), fingerprint(F.col("edited")).alias("other"), fingerprint(F.col("next_text")).alias("following"))
+    rows = rows.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "own", fingerprint(F.col("edited")).alias("other"), F.coalesce("next.own", F.array().cast("array<bigint>")).alias("following"))
     sets = rows.select("*", hashes(F.col("own")).alias("a"), hashes(F.col("other")).alias("b"), hashes(F.col("following")).alias("c"))
     return sets.select(
         "doc_id", "n_chars", "edited_sha256", digest(F.col("own")).alias("fingerprint"), digest(F.col("other")).alias("edited_fingerprint"),
