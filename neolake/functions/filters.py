@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import operator
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -59,6 +59,10 @@ def preferred_transcript(strategies: Iterable[str], tsl_at_most: int, mane: str
     return reduce(operator.or_, (F.coalesce(tests[s], F.lit(False)) for s in strategies), F.lit(False))
 
 
+def _starts_with(sequence: Column, residues: str) -> Callable[[Column], Column]:
+    return lambda i: sequence.substr(i, F.lit(len(residues))) == residues
+
+
 def problematic_positions(sequence: Column, entries: Iterable[str]) -> Column:
     """Positions of problematic residues, joined by ``, ``, or ``None``.
 
@@ -74,7 +78,7 @@ def problematic_positions(sequence: Column, entries: Iterable[str]) -> Column:
             found.append(F.when(hit, F.array(p.cast("int"))).otherwise(F.array().cast("array<int>")))
         else:
             places = F.when(n >= k, F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-            found.append(F.filter(places, lambda i, k=k, r=residues: sequence.substr(i, F.lit(k)) == r))
+            found.append(F.filter(places, _starts_with(sequence, residues)))
     if not found:
         return F.lit(NONE)
     joined = F.array_join(F.array_sort(F.array_distinct(F.concat(*found))).cast("array<string>"), ", ")
