@@ -23,8 +23,20 @@ from neolake.shipping import ship
 SLICE_BYTES = 2 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: Rows of an Arrow batch at most: texts are long, and a worker holds a batch or two.
+BATCH_ROWS = 2000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Send the package to the workers, and bound the session's Arrow batches."""
     ship(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -41,7 +53,7 @@ class Scratch:
     """Tables written to the shared folder by one query."""
 
     def __init__(self, spark: SparkSession, label: str) -> None:
-        ship(spark)
+        prepare(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
         self.n = 0
