@@ -336,7 +336,8 @@ def removed_runs(texts: DataFrame, firsts: DataFrame, scratch: Scratch) -> DataF
     wanted = scratch.store(met.mapInArrow(_repeated, "h long, keys binary"), "keys")
     del met
     _release(scratch)
-    asked = wanted.join(firsts.select("h", "g", F.col("first").alias("doc_id"), "twin"), "h").groupBy("doc_id", "h", "g", "twin").agg(F.collect_list("keys").alias("keys"))
+    # one row a text before the join; a text's keys are fewer than its bytes
+    asked = wanted.groupBy("h").agg(F.collect_list("keys").alias("keys")).join(firsts.select("h", "g", F.col("first").alias("doc_id"), "twin"), "h")
     # rows that repeat an id and a text give equal rows here; they count once below
     own = texts.join(asked, ["doc_id", "h", "g"]).select("doc_id", "twin", "text", "keys")
     found = scratch.store(own.mapInArrow(_segments, "key long, name long, doc_id long, twin int, start long, segment binary"), "segments", "zstd")
