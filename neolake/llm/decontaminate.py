@@ -33,6 +33,8 @@ HALF = 16
 RANK, SKETCH = 256, 512
 #: Weight of the benchmark's passages against the corpus's, and the share of passages above which a word counts as common.
 EMPHASIS, COMMON = 10.0, 0.02
+#: Words that each passage of an item keeps, its rarest, however common they are.
+KEPT = 8
 COSINE = 0.3
 #: Share of the item's words in order that is a leak, and that is one if the answer is there too.
 LCS, LCS_WITH_ANSWER = 0.8, 0.6
@@ -194,13 +196,20 @@ def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def latent_space(tokens: DataFrame, items: Items) -> tuple[np.ndarray, np.ndarray]:
-    """(IDF, right singular vectors) of the TF-IDF passages over the block's words; common words have an IDF of 0."""
+    """(IDF, right singular vectors) of the TF-IDF passages over the block's words; common words have an IDF of 0, but for the rarest of each item's passage."""
     size = len(items.vocabulary)
     counts = np.zeros(size + 1)
     for r in tokens.select("ids").mapInArrow(_frequencies(size), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():  # a row a benchmark word
         counts[r["id"]] = r["n"]
-    idf = np.log((1 + counts[size]) / (1 + counts[:size]))
-    idf[counts[:size] > max(1, COMMON * counts[size])] = 0
+    idf = np.maximum(np.log((1 + counts[size]) / (1 + counts[:size])), 0.05)
+    owner, where, w = items.passages()
+    pair = np.unique(where * size + w)
+    order = np.lexsort((pair % size, -idf[pair % size], pair // size))
+    first = np.searchsorted(pair // size, np.arange(len(owner)))
+    rarest = (pair % size)[order[np.arange(len(pair)) - first[pair // size] < KEPT]]
+    common = counts[:size] > COMMON * counts[size]
+    common[rarest] = False
+    idf[common] = 0
     random = np.random.default_rng(7)
     column, sign = random.integers(0, SKETCH, size), random.choice([-1.0, 1.0], size)
     parts = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -209,8 +218,6 @@ def latent_space(tokens: DataFrame, items: Items) -> tuple[np.ndarray, np.ndarra
     gram = np.zeros((size, SKETCH))
     for r in partial.repartition("id").mapInArrow(_sum_rows, "id long, row binary").collect():  # a row a benchmark word
         gram[r["id"]] = np.frombuffer(r["row"], "<f4")
-    owner, where, w = items.passages()
-    pair = np.unique(where * size + w)
     pair = pair[idf[pair % size] > 0]
     # rows of the benchmark have one length each, so that short items are in the space as well
     x = idf[pair % size] / np.sqrt(np.bincount(pair // size, idf[pair % size] ** 2, len(owner)))[pair // size]
