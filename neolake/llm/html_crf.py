@@ -21,7 +21,11 @@ from ._common import slices
 from .html_blocks import Block, blocks
 
 #: Labelled pages, their seed, and the training's steps.
-PAGES, SEED, STEPS, L2 = 600, 11, 150, 0.3
+PAGES, SEED, STEPS, L2 = 800, 11, 200, 0.1
+
+
+# Fixed value: elements that structure a text.
+PLAIN = frozenset("article section p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre code table thead tbody tr td th figure figcaption b i em strong a span u small sub sup".split())
 
 
 def features(b: Block) -> list[str]:
@@ -30,6 +34,10 @@ def features(b: Block) -> list[str]:
     tags = [x for x in b.path if not x.startswith(".")]
     block = [t for t in tags if t not in ("b", "i", "em", "strong", "span", "a", "u", "small")]
     out.add("at:" + (block[-1] if block else ""))
+    out.add("pair:" + ">".join(block[-2:]))
+    top = max((i for i, x in enumerate(b.path) if x in ("article", "main")), default=None)
+    if top is not None and all(x in PLAIN for x in b.path[top + 1 :]):
+        out.add("plain")
     if not any(t in ("article", "main") for t in tags):
         out.add("no article")
     return sorted(out)
@@ -166,7 +174,7 @@ class Composer:
         add(f"<h1>{self.text(1, 12, False)}</h1>" if self.r.random() < 0.85 else f"<header><h1>{self.text(1, 12, False)}</h1></header>", 1)
         for _ in range(self.r.randint(1, 12)):
             add(self.paragraph(), 1)
-            if self.r.random() < 0.12:
+            if self.r.random() < 0.25:
                 add("</b></p>" + self.clutter())
         add("</b></p>")
         if self.r.random() < 0.2:

@@ -184,7 +184,7 @@ def links(fps: DataFrame, scratch: Scratch, radius: int = 3) -> DataFrame:
     if radius < 3:
         raise ValueError("more fingerprints than HOT at one anchor are handled for three bits only")
     balls = scratch.store(hot.mapInArrow(_balls, "point long, fp long, inner boolean"), "balls")
-    hubs = balls.groupBy("point").agg(F.min("fp").alias("hub"), F.max("inner").alias("inner"), F.count("*").alias("n")).where("inner and n > 1")
+    hubs = balls.groupBy("point").agg(F.min(F.when(F.col("inner"), F.col("fp"))).alias("hub"), F.count("*").alias("n")).where("hub is not null and n > 1")
     stars = balls.join(hubs.select("point", "hub"), "point").where("fp <> hub").select(F.col("fp").alias("u"), F.col("hub").alias("v"))
     return cold.union(stars.distinct())
 
