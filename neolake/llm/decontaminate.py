@@ -160,8 +160,8 @@ def _pairs(passage: np.ndarray, w: np.ndarray, x: np.ndarray, column: np.ndarray
     size = np.diff(np.r_[start, len(w)])
     each, base = np.repeat(size, size), np.repeat(start, size)
     upto = np.cumsum(each)
-    for i in range(0, len(w), 1 << 17):
-        j = min(i + (1 << 17), len(w))
+    for i in range(0, len(w), 1 << 16):
+        j = min(i + (1 << 16), len(w))
         a = np.repeat(np.arange(i, j), each[i:j])
         b = base[a] + np.arange(len(a)) - (upto[a] - each[a] - (upto[i] - each[i]))
         wa, wb = w[a], w[b]

@@ -27,7 +27,7 @@ from ._common import Scratch, slices, span_hashes, utf8
 
 LENGTH, K = 50, 20
 #: Bytes of text in slices of the first pass, and of segments in a block.
-SLICE, BLOCK = 1 << 20, 4 << 20
+SLICE, BLOCK = 1 << 20, 2 << 20
 #: A key with more different segments than this goes string by string, each under its own hash.
 HOT = 50_000
 

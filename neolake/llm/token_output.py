@@ -56,9 +56,9 @@ class Encoder:
 
     def clear(self) -> None:
         """Known pieces: a large sorted table and a small recent one, as (hash, start in ids, number of ids)."""
-        none = np.zeros(0, np.int64)
+        none = np.zeros(0, np.uint32)
         self.tables = [(none.astype(np.uint64), none, none)] * 2
-        self.ids = np.zeros(0, np.uint32)
+        self.ids = np.zeros(0, np.uint16 if len(self.width) <= 1 << 16 else np.uint32)
 
     def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and number of ids of each hash, and whether it is known."""
@@ -84,12 +84,12 @@ class Encoder:
             n.append(np.diff(np.r_[0, ends]))
         for e in self.t.encode_batch_fast([pieces[i].decode("utf-8", "surrogatepass") for i in order[len(one) :]], add_special_tokens=False):
             ids.append(np.array(e.ids, np.uint32))
-            n.append(np.array([len(e.ids)]))
+            n.append(np.array([len(e.ids)], np.int64))
         n = np.concatenate(n)
         at = np.cumsum(n) - n + len(self.ids)
-        self.ids = np.concatenate([self.ids, *ids])
+        self.ids = np.concatenate([self.ids, np.concatenate(ids).astype(self.ids.dtype)])
         large, recent = self.tables
-        h, at, n = (np.concatenate(x) for x in zip(recent, (h[order], at, n)))
+        h, at, n = (np.concatenate(x) for x in zip(recent, (h[order], at.astype(np.uint32), n.astype(np.uint32))))
         if len(h) > RECENT:
             h, at, n = (np.concatenate(x) for x in zip(large, (h, at, n)))
             large = (h[:0], at[:0], n[:0])
@@ -115,7 +115,7 @@ class Encoder:
             at, n, _ = self._find(h)
         at, n = at[which], n[which]
         upto = np.cumsum(n)
-        ids = self.ids[np.repeat(at - (upto - n), n) + np.arange(upto[-1])]
+        ids = self.ids[np.repeat(at - (upto - n), n) + np.arange(upto[-1])].astype(np.uint32)
         return ids, np.r_[0, upto][np.searchsorted(starts, off)]
 
 
