@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import Scratch, slices, span_hashes, utf8
+from ._common import BATCH_ROWS, Scratch, slices, span_hashes, utf8
 
 LENGTH, K = 50, 20
 #: Bytes of text in slices of the first pass, and of segments in a block.
@@ -137,8 +137,24 @@ def segment_starts(data: np.ndarray, off: np.ndarray, length: int = LENGTH, k: i
     return m[i], row[i], i, j - i + 1
 
 
+def _packed(part: np.ndarray, key: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+    """One row for each part with its keys and, side by side, their texts."""
+    o = np.argsort(part, kind="stable")
+    part, key, doc = part[o], key[o].astype("<u8"), doc[o].astype("<i8")
+    cut = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(part)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[cut[:-1]].astype(np.int32)), pa.array([key[i:j].tobytes() for i, j in zip(cut, cut[1:])], pa.binary()), pa.array([doc[i:j].tobytes() for i, j in zip(cut, cut[1:])], pa.binary())],
+        ["part", "keys", "docs"],
+    )
+
+
+def _bucket(doc: np.ndarray, parts: int) -> np.ndarray:
+    """The bucket that a text's keys are gathered in."""
+    return (doc.view(np.uint64) % np.uint64(parts)).astype(np.int64)
+
+
 def _keys(parts: int):
-    """Of each slice: keys in more than one of its texts, and a text for each key to the key's part. Texts are told apart by hash."""
+    """Of each slice: keys in more than one of its texts, by bucket (-1 - bucket as the part), and a text for each key to the key's part. Texts are told apart by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,57 +171,59 @@ def _keys(parts: int):
                 group = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
                 many = np.repeat(np.diff(np.r_[group, len(key)]) > 1, np.diff(np.r_[group, len(key)]))
                 if many.any():
-                    yield _known(doc[many], key[many])
+                    yield _packed(-1 - _bucket(doc[many], parts), key[many], doc[many])
                 key, doc = key[group], doc[group]
-                part = (key % np.uint64(parts)).astype(np.int64)
-                o = np.argsort(part, kind="stable")
-                key, doc, part = key[o], doc[o], part[o]
-                cut = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(part)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part[cut[:-1]].astype(np.int32)), pa.array([key[i:j].astype("<u8").tobytes() for i, j in zip(cut, cut[1:])]), pa.array([doc[i:j].astype("<i8").tobytes() for i, j in zip(cut, cut[1:])])],
-                    ["part", "keys", "docs"],
-                )
+                yield _packed((key % np.uint64(parts)).astype(np.int64), key, doc)
 
     return run
 
 
-def _known(doc: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
-    """Keys by text, as rows with part -1."""
-    o = np.argsort(doc, kind="stable")
-    doc, key = doc[o], key[o]
-    cut = np.r_[np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]), len(doc)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(cut) - 1, -1, np.int32)), pa.array([key[i:j].astype("<u8").tobytes() for i, j in zip(cut, cut[1:])]), pa.array([doc[i : i + 1].astype("<i8").tobytes() for i in cut[:-1]])],
-        ["part", "keys", "docs"],
-    )
+def _repeated(parts: int):
+    """Of one part, the keys that came with different texts, in a row for each bucket of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, docs = [], []
+        for b in batches:
+            part = b.column("part").to_numpy()
+            ready = b.filter(pa.array(part < 0))
+            if ready.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(-1 - part[part < 0]), ready.column("keys"), ready.column("docs")], ["bucket", "keys", "docs"])
+            for p, k, d in zip(part, b.column("keys"), b.column("docs")):
+                if p >= 0:
+                    keys.append(np.frombuffer(k.as_buffer(), "<u8"))
+                    docs.append(np.frombuffer(d.as_buffer(), "<i8"))
+        if not keys:
+            return
+        key, doc = np.concatenate(keys), np.concatenate(docs)
+        del keys, docs
+        o = np.argsort(key, kind="stable")
+        key, doc = key[o], doc[o]
+        group = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        many = np.maximum.reduceat(doc, group) > np.minimum.reduceat(doc, group)
+        keep = np.repeat(many, np.diff(np.r_[group, len(key)]))
+        if keep.any():
+            yield _packed(_bucket(doc[keep], parts), key[keep], doc[keep]).rename_columns(["bucket", "keys", "docs"])
+
+    return run
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of one part, the keys that came with different texts, by text."""
-    keys, docs, ready = [], [], []
+def _by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The keys of whole buckets, in one row a text."""
+    keys, docs = [], []
     for b in batches:
-        for p, k, d in zip(b.column("part").to_pylist(), b.column("keys"), b.column("docs")):
-            k, d = np.frombuffer(k.as_buffer(), "<u8"), np.frombuffer(d.as_buffer(), "<i8")
-            if p < 0:
-                ready.append((int(d[0]), k.tobytes()))
-            else:
-                keys.append(k)
-                docs.append(d)
-        if ready:
-            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in ready], pa.int64()), pa.array([k for _, k in ready], pa.binary())], ["h", "keys"])
-            ready = []
+        for k, d in zip(b.column("keys"), b.column("docs")):
+            keys.append(np.frombuffer(k.as_buffer(), "<u8"))
+            docs.append(np.frombuffer(d.as_buffer(), "<i8"))
     if not keys:
         return
     key, doc = np.concatenate(keys), np.concatenate(docs)
     del keys, docs
-    o = np.argsort(key, kind="stable")
+    o = np.argsort(doc, kind="stable")
     key, doc = key[o], doc[o]
-    group = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    many = np.maximum.reduceat(doc, group) > np.minimum.reduceat(doc, group)
-    keep = np.repeat(many, np.diff(np.r_[group, len(key)]))
-    if keep.any():
-        b = _known(doc[keep], key[keep])
-        yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(x.as_py() for x in b.column("docs")), "<i8")), b.column("keys")], ["h", "keys"])
+    cut = np.r_[np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]), len(doc)]
+    for i in range(0, len(cut) - 1, BATCH_ROWS):
+        ends = cut[i : i + BATCH_ROWS + 1]
+        yield pa.RecordBatch.from_arrays([pa.array(doc[ends[:-1]]), pa.array([key[i:j].tobytes() for i, j in zip(ends, ends[1:])], pa.binary())], ["h", "keys"])
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +234,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key, row, start, n = segment_starts(data, off)
             if not len(key):
                 continue
-            wanted = [np.frombuffer(b"".join(x or ()), "<u8") for x in b.column("keys").to_pylist()]
+            wanted = [np.frombuffer(x or b"", "<u8") for x in b.column("keys").to_pylist()]
             cut = np.searchsorted(row, np.arange(b.num_rows + 1))
             keep = np.concatenate([np.isin(key[i:j], w) for i, j, w in zip(cut, cut[1:], wanted)])
             key, row, start, n = key[keep], row[keep], start[keep], n[keep]
@@ -333,11 +351,12 @@ def removed_runs(texts: DataFrame, firsts: DataFrame, scratch: Scratch) -> DataF
     """(doc_id, twin, from, to): runs of bytes, overlapping maybe, that an earlier document's strings cover, of the first of equal texts."""
     parts = max(1, int(scratch.spark.conf.get("spark.sql.shuffle.partitions")))
     met = texts.select("text", "h").mapInArrow(_keys(parts), "part int, keys binary, docs binary").repartition(parts, F.when(F.col("part") < 0, F.xxhash64("docs")).otherwise(F.col("part").cast("long")))
-    wanted = scratch.store(met.mapInArrow(_repeated, "h long, keys binary"), "keys")
-    del met
-    _release(scratch)
+    gathered = met.mapInArrow(_repeated(parts), "bucket int, keys binary, docs binary").repartition(parts, "bucket")
     # one row a text before the join; a text's keys are fewer than its bytes
-    asked = wanted.groupBy("h").agg(F.collect_list("keys").alias("keys")).join(firsts.select("h", "g", F.col("first").alias("doc_id"), "twin"), "h")
+    wanted = scratch.store(gathered.mapInArrow(_by_text, "h long, keys binary"), "keys")
+    del met, gathered
+    _release(scratch)
+    asked = wanted.join(firsts.select("h", "g", F.col("first").alias("doc_id"), "twin"), "h")
     # rows that repeat an id and a text give equal rows here; they count once below
     own = texts.join(asked, ["doc_id", "h", "g"]).select("doc_id", "twin", "text", "keys")
     found = scratch.store(own.mapInArrow(_segments, "key long, name long, doc_id long, twin int, start long, segment binary"), "segments", "zstd")
