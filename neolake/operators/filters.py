@@ -27,7 +27,8 @@ def binding_filter(df: DataFrame, t: Thresholds, score: str = "Median MT IC50 Sc
 
 def allele_specific_filter(df: DataFrame, cutoffs: DataFrame, t: Thresholds, score: str = "Median MT IC50 Score", percentile: str = "Median MT Percentile", fold_change: str | None = None, allele: str = "HLA Allele") -> DataFrame:
     """As the binding filter, with a threshold for each allele that ``cutoffs`` (allele, cutoff) names; a missing score passes unless excluded."""
-    known = df.join(F.broadcast(cutoffs.select(F.col("allele").alias(allele), F.col("cutoff").alias("_cutoff"))), allele, "left")  # a row an allele
+    # a row an allele; Spark broadcasts it by its measured size, and shuffles beyond that
+    known = df.join(cutoffs.select(F.col("allele").alias(allele), F.col("cutoff").alias("_cutoff")), allele, "left")
     value = col(score).try_cast("double")
     binds = F.coalesce(value <= F.coalesce("_cutoff", F.lit(t.binding)), F.lit(not t.exclude_nas))
     if t.percentile is not None:
