@@ -69,9 +69,10 @@ def mark_problematic(df: DataFrame, entries: Iterable[str], sequence: str, drop:
 
 def mark_genes(df: DataFrame, genes: DataFrame, gene: str = "Gene Name") -> DataFrame:
     """``Gene of Interest``: the gene, or one of a fusion's two, is listed."""
-    listed = F.broadcast(genes.agg(F.array_sort(F.collect_set("gene")).alias("_genes")))  # one row; a list that people wrote
-    hit = F.array_contains("_genes", col(gene)) | F.arrays_overlap(F.split(col(gene), "-"), F.col("_genes"))
-    return df.join(listed).withColumn("Gene of Interest", F.coalesce(hit, F.lit(False))).drop("_genes")
+    names = df.select(col(gene).alias("_name")).where("_name is not null").distinct()
+    parts = F.explode(F.array_union(F.array("_name"), F.split("_name", "-"))).alias("gene")
+    hits = names.select("_name", parts).join(genes.select("gene"), "gene", "left_semi").select("_name").distinct().withColumn("_hit", F.lit(True))
+    return df.join(hits, col(gene) == F.col("_name"), "left").withColumn("Gene of Interest", F.coalesce("_hit", F.lit(False))).drop("_name", "_hit")
 
 
 def evaluation_filter(df: DataFrame, accepted: Iterable[str] = ("Accept",)) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from neolake.functions.filters import col
-from neolake.functions.sequences import core_position, matches, mutated_positions
+from neolake.functions.sequences import core_position, matches, mutated_positions, places
 from neolake.shipping import ship
 
 #: A predictor takes pandas frames of (allele, length, epitope) and gives them back with (score, percentile).
@@ -154,7 +154,8 @@ def best_cleavage(sites: DataFrame, keys: list[str]) -> DataFrame:
 
 def species_of_allele(alleles: DataFrame, prefixes: DataFrame) -> DataFrame:
     """The species whose prefix the allele starts with; no prefix or several is an error."""
-    hits = alleles.join(F.broadcast(prefixes), F.startswith(F.col("allele"), F.col("prefix")), "left")  # a fixed list of species
+    starts = F.explode(F.transform(places(F.length("allele")), lambda i: F.substr("allele", F.lit(1), i))).alias("prefix")
+    hits = alleles.select("allele", starts).join(prefixes, "prefix", "left")
     one = hits.groupBy("allele").agg(F.collect_set("species").alias("s"))
     return one.select("allele", F.when(F.size("s") == 1, F.col("s")[0]).otherwise(F.raise_error(F.concat(F.lit("no single species for "), F.col("allele")))).alias("species"))
 

@@ -166,3 +166,20 @@ def test_clonal_vaf_and_union(spark):
     assert (f(0.7, 0.3), f(0.55, 0.2), f(0.9), f(None)) == (0.3, 0.5, 0.6, 0.6)
     u = filters.union_filled(spark.createDataFrame([(1, 2)], "a int, b int"), spark.createDataFrame([(3, 4)], "c int, a int"))
     assert u.columns == ["a", "b", "c"] and sorted(tuple(r) for r in u.collect()) == [(1, 2, None), (4, None, 3)]
+
+
+def test_genes_of_interest_take_either_side_of_a_fusion(spark):
+    df = spark.createDataFrame([(1, "A"), (2, "B-C"), (3, "C"), (4, None), (5, "A-C"), (1, "A")], "id int, `Gene Name` string")
+    genes = spark.createDataFrame([("A",), ("B",), ("A",)], "gene string")
+    got = filters.mark_genes(df, genes)
+    assert got.columns == ["id", "Gene Name", "Gene of Interest"]
+    assert sorted((r["id"], r["Gene of Interest"]) for r in got.collect()) == [(1, True), (1, True), (2, True), (3, False), (4, False), (5, True)]
+
+
+def test_species_by_the_only_prefix(spark):
+    prefixes = spark.createDataFrame([("HLA-", "human"), ("H-2-", "mouse"), ("H2-", "mouse"), ("DLA", "dog")], "prefix string, species string")
+    alleles = spark.createDataFrame([("HLA-A*02:01",), ("H-2-Kb",), ("DLA-88*01",)], "allele string")
+    got = {r["allele"]: r["species"] for r in predictions.species_of_allele(alleles, prefixes).collect()}
+    assert got == {"HLA-A*02:01": "human", "H-2-Kb": "mouse", "DLA-88*01": "dog"}
+    with pytest.raises(Exception, match="no single species"):
+        predictions.species_of_allele(spark.createDataFrame([("X-1",)], "allele string"), prefixes).collect()
