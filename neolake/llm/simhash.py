@@ -25,11 +25,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import Scratch, mix64, small_join
+from ._common import BASE, Scratch, mix64, slices, small_join, span_hashes, utf8, words
 from .graph import connected_components
 
 SEED = 42
 HOT = 4096
+#: Most frequent shingles that come last in the order of a text's shingles; any order gives the same copies.
+FREQUENT = 100_000
+#: Texts of one shingle are paired by their distance in order of size: up to the first of these, then SPREAD times as far.
+NEAR, SPREAD = 8, 8
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -242,14 +246,131 @@ def _shingle_sets(shingle: int):
     return run
 
 
+def _shingles(batch: pa.RecordBatch, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of every word shingle, once a row, by row; a shorter text is one shingle, a wordless one has none."""
+    data, off = utf8(batch.column("text"))
+    data = np.frombuffer(_LOWER, np.uint8)[data]
+    s, e, row = words(data, off)
+    if not len(s):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    h = span_hashes(data, s, e)
+    first, last = np.searchsorted(row, row), np.searchsorted(row, row, side="right")
+    i = np.arange(len(row))
+    i = i[(i + shingle <= last) | (i == first)]
+    out = h[i]
+    for k in range(1, shingle):
+        more = i + k < last[i]
+        out[more] = mix64(out[more] * np.uint64(BASE) + h[i[more] + k])
+    order = np.lexsort((out, row[i]))
+    row, out = row[i][order], out[order]
+    new = np.r_[True, (row[1:] != row[:-1]) | (out[1:] != out[:-1])]
+    return row[new], out[new]
+
+
+def _frequent(shingle: int):
+    """Shingles that some run of texts has three times or more, with their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in slices(batch, "text"):
+                h, n = np.unique(_shingles(b, shingle)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h[n > 2].view(np.int64)), pa.array(n[n > 2])], ["key", "n"])
+
+    return run
+
+
+def _prefixes(shingle: int, similarity: float, frequent: np.ndarray, counts: np.ndarray):
+    """Each text's first shingles, by count in ``frequent`` and hash: two texts at ``similarity`` share one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in slices(batch, "text"):
+                row, h = _shingles(b, shingle)
+                weight = np.zeros(len(h), np.int64)
+                if len(frequent):
+                    at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
+                    weight = np.where(frequent[at] == h, counts[at], 0)
+                h = h[np.lexsort((h, weight, row))]
+                first = np.searchsorted(row, row)
+                n, at = np.searchsorted(row, row, side="right") - first, np.arange(len(row)) - first
+                use = at <= n - np.ceil(similarity * n - 1e-9)
+                head = b.column("doc_id").to_numpy()[row[use]]
+                yield pa.RecordBatch.from_arrays([pa.array(h[use].view(np.int64)), pa.array(head), pa.array(n[use].astype(np.int32)), pa.array(at[use].astype(np.int32))], ["key", "head", "n", "at"])
+
+    return run
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows by key, those whose key another row has."""
+    held: pa.RecordBatch | None = None
+    held_met = False
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key = b.column("key").to_numpy()
+        same = key[1:] == key[:-1]
+        on = held is not None and held.column("key")[0].as_py() == key[0]
+        if held is not None and (held_met or on):
+            yield held
+        met = np.r_[on, same] | np.r_[same, False]
+        yield b.slice(0, b.num_rows - 1).filter(pa.array(met[:-1]))
+        held, held_met = b.slice(b.num_rows - 1), bool(met[-1])
+    if held is not None and held_met:
+        yield held
+
+
+def _pairs(similarity: float, start: int, stop: int):
+    """Pairs of one key's texts, by size, that are ``start`` to ``stop - 1`` places apart, that aren't in one component yet and that sizes and places allow to be copies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "head", "component", "n", "at"]
+        rows = [np.zeros(0, np.int64)] * len(names)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            old = len(rows[0])
+            rows = [np.r_[x, b.column(c).to_numpy().astype(np.int64)] for x, c in zip(rows, names)]
+            key, head, component, n, at = rows
+            j = np.arange(max(old, start), len(key))
+            for d in range(start, stop):
+                j = j[j >= d]
+                j = j[(key[j - d] == key[j]) & (n[j - d] >= similarity * n[j] - 1e-9)]
+                if not len(j):
+                    break
+                i = j - d
+                most = np.minimum(at[i], at[j]) + 1 + np.minimum(n[i] - at[i], n[j] - at[j]) - 1
+                ok = (component[i] != component[j]) & (most >= similarity * (n[i] + n[j] - most) - 1e-9)
+                u, v = head[i[ok]], head[j[ok]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+            keep = max(int(np.searchsorted(key, key[-1])), len(key) - stop + 1)
+            rows = [x[keep:] for x in rows]
+
+    return run
+
+
+def _close(texts: DataFrame, edges: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
+    """The ``edges`` whose texts' shingle sets have a Jaccard index of ``similarity`` or more."""
+    nodes = edges.select(F.col("u").alias("doc_id")).union(edges.select("v")).distinct()
+    sets = small_join(texts, nodes, ["doc_id"], "left_semi").mapInArrow(_shingle_sets(shingle), "doc_id long, shingles array<bigint>")
+    sets = scratch.store(sets.dropDuplicates(["doc_id"]), "shingles")
+    a, b = sets.toDF("u", "a"), sets.toDF("v", "b")
+    shared = F.size(F.array_intersect("a", "b"))
+    out = scratch.store(edges.join(a, "u").join(b, "v").where(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("u", "v"), "close")
+    scratch.drop(sets)
+    return out
+
+
 def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, tables: int = 4) -> DataFrame:
     """(doc_id, component_id) of the documents that are copies of one with a smaller id.
 
-    Candidates are documents whose word sets have fingerprints within 3 bits, in
-    one of ``tables``; a SimHash of long shingles would put copies at this
-    similarity some ten bits apart. Links stay where the sets of ``shingle``-word
-    shingles have a Jaccard index of ``similarity`` or more. Equal word sequences
-    are linked without candidates.
+    Copies are linked where the sets of ``shingle``-word shingles have a Jaccard
+    index of ``similarity`` or more; equal word sequences always are. Links of
+    word-set fingerprints within 3 bits, in one of ``tables``, are tried first and
+    gather most copies. What they miss comes from a prefix filter, which misses
+    none: in any one order of all shingles, two such texts share one of their first
+    n - ceil(similarity * n) + 1. Texts of one shingle are paired by rising
+    distance in order of size, except where a link already joins them, until no
+    pair is left; so a large group of copies takes a few links a text.
     """
     scratch = Scratch(docs.sparkSession, "copies")
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -266,14 +387,28 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, tabl
         both = far.union(same)
         edges = both if edges is None else edges.union(both)
     edges = scratch.store(edges.distinct(), "candidates")
-    nodes = edges.select(F.col("u").alias("doc_id")).union(edges.select("v")).distinct()
-    sets = small_join(texts, nodes, ["doc_id"], "left_semi").mapInArrow(_shingle_sets(shingle), "doc_id long, shingles array<bigint>")
-    sets = scratch.store(sets.dropDuplicates(["doc_id"]), "shingles")
-    a, b = sets.toDF("u", "a"), sets.toDF("v", "b")
-    shared = F.size(F.array_intersect("a", "b"))
-    close = edges.join(a, "u").join(b, "v").where(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("u", "v")
-    parts = connected_components(close, scratch).withColumnRenamed("node", "head")
-    named = heads.select("name", "head").join(parts, "head", "left").select("name", F.coalesce("component", "head").alias("component_id"))
+    close = _close(texts, edges, shingle, similarity, scratch)
+    parts = scratch.store(connected_components(close, scratch), "parts")
+
+    again = own.select("doc_id").distinct().join(heads.select(F.col("head").alias("doc_id")), "doc_id", "left_anti")
+    once = small_join(texts, scratch.store(again, "again"), ["doc_id"], "left_anti")
+    often = once.mapInArrow(_frequent(shingle), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(FREQUENT).toPandas()
+    keys = often["key"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    prefixes = once.mapInArrow(_prefixes(shingle, similarity, keys[order], often["n"].to_numpy()[order]), "key long, head long, n int, at int")
+    rows = scratch.store(prefixes.repartition("key").sortWithinPartitions("key").mapInArrow(_met, "key long, head long, n int, at int"), "prefixes")
+    start, stop = 1, NEAR + 1
+    while True:
+        named = rows.join(parts.withColumnRenamed("node", "head"), "head", "left").withColumn("component", F.coalesce("component", "head"))
+        sides = named.groupBy("key").agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high"))
+        left = scratch.store(named.join(sides.where((F.col("low") < F.col("high")) & (F.col("rows") > start)).select("key"), "key"), "left")
+        if left.isEmpty():
+            break
+        found = left.repartition("key").sortWithinPartitions("key", "n", "head").mapInArrow(_pairs(similarity, start, stop), "u long, v long").where("u <> v").distinct()
+        close = close.union(_close(texts, scratch.store(found, "candidates"), shingle, similarity, scratch))
+        parts = scratch.store(connected_components(close, scratch), "parts")
+        rows, start, stop = left.select("key", "head", "n", "at"), stop, stop * SPREAD
+    named = heads.select("name", "head").join(parts.withColumnRenamed("node", "head"), "head", "left").select("name", F.coalesce("component", "head").alias("component_id"))
     return own.select("doc_id", "name").join(named, "name").where("doc_id <> component_id").select("doc_id", "component_id")
 
 

@@ -412,6 +412,34 @@ def test_near_copies_go(spark):
     assert sorted(kept, key=str) == sorted([*range(30), 51, None, None], key=str)
 
 
+def near_pairs_by_hand(rows, similarity=0.8):
+    """Component of every document, from all pairs of five-word shingle sets."""
+    sets = {}
+    for i, t in rows:
+        w = t.lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+    part = {i: i for i in sets}
+    for i in sets:
+        for j in sets:
+            if i < j and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) and part[i] != part[j]:
+                low, high = sorted((part[i], part[j]))
+                part = {k: low if v == high else v for k, v in part.items()}
+    return {(i, c) for i, c in part.items() if i != c}
+
+
+def test_near_copies_behind_a_failed_link(spark):
+    rnd = random.Random(3)
+    sentences = [document(rnd, 6, [f"w{i}" for i in range(900)]).split() for _ in range(40)]
+    original = [w for s in sentences for w in s]
+    rnd.shuffle(sentences)
+    swapped = original[:]
+    swapped[100], swapped[101] = swapped[101], swapped[100]
+    # the same words in another order, so one fingerprint for all; the least id is a copy of none
+    rows = [(1, " ".join(w for s in sentences for w in sorted(s))), (2, " ".join(original)), (3, " ".join(swapped))]
+    got = {tuple(r) for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == near_pairs_by_hand(rows) == {(3, 2)}
+
+
 # --- 10 ------------------------------------------------------------------------------
 
 
