@@ -440,6 +440,26 @@ def test_near_copies_behind_a_failed_link(spark):
     assert got == near_pairs_by_hand(rows) == {(3, 2)}
 
 
+def test_near_copies_of_every_kind_of_edit(spark):
+    rnd = random.Random(11)
+    words = [f"t{i}" for i in range(3000)]
+    rows = []
+    for k in range(24):
+        t = document(rnd, 300, words).split()
+        n = rnd.randrange(15, 62)  # Jaccard from 0.8 to 0.95
+        other = document(rnd, n, words).split()
+        at = rnd.randrange(200)
+        m = n // 2
+        edits = [t + other, other + t, t[:-n], t[:at] + t[at + n :], t[:at] + other + t[at:], t[:at] + other[:m] + t[at + m :]]
+        rows += [(10 * k, " ".join(t)), (10 * k + 1, " ".join(edits[k % 6]))]
+    line = document(rnd, 60, words)
+    rows += [(1000 + i, line + " " + document(rnd, 12, words)) for i in range(30)]  # a passage that many have, half of it and more, without being copies
+    rows += [(1990, rows[-1][1] + " more")]
+    got = {tuple(r) for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = near_pairs_by_hand(rows)
+    assert got == want and len(want) >= 20
+
+
 # --- 10 ------------------------------------------------------------------------------
 
 
