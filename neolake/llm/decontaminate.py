@@ -14,12 +14,15 @@ of each word needs only the pairs of words of each passage, and Nystroem's
 formula turns it into singular vectors without another pass. Cosines divide by
 the whole vectors' lengths, so what a passage has outside the space counts
 against it; where the space holds too small a share of it, no cosine is needed.
+Passages of the benchmark that keep less than ``ENERGY`` of their squared length
+in the space are compared by the whole vectors, word by word, instead.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,8 @@ COSINE = 0.3
 LCS, LCS_WITH_ANSWER = 0.8, 0.6
 #: Benchmark items that are searched for at once (they are held by every task).
 ITEMS = 256
+#: Passages of such a block (about: items aren't cut), and the share of its squared length that a passage needs to be searched for in the space.
+PASSAGES, ENERGY = 2 * RANK, 0.75
 _FOLD = np.full(256, 32, np.uint8)
 for _c in range(256):
     if _c >= 128 or chr(_c).isalnum():
@@ -260,6 +265,43 @@ def _search(items: Items, idf: np.ndarray, space: np.ndarray, cosine: float):
     np.add.at(bench, pair // len(idf), weights[pair % len(idf)])
     np.add.at(length, pair // len(idf), square[pair % len(idf)])
     bench /= np.sqrt(np.maximum(length, 1e-12))[:, None].astype(np.float32)
+    weak = np.flatnonzero(np.einsum("ij,ij->i", bench, bench) < ENERGY)
+    strong = np.setdiff1d(np.arange(len(owner)), weak)
+    bench = bench[strong]
+    # what each word brings to the weak passages that have it, by word
+    nth = np.full(len(owner), -1)
+    nth[weak] = np.arange(len(weak))
+    pair = pair[(nth[pair // len(idf)] >= 0) & (square[pair % len(idf)] > 0)]
+    pair = pair[np.argsort(pair % len(idf), kind="stable")]
+    word, of = pair % len(idf), nth[pair // len(idf)]
+    brings = square[word] / np.sqrt(length[weak])[of] if len(pair) else np.zeros(0)
+    since = np.searchsorted(word, np.arange(len(idf) + 1))
+
+    def near_whole(ids: np.ndarray, starts: np.ndarray, doc: np.ndarray, total: np.ndarray) -> Iterator[tuple[int, int, float]]:
+        """(half passage, passage of the benchmark, cosine) of the weak passages, by whole vectors; a passage is two halves."""
+        half = np.zeros(len(ids), np.int64)
+        half[starts[1:]] = 1
+        half = np.cumsum(half)
+        known = ids >= 0
+        pair = np.unique(half[known] * len(idf) + ids[known])
+        h, w = pair // len(idf), pair % len(idf)
+        n = since[w + 1] - since[w]
+        h, w, n = h[n > 0], w[n > 0], n[n > 0]
+        step = max(1, (1 << 21) // len(weak))
+        for i in range(0, len(starts), step):
+            a, b = np.searchsorted(h, (i, i + step + 1))  # the last passage's second half is the next one's first
+            if a == b:
+                continue
+            m = n[a:b]
+            at = np.repeat(since[w[a:b]] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+            dots = np.bincount(np.repeat(h[a:b] - i, m) * len(weak) + of[at], brings[at], (step + 1) * len(weak)).reshape(step + 1, len(weak))
+            rows = np.arange(min(step, len(starts) - i))
+            both = dots[rows]
+            on = rows[(i + rows + 1 < len(doc)) & (doc[np.minimum(i + rows + 1, len(doc) - 1)] == doc[i + rows])]
+            both[on] += dots[on + 1]
+            both /= np.sqrt(np.maximum(total[i + rows], 1e-12))[:, None]
+            for r, q in zip(*np.nonzero(both >= cosine)):
+                yield i + int(r), int(weak[q]), float(both[r, q])
 
     def halves(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place in the space and squared length of every half passage, a word once."""
@@ -290,24 +332,29 @@ def _search(items: Items, idf: np.ndarray, space: np.ndarray, cosine: float):
                 total[same] += length[same + 1]
                 both /= np.sqrt(np.maximum(total, 1e-12))[:, None].astype(np.float32)
                 near_enough = np.flatnonzero(np.einsum("ij,ij->i", both, both) >= cosine * cosine)  # else no cosine can reach it
-                for i in range(0, len(near_enough), 8192):
-                    rows = near_enough[i : i + 8192]
-                    near = both[rows] @ bench.T
-                    for r, q in zip(*np.nonzero(near >= cosine)):
-                        p, k = int(rows[r]), int(owner[q])
-                        d, item = int(doc[p]), items.words[k]
-                        key = (name[d], items.ids[k])
-                        old = found.get(key)
-                        if old and old[1] >= 1:
-                            continue
-                        m = len(item)
-                        lo, hi = max(off[d], starts[p] - m), min(off[d + 1], starts[p] + 2 * HALF + m)
-                        share = lcs(item, ids[lo:hi]) / m
-                        if share < LCS_WITH_ANSWER or old and share <= old[1]:
-                            continue
-                        told = contains(ids[lo:hi], items.answers[k])
-                        if share >= LCS or told:
-                            found[key] = (float(near[r, q]), share, told)
+
+                def near_in_space() -> Iterator[tuple[int, int, float]]:
+                    for i in range(0, len(near_enough), 8192):
+                        rows = near_enough[i : i + 8192]
+                        near = both[rows] @ bench.T
+                        for r, q in zip(*np.nonzero(near >= cosine)):
+                            yield int(rows[r]), int(strong[q]), float(near[r, q])
+
+                for p, q, near in chain(near_in_space(), near_whole(ids, starts, doc, total) if len(weak) else ()):
+                    k, d = int(owner[q]), int(doc[p])
+                    item = items.words[k]
+                    key = (name[d], items.ids[k])
+                    old = found.get(key)
+                    if old and old[1] >= 1:
+                        continue
+                    m = len(item)
+                    lo, hi = max(off[d], starts[p] - m), min(off[d + 1], starts[p] + 2 * HALF + m)
+                    share = lcs(item, ids[lo:hi]) / m
+                    if share < LCS_WITH_ANSWER or old and share <= old[1]:
+                        continue
+                    told = contains(ids[lo:hi], items.answers[k])
+                    if share >= LCS or told:
+                        found[key] = (near, share, told)
             if found:
                 cols = [[k[0] for k in found], [k[1] for k in found], *zip(*found.values())]
                 types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()]
@@ -324,14 +371,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, items_a
     sentence is there. A pair is returned at LCS, or at LCS_WITH_ANSWER with the
     answer. Null or wordless texts and items match nothing; repeated rows give
     their pairs once; other columns are ignored. The benchmark is read in
-    blocks of ``items_at_once``, so it may be of any size.
+    blocks of ``items_at_once`` items and ``PASSAGES`` passages, so it may be of any size.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "leaks")
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("text is not null")
     asked = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), F.col("text").cast("string")).dropDuplicates()
-    n = asked.count()
-    blocks = max(1, -(-n // items_at_once))
+    n_words = F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+    n, passages = asked.agg(F.count("*"), F.sum(F.greatest(F.lit(1), F.ceil((n_words - 2 * HALF) / HALF) + 1))).first()
+    blocks = max(1, -(-n // items_at_once), -(-(passages or 0) // PASSAGES))
     out = spark.createDataFrame([], "doc_id long, item_id long, cosine double, lcs double, answer boolean")
     for k in range(blocks):
         rows = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()  # about items_at_once rows

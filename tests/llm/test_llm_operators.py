@@ -512,3 +512,13 @@ def test_pieces_give_the_ids_of_whole_texts():
         texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 25))) for _ in range(3)]
         ids, off = encode(pa.array(texts))
         assert [ids[i:j].tolist() for i, j in zip(off, off[1:])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_long_items_leak_off_the_passage_grid(spark):
+    rnd = random.Random(5)
+    words = [f"q{i}" for i in range(5000)]
+    items = [(i, document(rnd, 250, words)) for i in range(80)]
+    docs = [(i, document(rnd, 8, words) + " " + t + " " + document(rnd, 20, words)) for i, t in items]
+    docs += [(1000 + i, document(rnd, 150, words)) for i in range(200)]
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(i, i) for i in range(80)]
