@@ -112,11 +112,20 @@ def mix_documents(docs: DataFrame, seed: str = "mix", rounds: int = ROUNDS) -> D
     """The rows of ``docs`` that the mix takes, each as often as it takes them (0 to ``rounds`` times).
 
     A document without words is in no mix. Repeated doc_ids share their rows' takings in order of size.
+    Rows with a null doc_id share those of their source and size, one row each; which gets which is by text.
     """
-    named = mix(docs, seed, rounds).where("taken > 0").select("doc_id", F.col("size").alias("_size"), (F.col("taken") / F.col("size")).cast("int").alias("_times"))
+    named = mix(docs, seed, rounds).where("taken > 0").select("doc_id", "source", F.col("size").alias("_size"), (F.col("taken") / F.col("size")).cast("int").alias("_times"))
+    named = Scratch(docs.sparkSession, "mixed").store(named, "taken")
     times = named.groupBy("doc_id", "_size").agg(F.max("_times").alias("_times"))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    out = docs.withColumn("_size", size).join(times, ["doc_id", "_size"])
+    sized = docs.withColumn("_size", size)
+    out = sized.join(times, ["doc_id", "_size"])
+    if not named.where("doc_id is null").isEmpty():
+        nth = lambda *o: F.row_number().over(Window.partitionBy("_source", "_size").orderBy(*o))
+        source = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
+        nameless = named.where("doc_id is null").select(source.alias("_source"), "_size", "_times").withColumn("_nth", nth(F.desc("_times")))
+        rows = sized.where("doc_id is null").withColumn("_source", source).withColumn("_nth", nth("text"))
+        out = out.unionByName(rows.join(nameless, ["_source", "_size", "_nth"]).drop("_source", "_nth"))
     return out.withColumn("_round", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
 
 

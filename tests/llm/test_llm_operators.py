@@ -522,3 +522,14 @@ def test_long_items_leak_off_the_passage_grid(spark):
     docs += [(1000 + i, document(rnd, 150, words)) for i in range(200)]
     got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(i, i) for i in range(80)]
+
+
+def test_mix_keeps_rows_without_an_id(spark):
+    rows = [(None, "a b c", "x"), (None, "d e f", "x"), (None, "g h i j", "y"), (1, "k l", "x"), (2, "m n o", None), (None, "p q r", None), (None, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = sum(r.taken for r in mixing.mix(docs).collect())
+    got = mixing.mix_documents(docs).collect()
+    assert sum(len(r.text.split()) for r in got) == want
+    times = lambda rows: sorted((str(r.doc_id), str(r.source), len(r.text.split())) for r in rows)
+    each = [(str(r.doc_id), str(r.source), r["size"]) for r in mixing.mix(docs).collect() if r["size"] for _ in range(r.taken // r["size"])]
+    assert times(got) == sorted(each) and any(r.doc_id is None for r in got)
