@@ -14,6 +14,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,9 +42,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is set (tests)."""
+    """The cluster's checkpoint folder; a temporary one only on a local master without one (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="neolake-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -149,7 +152,11 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of values[start:end] for every pair, equal for equal spans."""
+    """A 64-bit hash of values[start:end] for every pair, equal for equal spans.
+
+    For keys under which spans meet and are compared; where a hash stands for the
+    span itself, ``name_hashes`` is the one to use.
+    """
     n = len(values)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=sums[1:])
@@ -157,6 +164,30 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix64(poly + (ends - starts).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
 
 
+#: Masks of a little-endian word's first 0 to 8 bytes.
+_FIRST = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
+
+def name_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of bytes[start:end] for every pair, that may stand for the bytes.
+
+    Up to 16 bytes are mixed whole (one step is a bijection of each half), longer
+    ones get XXH3. Unlike ``span_hashes``, whose sums modulo 2**64 are equal for
+    some regular long texts, it has no known pairs of equal hashes.
+    """
+    size = ends - starts
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    eight = np.ndarray(len(data) + 9, "<u8", padded, strides=(1,))  # the eight bytes from every place on
+    low = eight[starts] & _FIRST[np.minimum(size, 8)]
+    high = eight[np.minimum(starts + 8, len(data))] & _FIRST[np.clip(size - 8, 0, 8)]
+    out = mix64(low ^ mix64(high + mix64(size.astype(np.uint64) + np.uint64(1))))
+    long = np.flatnonzero(size > 16)
+    if len(long):
+        raw = memoryview(np.ascontiguousarray(data))
+        out[long] = [xxhash.xxh3_64_intdigest(raw[i:j]) for i, j in zip(starts[long].tolist(), ends[long].tolist())]
+    return out
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of every white-space separated word; words never cross rows."""
     n = len(data)
