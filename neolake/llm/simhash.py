@@ -11,8 +11,14 @@ home, so the two meet there and their whole 64 bits are compared.
 An anchor with more than ``HOT`` fingerprints isn't compared pair by pair.
 Its fingerprints go to all points within two bits of them instead. Where some
 fingerprint is within one bit of a point, all that are within two of it are
-within three of that one; and any two within three bits meet so. Their work is
-linear, and the links found have the same components.
+within three of that one; and any two within three bits meet so. (For a smaller
+radius r: within r - r // 2 and r // 2 bits.) Their work is linear, and the
+links found have the same components.
+
+Near copies by Jaccard index start from such links and are completed by a prefix
+filter. Before two texts' shingle sets are compared, so are their parity bits: a
+shingle flips one of B bits, so two sets differ in at least as many elements as
+their bits do, and pairs too far apart are dropped without their sets.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import BASE, Scratch, mix64, slices, small_join, span_hashes, utf8, words
+from ._common import BASE, Scratch, mix64, name_hashes, slices, small_join, utf8, words
 from .graph import connected_components
 
 SEED = 42
@@ -162,17 +168,24 @@ def _compare(radius: int):
     return run
 
 
-def _balls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    one = np.array([0] + [1 << i for i in range(64)], np.uint64)
-    two = np.array([(1 << i) | (1 << j) for i in range(64) for j in range(i)], np.uint64)
-    masks, inner = np.r_[one, two], np.r_[np.ones(65, bool), np.zeros(len(two), bool)]
-    for b in batches:
-        fp = b.column("fp").to_numpy().view(np.uint64)
-        for i in range(0, len(fp), 256):
-            part = fp[i : i + 256]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((part[:, None] ^ masks).ravel().view(np.int64)), pa.array(np.repeat(part, len(masks)).view(np.int64)), pa.array(np.tile(inner, len(part)))], ["point", "fp", "inner"]
-            )
+def _balls(inner: int, outer: int):
+    """Each fingerprint at every point within ``outer`` (0 to 2) bits, marked where within ``inner``."""
+    one = [1 << i for i in range(64)]
+    two = [(1 << i) | (1 << j) for i in range(64) for j in range(i)]
+    kept = [m for k, m in enumerate(([0], one, two)) if k <= outer]
+    masks = np.array([x for m in kept for x in m], np.uint64)
+    near = np.repeat([k <= inner for k in range(len(kept))], [len(m) for m in kept])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = b.column("fp").to_numpy().view(np.uint64)
+            for i in range(0, len(fp), 256):
+                part = fp[i : i + 256]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((part[:, None] ^ masks).ravel().view(np.int64)), pa.array(np.repeat(part, len(masks)).view(np.int64)), pa.array(np.tile(near, len(part)))], ["point", "fp", "inner"]
+                )
+
+    return run
 
 
 def links(fps: DataFrame, scratch: Scratch, radius: int = 3) -> DataFrame:
@@ -185,9 +198,7 @@ def links(fps: DataFrame, scratch: Scratch, radius: int = 3) -> DataFrame:
     hot = found.where("hot").select(F.col("u").alias("fp")).distinct()
     if hot.isEmpty():
         return cold
-    if radius < 3:
-        raise ValueError("more fingerprints than HOT at one anchor are handled for three bits only")
-    balls = scratch.store(hot.mapInArrow(_balls, "point long, fp long, inner boolean"), "balls")
+    balls = scratch.store(hot.mapInArrow(_balls(radius // 2, radius - radius // 2), "point long, fp long, inner boolean"), "balls")
     hubs = balls.groupBy("point").agg(F.min(F.when(F.col("inner"), F.col("fp"))).alias("hub"), F.count("*").alias("n")).where("hub is not null and n > 1")
     stars = balls.join(hubs.select("point", "hub"), "point").where("fp <> hub").select(F.col("fp").alias("u"), F.col("hub").alias("v"))
     return cold.union(stars.distinct())
@@ -213,47 +224,96 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3) -> Da
     return own.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def _word_sets(tables: int):
-    """The text's 128-bit name and ``tables`` fingerprints of its set of words."""
-    salts = [np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)) for k in range(tables)]
+def _bits(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """SimHash of each run of ``counts`` hashes: a bit is 1 if set in over half of them."""
+    out = np.zeros(len(counts), np.uint64)
+    at = np.flatnonzero(counts)
+    if len(at):
+        ones = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        sums = np.add.reduceat(ones, (np.cumsum(counts) - counts)[at], axis=0, dtype=np.int32)
+        out[at] = np.packbits(2 * sums > counts[at, None], axis=1, bitorder="little").view("<u8").ravel()
+    return out
+
+
+def _parities(h: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """For each run of ``counts`` hashes, bits flipped by each: as many as hashes, up to the next power of two, 64 at least."""
+    size = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(counts, 1))).astype(np.int64))
+    ends = np.cumsum(size)
+    at = np.repeat(ends - size, counts) + (h & np.repeat(size - 1, counts).astype(np.uint64)).astype(np.int64)
+    flipped = (np.bincount(at, minlength=int(ends[-1]) if len(ends) else 0) & 1).astype(np.uint8)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(np.r_[0, ends // 8].astype(np.int32)), pa.py_buffer(np.packbits(flipped, bitorder="little"))])
+
+
+OUTLINE = "doc_id long, name binary, fp0 long, fp1 long, n int, bits binary"
+
+
+def _outlines(shingle: int):
+    """The text's 128-bit name, SimHash of its sets of shingles and of words, number of shingles and their parity bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in slices(batch, "text"):
+                h, row = _words(b)
+                upto = np.searchsorted(row, np.arange(b.num_rows + 1))
+                names = [xxhash.xxh3_128_digest(h[i:j].tobytes()) for i, j in zip(upto, upto[1:])]
+                own, words = _sets(row, h)
+                at, shingles = _sets(*_runs(row, h, shingle))
+                n = np.bincount(at, minlength=b.num_rows)
+                fps = _bits(shingles, n), _bits(mix64(words ^ np.uint64(BASE)), np.bincount(own, minlength=b.num_rows))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id"), pa.array(names, pa.binary()), *[pa.array(x.view(np.int64)) for x in fps], pa.array(n.astype(np.int32)), _parities(shingles, n)], [c.split()[0] for c in OUTLINE.split(", ")]
+                )
+
+    return run
+
+
+def _far_in_bits(a: bytes, b: bytes) -> int:
+    """Differing parity bits; the longer field is folded to the length of the other."""
+    if len(a) < len(b):
+        a, b = b, a
+    x, size = int.from_bytes(a, "little"), 8 * len(a)
+    while size > 8 * len(b):
+        size //= 2
+        x = (x >> size) ^ (x & ((1 << size) - 1))
+    return (x ^ int.from_bytes(b, "little")).bit_count()
+
+
+def _may_be_close(similarity: float):
+    """Pairs whose parity bits allow an index of ``similarity``: the sets differ in at most (1 - s) / (1 + s) of n + m elements."""
+    share = (1 - similarity) / (1 + similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names, fps = [], np.zeros((b.num_rows, tables), np.uint64)
-            for i, x in enumerate(b.column("text").to_pylist()):
-                words = (x or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-                names.append(xxhash.xxh3_128_digest(b" ".join(words)))
-                h = np.array([xxhash.xxh64_intdigest(w, SEED) for w in set(words)], np.uint64)
-                if len(h):
-                    for k, salt in enumerate(salts):
-                        bits = np.unpackbits(mix64(h ^ salt).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                        fps[i, k] = np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(h), bitorder="little").view("<u8")[0]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(names, pa.binary()), *[pa.array(fps[:, k].view(np.int64).copy()) for k in range(tables)]], ["doc_id", "name", *[f"fp{k}" for k in range(tables)]])
+            most = share * (b.column("nu").to_numpy().astype(np.int64) + b.column("nv").to_numpy()) + 1e-9
+            keep = [_far_in_bits(x, y) <= m for x, y, m in zip(b.column("bu").to_pylist(), b.column("bv").to_pylist(), most.tolist())]
+            yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
 def _shingle_sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for x in b.column("text").to_pylist():
-                words = (x or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-                h = {xxhash.xxh64_intdigest(b" ".join(words[i : i + shingle]), SEED) for i in range(max(1, len(words) - shingle + 1))}
-                out.append(np.array(list(h), np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "shingles"])
+        for batch in batches:
+            for b in slices(batch, "text"):
+                row, h = _shingles(b, shingle)
+                upto = np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(pa.array(upto), pa.array(h.view(np.int64)))], ["doc_id", "shingles"])
 
     return run
 
 
-def _shingles(batch: pa.RecordBatch, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and hash of every word shingle, once a row, by row; a shorter text is one shingle, a wordless one has none."""
+def _words(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and row of every lower-cased word."""
     data, off = utf8(batch.column("text"))
     data = np.frombuffer(_LOWER, np.uint8)[data]
     s, e, row = words(data, off)
-    if not len(s):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = span_hashes(data, s, e)
+    return (name_hashes(data, s, e) if len(s) else np.zeros(0, np.uint64)), row
+
+
+def _runs(row: np.ndarray, h: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of every run of ``shingle`` words; a shorter text is one run, a wordless one has none."""
+    if not len(h):
+        return row, h
     first, last = np.searchsorted(row, row), np.searchsorted(row, row, side="right")
     i = np.arange(len(row))
     i = i[(i + shingle <= last) | (i == first)]
@@ -261,10 +321,23 @@ def _shingles(batch: pa.RecordBatch, shingle: int) -> tuple[np.ndarray, np.ndarr
     for k in range(1, shingle):
         more = i + k < last[i]
         out[more] = mix64(out[more] * np.uint64(BASE) + h[i[more] + k])
-    order = np.lexsort((out, row[i]))
-    row, out = row[i][order], out[order]
-    new = np.r_[True, (row[1:] != row[:-1]) | (out[1:] != out[:-1])]
-    return row[new], out[new]
+    return row[i], out
+
+
+def _sets(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's hashes once, in order."""
+    if not len(h):
+        return row, h
+    order = np.lexsort((h, row))
+    row, h = row[order], h[order]
+    new = np.r_[True, (row[1:] != row[:-1]) | (h[1:] != h[:-1])]
+    return row[new], h[new]
+
+
+def _shingles(batch: pa.RecordBatch, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of every word shingle, once a row, by row."""
+    h, row = _words(batch)
+    return _sets(*_runs(row, h, shingle))
 
 
 def _frequent(shingle: int):
@@ -348,11 +421,13 @@ def _pairs(similarity: float, start: int, stop: int):
     return run
 
 
-def _close(texts: DataFrame, edges: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
+def _close(texts: DataFrame, outlines: DataFrame, edges: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
     """The ``edges`` whose texts' shingle sets have a Jaccard index of ``similarity`` or more."""
+    side = lambda x: outlines.select(F.col("head").alias(x), F.col("n").alias("n" + x), F.col("bits").alias("b" + x))
+    edges = scratch.store(edges.join(side("u"), "u").join(side("v"), "v").mapInArrow(_may_be_close(similarity), "u long, v long"), "likely")
     nodes = edges.select(F.col("u").alias("doc_id")).union(edges.select("v")).distinct()
     sets = small_join(texts, nodes, ["doc_id"], "left_semi").mapInArrow(_shingle_sets(shingle), "doc_id long, shingles array<bigint>")
-    sets = scratch.store(sets.dropDuplicates(["doc_id"]), "shingles")
+    sets = scratch.store(sets, "shingles")
     a, b = sets.toDF("u", "a"), sets.toDF("v", "b")
     shared = F.size(F.array_intersect("a", "b"))
     out = scratch.store(edges.join(a, "u").join(b, "v").where(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("u", "v"), "close")
@@ -360,25 +435,27 @@ def _close(texts: DataFrame, edges: DataFrame, shingle: int, similarity: float,
     return out
 
 
-def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, tables: int = 4) -> DataFrame:
+def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, component_id) of the documents that are copies of one with a smaller id.
 
-    Copies are linked where the sets of ``shingle``-word shingles have a Jaccard
-    index of ``similarity`` or more; equal word sequences always are. Links of
-    word-set fingerprints within 3 bits, in one of ``tables``, are tried first and
-    gather most copies. What they miss comes from a prefix filter, which misses
-    none: in any one order of all shingles, two such texts share one of their first
+    Every doc_id must be there once; null and empty texts, and those without
+    words, are copies of each other. Copies are linked where the sets of
+    ``shingle``-word shingles have a Jaccard index of ``similarity`` or more; equal
+    word sequences always are. Links of SimHash fingerprints within 3 bits, of the
+    set of shingles and of the set of words, are tried first and gather most
+    copies. What they miss comes from a prefix filter, which misses none: in any
+    one order of all shingles, two such texts share one of their first
     n - ceil(similarity * n) + 1. Texts of one shingle are paired by rising
     distance in order of size, except where a link already joins them, until no
     pair is left; so a large group of copies takes a few links a text.
     """
     scratch = Scratch(docs.sparkSession, "copies")
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    fps = [f"fp{k}" for k in range(tables)]
-    own = scratch.store(texts.mapInArrow(_word_sets(tables), "doc_id long, name binary, " + ", ".join(f"{x} long" for x in fps)), "words")
-    heads = scratch.store(own.groupBy("name").agg(F.min("doc_id").alias("head"), *[F.first(x).alias(x) for x in fps]), "heads")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    own = scratch.store(texts.mapInArrow(_outlines(shingle), OUTLINE), "outlines")
+    heads = own.groupBy("name").agg(F.min("doc_id").alias("head"), *[F.any_value(x).alias(x) for x in ("fp0", "fp1", "n", "bits")])  # equal names, equal outlines
+    heads = scratch.store(heads, "heads")
     edges = None
-    for x in fps:
+    for x in ("fp0", "fp1"):
         first = scratch.store(heads.groupBy(F.col(x).alias("fp")).agg(F.min("head").alias("node")), "first")
         met = links(first.select("fp"), scratch)
         u, v = first.toDF("u", "node_u"), first.toDF("v", "node_v")
@@ -386,11 +463,10 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, tabl
         same = heads.select(F.col(x).alias("fp"), "head").join(first, "fp").where("head <> node").select(F.col("node").alias("u"), F.col("head").alias("v"))
         both = far.union(same)
         edges = both if edges is None else edges.union(both)
-    edges = scratch.store(edges.distinct(), "candidates")
-    close = _close(texts, edges, shingle, similarity, scratch)
+    close = _close(texts, heads, edges.distinct(), shingle, similarity, scratch)
     parts = scratch.store(connected_components(close, scratch), "parts")
 
-    again = own.select("doc_id").distinct().join(heads.select(F.col("head").alias("doc_id")), "doc_id", "left_anti")
+    again = own.select("doc_id").join(heads.select(F.col("head").alias("doc_id")), "doc_id", "left_anti")
     once = small_join(texts, scratch.store(again, "again"), ["doc_id"], "left_anti")
     often = once.mapInArrow(_frequent(shingle), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(FREQUENT).toPandas()
     keys = often["key"].to_numpy().astype(np.int64).view(np.uint64)
@@ -405,8 +481,9 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, tabl
         if left.isEmpty():
             break
         found = left.repartition("key").sortWithinPartitions("key", "n", "head").mapInArrow(_pairs(similarity, start, stop), "u long, v long").where("u <> v").distinct()
-        close = close.union(_close(texts, scratch.store(found, "candidates"), shingle, similarity, scratch))
+        close = close.union(_close(texts, heads, found, shingle, similarity, scratch))
         parts = scratch.store(connected_components(close, scratch), "parts")
+        scratch.drop(rows)
         rows, start, stop = left.select("key", "head", "n", "at"), stop, stop * SPREAD
     named = heads.select("name", "head").join(parts.withColumnRenamed("node", "head"), "head", "left").select("name", F.coalesce("component", "head").alias("component_id"))
     return own.select("doc_id", "name").join(named, "name").where("doc_id <> component_id").select("doc_id", "component_id")
@@ -415,12 +492,18 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, tabl
 def near_dedup(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of each group of copies the document with the least doc_id.
 
-    Of rows that repeat a doc_id one stays. Rows with a null doc_id stay and take
-    no part; null and wordless texts are copies of each other.
+    Rows that repeat a doc_id are documents of their own, in order of their texts
+    (null first); of equal ones one stays. Rows with a null doc_id stay and take
+    no part; null and wordless texts are copies of each other. An empty table
+    gives an empty one.
     """
-    gone = near_copies(docs, shingle, similarity).select("doc_id").distinct()
     known = docs.where("doc_id is not null")
+    key, nameless = "doc_id", docs.where("doc_id is null")
     n, different = known.select(F.count("doc_id"), F.count_distinct("doc_id")).first()
     if n != different:
-        known = known.dropDuplicates(["doc_id"])
-    return small_join(known, gone, ["doc_id"], "left_anti").select(*docs.columns).union(docs.where("doc_id is null"))
+        key = "_row"
+        parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        rows = known.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+        known = Scratch(docs.sparkSession, "rows").store(rows.withColumn(key, F.monotonically_increasing_id()), "rows")
+    gone = near_copies(known.select(F.col(key).alias("doc_id"), "text"), shingle, similarity).select(F.col("doc_id").alias(key))
+    return small_join(known, gone, [key], "left_anti").select(*docs.columns).union(nameless)
