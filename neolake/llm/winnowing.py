@@ -3,6 +3,10 @@
 Words are hashed, every run of K words gets a rolling polynomial hash, and of
 every W consecutive ones the least is kept, the rightmost of equal ones, with its
 position. Two texts that share a run of K + W - 1 words share a fingerprint.
+
+The hash rolls by powers of two: that of a run follows from those of its parts,
+so that a few passes over whole arrays give all of them, and so do a few passes
+give the least of every window.
 """
 
 from __future__ import annotations
@@ -17,11 +21,12 @@ from ._common import Scratch
 K, W = 5, 8
 #: Base and modulus of the rolling hash; a hash and a position are packed into one long.
 BASE, MODULUS = 1_000_003, 2_147_483_629
-SHIFT = 24
+SHIFT = 32
 LAST = (1 << SHIFT) - 1
-#: Document ids that are put in order together, and the most parts that the id range is cut into.
+#: Document ids that are put in order together, and the most parts that the id range is cut into (beyond, parts get longer, and their sort spills).
 ROWS, PARTS = 1024, 1 << 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_SPACES = "\t\n\x0b\x0c\r"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -29,26 +34,44 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _beside(a: Column, b: Column, apart: int, f: Callable[[Column, Column], Column]) -> Column:
+    """f(a[i], b[i + apart]) for every i that both arrays have."""
+    n = F.greatest(F.least(F.size(a), F.size(b) - apart), F.lit(0))
+    return F.zip_with(F.slice(a, 1, n), F.slice(b, apart + 1, n), f)
+
+
+def _runs(one: Column, n: int, join: Callable[[Column, Column, int], Column], then: Callable[[Column], Column]) -> Column:
+    """``then`` of the values of all runs of n, from those of single elements: ``join`` puts a run and the m that follow it together."""
+    bits = f"{n:b}"[1:]
+
+    def grow(runs: Column, size: int, k: int) -> Column:
+        if k == len(bits):
+            return then(runs)
+        if bits[k] == "0":
+            return _let(_beside(runs, runs, size, lambda x, y: join(x, y, size)), lambda r: grow(r, 2 * size, k + 1))
+        return _let(_beside(runs, runs, size, lambda x, y: join(x, y, size)), lambda r: _let(_beside(r, one, 2 * size, lambda x, y: join(x, y, 1)), lambda r1: grow(r1, 2 * size + 1, k + 1)))
+
+    return grow(one, 1, 0)
+
+
 def fingerprint(text: Column, k: int = K, w: int = W) -> Column:
-    """The kept hashes of a text as longs, by position: hash * 2**24 + (2**24 - 1 - position).
+    """The kept hashes of a text as longs, by position: hash * 2**32 + (2**32 - 1 - position).
 
     Words are runs of characters other than ASCII white space, A-Z lower-cased. A
     text of 1 to k - 1 words has one hash over all of them, a null text or one
-    without words none. Positions beyond 2**24 - 2 count as the last.
+    without words none; one of fewer than w hashes keeps the least.
     """
-    parts = F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), r"[\x20\x09-\x0D]+"), lambda x: x != "")
-    hashes = F.transform(parts, lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 7), 16, 10).cast("long"))
-    starts = lambda n, run: F.sequence(F.lit(1), F.greatest(n - run + 1, F.lit(1)))
-
-    def rolling(h: Column) -> Column:
-        poly = lambda i: F.aggregate(F.slice(h, i, F.lit(k)), F.lit(0).cast("long"), lambda a, x: (a * BASE + x) % MODULUS)
-        return F.transform(starts(F.size(h), k), lambda i: poly(i) * (LAST + 1) + (LAST - F.least(i - 1, F.lit(LAST))))
-
-    def least(g: Column) -> Column:
-        return F.array_distinct(F.transform(starts(F.size(g), w), lambda i: F.array_min(F.slice(g, i, F.lit(w)))))
+    spaced = F.translate(F.coalesce(text, F.lit("")), _UPPER + _SPACES, _LOWER + " " * len(_SPACES))
+    parts = F.array_remove(F.split(spaced, " "), "")
+    hashes = F.transform(parts, lambda x: F.crc32(x.cast("binary")))
+    rolled = lambda x, y, m: (x * pow(BASE, m, MODULUS) + y) % MODULUS
+    least = lambda x, y, m: F.least(x, y)
+    pack = lambda x, i: x * (LAST + 1) + (LAST - i.cast("long"))
+    kept = lambda r: _let(F.transform(r, pack), lambda g: F.when(F.size(g) <= w, F.array(F.array_min(g))).otherwise(_runs(g, w, least, F.array_distinct)))
+    short = lambda h: F.array(F.aggregate(h, F.lit(0).cast("long"), lambda a, x: (a * BASE + x) % MODULUS))
 
     none = F.array().cast("array<bigint>")
-    return _let(hashes, lambda h: F.when(F.size(h) == 0, none).otherwise(_let(rolling(h), least)))
+    return _let(hashes, lambda h: F.when(F.size(h) == 0, none).when(F.size(h) < k, kept(short(h))).otherwise(_runs(h, k, rolled, kept)))
 
 
 def hashes(fp: Column) -> Column:
@@ -89,21 +112,25 @@ def next_ids(ids: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.store(ids.withColumn("ahead", ahead).join(heads, "part").select("doc_id", F.coalesce("ahead", "after").alias("next_id")), "next")
 
 
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+
 def with_next(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc_id, text, own, next) for every row of (doc_id, text): its fingerprint, and text and own of the next document.
 
     Of rows that share an id the least text counts as the next one's.
 
     With ids that are all there and different, whole rows are shuffled once, by
-    part of the id range; the first row of each part is sent to the part before
-    as well. Else rows are joined by id.
+    part of the id range, and fingerprinted there; the first row of each part is
+    sent to the part before as well. Else rows are joined by id.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    docs = _plain(docs)
     ids = _ids(docs, scratch)
-    marked = docs.withColumn("own", fingerprint(F.col("text")))
     n, known, different = docs.count(), docs.where("doc_id is not null").count(), ids.count()
     if n == known == different:
-        return _by_parts(marked, ids)
+        return _by_parts(docs, ids)
+    marked = docs.withColumn("own", fingerprint(F.col("text")))
     following = next_ids(ids, scratch)
     first = following.agg(F.min("doc_id")).first()[0]
     texts = marked.groupBy(F.col("doc_id").alias("next_id")).agg(F.min(F.struct("text", "own")).alias("next"))
@@ -114,7 +141,7 @@ def with_next(docs: DataFrame, scratch: Scratch) -> DataFrame:
 def _by_parts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     heads = sorted(r[1] for r in ids.groupBy("part").agg(F.min("doc_id")).collect())  # PARTS ids at most
     if not heads:
-        return docs.withColumn("next", F.struct("text", "own"))
+        return docs.withColumn("own", fingerprint(F.col("text"))).withColumn("next", F.struct("text", "own"))
     steps = max(1, len(heads).bit_length())
     last = len(heads) - 1
 
@@ -129,9 +156,12 @@ def _by_parts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     rows = rows.withColumn("_guest", F.element_at(known, F.col("_part") + 1) == F.col("doc_id"))
     own = F.struct(F.col("_part").alias("part"), F.lit(False).alias("guest"))
     before = F.struct(F.when(F.col("_part") == 0, last).otherwise(F.col("_part") - 1).alias("part"), F.lit(True).alias("guest"))
-    rows = rows.select("doc_id", "text", "own", F.explode(F.when(F.col("_guest"), F.array(own, before)).otherwise(F.array(own))).alias("at"))
-    ahead = F.lead(F.struct("text", "own")).over(Window.partitionBy("at.part").orderBy("at.guest", "doc_id"))
-    return rows.withColumn("next", ahead).where("not at.guest").select("doc_id", "text", "own", "next")
+    rows = rows.select("doc_id", "text", F.explode(F.when(F.col("_guest"), F.array(own, before)).otherwise(F.array(own))).alias("at"))
+    rows = rows.select("doc_id", "text", F.col("at.part").alias("part"), F.col("at.guest").alias("guest"))
+    # texts are shuffled without their fingerprints; the window below finds its rows in place
+    rows = rows.repartition(F.col("part")).withColumn("own", fingerprint(F.col("text")))
+    ahead = F.lead(F.struct("text", "own")).over(Window.partitionBy("part").orderBy("guest", "doc_id"))
+    return rows.withColumn("next", ahead).where("not guest").select("doc_id", "text", "own", "next")
 
 
 def winnow(docs: DataFrame) -> DataFrame:
@@ -154,22 +184,26 @@ def winnow(docs: DataFrame) -> DataFrame:
     )
 
 
-def _sql_fingerprint(text: str) -> str:
+def _sql_words(text: str) -> str:
     ws = r"[\x20\x09-\x0D]+"
-    words = f"list_filter(regexp_split_to_array(translate({text}, '{_UPPER}', '{_LOWER}'), '{ws}'), lambda x: x <> '')"
-    h = f"list_transform({words}, lambda x: ('0x' || substr(md5(x), 1, 7))::BIGINT)"
-    return h
+    return f"list_filter(regexp_split_to_array(translate({text}, '{_UPPER}', '{_LOWER}'), '{ws}'), lambda x: x <> '')"
 
 
+#: CRC-32 of every different word, by bytes; then, for each text, the polynomial of every run from its start on and the least of every window.
 ORACLE = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 n AS (SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS next_text FROM d),
 e AS (SELECT doc_id, text, next_text, length(text) AS n_chars, left(text, length(text) - length(text) // 2) || left(next_text, length(text) // 2) AS edited FROM n),
-h AS (SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, {_sql_fingerprint('text')} AS a, {_sql_fingerprint('edited')} AS b, {_sql_fingerprint('next_text')} AS c FROM e),
-w AS (SELECT doc_id, 'a' AS k, a AS h FROM h UNION ALL SELECT doc_id, 'b', b FROM h UNION ALL SELECT doc_id, 'c', c FROM h),
-g AS (SELECT doc_id, k, CASE WHEN len(h) = 0 THEN []::BIGINT[] ELSE list_transform(range(1, greatest(len(h) - {K - 1}, 1) + 1),
-  lambda i: list_reduce(list_transform(h[i:i + {K - 1}], lambda x: x::BIGINT), lambda a, x: (a * {BASE} + x) % {MODULUS}, 0::BIGINT) * {LAST + 1} + ({LAST} - least(i - 1, {LAST}))) END AS g FROM w),
-f AS (SELECT doc_id, k, CASE WHEN len(g) = 0 THEN []::BIGINT[] ELSE list_transform(range(1, greatest(len(g) - {W - 1}, 1) + 1), lambda i: list_min(g[i:i + {W - 1}])) END AS f FROM g),
+h AS (SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, {_sql_words('text')} AS a, {_sql_words('edited')} AS b, {_sql_words('next_text')} AS c FROM e),
+s0 AS (SELECT doc_id, 'a' AS k, a AS ws FROM h UNION ALL SELECT doc_id, 'b', b FROM h UNION ALL SELECT doc_id, 'c', c FROM h),
+s1 AS (SELECT doc_id, k, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM s0),
+tb AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+s2 AS (SELECT word, hex(encode(word)) AS x FROM (SELECT DISTINCT word FROM s1)),
+s3 AS (SELECT word, xor(4294967295, list_reduce(list_transform(range(0, length(x) // 2), lambda i: ('0x' || substr(x, 2 * i::INT + 1, 2))::BIGINT), lambda c, y: xor(t[(xor(c, y) & 255) + 1], c >> 8), 4294967295::BIGINT)) AS v FROM s2, tb),
+w AS (SELECT s1.doc_id, s1.k, list(s3.v ORDER BY s1.i) AS h FROM s1 JOIN s3 ON s1.word = s3.word GROUP BY s1.doc_id, s1.k),
+g AS (SELECT doc_id, k, list_transform(range(1, greatest(len(h) - {K - 1}, 1) + 1),
+  lambda i: list_reduce(list_transform(h[i:i + {K - 1}], lambda x: x::BIGINT), lambda a, x: (a * {BASE} + x) % {MODULUS}, 0::BIGINT) * {LAST + 1} + ({LAST} - (i - 1))) AS g FROM w),
+f AS (SELECT doc_id, k, list_transform(range(1, greatest(len(g) - {W - 1}, 1) + 1), lambda i: list_min(g[i:i + {W - 1}])) AS f FROM g),
 u AS (SELECT DISTINCT doc_id, k, v FROM (SELECT doc_id, k, unnest(f) AS v FROM f)),
 s AS (SELECT doc_id, k, md5(string_agg(v::VARCHAR, ' ' ORDER BY {LAST} - (v & {LAST}))) AS fp FROM u GROUP BY doc_id, k),
 q AS (SELECT DISTINCT doc_id, k, v >> {SHIFT} AS v FROM u),
