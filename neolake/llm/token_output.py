@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import rans
-from ._common import Scratch, batches_of, slices, small_join, span_hashes, utf8
+from ._common import Scratch, batches_of, name_hashes, slices, small_join, utf8
 
 END = 2
 #: Ids of a block, but for the last document in it.
@@ -104,7 +104,7 @@ class Encoder:
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
         ends = np.r_[starts[1:], len(data)]
-        h, first, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        h, first, which = np.unique(name_hashes(data, starts, ends), return_index=True, return_inverse=True)
         if len(self.tables[0][0]) > CACHE:
             self.clear()
         at, n, known = self._find(h)
