@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,8 +29,8 @@ from ._common import BATCH_ROWS, Scratch, slices, span_hashes, utf8
 LENGTH, K = 50, 20
 #: Bytes of text in slices of the first pass, and of segments in a block.
 SLICE, BLOCK = 1 << 20, 2 << 20
-#: A key with more different segments than this goes string by string, each under its own hash.
-HOT = 50_000
+#: A key with more different segments than this, or more bytes in them, goes string by string, each under its own hash.
+HOT, HOT_BYTES = 50_000, 8 << 20
 
 
 # --- one block -----------------------------------------------------------------
@@ -242,9 +243,10 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             end = start + n + LENGTH - 1
             raw = data.tobytes()
-            name = span_hashes(data, start, end) ^ np.uint64(0x5851F42D4C957F2D)
+            parts = [raw[i:j] for i, j in zip(start.tolist(), end.tolist())]
+            name = np.array([xxhash.xxh3_64_intdigest(x) for x in parts], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(name.view(np.int64)), pa.array(b.column("doc_id").to_numpy()[row]), pa.array(b.column("twin").to_numpy()[row]), pa.array(start - off[row]), pa.array([raw[i:j] for i, j in zip(start, end)], pa.binary())],
+                [pa.array(key.view(np.int64)), pa.array(name.view(np.int64)), pa.array(b.column("doc_id").to_numpy()[row]), pa.array(b.column("twin").to_numpy()[row]), pa.array(start - off[row]), pa.array(parts, pa.binary())],
                 ["key", "name", "doc_id", "twin", "start", "segment"],
             )
 
@@ -266,7 +268,7 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own, many = utf8(rows.filter(pa.array(several)).column("segment"))
             least[np.repeat(several, n)] = least_holders(own, many, holder[several])
         cut = np.r_[0, np.cumsum(n)]
-        return pa.RecordBatch.from_arrays([pa.array(name), pa.array([least[i:j].astype("<i8").tobytes() for i, j in zip(cut, cut[1:])], pa.binary())], ["name", "least"])
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(name), pa.array([least[i:j].astype("<i8").tobytes() for i, j in zip(cut, cut[1:])], pa.binary())], ["key", "name", "least"])
 
     held: list[pa.RecordBatch] = []
     size = 0
@@ -292,11 +294,11 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every string of a segment as a segment of its own, under its own hash."""
     for b in batches:
-        for name, holder, x in zip(b.column("name").to_pylist(), b.column("holder").to_pylist(), b.column("segment").to_pylist()):
+        for key, name, holder, x in zip(*(b.column(c).to_pylist() for c in ("key", "name", "holder", "segment"))):
             data = np.frombuffer(x, np.uint8)
             s = np.arange(len(data) - LENGTH + 1)
             h = span_hashes(data, s, s + LENGTH).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(s), name)), pa.array(s), pa.array(np.full(len(s), holder)), pa.array([x[i : i + LENGTH] for i in s], pa.binary())], ["key", "parent", "nth", "holder", "segment"])
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(s), key)), pa.array(np.full(len(s), name)), pa.array(s), pa.array(np.full(len(s), holder)), pa.array([x[i : i + LENGTH] for i in s], pa.binary())], ["key", "parent_key", "parent", "nth", "holder", "segment"])
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,23 +367,24 @@ def removed_runs(texts: DataFrame, firsts: DataFrame, scratch: Scratch) -> DataF
     _release(scratch)
     distinct = scratch.store(found.groupBy("key", "name", "segment").agg(F.min("doc_id").alias("holder")).select("key", "name", "holder", "segment"), "distinct", "zstd")
     _release(scratch)
-    hot = scratch.store(distinct.groupBy("key").count().where(F.col("count") > HOT).select("key"), "hot")
-    solve = lambda df: df.repartition("key").sortWithinPartitions("key").mapInArrow(_resolve, "name long, least binary")
+    sizes = distinct.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.octet_length("segment")).alias("bytes"))
+    hot = scratch.store(sizes.where((F.col("n") > HOT) | (F.col("bytes") > HOT_BYTES)).select("key"), "hot")
+    solve = lambda df: df.repartition("key").sortWithinPartitions("key").mapInArrow(_resolve, "key long, name long, least binary")
     if hot.isEmpty():
         least = solve(distinct)
     else:
         least = solve(distinct.join(hot, "key", "left_anti").select("key", "name", "holder", "segment"))
-        each = distinct.join(hot, "key", "left_semi").select("name", "holder", "segment").mapInArrow(_windows, "key long, parent long, nth long, holder long, segment binary")
+        each = distinct.join(hot, "key", "left_semi").select("key", "name", "holder", "segment").mapInArrow(_windows, "key long, parent_key long, parent long, nth long, holder long, segment binary")
         each = scratch.store(each, "strings", "zstd")
         once = each.groupBy("key", "segment").agg(F.min("holder").alias("holder"))
         named = once.select("key", F.col("key").alias("name"), "holder", "segment")
-        back = each.join(solve(named).withColumnRenamed("name", "key"), "key")
-        joined = back.groupBy("parent").agg(F.sort_array(F.collect_list(F.struct("nth", "least"))).alias("x"))
-        least = least.union(joined.select(F.col("parent").alias("name"), F.expr("aggregate(x, cast('' as binary), (a, y) -> concat(a, y.least))").alias("least")))
+        back = each.join(solve(named).drop("name"), "key")
+        joined = back.groupBy("parent_key", "parent").agg(F.sort_array(F.collect_list(F.struct("nth", "least"))).alias("x"))
+        least = least.union(joined.select(F.col("parent_key").alias("key"), F.col("parent").alias("name"), F.expr("aggregate(x, cast('' as binary), (a, y) -> concat(a, y.least))").alias("least")))
     least = scratch.store(least, "least", "zstd")
     scratch.drop(distinct)
     _release(scratch)
-    hits = found.select("name", "doc_id", "twin", "start").join(least, "name")
+    hits = found.select("key", "name", "doc_id", "twin", "start").join(least, ["key", "name"])
     runs = scratch.store(hits.select("doc_id", "twin", "start", "least").mapInArrow(_removed, "doc_id long, twin int, `from` long, `to` long"), "runs")
     scratch.drop(found)
     scratch.drop(least)
