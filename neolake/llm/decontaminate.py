@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import Scratch, slices, span_hashes, utf8, words
+from ._common import Scratch, name_hashes, slices, utf8, words
 
 #: Words of half a passage; passages overlap by one half.
 HALF = 16
@@ -56,7 +56,7 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, off = utf8(column)
     data = _FOLD[data]
     s, e, row = words(data, off)
-    return (span_hashes(data, s, e) if len(s) else np.zeros(0, np.uint64)), row
+    return (name_hashes(data, s, e) if len(s) else np.zeros(0, np.uint64)), row
 
 
 def answer(text: str) -> str:

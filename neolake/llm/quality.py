@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import Scratch, mix64, slices, span_hashes, utf8, words
+from ._common import Scratch, mix64, name_hashes, slices, utf8, words
 
 #: Hash buckets of unigrams and bigrams.
 DIM = 10_000
@@ -34,7 +34,7 @@ def _features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     s, e, row = words(data, off)
     if not len(s):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    h = span_hashes(data, s, e)
+    h = name_hashes(data, s, e)
     two = mix64(h[:-1] * np.uint64(3) + h[1:] * np.uint64(0x9E3779B97F4A7C15))
     same = row[1:] == row[:-1]
     buckets = np.concatenate([h, two[same]]) % np.uint64(DIM)
