@@ -1,16 +1,26 @@
-"""Leaf blocks of web pages: runs of text between block-level tags, with what stands above them."""
+"""Leaf blocks of web pages: runs of text between block-level tags, with what stands above them.
+
+Scripts, styles and what only a browser without the element would show (in
+frames, media, drawings and templates) are no text of the page. All else,
+``noscript`` and formulas among them, is left for the field to judge. What is
+kept for an open element doesn't grow with its depth.
+"""
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
+from typing import NamedTuple
 
 # Element names of HTML.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow mfrac msup msub msubsup msqrt mroot mover munder munderover mstyle mspace mpadded mphantom semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe xmp noembed noframes svg math object canvas audio video".split())
+RAW = frozenset("script style template iframe noembed noframes svg canvas audio video".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+LOOK = frozenset("b i em strong span a u small".split())
+PLAIN = frozenset("article section p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre code table thead tbody tr td th figure figcaption b i em strong a span u small sub sup".split())
 SCOPES = frozenset("article aside body div footer form header html main nav ol section table td th tr ul".split())
 
 _TOKEN = re.compile(
@@ -21,10 +31,29 @@ _ATTR = re.compile(r"""(?<![\w-])(class|id|role|itemprop|aria-label|hidden)\b(?:
 _SPLIT = re.compile(r"[^a-z]+")
 
 
+class Above(NamedTuple):
+    """The elements above a block: all their names once, the two innermost that structure a text, whether one is an article, and whether all below that are plain."""
+
+    names: frozenset[str] = frozenset()
+    at: str = ""
+    outer: str = ""
+    article: bool = False
+    plain: bool = False
+
+    def below(self, own: tuple[str, ...], known: frozenset[str] | None) -> Above:
+        """With one more element, by its tag and names; of these only ``known`` ones are kept."""
+        new = [x for x in own if x not in self.names and (known is None or x in known)]
+        names = self.names.union(new) if new else self.names
+        at, outer = (self.at, self.outer) if own[0] in LOOK else (own[0], self.at)
+        top = own[0] in ("article", "main")
+        plain = len(own) == 1 if top else self.plain and len(own) == 1 and own[0] in PLAIN
+        return Above(names, at, outer, self.article or top, plain)
+
+
 @dataclass(slots=True)
 class Block:
     text: str
-    path: tuple[str, ...]
+    above: Above
     link_chars: int
 
 
@@ -40,11 +69,16 @@ def _names(attrs: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def blocks(page: str | None) -> list[Block]:
-    """Blocks with text, in page order. Broken markup never fails: an open element ends with its parent or the page."""
+def blocks(page: str | None, known: frozenset[str] | None = None) -> list[Block]:
+    """Blocks with text, in page order, with the ``known`` names above them (default: all).
+
+    Broken markup never fails: an open element ends with its parent or the page.
+    """
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []  # element, names of it and all above it
+    stack: list[tuple[str, Above]] = []
+    opened: Counter[str] = Counter()
+    root = Above()
     parts: list[str] = []
     links, anchors, path = 0, 0, None
     pos, n = 0, len(page)
@@ -55,7 +89,7 @@ def blocks(page: str | None) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(text, path or (), links))
+                out.append(Block(text, path or root, links))
         parts, links, path = [], 0, None
 
     def add(raw: str, plain: bool = False) -> None:
@@ -65,7 +99,7 @@ def blocks(page: str | None) -> list[Block]:
         text = raw if plain else html.unescape(raw)
         parts.append(text)
         if path is None and not text.isspace():
-            path = stack[-1][1] if stack else ()
+            path = stack[-1][1] if stack else root
         if anchors:
             links += len(text.strip())
 
@@ -88,9 +122,10 @@ def blocks(page: str | None) -> list[Block]:
                 continue
             if name not in INLINE:
                 flush()
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if opened[name] else ():
                 if stack[i][0] == name:
                     for gone, _ in stack[i:]:
+                        opened[gone] -= 1
                         if gone == "a":
                             anchors -= 1
                         if gone not in INLINE:
@@ -114,21 +149,23 @@ def blocks(page: str | None) -> list[Block]:
             flush()
         if name in CLOSES_P or name in ("li", "dt", "dd", "tr", "td", "th", "option"):
             mine = ("p",) if name in CLOSES_P else (name, "p")
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if any(opened[x] for x in mine) else ():
                 if stack[i][0] in mine:
                     anchors -= sum(x == "a" for x, _ in stack[i:])
+                    opened.subtract(x for x, _ in stack[i:])
                     del stack[i:]
                     break
                 if stack[i][0] in SCOPES or stack[i][0] in ("button", "caption", "figure", "blockquote"):
                     break
         if name in VOID or attrs.endswith("/") and name not in INLINE and name not in CLOSES_P:
             continue
-        above = stack[-1][1] if stack else ()
+        above = stack[-1][1] if stack else root
         key = name + "\0" + attrs
         own = names.get(key)
         if own is None:
             own = names[key] = (name, *(_names(attrs) if attrs else ()))
-        stack.append((name, above + own))
+        stack.append((name, above.below(own, known)))
+        opened[name] += 1
         anchors += name == "a"
     flush()
     return out

@@ -18,27 +18,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import slices
-from .html_blocks import Block, blocks
+from .html_blocks import Above, Block, blocks
 
 #: Labelled pages, their seed, and the training's steps.
 PAGES, SEED, STEPS, L2 = 800, 11, 200, 0.1
 
 
-# Fixed value: elements that structure a text.
-PLAIN = frozenset("article section p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre code table thead tbody tr td th figure figcaption b i em strong a span u small sub sup".split())
-
-
 def features(b: Block) -> list[str]:
-    """Names above the block, each once with its kind, the innermost tag, and the text's shape."""
-    out = {"in:" + x for x in b.path}
-    tags = [x for x in b.path if not x.startswith(".")]
-    block = [t for t in tags if t not in ("b", "i", "em", "strong", "span", "a", "u", "small")]
-    out.add("at:" + (block[-1] if block else ""))
-    out.add("pair:" + ">".join(block[-2:]))
-    top = max((i for i, x in enumerate(b.path) if x in ("article", "main")), default=None)
-    if top is not None and all(x in PLAIN for x in b.path[top + 1 :]):
+    """Names above the block, each once with its kind, the innermost tags, and whether the article's plain text holds it."""
+    x = b.above
+    out = {"in:" + name for name in x.names}
+    out.add("at:" + x.at)
+    out.add("pair:" + (x.outer + ">" + x.at if x.outer else x.at))
+    if x.plain:
         out.add("plain")
-    if not any(t in ("article", "main") for t in tags):
+    if not x.article:
         out.add("no article")
     return sorted(out)
 
@@ -227,7 +221,8 @@ class Field:
 
     def __init__(self, weights: dict[str, tuple[float, float]], move: np.ndarray) -> None:
         self.weights, self.move = weights, move.tolist()
-        self.by_path: dict[tuple[str, ...], tuple[float, float]] = {}
+        self.by_path: dict[Above, tuple[float, float]] = {}
+        self.known = frozenset(f[3:] for f in weights if f.startswith("in:"))
 
     def _score(self, names: list[str]) -> tuple[float, float]:
         w = [self.weights[x] for x in names if x in self.weights]
@@ -239,11 +234,11 @@ class Field:
         back: list[tuple[int, int]] = []
         v0 = v1 = 0.0
         for k, b in enumerate(page):
-            e = self.by_path.get(b.path)
+            e = self.by_path.get(b.above)
             if e is None:
                 if len(self.by_path) > 100_000:
                     self.by_path.clear()
-                e = self.by_path[b.path] = self._score(features(b))
+                e = self.by_path[b.above] = self._score(features(b))
             t = self._score(shape(b))
             if k == 0:
                 v0, v1 = s0 + e[0] + t[0], s1 + e[1] + t[1]
@@ -260,7 +255,7 @@ class Field:
 
     def extract(self, page: str | None) -> str:
         """The main text: its blocks in page order, joined by one space."""
-        found = blocks(page)
+        found = blocks(page, self.known)
         return " ".join(b.text for b, y in zip(found, self.decode(found)) if y)
 
 
