@@ -20,9 +20,8 @@ from ._common import slices
 #: Hashed n-gram buckets; n-grams of 1 to ORDERS characters.
 DIM = 1 << 15
 ORDERS = 3
-#: The fit reads at most about so many rows of each language, and so many languages (the most frequent).
+#: The fit reads about so many rows of each language at most; every language that occurs is one to predict.
 PER_LANGUAGE = 1500
-LANGUAGES = 256
 UNKNOWN = "und"
 #: A pipeline rejects documents below this probability.
 REJECT = 0.3
@@ -130,7 +129,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Learn from text and lang of the documents that aren't held out; null or empty lang and text are left out."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"), held_out().alias("_held"))
     rows = rows.where("not _held and doc_id is not null and text is not null and lang is not null").drop("_held")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().collect()  # a row a language
     languages = sorted(r["lang"] for r in counts)
     if not languages:
         return Model([], np.zeros(DIM), np.zeros((DIM, 0), np.float32), np.zeros(0), 1.0)
@@ -152,22 +151,20 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
     of = {r["lang"]: min(1 << 20, -(-per_language * (1 << 20) // r["count"])) for r in counts}
     share = F.create_map(*[F.lit(x) for kv in of.items() for x in kv])[F.col("lang")]
-    place = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 20))
-    sample = rows.where(place < share).select("doc_id", "text", "lang").repartition(1)
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit("language")), F.lit(1 << 20))
+    sample = rows.where(place < share).select("doc_id", "text", "lang").distinct().repartition(1)
     index = {x: i for i, x in enumerate(languages)}
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, seen = [], np.zeros(len(languages), np.int64)
+        rows = []
         for b in batches:
             for i, x, y in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("lang").to_pylist()):
-                if y in index and seen[index[y]] < 2 * per_language:
-                    at, v = _vector(x, idf)
-                    if len(at):
-                        seen[index[y]] += 1
-                        rows.append((i * 0x9E3779B97F4A7C15 % (1 << 64), i, (index[y], at.astype(np.int32), v)))
-        rows.sort(key=lambda r: r[:2])  # one order, however the rows arrived
+                at, v = _vector(x, idf)
+                if len(at):
+                    rows.append((i * 0x9E3779B97F4A7C15 % (1 << 64), i, y, x, (index[y], at.astype(np.int32), v)))
+        rows.sort(key=lambda r: r[:4])  # one order, however the rows arrived
         if rows:
-            w, b, t = _train([r[2] for r in rows], len(languages))
+            w, b, t = _train([r[4] for r in rows], len(languages))
             yield pa.RecordBatch.from_arrays([pa.array([x.astype("<f4").tobytes() for x in (w, b)] + [np.array([t], "<f4").tobytes()], pa.binary())], ["x"])
 
     out = [r["x"] for r in sample.mapInArrow(train, "x binary").collect()]  # three rows
