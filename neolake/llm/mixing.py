@@ -73,8 +73,13 @@ def mix(docs: DataFrame, seed: str = "mix", rounds: int = ROUNDS) -> DataFrame:
     lead = F.conv(F.substring("order", 1, 8), 16, 10).cast("long")
     rows = rows.withColumn("part", F.floor(lead * F.ceil(F.col("n") / ROWS) / (1 << 32)).cast("long"))
     sums = rows.groupBy("name", "part").agg(F.sum("size").alias("in_part"))
-    before = Window.partitionBy("name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("name", "part", F.coalesce(F.sum("in_part").over(before), F.lit(0)).alias("before"))
+    # running sums in two levels: by group of ROWS parts, then inside each group
+    sums = sums.withColumn("group", F.floor(F.col("part") / ROWS))
+    ahead = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    groups = sums.groupBy("name", "group").agg(F.sum("in_part").alias("in_group"))
+    groups = groups.select("name", "group", F.coalesce(F.sum("in_group").over(ahead("name", "group")), F.lit(0)).alias("before_group"))
+    sums = sums.withColumn("inside", F.coalesce(F.sum("in_part").over(ahead("name", "group", "part")), F.lit(0)))
+    sums = sums.join(groups, ["name", "group"]).select("name", "part", (F.col("before_group") + F.col("inside")).alias("before"))
     place = Window.partitionBy("name", "part").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.join(sums, ["name", "part"]).withColumn("upto", F.col("before") + F.sum("size").over(place))
     rows = scratch.store(rows.select("doc_id", "source", "size", "order", "source_size", "target", "upto"), "placed")
