@@ -96,31 +96,45 @@ def test_url_rules(spark):
 
 
 def test_link_graph_spreads_distrust_and_trust(spark):
-    link = lambda h: f'<a href="http://{h}/">x</a>'
-    pages = [("http://bad.net/a", ""), ("http://farm.biz/a", link("bad.net")), ("http://farm2.biz/a", link("farm.biz")), ("http://ok.org/fr/a", link("friend.biz")), ("http://friend.biz/x", ""), ("http://lone.biz/", "")]
-    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    link = lambda *hs: "".join(f'<a href="http://{h}/">x</a>' for h in hs)
+    targets = [f"t{i}.net" for i in range(3)]
+    farms = [f"f{i}.biz" for i in range(8)]
+    out = {"farm.biz": ["bad.net"], "farm2.biz": ["farm.biz"], "twin.biz": ["bad.net"], "ok.org": ["friend.biz"], "mixed.biz": ["ok.org", "good1.biz", "good2.biz", "bad.net"], **{f: targets for f in farms}}
+    urls = {"bad.net": "/a", "ok.org": "/fr/a", **{t: "/" for t in targets}}
+    hosts = [*urls, *(h for h in out if h not in urls), "friend.biz", "lone.biz", "good1.biz", "good2.biz"]
+    df = spark.createDataFrame([(i, f"http://{h}{urls.get(h, '/x')}", link(*out.get(h, ()))) for i, h in enumerate(hosts)], "page_id long, url string, html string")
     got = {r.host: r for r in url_filter.judge(df, url_filter.rule_table(spark)).collect()}
     d = url_filter.DAMPING
-    hosts = ["bad.net", "farm.biz", "farm2.biz", "ok.org", "friend.biz", "lone.biz"]
-    out = {"farm.biz": ["bad.net"], "farm2.biz": ["farm.biz"], "ok.org": ["friend.biz"]}
     back = {}
     for s, ts in out.items():
         for t in ts:
             back.setdefault(t, []).append(s)
 
-    def rank(seed, links):
-        x = {h: (1 - d) * seed.get(h, 0) for h in hosts}
+    def shares(seed, links):
+        x, y = ({h: (1 - d) * seed.get(h, 0) for h in hosts}, {h: 1 - d for h in hosts})
         for _ in range(url_filter.ITERATIONS):
-            new = {h: (1 - d) * seed.get(h, 0) for h in hosts}
+            x2, got = {h: (1 - d) * seed.get(h, 0) for h in hosts}, dict.fromkeys(hosts, 0.0)
             for s, ts in links.items():
                 for t in ts:
-                    new[t] += d * x[s] / len(ts)
-            x = new
-        return x
+                    x2[t] += d * x[s] / len(ts)
+                    got[t] += d * y[s] / len(ts)
+            x, y = x2, {h: 1 - d + got[h] for h in hosts}
+        whole = {h: got[h] + (1 - d) * (h in urls) for h in hosts}
+        return {h: x[h] / whole[h] if whole[h] else 0.0 for h in hosts}
 
-    trust, distrust = rank({"ok.org": 1}, out), rank({"bad.net": 1}, back)
+    trust, distrust = shares({"ok.org": 1}, out), shares(dict.fromkeys([h for h in urls if h != "ok.org"], 1), back)
     assert all(got[h].trust == pytest.approx(trust[h]) and got[h].distrust == pytest.approx(distrust[h]) for h in hosts)
-    assert [got[h].verdict for h in hosts] == ["block", "block", "block", "allow", "allow", "allow"]
+    blocked = {h for h in hosts if got[h].verdict == "block"}
+    assert blocked == {"bad.net", "farm.biz", "twin.biz", *targets, *farms}  # however many link to a blocked host
+
+
+def test_urls_of_empty_and_repeated_rows(spark):
+    rules = url_filter.rule_table(spark)
+    schema = "page_id long, url string, html string, action string"
+    assert url_filter.judge(spark.createDataFrame([], schema), rules).count() == 0
+    rows = [(1, "http://a.net/x", "", "z"), (1, "http://a.net/x", "", "z"), (2, None, None, None), (None, "http://b.org/fr/", None, None)]
+    got = sorted(((r.page_id, r.host, r.rule, r.verdict) for r in url_filter.judge(spark.createDataFrame(rows, schema), rules).collect()), key=str)
+    assert got == sorted([(1, "a.net", "net/", "block")] * 2 + [(2, "", None, "allow"), (None, "b.org", "org/fr/", "allow")], key=str)
 
 
 # --- 3 -------------------------------------------------------------------------------
@@ -260,7 +274,7 @@ def test_nth_largest_narrows_down(spark, monkeypatch):
 
 
 def brute_fingerprint(text, k=winnowing.K, w=winnowing.W):
-    parts = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").translate({9: 32, 10: 32, 11: 32, 12: 32, 13: 32}).split(" ") if x]
+    parts = [zlib.crc32(x.encode()) for x in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").translate({9: 32, 10: 32, 11: 32, 12: 32, 13: 32}).split(" ") if x]
     if not parts:
         return []
     grams = []
@@ -290,7 +304,7 @@ def test_winnowing(spark, docs, awkward, unique, ids, monkeypatch):
         after = text[known[0] if i is None else known[(known.index(i) + 1) % len(known)]]
         edited = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
         a, b, c = (brute_fingerprint(x) for x in (t, edited, after))
-        digest = lambda fp: hashlib.md5(" ".join(str(h * 2**24 + winnowing.LAST - p) for h, p in fp).encode()).hexdigest()
+        digest = lambda fp: hashlib.md5(" ".join(str(h * 2**32 + winnowing.LAST - p) for h, p in fp).encode()).hexdigest()
         s = [{h for h, _ in x} for x in (a, b, c)]
         want.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), digest(a), digest(b), jaccard(s[0], s[1]), jaccard(s[0], s[2])))
     got = [tuple(r) for r in winnowing.winnow(df).collect()]
@@ -312,6 +326,28 @@ def test_positions_and_guarantee(spark):
 # --- 8 -------------------------------------------------------------------------------
 
 
+def test_deep_and_long_pages_take_linear_memory():
+    import tracemalloc
+
+    peaks = []
+    for n in (10_000, 40_000):
+        page = "".join(f'<div class="c{"abcdefghij"[i % 10]}x">' for i in range(n)) + "text" + "<p>end</i></section>" * 500
+        tracemalloc.start()
+        found = html_blocks.blocks(page)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert [b.text for b in found] == ["text"] + ["end"] * 500
+    assert peaks[1] < 6 * peaks[0] and peaks[1] < 50e6
+    body = "<p>" + "word " * 20 + "</p>"
+    page = f"<body><nav><a href=x>menu</a></nav><article><h1>title of it</h1>{body * 100_000}</article></body>"  # 10 MB
+    assert len(html_crf.default_field().extract(page)) > 9e6
+
+
+def test_formulas_and_noscript_are_text():
+    found = html_blocks.blocks("<article><p>Let <math><mi>x</mi><mo>&lt;</mo></math> be</p><noscript><p>told</p></noscript><svg><text>no</text></svg><object>shown</object></article>")
+    assert [b.text for b in found] == ["Let x< be", "told", "shown"]
+
+
 def test_blocks_of_broken_markup():
     page = "<div><p>one <b>two<br>three<p>four &amp; five&nbsp;six</div><script>x='<p>no</p>'</script>seven<!-- eight --><ul><li>nine<li>ten</ul><p title='a>b'>eleven"
     assert [b.text for b in html_blocks.blocks(page)] == ["one two three", "four & five six", "seven", "nine", "ten", "eleven"]
@@ -427,6 +463,30 @@ def near_pairs_by_hand(rows, similarity=0.8):
     return {(i, c) for i, c in part.items() if i != c}
 
 
+def test_parity_bits_never_part_close_sets():
+    rnd = np.random.default_rng(4)
+    for _ in range(300):
+        n = int(rnd.integers(1, 300))
+        a = rnd.integers(0, 1 << 63, n).astype(np.uint64)
+        k = int(rnd.integers(0, n + 1))
+        b = np.unique(np.r_[a[k:], rnd.integers(0, 1 << 63, int(rnd.integers(0, 200))).astype(np.uint64)])
+        a = np.unique(a)
+        x, y = (v.as_py() for v in simhash._parities(np.r_[a, b], np.array([len(a), len(b)])))
+        assert simhash._far_in_bits(x, y) <= len(np.setxor1d(a, b))
+
+
+def test_near_dedup_of_repeated_ids_and_empty_tables(spark):
+    schema = "doc_id long, text string, head long"
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(500)]
+    a, b = document(rnd, 40, words), document(rnd, 40, words)
+    rows = [(1, a, 1), (1, b, 2), (1, a, 3), (2, b, 4), (3, None, 5), (3, "", 6), (None, a, 7), (None, a, 8)]
+    got = sorted(((r.doc_id, r.text) for r in simhash.near_dedup(spark.createDataFrame(rows, schema)).collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (3, None), (None, a), (None, a)], key=str)
+    none = spark.createDataFrame([], schema)
+    assert simhash.near_dedup(none).count() == 0 and language.keep_identified(none.withColumn("lang", F.lit("x"))).count() == 0
+
+
 def test_near_copies_behind_a_failed_link(spark):
     rnd = random.Random(3)
     sentences = [document(rnd, 6, [f"w{i}" for i in range(900)]).split() for _ in range(40)]
@@ -460,6 +520,46 @@ def test_near_copies_of_every_kind_of_edit(spark):
     assert got == want and len(want) >= 20
 
 
+def complements(n):
+    """The Thue-Morse text of n letters and its complement: equal under polynomial hashes modulo a power of two."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_regular_long_texts_are_told_apart(spark):
+    from neolake.llm._common import name_hashes, span_hashes, utf8
+    import pyarrow as pa
+
+    for n in (1024, 4096):
+        a, b = complements(n)
+        data, off = utf8(pa.array([a, b, a]))
+        assert n == 1024 or len(set(span_hashes(data, off[:-1], off[1:]).tolist())) <= 2
+        h = name_hashes(data, off[:-1], off[1:])
+        assert h[0] == h[2] != h[1]
+        encode = token_output.Encoder(token_output.default_vocabulary())
+        ids, at = encode(pa.array([a, b]))
+        assert [ids[i:j].tolist() for i, j in zip(at, at[1:])] == [encode.t.encode(x, add_special_tokens=False).ids for x in (a, b)]
+    texts = [x for n in (1024, 4096) for x in complements(n)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(df).collect()}
+    assert got == {i: sum(brute_repeats(texts)[i]) for i in range(len(texts))}
+    found = decontaminate.leaks(df, spark.createDataFrame([(7, texts[0])], "item_id long, text string")).collect()
+    assert {r.doc_id for r in found} == {0}
+
+
+def brute_repeats(texts, n=suffix_dedup.LENGTH):
+    """For each text, 1 for each byte under a string that an earlier text has."""
+    seen, out = set(), []
+    for t in (x.encode() for x in texts):
+        starts = [i for i in range(len(t) - n + 1) if t[i : i + n] in seen]
+        gone = [0] * len(t)
+        for i in starts:
+            gone[i : i + n] = [1] * n
+        out.append(gone)
+        seen.update(t[i : i + n] for i in range(len(t) - n + 1))
+    return out
+
+
 # --- 10 ------------------------------------------------------------------------------
 
 
