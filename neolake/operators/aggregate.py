@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from neolake.functions.filters import col
-from neolake.functions.sequences import mutated_positions  # noqa: F401  (re-exported for report builders)
-from neolake.operators.candidates import best_order, first_by, number
+from neolake.functions.filters import col, truthy
+from neolake.operators.candidates import best_order, number
 from neolake.schemas import NONE, Thresholds
 
 
@@ -25,18 +24,49 @@ def anchors_of(weights: DataFrame, threshold: float = 0.8, boolean: bool = False
     return kept.groupBy(*key).agg(F.array_sort(F.collect_set("pos")).alias("anchors"))
 
 
-def included(df: DataFrame, keys: list[str], epitope: str, score: str, t: Thresholds, tie: list[str], **how) -> DataFrame:
-    """Rows of the included peptides: score below the inclusion threshold, at most the N best of each variant by best-candidate order."""
-    low = df.where(number(score) < t.inclusion)
-    order = best_order(low, t, score, tie, **how)
-    best = first_by(low, [*keys, epitope], order)
-    kept = first_by(best, keys, order, t.top_peptides).select(*[col(c) for c in [*keys, epitope]])
-    return df.join(kept, [*keys, epitope], "left_semi")
+def included_order(df: DataFrame, t: Thresholds, score: str, tie: list[str], tool: str = "matched", anchor: str | None = None, allow_incomplete: bool = False) -> list[Column]:
+    """The order of a variant's peptides, of which the first are included.
+
+    Matched: coding, support level, anchor, [complete], [no problem], score, longest
+    transcript, second score. Others: score and second score.
+    """
+    has = lambda c: c in df.columns
+    yes = lambda c: F.coalesce(c, F.lit(False)).desc()
+    second = score.replace("IC50 Score", "Percentile") if "IC50 Score" in score else score.replace("Percentile", "IC50 Score")
+    out: list[Column] = []
+    if tool == "matched":
+        tsl = "TSL" if has("TSL") else "Transcript Support Level"
+        out += [yes(col("Biotype") == "protein_coding")] if has("Biotype") else []
+        out += [F.coalesce(number(tsl), F.lit(6.0)).asc()] if has(tsl) else []
+        out += [yes(col(anchor))] if anchor else []
+        if allow_incomplete and has("Transcript CDS Flags"):
+            out.append(F.coalesce(col("Transcript CDS Flags").rlike("cds_start_nf|cds_end_nf"), F.lit(False)).asc())
+        out += [yes(col("Problematic Positions") == NONE)] if has("Problematic Positions") else []
+    out.append(number(score).asc_nulls_last())
+    out += [number("Transcript Length").desc_nulls_last()] if tool == "matched" and has("Transcript Length") else []
+    out += [number(second).asc_nulls_last()] if second != score and has(second) else []
+    return [*out, *[col(c).asc_nulls_last() for c in tie]]
+
+
+def with_inclusion(df: DataFrame, keys: list[str], epitope: str, score: str, t: Thresholds, tie: list[str], **how) -> DataFrame:
+    """``df`` with ``_best``, the variant's best row, and ``_included``: that row, and those below the inclusion threshold of its best peptides.
+
+    A peptide stands where its best row stands in the order of included peptides;
+    the first ``t.top_peptides`` count. Rows are partitioned by variant once, for all windows.
+    """
+    by, order = [col(k) for k in keys], best_order(df, t, score, tie, **how)
+    out = df.repartition(*by).withColumn("_best", F.row_number().over(Window.partitionBy(*by).orderBy(*order)) == 1)
+    out = out.withColumn("_low", F.coalesce(number(score) < t.inclusion, F.lit(False)))
+    out = out.withColumn("_first", F.col("_low") & (F.row_number().over(Window.partitionBy(*by, col(epitope), "_low").orderBy(*order)) == 1))
+    place = F.row_number().over(Window.partitionBy(*by, "_first").orderBy(*included_order(df, t, score, tie, **how)))
+    out = out.withColumn("_place", F.when(F.col("_first"), place))
+    at = F.min("_place").over(Window.partitionBy(*by, col(epitope)))
+    return out.withColumn("_included", F.col("_best") | F.coalesce(F.col("_low") & (at <= t.top_peptides), F.lit(False))).drop("_low", "_first", "_place")
 
 
-def with_best(rows: DataFrame, best: DataFrame) -> DataFrame:
-    """Included rows and the best row, which is always among them."""
-    return rows.unionByName(best).dropDuplicates()
+def included(df: DataFrame, keys: list[str], epitope: str, score: str, t: Thresholds, tie: list[str], **how) -> DataFrame:
+    """The rows that a variant's report is made from."""
+    return with_inclusion(df, keys, epitope, score, t, tie, **how).where("_included").drop("_best", "_included")
 
 
 def clonal_vaf(df: DataFrame, vaf: str = "Tumor DNA VAF", purity: float | None = None) -> DataFrame:
@@ -73,13 +103,37 @@ def aa_change(kind: str = "Variant Type", mutation: str = "Mutation", position:
     return F.when(col(kind) == "FS", F.concat(F.lit("FS"), col(position))).otherwise(F.concat(wild, col(position), mutant))
 
 
-def transcript_sets(df: DataFrame, keys: list[str], transcript: str, epitope: str, expression: str) -> DataFrame:
-    """Transcripts of a variant with the same peptides, numbered by first appearance, with their figures."""
-    own = df.groupBy(*[col(k) for k in keys], col(transcript)).agg(F.array_sort(F.collect_set(col(epitope))).alias("peptides"), F.max(number(expression)).alias("_expr"))
-    sets = own.groupBy(*[col(k) for k in keys], "peptides").agg(F.array_sort(F.collect_list(col(transcript))).alias("transcripts"), F.round(F.sum(F.coalesce("_expr", F.lit(0.0))), 3).alias("total_expr"))
-    order = Window.partitionBy(*[col(k) for k in keys]).orderBy(F.col("transcripts")[0])
-    sets = sets.withColumn("set", F.format_string("Transcript Set %d", F.row_number().over(order)))
-    return sets.withColumns({"transcript_count": F.size("transcripts"), "peptide_count": F.size("peptides")})
+def transcript_sets(df: DataFrame, keys: list[str], transcript: str, epitope: str, order: list[str], fields: list[str] = [], allow_incomplete: bool = False) -> DataFrame:  # noqa: B006
+    """(keys, set, peptides, transcripts, transcript_count, peptide_count, total_expr): a variant's transcripts with the same peptides.
+
+    ``order``: columns whose order is that of the rows. Peptides are listed by first
+    appearance, sets numbered by it. Transcripts in a set: [complete], coding, MANE,
+    canonical, support level, longest, highest expression, then by appearance;
+    ``transcripts`` holds structs of the name and ``fields``, from its first row.
+    """
+    has = lambda c: c in df.columns
+    at = F.struct(*[col(c) for c in order])
+    by = [col(k) for k in keys]
+    tsl = "TSL" if has("TSL") else "Transcript Support Level"
+    low = lambda c: F.when(F.coalesce(c, F.lit(False)), 0).otherwise(1)
+    first = lambda c: F.min_by(c, F.col("_at"))
+    sort = [
+        F.coalesce(col("Transcript CDS Flags").rlike("cds_start_nf|cds_end_nf"), F.lit(False)).cast("int") if allow_incomplete and has("Transcript CDS Flags") else F.lit(0),
+        low(col("Biotype") == "protein_coding") if has("Biotype") else F.lit(0), low(truthy(col("MANE Select"))) if has("MANE Select") else F.lit(0), low(truthy(col("Canonical"))) if has("Canonical") else F.lit(0),
+        F.coalesce(number(tsl), F.lit(6.0)) if has(tsl) else F.lit(0.0), F.coalesce(-number("Transcript Length"), F.lit(float("inf"))) if has("Transcript Length") else F.lit(0.0),
+        F.coalesce(-number("Transcript Expression"), F.lit(float("inf"))) if has("Transcript Expression") else F.lit(0.0),
+    ]
+    expression = number("Transcript Expression") if has("Transcript Expression") else F.lit(None).cast("double")
+    rows = df.repartition(*by).withColumn("_at", at)
+    line = F.struct(*[x.alias(f"s{i}") for i, x in enumerate(sort)], F.col("_at"), expression.alias("_expr"), F.struct(col(transcript).alias("name"), *[col(f) for f in fields]).alias("line"))
+    each = rows.groupBy(*by, col(transcript).alias("_transcript"), col(epitope).alias("_peptide")).agg(F.min("_at").alias("_at"), first(line).alias("_line"))
+    own = each.groupBy(*by, "_transcript").agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_peptide"))), lambda x: x["_peptide"]).alias("peptides"), first(F.col("_line")).alias("_line"), F.min("_at").alias("_at"))
+    sets = own.groupBy(*by, "peptides").agg(F.array_sort(F.collect_list("_line")).alias("_lines"), F.min("_at").alias("_at"))
+    nth = F.row_number().over(Window.partitionBy(*by).orderBy("_at"))
+    total = F.aggregate("_lines", F.lit(0.0).cast("double"), lambda s, x: s + F.coalesce(x["_expr"], F.lit(0.0)))
+    return sets.select(
+        *by, F.format_string("Transcript Set %d", nth).alias("set"), "peptides", F.transform("_lines", lambda x: x["line"]).alias("transcripts"), F.size("_lines").alias("transcript_count"), F.size("peptides").alias("peptide_count"), total.alias("total_expr")
+    )
 
 
 def peptide_calls(df: DataFrame, keys: list[str], epitope: str, allele: str, alleles: list[str], score: str, wildtype: str) -> DataFrame:
@@ -92,6 +146,15 @@ def peptide_calls(df: DataFrame, keys: list[str], epitope: str, allele: str, all
     return out.withColumn("best_ic50_MT", F.array_min("ic50s_MT"))
 
 
+def algorithm_calls(df: DataFrame, keys: list[str], epitope: str, algorithms: list[str], order: list[str], measure: str = "IC50 Score", allele: str = "HLA Allele") -> DataFrame:
+    """(keys, epitope, MT, WT): maps from the allele to each algorithm's values, in the order of ``algorithms``; of several rows the last."""
+    last = F.struct(*[col(c) for c in order])
+    values = lambda side: F.array(*[number(f"{m} {side} {measure}") for m in algorithms])
+    once = df.groupBy(*[col(k) for k in [*keys, epitope, allele]]).agg(F.max_by(values("MT"), last).alias("_mt"), F.max_by(values("WT"), last).alias("_wt"))
+    pairs = lambda c: F.map_from_entries(F.array_sort(F.collect_list(F.struct(col(allele), c))))
+    return once.groupBy(*[col(k) for k in [*keys, epitope]]).agg(pairs("_mt").alias("MT"), pairs("_wt").alias("WT"))
+
+
 def ordered_peptides(calls: DataFrame, keys: list[str], epitope: str, problematic: str | None = None, anchor_fails: str | None = None) -> DataFrame:
     """A variant's peptides as one array: without problem first, then with anchor pass, then by least score."""
     flag = lambda c: F.coalesce(F.col(c).cast("int"), F.lit(0)) if c else F.lit(0)
@@ -104,13 +167,53 @@ def metrics_json(metrics: DataFrame, key: str) -> DataFrame:
     return metrics.select(F.col(key), F.to_json(F.struct(*[col(c) for c in metrics.columns if c != key]), {"ignoreNullFields": "false"}).alias("json"))
 
 
-def aggregated_report(df: DataFrame, keys: list[str], alleles: list[str], t: Thresholds, score: str, epitope: str, transcript: str, tie: list[str], **how) -> DataFrame:
-    """Best row of every variant with the counts over its included peptides."""
-    best = first_by(df, keys, best_order(df, t, score, tie, **how))
-    rows = with_best(included(df, keys, epitope, score, t, tie, **how), best)
-    good = good_binder(score, t)
-    summed = counts(rows, keys, epitope, transcript, good).join(per_allele_counts(rows, keys, alleles, epitope, good), keys)
-    return best.join(summed, keys)
+# The reports' columns, and the columns of the epitope table that they show; scores carry their prefix (Median or Best).
+_SHARED = {"Gene": "Gene Name", "Allele": "HLA Allele", "Prob Pos": "Problematic Positions"}
+_RNA = {"RNA Expr": "Gene Expression", "RNA VAF": "Tumor RNA VAF", "RNA Depth": "Tumor RNA Depth", "DNA VAF": "Tumor DNA VAF"}
+_MODEL = {"MANE Select": "MANE Select", "Canonical": "Canonical", "TSL": "Transcript Support Level"}
+REPORT = {
+    "matched": {**_SHARED, **_MODEL, **_RNA, "Index": "Index", "Best Peptide": "MT Epitope Seq", "Best Transcript": "Transcript", "Pos": "Mutation Position"},
+    "splice": {**_SHARED, **_MODEL, **_RNA, "Transcript": "Transcript", "Junction Name": "Junction", "AA Change": "Amino Acid Change", "Best Peptide": "Epitope Seq", "Pos": "Protein Position"},
+    "fusion": {**_SHARED, "Best Peptide": "Epitope Seq", "Best Transcript": "Transcript", "Expr": "Expression", "Read Support": "Read Support"},
+    "bind": {"Best Peptide": "Epitope Seq", "Allele": "HLA Allele", "Pos": "Sub-peptide Position", "Prob Pos": "Problematic Positions"},
+}
+
+
+def score_columns(tool: str, prefix: str) -> dict[str, str]:
+    """The report's score columns and what they show."""
+    if tool != "matched":
+        return {"IC50 MT": f"{prefix} IC50 Score", "%ile MT": f"{prefix} Percentile"}
+    wild = "Corresponding" if prefix == "Best" else prefix
+    return {"IC50 MT": f"{prefix} MT IC50 Score", "IC50 WT": f"{wild} WT IC50 Score", "%ile MT": f"{prefix} MT Percentile", "%ile WT": f"{wild} WT Percentile"}
+
+
+def aggregated_report(df: DataFrame, keys: list[str], alleles: list[str], t: Thresholds, score: str, epitope: str, transcript: str, tie: list[str], tool: str = "matched", cutoff: Column | None = None, **how) -> DataFrame:
+    """One row a variant: its best row's figures and counts over the included peptides, under the report's column names.
+
+    ``ID`` is the keys joined by ``-`` (of splice tables the best row's index). An
+    allele's column has its different well-binding peptides, null if none. What
+    the epitope table lacks is null, but ``None`` for problematic positions. Tier
+    is ``Not Tiered`` until a tiering fills it. Windows and groups share one shuffle by variant.
+    """
+    rows = with_inclusion(df, keys, epitope, score, t, tie, tool=tool, **how).where("_included").withColumn("_good", good_binder(score, t, cutoff))
+    different = lambda c, when: F.size(F.collect_set(F.when(when, c)))  # noqa: E731  (a variant's included rows are bounded)
+    annotation = F.concat_ws("-", *[col(c).cast("string") for c in (transcript, "Gene Name", "Mutation", "Protein Position") if c in df.columns])
+    everything = F.first(F.when(F.col("_best"), F.struct(*[col(c) for c in df.columns])), ignorenulls=True)
+    own = lambda a: F.nullif(different(col(epitope), F.col("_good") & (col("HLA Allele") == a)), F.lit(0))
+    out = rows.groupBy(*[col(k) for k in keys]).agg(
+        everything.alias("_b"), *[own(a).alias(a.removeprefix("HLA-")) for a in sorted(alleles)], different(annotation, F.lit(True)).alias("Num Passing Transcripts"), different(col(epitope), F.lit(True)).alias("Num Included Peptides"),
+        different(col(epitope), F.col("_good")).alias("Num Passing Peptides"),
+    )
+    prefix = score.split(" ")[0]
+    best = lambda c: F.col("_b").getField(c) if c in df.columns else F.lit("None" if c == "Problematic Positions" else None).cast("string")
+    shown = REPORT[tool] | score_columns(tool, prefix)
+    name = F.concat_ws("-", *[col(k).cast("string") for k in keys])
+    columns = [(best("Index") if tool == "splice" and "Index" in df.columns else name).alias("ID"), *[col(a.removeprefix("HLA-")) for a in sorted(alleles)], *[best(c).alias(n) for n, c in shown.items()]]
+    if tool == "matched":
+        columns += [F.when(best("Variant Type") == "FS", F.concat(F.lit("FS"), best("Protein Position"))).otherwise(F.concat(F.split_part(best("Mutation"), F.lit("/"), F.lit(1)), best("Protein Position"), F.split_part(best("Mutation"), F.lit("/"), F.lit(2)))).alias("AA Change"), F.col("Num Passing Transcripts")]
+    if tool in ("matched", "splice"):
+        columns.append(F.round(best("Gene Expression").try_cast("double") * best("Tumor RNA VAF").try_cast("double"), 3).alias("Allele Expr"))
+    return out.select(*columns, "Num Included Peptides", "Num Passing Peptides", F.lit("Not Tiered").alias("Tier"), F.lit("Pending").alias("Evaluation"))
 
 
 def no_problem(c: str = "Prob Pos") -> Column:

@@ -26,7 +26,7 @@ def number(name: str) -> Column:
 def _prefer(df: DataFrame, t: Thresholds, anchor: str | None, allow_incomplete: bool) -> list[Column]:
     tsl = "TSL" if "TSL" in df.columns else "Transcript Support Level"
     out = []
-    if not allow_incomplete and "Transcript CDS Flags" in df.columns:
+    if allow_incomplete and "Transcript CDS Flags" in df.columns:
         out.append(col("Transcript CDS Flags") == NONE)
     if "Biotype" in df.columns:
         out.append(col("Biotype") == "protein_coding")
@@ -41,7 +41,7 @@ def _prefer(df: DataFrame, t: Thresholds, anchor: str | None, allow_incomplete:
 
 def best_order(df: DataFrame, t: Thresholds, score: str, tie: list[str], tool: str = "matched", anchor: str | None = None, allow_incomplete: bool = False) -> list[Column]:
     """The order whose first row is the best candidate: matched, splice, fusion or bind."""
-    first = _prefer(df, t, anchor, allow_incomplete) if tool in ("matched", "splice") else _prefer(df.select(*[col(c) for c in df.columns if c == "Problematic Positions"]), t, None, True)
+    first = _prefer(df, t, anchor, allow_incomplete) if tool in ("matched", "splice") else _prefer(df.select(*[col(c) for c in df.columns if c == "Problematic Positions"]), t, None, False)
     out = [*first, number(score).asc_nulls_last()]
     if tool in ("matched", "splice"):
         tsl = "TSL" if "TSL" in df.columns else "Transcript Support Level"
@@ -57,21 +57,35 @@ def best_candidate(df: DataFrame, keys: list[str], t: Thresholds, score: str, ti
     return first_by(df, keys, best_order(df, t, score, tie, **how))
 
 
-def epitope_signature(df: DataFrame, keys: list[str], epitope: str) -> DataFrame:
-    """For each key (a variant and transcript), its sorted list of different epitopes as one text."""
-    return df.groupBy(*[col(k) for k in keys]).agg(F.array_join(F.array_sort(F.collect_set(col(epitope))), "|").alias("signature"))
+def signature(keys: list[str], epitope: str) -> Column:
+    """The sorted list of the epitopes of each key (a variant and transcript), repeats included, as one text; over a window."""
+    listed = F.collect_list(col(epitope)).over(Window.partitionBy(*[col(k) for k in keys]))
+    return F.array_join(F.array_sort(listed), "|")
 
 
-def top_score(df: DataFrame, variant: list[str], transcript: str, epitope: str, t: Thresholds, score: str, tie: list[str], **how) -> DataFrame:
-    """The best row of each group of a variant's transcripts that have the same epitopes."""
-    signed = df.where(number(score).isNotNull())
-    signed = signed.join(epitope_signature(signed, [*variant, transcript], epitope), [*variant, transcript])
-    return best_candidate(signed, [*variant, "signature"], t, score, tie, **how).drop("signature")
+def top_score(df: DataFrame, variant: list[str], transcript: str, epitope: str, t: Thresholds, score: str, tie: list[str], label: str | None = None, **how) -> DataFrame:
+    """The best scored row of each variant; of matched and fusion tables, of each group of its transcripts with the same epitopes.
+
+    ``label`` (``prefix.consequence``): the row comes again under every other prefix
+    that the variant's rows have for its consequence. All windows run on rows that
+    are partitioned by variant once.
+    """
+    own = df.where(number(score).isNotNull()).repartition(*[col(k) for k in variant])
+    keys = list(variant)
+    if how.get("tool", "matched") in ("matched", "fusion"):
+        own, keys = own.withColumn("_signature", signature([*variant, transcript], epitope)), [*variant, "_signature"]
+    if label is None:
+        return best_candidate(own, keys, t, score, tie, **how).select(*[col(c) for c in df.columns])
+    place = F.instr(col(label), ".")
+    own = own.withColumn("_prefix", F.substring(col(label), F.lit(1), place - 1)).withColumn("_consequence", F.substring(col(label), place + 1, F.length(col(label))))
+    own = own.withColumn("_prefixes", F.collect_set("_prefix").over(Window.partitionBy(*[col(k) for k in variant], "_consequence")))
+    best = best_candidate(own, keys, t, score, tie, **how).withColumn("_prefix", F.explode("_prefixes"))
+    return best.withColumn(label, F.concat_ws(".", "_prefix", "_consequence")).select(*[col(c) for c in df.columns])
 
 
 def default_order(table: str = "matched", metric: str = "median") -> list[Column]:
     """Orders of matched, fusion or bind, and splice tables; ``metric``: median or lowest."""
-    names = ("Median MT IC50 Score", "Best MT IC50 Score") if table in ("matched", "splice") else ("Median IC50 Score", "Best IC50 Score")
+    names = ("Median MT IC50 Score", "Best MT IC50 Score") if table == "matched" else ("Median IC50 Score", "Best IC50 Score")
     first, second = names if metric == "median" else names[::-1]
     up = lambda c: number(c).asc_nulls_last()
     if table == "matched":
@@ -81,6 +95,7 @@ def default_order(table: str = "matched", metric: str = "median") -> list[Column
     return [up(first), number("Sub-peptide Position").asc_nulls_last(), up(second), col("Mutation")]
 
 
+# The tools' tiers, best first.
 TIER_ORDER = {
     "matched": ["Pass", "PoorBinder", "RefMatch", "PoorTranscript", "LowExpr", "Anchor", "Subclonal", "ProbPos", "Poor", "NoExpr"],
     "splice": ["Pass", "PoorBinder", "RefMatch", "PoorTranscript", "LowExpr", "Subclonal", "ProbPos", "Poor", "NoExpr"],
@@ -96,17 +111,40 @@ def tier_place(tool: str, tier: str = "Tier") -> Column:
     return F.when(at > 0, at).otherwise(len(names) + 1)
 
 
+def with_dense_rank(df: DataFrame, value: Column, name: str, descending: bool = False, parts: int = 200) -> DataFrame:
+    """``df`` with the dense rank of a number, nulls last, without a window over the whole table.
+
+    The different values are cut into ranges at quantiles, ranked inside each range,
+    and each range's count is added to those after it: one row a range.
+    """
+    df = df.withColumn("_value", -value if descending else value)
+    values = df.select("_value").where("_value is not null").distinct()
+    at = values.agg(F.percentile_approx("_value", F.array(*[F.lit(k / parts) for k in range(1, parts)]), F.lit(10_000)).alias("_cuts"))
+    values = values.join(F.broadcast(at)).select("_value", F.size(F.filter("_cuts", lambda c: c < F.col("_value"))).alias("_range"))  # one row
+    sizes = values.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = values.withColumn("_place", F.row_number().over(Window.partitionBy("_range").orderBy("_value"))).join(sizes.select("_range", before.alias("_before")), "_range")
+    last = F.broadcast(sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_all")))
+    out = df.join(ranked.select("_value", (F.col("_before") + F.col("_place")).alias(name)), "_value", "left").join(last)
+    return out.withColumn(name, F.coalesce(name, F.col("_all") + 1)).drop("_value", "_all")
+
+
 def rank_sum_order(df: DataFrame, tool: str, score: str, expression: str | None, names: list[str], ties: str = "dense") -> DataFrame:
     """Rows with ``rank``, in order of tier, then the sum of the ranks by score and expression, then names.
 
-    The ranks run over the whole report, which has one row a variant. ``ties``: dense, or first (as the viewer ranks).
+    The ranks run over the whole report, by ranges. ``ties``: dense, or first, as
+    the viewer ranks the one report it shows (one window over it).
     """
-    rank = lambda *o: (F.dense_rank() if ties == "dense" else F.row_number()).over(Window.orderBy(*o))
-    tail = [col(c).asc_nulls_last() for c in names] if ties == "first" else []
-    total = rank(number(score).asc_nulls_last(), *tail)
-    if expression:
-        total = total + rank(number(expression).desc_nulls_last(), *tail)
-    out = df.withColumn("_tier", tier_place(tool)).withColumn("rank", total)
+    if ties == "dense":
+        out = with_dense_rank(df, number(score), "rank")
+        if expression:
+            out = with_dense_rank(out, number(expression), "_second", descending=True).withColumn("rank", F.col("rank") + F.col("_second")).drop("_second")
+    else:
+        tail = [col(c).asc_nulls_last() for c in names]
+        rank = lambda o: F.row_number().over(Window.orderBy(o, *tail))
+        total = rank(number(score).asc_nulls_last())
+        out = df.withColumn("rank", total + rank(number(expression).desc_nulls_last()) if expression else total)
+    out = out.withColumn("_tier", tier_place(tool))
     return out.orderBy("_tier", "rank", *[col(c).asc_nulls_last() for c in names]).drop("_tier")
 
 
