@@ -174,3 +174,43 @@ def residue_styles(sequence: Column, mutated: Column, bound_one: Column, bound_t
         places(F.length(sequence)),
         lambda i: F.struct(sequence.substr(i, F.lit(1)).alias("aa"), has(bound_two, i).alias("bold"), has(bound_one, i).alias("color"), has(mutated, i).alias("underline"), has(difficult, i).alias("large")),
     )
+
+
+# --- ids ---------------------------------------------------------------------------
+
+
+def short_peptide_id(peptide_id: Column) -> Column:
+    """``gene.transcript.change`` of ``gene.transcript.kind.change``; frameshifts as ``FS`` and position, deletions as residues, place, residues.
+
+    An id of another form is an error; one of another kind stays as it is.
+    """
+    pattern = r"^([\w\-]+)\.(ENS[0-9A-Z]+\d+(?:\.\d+)?)\.(\w+)\.(.+)$"
+    gene, transcript, kind, change = (F.regexp_extract(peptide_id, pattern, k) for k in range(1, 5))
+    deletion = r"^(\d+-\d+)([A-Z*/]+)/([A-Z*/]+)"
+    place, lost, new = (F.regexp_extract(change, deletion, k) for k in range(1, 4))
+    dotted = lambda last: F.concat_ws(".", gene, transcript, last)
+    out = F.when(~peptide_id.rlike(pattern), F.raise_error(F.concat(F.lit("no peptide id: "), peptide_id)))
+    out = out.when(kind.isin("missense", "inframe_ins"), dotted(change)).when(kind == "FS", dotted(F.concat(F.lit("FS"), F.regexp_replace(change, r"[^\d-]", ""))))
+    return out.when((kind == "inframe_del") & change.rlike(deletion), dotted(F.concat(lost, place, new))).when(kind == "inframe_del", F.replace(peptide_id, F.lit("inframe_del."), F.lit(""))).otherwise(peptide_id)
+
+
+def rearranged_change(change: Column) -> Column:
+    """``518G/D`` from ``G518D``; anything else stays."""
+    pattern = r"^([A-Za-z]+)([\d-]+)([A-Za-z]*).*$"
+    return F.when(change.rlike(pattern), F.regexp_replace(change, pattern, "$2$1/$3")).otherwise(change)
+
+
+def id_parts(peptide_id: Column) -> Column:
+    """The parts of an id that dashes join; an allele's ``HLA`` stays with what follows it."""
+    return F.transform(F.split(F.regexp_replace(peptide_id, r"(^|-)HLA-(?=[^-])", "$1HLA\u0001"), "-"), lambda x: F.replace(x, F.lit("\u0001"), F.lit("-")))
+
+
+def score_of_method(method: Column, fields: Column) -> Column:
+    """The score in a predictor's output row (a map from field to text): elution and immunogenicity methods have fields of their own, the others an IC50."""
+    name = F.lower(method)
+    of = lambda c: F.try_element_at(fields, F.lit(c)).try_cast("double")
+    named = {"deepimmuno": "immunogenicity", "bigmhc_el": "BigMHC_EL", "bigmhc_im": "BigMHC_IM", "netmhcpan_el": "score"}
+    out = F.when(F.contains(name, F.lit("netmhciipan_el")), F.coalesce(of("score"), of("ic50")))
+    for k, v in named.items():
+        out = out.when(name == k, of(v))
+    return out.otherwise(of("ic50"))

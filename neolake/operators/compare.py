@@ -112,3 +112,50 @@ def with_own_evaluations(report: DataFrame, evaluations: DataFrame, key: str = "
     out = report.join(own, key, "left")
     given = lambda c: F.col(c) if c in report.columns else F.lit(None).cast("string")
     return out.withColumns({"Evaluation": F.coalesce("_e", given("Evaluation"), F.lit("Pending")), "Comments": F.coalesce("_c", given("Comments"))}).drop("_e", "_c")
+
+
+# The columns that two reports may be compared by, of each kind of table.
+AGGREGATED = ["Gene", "AA Change", "Num Passing Transcripts", "Best Peptide", "Best Transcript", "Num Passing Peptides", "IC50 MT", "IC50 WT", "%ile MT", "%ile WT", "RNA Expr", "RNA VAF", "DNA VAF", "Tier"]
+REFERENCE_MATCH = ["Peptide", "Hit Definition", "Match Window", "Match Sequence"]
+UNAGGREGATED = [
+    "Biotype", "Sub-peptide Position", "Median MT IC50 Score", "Median WT IC50 Score", "Median MT Percentile", "Median WT Percentile", "WT Epitope Seq", "Tumor DNA VAF", "Tumor RNA Depth", "Tumor RNA VAF", "Gene Expression", "Problematic Positions",
+]
+IC50_METHODS = ["MHCflurry", "MHCnuggetsI", "NetMHC", "NetMHCcons", "NetMHCpan", "PickPocket", "SMM", "SMMPMBEC"]
+SCORE_METHODS = ["BigMHC_EL", "BigMHC_IM", "DeepImmuno", "MHCflurryEL Processing", "MHCflurryEL Presentation", "NetMHCpanEL"]
+RANKED_METHODS = [*IC50_METHODS, "MHCflurryEL Presentation", "NetMHCpanEL"]
+
+
+def method_columns() -> list[str]:
+    """The columns of each method: a score of either side, and a percentile of those that rank."""
+    kinds = [(IC50_METHODS, "IC50 Score"), (SCORE_METHODS, "Score"), (RANKED_METHODS, "Percentile")]
+    return [f"{m} {side} {measure}" for methods, measure in kinds for m in methods for side in ("WT", "MT")]
+
+
+def comparable(columns: list[str], kind: str) -> list[str]:
+    """``columns``, if all of them are ones that tables of the kind (aggregated, unaggregated, reference_match) may be compared by; else an error."""
+    known = {"aggregated": AGGREGATED, "unaggregated": [*UNAGGREGATED, *method_columns()], "reference_match": REFERENCE_MATCH}[kind]
+    wrong = [c for c in columns if c not in known]
+    if wrong:
+        raise ValueError(f"columns that can't be compared: {', '.join(wrong)}")
+    return columns
+
+
+# --- the viewer's tables ---------------------------------------------------------------
+
+
+def set_table(sets: DataFrame, keys: list[str], best: DataFrame) -> DataFrame:
+    """Transcript sets of each variant, with the one that holds its best transcript marked; ``best``: keys, best_transcript."""
+    names = F.transform("transcripts", lambda x: F.split(x["name"], "-")[0])
+    marked = F.coalesce(F.array_contains(names, F.col("best_transcript")), F.lit(False))
+    return sets.join(best, keys, "left").select(*keys, "set", "transcript_count", "peptide_count", "total_expr", marked.alias("has_best"))
+
+
+def calls_by_allele(calls: DataFrame, keys: list[str], alleles: list[str], values: str = "ic50s_MT") -> DataFrame:
+    """A peptide's array of values, in the order of ``alleles``, as a column for each allele; a value that is lacking is null."""
+    return calls.select(*[col(k) for k in keys], *[F.col(values)[i].alias(a) for i, a in enumerate(alleles)])
+
+
+def gathered(wide: DataFrame, keys: list[str], name: str = "allele", value: str = "value") -> DataFrame:
+    """The reverse: a row for each allele's value that is there."""
+    columns = [c for c in wide.columns if c not in keys]
+    return wide.unpivot([col(k) for k in keys], [col(c) for c in columns], name, value).where(col(value).isNotNull())

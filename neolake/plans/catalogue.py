@@ -4,7 +4,7 @@ The tables are structural stand-ins. ``lineitem`` plays the epitope table:
 ``l_orderkey`` variant, ``l_partkey`` transcript, ``l_suppkey`` allele,
 ``l_extendedprice`` score, ``l_discount`` percentile or fraction, ``l_quantity``
 depth, ``l_returnflag`` biotype; ``part`` and ``documents`` play sequences,
-``benchmark`` the reference proteome, ``events.props`` nested metrics.
+``documents`` also the reference proteome, ``events.props`` nested metrics.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ def query(sql: str | None = None):
     return add
 
 
-def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+def read(spark: SparkSession, sf_dir: str, name: str, *columns) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 
@@ -157,14 +157,6 @@ def methods_pivoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select("p_partkey", *[F.col(f"`{m} MT IC50 Score`").alias(f"{m}_score") for m in methods])
 
 
-@query("""WITH a AS (SELECT l_orderkey, l_suppkey, l_partkey % 10 AS pos, max(l_linenumber) AS v FROM lineitem GROUP BY ALL)
-SELECT count(*) AS pairs, sum(x.v - y.v)::BIGINT AS diff FROM a x JOIN a y ON x.l_orderkey = y.l_orderkey AND x.l_suppkey = y.l_suppkey AND x.pos + 1 = y.pos""")
-def shifted_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_suppkey", (F.col("l_partkey") % 10).alias("pos")).agg(F.max("l_linenumber").alias("v"))
-    b = a.select("l_orderkey", "l_suppkey", (F.col("pos") - 1).alias("pos"), F.col("v").alias("w"))
-    return a.join(b, ["l_orderkey", "l_suppkey", "pos"]).agg(F.count("*").alias("pairs"), F.sum(F.col("v") - F.col("w")).cast("long").alias("diff"))
-
-
 @query("""WITH s AS (SELECT l_orderkey, l_partkey, max(l_tax) AS score FROM lineitem GROUP BY ALL)
 SELECT l_orderkey, first(l_partkey ORDER BY score DESC, l_partkey) AS best_position, max(score) AS best_score, string_agg(l_partkey::VARCHAR || ':' || score::VARCHAR, ',' ORDER BY l_partkey) AS sites FROM s GROUP BY l_orderkey""")
 def best_cleavage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,21 +185,6 @@ def best_candidate_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candidates.best_candidate(epitopes(spark, sf_dir), ["l_orderkey"], Thresholds(), "Median MT IC50 Score", TIE).select(*KEY)
 
 
-@query(f"""WITH {EPITOPES}, s AS (SELECT l_orderkey, l_partkey, array_to_string(list_sort(list(DISTINCT l_suppkey)), '|') AS sig FROM e WHERE score IS NOT NULL GROUP BY ALL),
-r AS (SELECT e.*, row_number() OVER (PARTITION BY e.l_orderkey, s.sig ORDER BY {_CASCADE.replace("l_partkey", "e.l_partkey")}) AS k FROM e JOIN s ON e.l_orderkey = s.l_orderkey AND e.l_partkey = s.l_partkey WHERE score IS NOT NULL)
-SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice FROM r WHERE k = 1""")
-def top_score_same_epitopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return candidates.top_score(epitopes(spark, sf_dir), ["l_orderkey"], "l_partkey", "l_suppkey", Thresholds(), "Median MT IC50 Score", TIE).select(*KEY)
-
-
-@query(f"""WITH {EPITOPES}, l AS (SELECT * FROM e WHERE score < 60000),
-p AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_suppkey ORDER BY {_CASCADE}) AS k FROM l),
-n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_CASCADE}) AS j FROM p WHERE k = 1)
-SELECT e.l_orderkey, e.l_partkey, e.l_suppkey, e.l_linenumber, e.l_extendedprice FROM e JOIN (SELECT l_orderkey, l_suppkey FROM n WHERE j <= 2) q ON e.l_orderkey = q.l_orderkey AND e.l_suppkey = q.l_suppkey""")
-def included_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregate.included(epitopes(spark, sf_dir), ["l_orderkey"], "l_suppkey", "Median MT IC50 Score", Thresholds(inclusion=60000.0, top_peptides=2), TIE).select(*KEY)
-
-
 @query("""SELECT l_orderkey, nullif(count(DISTINCT l_partkey) FILTER (l_extendedprice < 30000 AND l_returnflag = 'A'), 0) AS A, nullif(count(DISTINCT l_partkey) FILTER (l_extendedprice < 30000 AND l_returnflag = 'N'), 0) AS N,
 nullif(count(DISTINCT l_partkey) FILTER (l_extendedprice < 30000 AND l_returnflag = 'R'), 0) AS R FROM lineitem GROUP BY l_orderkey""")
 def allele_pivot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,18 +271,10 @@ def anchor_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("allele").alias("l_suppkey"), F.array_join(F.col("anchors").cast("array<string>"), ",").alias("anchors"))
 
 
-@query("""WITH o AS (SELECT l_orderkey, l_partkey, array_to_string(list_sort(list(DISTINCT l_suppkey)), '|') AS p, max(l_tax) AS x FROM lineitem GROUP BY ALL)
-SELECT l_orderkey, p AS peptides, array_to_string(list_sort(list(l_partkey)), ',') AS transcripts, count(*)::INT AS transcript_count, round(sum(x), 3) AS total_expr FROM o GROUP BY ALL""")
-def transcript_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = aggregate.transcript_sets(read(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_partkey", "l_suppkey", "l_tax")
-    text = lambda c, sep: F.array_join(F.col(c).cast("array<string>"), sep)
-    return s.select("l_orderkey", text("peptides", "|").alias("peptides"), text("transcripts", ",").alias("transcripts"), "transcript_count", "total_expr")
-
-
-@query("""SELECT user_id, count(*) AS n, min((props->>'$.k')::INT) AS least, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS kinds FROM events GROUP BY user_id""")
+@query("""SELECT user_id, '{"event_id":' || event_id || ',"event_type":' || coalesce('"' || nullif(event_type, 'error') || '"', 'null') || ',"k":' || (props->>'$.k') || '}' AS json FROM events""")
 def metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events", "user_id", "event_type", "props").withColumn("k", F.from_json("props", "k int")["k"])
-    return e.groupBy("user_id").agg(F.count("*").alias("n"), F.min("k").alias("least"), F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("kinds"))
+    e = read(spark, sf_dir, "events", "user_id", "event_id", F.nullif("event_type", F.lit("error")).alias("event_type"), F.from_json("props", "k int")["k"].alias("k"))
+    return aggregate.metrics_json(e, "user_id")
 
 
 @query("""WITH m AS (SELECT l_orderkey, l_suppkey, l_returnflag AS a, min(l_extendedprice) AS s FROM lineitem GROUP BY ALL)
@@ -329,23 +298,23 @@ def kmer_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part", "p_name").select(F.explode(S.kmers(F.col("p_name"), 9)).alias("k")).groupBy("k.kmer").agg(F.count("*").alias("n"))
 
 
-@query("""WITH a AS (SELECT p_partkey % 20 AS g, unnest(list_transform(range(1, greatest(length(p_name) - 8, 0) + 1), lambda i: {'kmer': substr(p_name, i, 9), 'pos': i})) AS k FROM part WHERE p_partkey % 2 = 0),
+@query("""WITH a AS (SELECT p_partkey % 20 AS g, unnest(list_transform(range(1, greatest(length(p_name) - 8, 0) + 1), lambda i: {'kmer': substr(p_name, i, 9), 'pos': i})) AS k FROM part),
 b AS (SELECT p_partkey % 20 AS g, unnest(list_transform(range(1, greatest(length(p_type) - 8, 0) + 1), lambda i: {'kmer': substr(p_type, i, 9)})) AS k FROM part)
 SELECT a.g, a.k.kmer AS kmer, max(a.k.pos)::INT AS position FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.g = a.g AND b.k.kmer = a.k.kmer) GROUP BY ALL""")
 def kmer_novel_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read(spark, sf_dir, "part", "p_partkey", "p_name", "p_type").withColumn("g", F.col("p_partkey") % 20)
-    return genomic.novel_kmers(p.where("p_partkey % 2 = 0").select("g", F.col("p_name").alias("protein")), p.select("g", F.col("p_type").alias("protein")), "g", 9)
+    return genomic.novel_kmers(p.select("g", F.col("p_name").alias("protein")), p.select("g", F.col("p_type").alias("protein")), "g", 9)
 
 
-@query("""WITH q AS (SELECT item_id, text AS sequence FROM benchmark), k AS (SELECT item_id, unnest(list_transform(range(1, greatest(length(sequence) - 39, 0) + 1), lambda i: {'pos': i, 'kmer': substr(sequence, i, 40)})) AS k FROM q),
-d AS (SELECT item_id AS hit, text FROM benchmark), kd AS (SELECT hit, unnest(list_transform(range(1, greatest(length(text) - 39, 0) + 1), lambda i: {'kmer': substr(text, i, 40)})) AS k FROM d),
+@query("""WITH k AS (SELECT item_id, unnest(list_transform(range(1, greatest(length(text) - 39, 0) + 1), lambda i: {'pos': i, 'kmer': substr(text, i, 40)})) AS k FROM benchmark),
+kd AS (SELECT doc_id AS hit, unnest(list_transform(range(1, greatest(length(text) - 39, 0) + 1), lambda i: {'kmer': substr(text, i, 40)})) AS k FROM documents),
 h AS (SELECT DISTINCT k.item_id, kd.hit, k.k.pos AS pos FROM k JOIN kd ON k.k.kmer = kd.k.kmer), i AS (SELECT *, pos - row_number() OVER (PARTITION BY item_id, hit ORDER BY pos) AS island FROM h)
 SELECT item_id AS query, hit, min(pos)::INT AS match_start, (max(pos) + 40)::INT AS match_stop FROM i GROUP BY item_id, hit, island""")
 def reference_match_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = read(spark, sf_dir, "benchmark", "item_id", "text")
     none = F.lit(None).cast("string")
-    queries = b.select(F.col("item_id").alias("query"), F.col("text").alias("sequence"), none.alias("transcript"), none.alias("wildtype"))
-    hits = reference.reference_hits(queries, b.select(F.col("item_id").cast("string").alias("id"), F.lit("").alias("description"), F.col("text").alias("sequence")), 40)
+    queries = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query"), F.col("text").alias("sequence"), none.alias("transcript"), none.alias("wildtype"))
+    proteome = read(spark, sf_dir, "documents", F.col("doc_id").cast("string").alias("id"), F.lit("").alias("description"), F.col("text").alias("sequence"))
+    hits = reference.reference_hits(queries, proteome, 40)
     return reference.merged_windows(hits, 40).select("query", F.col("hit").cast("long").alias("hit"), "match_start", "match_stop")
 
 
@@ -355,14 +324,6 @@ def interval_bin_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return genomic.interval_join(e, e.select("user_id", F.col("event_id").alias("other"), F.col("t").alias("u")), ["user_id"], "t", "u", 60).agg(F.count("*").alias("pairs"))
 
 
-@query("""SELECT s_suppkey, coalesce(list_max(list_transform(range(1, greatest(length(s_name) - 6, 0) + 1), lambda i: list_sum(list_transform(range(i, i + 7), lambda j: CASE WHEN substr(s_name, j, 1) IN ('i', 'l', 'r') THEN 2.0::DOUBLE ELSE -1.0::DOUBLE END)))), -99) AS best FROM supplier""")
-def sliding_hydropathy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.col("s_name")
-    weight = lambda i: F.when(name.substr(i, F.lit(1)).isin("i", "l", "r"), 2.0).otherwise(-1.0)
-    total = lambda i: F.aggregate(F.sequence(i, i + 6), F.lit(0.0).cast("double"), lambda t, j: t + weight(j))
-    return read(spark, sf_dir, "supplier", "s_suppkey", "s_name").select("s_suppkey", F.coalesce(F.array_max(F.transform(S.places(F.length(name), 6), total)), F.lit(-99.0)).alias("best"))
-
-
 _DNA = "translate(substr(md5(p_partkey::VARCHAR), 1, 30), '0123456789abcdef', 'ACGTACGTACGTACGT')"
 _CODONS_SQL = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in S.CODONS.items()) + "}"
 
@@ -437,13 +398,4 @@ def ordered_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "nation").join(pairs, F.col("n_regionkey") == F.col("left_seq")).select("n_name", F.col("left").alias("first_region"), F.col("right").alias("second_region"))
 
 
-@query(f"""WITH {EPITOPES}, r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_CASCADE}) AS k, row_number() OVER () AS id FROM e),
-q AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_suppkey ORDER BY {_CASCADE}) AS p FROM e WHERE score < 60000), n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_CASCADE}) AS j FROM q WHERE p = 1),
-i AS (SELECT DISTINCT r.l_orderkey, r.l_partkey, r.l_suppkey, r.score FROM r WHERE k = 1 OR EXISTS (SELECT 1 FROM n WHERE n.l_orderkey = r.l_orderkey AND n.l_suppkey = r.l_suppkey AND j <= 3)),
-c AS (SELECT l_orderkey, count(DISTINCT l_suppkey) AS included, count(DISTINCT l_suppkey) FILTER (score < 20000) AS passing, count(DISTINCT l_partkey) FILTER (score < 20000) AS transcripts FROM i GROUP BY l_orderkey)
-SELECT r.l_orderkey, r.l_partkey, r.l_suppkey, c.included, c.passing, c.transcripts FROM r JOIN c ON r.l_orderkey = c.l_orderkey WHERE k = 1""")
-def aggregated_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Thresholds(binding=20000.0, inclusion=60000.0, top_peptides=3)
-    rows = epitopes(spark, sf_dir).withColumn("HLA Allele", F.lit("HLA-A"))
-    r = aggregate.aggregated_report(rows, ["l_orderkey"], ["HLA-A"], t, "Median MT IC50 Score", "l_suppkey", "l_partkey", TIE)
-    return r.select("l_orderkey", "l_partkey", "l_suppkey", F.col("Num Included Peptides").alias("included"), F.col("Num Passing Peptides").alias("passing"), F.col("Num Passing Transcripts").alias("transcripts"))
+from neolake.plans import catalogue_operators, catalogue_reports  # noqa: E402,F401  (they add their queries)

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from neolake.functions.sequences import centred, changed_window, frameshift_window, kmers, manufacturability, mutated_protein
 from neolake.operators import aggregate, candidates, filters, genomic, predictions, reference, tiers, vector
 from neolake.schemas import Thresholds
 
@@ -25,11 +26,14 @@ class Tool:
     coverage: bool = True
     transcripts: bool = True
     genes: bool = True
+    #: The variant of the top-score filter where it isn't ``keys``, and the column of ``prefix.consequence`` names.
+    top: tuple[str, ...] = ()
+    label: str | None = None
 
 
-MATCHED = Tool("matched", ("Chromosome", "Start", "Stop", "Reference", "Variant"), "MT Epitope Seq", "Transcript", "Median MT IC50 Score", ("Transcript", "HLA Allele", "MT Epitope Seq"))
-SPLICE = Tool("splice", ("Junction",), "Epitope Seq", "Transcript", "Median MT IC50 Score", ("Index", "HLA Allele"))
-FUSION = Tool("fusion", ("Mutation",), "Epitope Seq", "Transcript", "Median IC50 Score", ("HLA Allele", "Epitope Seq"), transcripts=False)
+MATCHED = Tool("matched", ("Chromosome", "Start", "Stop", "Reference", "Variant"), "MT Epitope Seq", "Transcript", "Median MT IC50 Score", ("Transcript", "HLA Allele", "MT Epitope Seq"), label="Index")
+SPLICE = Tool("splice", ("Junction",), "Epitope Seq", "Transcript", "Median IC50 Score", ("Index", "HLA Allele"))
+FUSION = Tool("fusion", ("Mutation",), "Epitope Seq", "Mutation", "Median IC50 Score", ("HLA Allele", "Epitope Seq"), transcripts=False, top=("Chromosome", "Start", "Stop"), label="Mutation")
 BIND = Tool("bind", ("Mutation",), "Epitope Seq", "Mutation", "Median IC50 Score", ("HLA Allele", "Epitope Seq"), coverage=False, transcripts=False, genes=False)
 
 
@@ -73,10 +77,25 @@ def post_process(df: DataFrame, tool: Tool, o: Options, alleles: list[str]) -> R
     if tool.transcripts:
         out = filters.transcript_filter(out, t)
     if not o.elution_only:
-        out = candidates.top_score(out, list(tool.keys), tool.transcript, tool.epitope, t, tool.score, list(tool.tie), tool=tool.name)
+        variant = list(tool.top) if set(tool.top) <= set(out.columns) and tool.top else list(tool.keys)
+        label = tool.label if tool.label in out.columns else None
+        out = candidates.top_score(out, variant, tool.transcript, tool.epitope, t, tool.score, list(tool.tie), label, tool=tool.name)
+        out = out.orderBy(*candidates.default_order(tool.name)) if _sortable(out, tool.name) else out
     return Results(marked, out, report)
 
 
+def _sortable(df: DataFrame, tool: str) -> bool:
+    """The table has the columns that its order asks for."""
+    score = "MT IC50 Score" if tool == "matched" else "IC50 Score"
+    own = {"matched": "Corresponding Fold Change", "splice": "Index"}.get(tool, "Sub-peptide Position")
+    return {f"Median {score}", f"Best {score}", own} <= set(df.columns)
+
+
+def combined(*tables: DataFrame, tool: Tool, o: Options, alleles: list[str]) -> Results:
+    """Epitope tables of several runs (classes of alleles, or lengths) as one, and its post-processing."""
+    return post_process(filters.union_filled(*tables), tool, o, alleles)
+
+
 def tiered(report: DataFrame, tool: Tool, t: Thresholds, vaf_clonal: float = 0.5, anchors: DataFrame | None = None) -> DataFrame:
     """A report with ``Tier``, in the order of tier, rank sum and names; ``anchors``: allele, length, anchors."""
     from neolake.functions.filters import anchor_pass, default_anchors
@@ -148,3 +167,75 @@ def design_construct(peptides: DataFrame, scorer: Callable[[DataFrame], DataFram
                 if order:
                     return order, done
     return None
+
+
+def peptide_fasta(sequences: DataFrame, mutant_only: bool = False, report: DataFrame | None = None, accepted: tuple[str, ...] = ("Accept",)) -> DataFrame:
+    """(id, sequence, and the measures of how hard each is to make): the peptides of a FASTA report.
+
+    ``sequences``: id (``MT.index`` or ``WT.index``), sequence. ``report`` (Index)
+    keeps the sequences it lists; one with ``Evaluation`` those of accepted rows.
+    """
+    rows = sequences.withColumn("_side", F.split_part("id", F.lit("."), F.lit(1))).withColumn("_index", F.expr("substring(id, instr(id, '.') + 1)"))
+    rows = rows.where("_side <> 'WT'") if mutant_only else rows
+    if report is not None:
+        listed = filters.evaluation_filter(report, accepted) if "Evaluation" in report.columns else report
+        rows = rows.join(listed.select(F.col("Index").alias("_index")).distinct(), "_index", "left_semi")
+    return rows.select("id", "sequence", *[v.alias(k) for k, v in manufacturability(F.col("sequence")).items()])
+
+
+def variant_sequences(variants: DataFrame, flank: int, downstream: int | None = 1000) -> DataFrame:
+    """(id, sequence) of the mutant and wild-type windows of every variant (index and the columns of an annotated variant).
+
+    Frameshifts go from ``flank`` residues before to ``downstream`` after their
+    position, the others ``flank`` residues to either side of what changes. A change
+    that doesn't fit its protein gives no rows; a wild type has a window of its own.
+    """
+    position = F.regexp_extract("protein_position", r"^(\d+)", 1).cast("int")
+    shift = F.col("variant_type") == "FS"
+    wild = F.col("wildtype_amino_acid_sequence")
+    mutant = F.when(shift, F.col("frameshift_amino_acid_sequence")).otherwise(mutated_protein(wild, F.col("amino_acid_change"), position))
+    rows = variants.withColumns({"_position": position, "_wild": wild, "_mutant": mutant}).where("_mutant is not null")
+    windows = {
+        "MT": F.when(shift, frameshift_window(F.col("_mutant"), F.col("_position"), flank, downstream)).otherwise(changed_window(F.col("_mutant"), F.col("_wild"), flank)),
+        "WT": F.when(shift, frameshift_window(F.col("_wild"), F.col("_position"), flank, flank)).otherwise(centred(F.col("_wild"), F.col("_position"), flank)),
+    }
+    each = F.explode(F.array(*[F.struct(F.concat(F.lit(side + "."), F.col("index")).alias("id"), w.alias("sequence")) for side, w in windows.items()])).alias("x")
+    return rows.select(each).select("x.*").where("sequence <> ''")
+
+
+def peptides_of(sequences: DataFrame, lengths: list[int], alleles: list[str]) -> DataFrame:
+    """(side, index, allele, length, position, epitope): every peptide of the sequences, for every allele."""
+    side, index = F.split_part("id", F.lit("."), F.lit(1)), F.expr("substring(id, instr(id, '.') + 1)")
+    usable = sequences.where(F.col("sequence").rlike("^[ACDEFGHIKLMNPQRSTVWY]+$"))
+    each = F.explode(F.flatten(F.array(*[F.transform(kmers(F.col("sequence"), k), lambda x, k=k: F.struct(F.lit(k).alias("length"), x["position"].alias("position"), x["kmer"].alias("epitope"))) for k in lengths]))).alias("k")
+    rows = usable.select(side.alias("side"), index.alias("index"), each, F.array(*[F.lit(a) for a in alleles]).alias("a"))
+    return rows.select("side", "index", F.explode("a").alias("allele"), "k.length", "k.position", "k.epitope")
+
+
+def run(variants: DataFrame, alleles: list[str], lengths: list[int], methods: list[str], o: Options, flank: int | None = None) -> Results:
+    """A whole run on annotated variants (with ``index``): windows, peptides, predictions, the epitope table, and its post-processing.
+
+    Every peptide is predicted once for each allele and method, however many variants have it.
+    """
+    sequences = variant_sequences(variants, flank if flank is not None else max(lengths) - 1)
+    peptides = peptides_of(sequences, lengths, alleles)
+    scores = predictions.predict(peptides.select("allele", "length", "epitope"), methods)
+    kinds = variants.select("index", "variant_type", F.abs(F.length(F.replace(F.split_part("amino_acid_change", F.lit("/"), F.lit(2)), F.lit("-"), F.lit(""))) - F.length(F.replace(F.split_part("amino_acid_change", F.lit("/"), F.lit(1)), F.lit("-"), F.lit("")))).alias("shift"))
+    key = ["index", "allele", "length", "position", "epitope"]
+    mutant = peptides.where("side = 'MT'").select(*key).join(kinds.fillna(0, ["shift"]), "index")
+    table = epitope_table(mutant, peptides.where("side = 'WT'").select(*key), scores)
+    return post_process(exported_epitopes(table, variants), MATCHED, o, alleles)
+
+
+def exported_epitopes(table: DataFrame, variants: DataFrame) -> DataFrame:
+    """Summarised epitopes with their variants' columns, under the names of the exported table."""
+    joined = predictions.joined_to_variants(table, variants)
+    names = {
+        "chromosome_name": "Chromosome", "start": "Start", "stop": "Stop", "reference": "Reference", "variant": "Variant", "transcript_name": "Transcript", "transcript_support_level": "Transcript Support Level", "transcript_length": "Transcript Length",
+        "canonical": "Canonical", "mane_select": "MANE Select", "biotype": "Biotype", "transcript_cds_flags": "Transcript CDS Flags", "variant_type": "Variant Type", "amino_acid_change": "Mutation", "protein_position": "Protein Position", "gene_name": "Gene Name",
+        "allele": "HLA Allele", "length": "Peptide Length", "position": "Sub-peptide Position", "epitope": "MT Epitope Seq", "wt_epitope": "WT Epitope Seq", "mutation_position": "Mutation Position", "index": "Index",
+        "best_score_method": "Best MT IC50 Score Method", "best_score": "Best MT IC50 Score", "corresponding_wt_score": "Corresponding WT IC50 Score", "corresponding_fold_change": "Corresponding Fold Change", "best_percentile": "Best MT Percentile",
+        "corresponding_wt_percentile": "Corresponding WT Percentile", "median_score": "Median MT IC50 Score", "median_wt_score": "Median WT IC50 Score", "median_fold_change": "Median Fold Change", "median_percentile": "Median MT Percentile", "median_wt_percentile": "Median WT Percentile",
+        "tdna_depth": "Tumor DNA Depth", "tdna_vaf": "Tumor DNA VAF", "trna_depth": "Tumor RNA Depth", "trna_vaf": "Tumor RNA VAF", "normal_depth": "Normal Depth", "normal_vaf": "Normal VAF", "gene_expression": "Gene Expression", "transcript_expression": "Transcript Expression",
+    }
+    return joined.select(*[F.col(k).alias(v) for k, v in names.items() if k in joined.columns])

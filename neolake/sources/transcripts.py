@@ -81,13 +81,27 @@ def read_star_fusion(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*_breakpoint(F.col("LeftBreakpoint"), "left"), *_breakpoint(F.col("RightBreakpoint"), "right"), reads.alias("read_support"), F.col("FFPM").try_cast("double").alias("expression"))
 
 
-def read_agfusion_exons(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Exon tables, tab- or comma-separated by their names."""
-    parts = [spark.read.csv(p, sep="," if p.endswith(".csv") else "\t", header=True, inferSchema=False) for p in paths]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+def read_agfusion_exons(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Exon tables, tab- or comma-separated by what stands in each file, as text columns; ``file`` is where a row comes from."""
+    lines = spark.read.text(paths).withColumn("file", F.input_file_name())
+    cells = F.split("value", F.when(F.contains("value", F.lit("\t")), F.lit("\t")).otherwise(F.lit(",")))
+    names = "5'_gene 3'_gene 5'_transcript 3'_transcript exon_gene_source exon_number exon_chr exon_start exon_end".split()
+    rows = lines.select("file", F.transform(cells, lambda x: F.trim(F.replace(x, F.lit('"'), F.lit("")))).alias("c"))
+    heads = rows.where(F.array_contains("c", "exon_start") & F.array_contains("c", "exon_chr")).select("file", F.col("c").alias("h")).distinct()  # one row a file
+    body = rows.join(heads, "file").where(F.col("c") != F.col("h"))
+    return body.select("file", *[F.try_element_at("c", F.array_position("h", n).cast("int")).alias(n) if n != "exon_number" else F.when(F.array_contains("h", n), F.try_element_at("c", F.greatest(F.array_position("h", n), F.lit(1)).cast("int"))).alias(n) for n in names])
+
+
+def read_agfusion(spark: SparkSession, folder: str) -> DataFrame:
+    """(fusion, id, sequence) of all ``*_protein.fa`` files one level below a folder; ``fusion`` is the folder's name.
+
+    Proteins are cut at the first stop and upper case.
+    """
+    lines = spark.read.text(f"{folder}/*/*_protein.fa", lineSep="\n>").withColumn("fusion", F.element_at(F.split(F.input_file_name(), "/"), -2))
+    records = lines.select("fusion", F.regexp_replace("value", r"^>", "").alias("r")).where(F.trim("r") != "")
+    head = F.split("r", "\n", 2)
+    sequence = F.upper(F.regexp_replace(F.coalesce(F.try_element_at(head, F.lit(2)), F.lit("")), r"\s", ""))
+    return records.select("fusion", F.split(F.trim(head[0]), r"\s+", 2)[0].alias("id"), F.regexp_extract(sequence, r"^[^*]*", 0).alias("sequence"))
 
 
 def exon_extents(exons: DataFrame) -> DataFrame:
