@@ -59,20 +59,26 @@ class Scratch:
         prepare(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-        self.n = 0
+        self.tables: list[tuple[DataFrame, str]] = []
 
     def store(self, df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
         """Write ``df`` once and return the written table."""
-        self.n += 1
-        path = f"{self.root}/{name}-{self.n}"
+        path = f"{self.root}/{name}-{len(self.tables) + 1}"
         df.write.option("compression", codec).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, df: DataFrame) -> None:
-        """Delete the files of a table that ``store`` returned and nothing reads any more."""
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.tables.append((out, path))
+        return out
+
+    def drop(self, *gone: DataFrame) -> None:
+        """Delete the files of tables that ``store`` returned and nothing reads any more."""
+        for df, name in self.tables:
+            if any(df is x for x in gone):
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def keep(self, *used: DataFrame) -> None:
+        """Delete all tables but those that the operator's result still reads."""
+        self.drop(*[df for df, _ in self.tables if not any(df is x for x in used)])
 
 
 @contextmanager

@@ -101,6 +101,7 @@ def mix(docs: DataFrame, seed: str = "mix", rounds: int = ROUNDS) -> DataFrame:
     last = times.join(F.broadcast(cut), "range").withColumn("total", F.col("before_range") + F.sum("size").over(order)).where("total > budget")
     tie = F.struct("finish", F.col("source").isNull(), F.coalesce("source", F.lit("")), "order", "doc_id", "size", "round")
     last = scratch.store(last.agg(F.min(tie).alias("stop")), "stop")  # one row: the first that is not taken, or null
+    scratch.keep(rows, last)
 
     def taken(k: int) -> F.Column:
         at = (k * F.col("source_size") + F.col("upto")) / F.col("target")

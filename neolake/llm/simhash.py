@@ -221,6 +221,7 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3) -> Da
     named = fps.join(parts.select(F.col("node").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     ids = scratch.store(named.join(least, "component").select("fp", "component_id"), "components")
+    scratch.keep(own, ids)
     return own.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
@@ -473,7 +474,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> D
     order = np.argsort(keys)
     prefixes = once.mapInArrow(_prefixes(shingle, similarity, keys[order], often["n"].to_numpy()[order]), "key long, head long, n int, at int")
     rows = scratch.store(prefixes.repartition("key").sortWithinPartitions("key").mapInArrow(_met, "key long, head long, n int, at int"), "prefixes")
-    start, stop = 1, NEAR + 1
+    held, start, stop = rows, 1, NEAR + 1
     while True:
         named = rows.join(parts.withColumnRenamed("node", "head"), "head", "left").withColumn("component", F.coalesce("component", "head"))
         sides = named.groupBy("key").agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high"))
@@ -483,10 +484,12 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> D
         found = left.repartition("key").sortWithinPartitions("key", "n", "head").mapInArrow(_pairs(similarity, start, stop), "u long, v long").where("u <> v").distinct()
         close = close.union(_close(texts, heads, found, shingle, similarity, scratch))
         parts = scratch.store(connected_components(close, scratch), "parts")
-        scratch.drop(rows)
-        rows, start, stop = left.select("key", "head", "n", "at"), stop, stop * SPREAD
+        scratch.drop(held)
+        held, rows, start, stop = left, left.select("key", "head", "n", "at"), stop, stop * SPREAD
     named = heads.select("name", "head").join(parts.withColumnRenamed("node", "head"), "head", "left").select("name", F.coalesce("component", "head").alias("component_id"))
-    return own.select("doc_id", "name").join(named, "name").where("doc_id <> component_id").select("doc_id", "component_id")
+    out = scratch.store(own.select("doc_id", "name").join(named, "name").where("doc_id <> component_id").select("doc_id", "component_id"), "copies")
+    scratch.keep(out)
+    return out
 
 
 def near_dedup(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:

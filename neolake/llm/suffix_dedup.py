@@ -408,6 +408,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     twins = Window.partitionBy("first").orderBy("h", "g")
     firsts = scratch.store(firsts.withColumn("twin", F.row_number().over(twins) - 1), "firsts")
     runs = removed_runs(texts.where("doc_id is not null"), firsts, scratch)
+    scratch.keep(firsts, runs)
     runs = runs.groupBy("doc_id", "twin").agg(F.collect_set(F.struct("from", "to")).alias("runs"))
     runs = firsts.join(runs.withColumnRenamed("doc_id", "first"), ["first", "twin"], "left").select("h", "g", "first", "runs")
     out = texts.join(runs, ["h", "g"], "left")

@@ -104,6 +104,7 @@ def judge(pages: DataFrame, rules: DataFrame, iterations: int = ITERATIONS) -> D
     distrust = propagate(seeds.select("host", F.col("block").alias("seed"), "judged"), back, scratch, iterations)
     scores = seeds.select("host").join(trust.withColumnRenamed("score", "trust"), "host", "left").join(distrust.withColumnRenamed("score", "distrust"), "host", "left")
     scores = scratch.store(scores.fillna(0.0, ["trust", "distrust"]), "scores")
+    scratch.keep(own, scores)
     method = F.when(F.round(F.col("distrust") - F.col("trust"), 9) > MARGIN, "block").otherwise("allow")
     out = small_join(own, scores, ["host"], "left")
     return out.select("page_id", "host", "path", "rule", F.coalesce("action", method).alias("verdict"), "trust", "distrust")
