@@ -57,5 +57,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = scratch.store(stage(spark, docs, sf_dir), name)
+        docs, before = scratch.store(stage(spark, docs, sf_dir), name), docs
+        scratch.drop(before)  # the next stage reads this one's table only
     return docs
