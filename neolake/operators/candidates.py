@@ -43,13 +43,13 @@ def best_order(df: DataFrame, t: Thresholds, score: str, tie: list[str], tool: s
     """The order whose first row is the best candidate: matched, splice, fusion or bind."""
     first = _prefer(df, t, anchor, allow_incomplete) if tool in ("matched", "splice") else _prefer(df.select(*[col(c) for c in df.columns if c == "Problematic Positions"]), t, None, False)
     out = [*first, number(score).asc_nulls_last()]
-    if tool in ("matched", "splice"):
-        tsl = "TSL" if "TSL" in df.columns else "Transcript Support Level"
-        length = "WT Protein Length" if tool == "splice" else "Transcript Length"
-        out += [truthy(col("MANE Select")).desc(), truthy(col("Canonical")).desc(), number(tsl).asc_nulls_last(), number(length).desc_nulls_last(), number("Transcript Expression").desc_nulls_last()]
-    if tool == "fusion":
-        out.append(number("Expression").desc_nulls_last())
-    return [*out, *[col(c).asc_nulls_last() for c in tie]]
+    tsl = "TSL" if "TSL" in df.columns else "Transcript Support Level"
+    length = "WT Protein Length" if tool == "splice" else "Transcript Length"
+    model = {
+        "MANE Select": truthy(col("MANE Select")).desc(), "Canonical": truthy(col("Canonical")).desc(), tsl: F.coalesce(number(tsl), F.lit(6.0)).asc(), length: number(length).desc_nulls_last(), "Transcript Expression": number("Transcript Expression").desc_nulls_last(),
+    }
+    by = {"matched": model, "splice": model, "fusion": {"Expression": number("Expression").desc_nulls_last()}}.get(tool, {})
+    return [*out, *[order for name, order in by.items() if name in df.columns], *[col(c).asc_nulls_last() for c in tie]]
 
 
 def best_candidate(df: DataFrame, keys: list[str], t: Thresholds, score: str, tie: list[str], **how) -> DataFrame:
