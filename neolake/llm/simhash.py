@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import BASE, Scratch, mix64, name_hashes, slices, small_join, utf8, words
@@ -40,6 +40,8 @@ HOT = 4096
 FREQUENT = 100_000
 #: Texts of one shingle are paired by their distance in order of size: up to the first of these, then SPREAD times as far.
 NEAR, SPREAD = 8, 8
+#: Before that, each text is tried with so many neighbours by so many of its most frequent shingles.
+SHARED = 2
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -245,11 +247,13 @@ def _parities(h: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(np.r_[0, ends // 8].astype(np.int32)), pa.py_buffer(np.packbits(flipped, bitorder="little"))])
 
 
-OUTLINE = "doc_id long, name binary, fp0 long, fp1 long, n int, bits binary"
+#: Parity bits of a fixed size, 256, for comparisons inside a task.
+SMALL = ["s0", "s1", "s2", "s3"]
+OUTLINE = "doc_id long, name binary, fp0 long, fp1 long, n int, bits binary, " + ", ".join(f"{x} long" for x in SMALL)
 
 
 def _outlines(shingle: int):
-    """The text's 128-bit name, SimHash of its sets of shingles and of words, number of shingles and their parity bits."""
+    """The text's 128-bit name, SimHash of its sets of shingles and of words, number of shingles and their parity bits, of two sizes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,9 +264,11 @@ def _outlines(shingle: int):
                 own, words = _sets(row, h)
                 at, shingles = _sets(*_runs(row, h, shingle))
                 n = np.bincount(at, minlength=b.num_rows)
+                flipped = np.bincount(at * 256 + (shingles & np.uint64(255)).astype(np.int64), minlength=256 * b.num_rows) & 1
+                small = np.packbits(flipped.astype(np.uint8), bitorder="little").view("<i8").reshape(-1, 4)
                 fps = _bits(shingles, n), _bits(mix64(words ^ np.uint64(BASE)), np.bincount(own, minlength=b.num_rows))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array(names, pa.binary()), *[pa.array(x.view(np.int64)) for x in fps], pa.array(n.astype(np.int32)), _parities(shingles, n)], [c.split()[0] for c in OUTLINE.split(", ")]
+                    [b.column("doc_id"), pa.array(names, pa.binary()), *[pa.array(x.view(np.int64)) for x in fps], pa.array(n.astype(np.int32)), _parities(shingles, n), *[pa.array(small[:, k].copy()) for k in range(4)]], [c.split()[0] for c in OUTLINE.split(", ")]
                 )
 
     return run
@@ -394,17 +400,18 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pairs(similarity: float, start: int, stop: int):
-    """Pairs of one key's texts, by size, that are ``start`` to ``stop - 1`` places apart, that aren't in one component yet and that sizes and places allow to be copies."""
+    """Pairs of one key's texts, by size, that are ``start`` to ``stop - 1`` places apart, that aren't in one component yet and that sizes, places and small parity bits allow to be copies."""
+    share = (1 - similarity) / (1 + similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "head", "component", "n", "at"]
+        names = ["key", "head", "component", "n", "at", *SMALL]
         rows = [np.zeros(0, np.int64)] * len(names)
         for b in batches:
             if not b.num_rows:
                 continue
             old = len(rows[0])
             rows = [np.r_[x, b.column(c).to_numpy().astype(np.int64)] for x, c in zip(rows, names)]
-            key, head, component, n, at = rows
+            key, head, component, n, at, *small = rows
             j = np.arange(max(old, start), len(key))
             for d in range(start, stop):
                 j = j[j >= d]
@@ -414,7 +421,10 @@ def _pairs(similarity: float, start: int, stop: int):
                 i = j - d
                 most = np.minimum(at[i], at[j]) + 1 + np.minimum(n[i] - at[i], n[j] - at[j]) - 1
                 ok = (component[i] != component[j]) & (most >= similarity * (n[i] + n[j] - most) - 1e-9)
-                u, v = head[i[ok]], head[j[ok]]
+                i, o = i[ok], j[ok]
+                far = sum((np.bitwise_count((x[i] ^ x[o]).view(np.uint64)).astype(np.int64) for x in small), np.zeros(len(i), np.int64))
+                ok = far <= share * (n[i] + n[o]) + 1e-9
+                u, v = head[i[ok]], head[o[ok]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
             keep = max(int(np.searchsorted(key, key[-1])), len(key) - stop + 1)
             rows = [x[keep:] for x in rows]
@@ -453,7 +463,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> D
     scratch = Scratch(docs.sparkSession, "copies")
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     own = scratch.store(texts.mapInArrow(_outlines(shingle), OUTLINE), "outlines")
-    heads = own.groupBy("name").agg(F.min("doc_id").alias("head"), *[F.any_value(x).alias(x) for x in ("fp0", "fp1", "n", "bits")])  # equal names, equal outlines
+    heads = own.groupBy("name").agg(F.min("doc_id").alias("head"), *[F.any_value(x).alias(x) for x in ("fp0", "fp1", "n", "bits", *SMALL)])  # equal names, equal outlines
     heads = scratch.store(heads, "heads")
     edges = None
     for x in ("fp0", "fp1"):
@@ -474,18 +484,24 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> D
     order = np.argsort(keys)
     prefixes = once.mapInArrow(_prefixes(shingle, similarity, keys[order], often["n"].to_numpy()[order]), "key long, head long, n int, at int")
     rows = scratch.store(prefixes.repartition("key").sortWithinPartitions("key").mapInArrow(_met, "key long, head long, n int, at int"), "prefixes")
-    held, start, stop = rows, 1, NEAR + 1
+    held, start, stop, early = rows, 1, NEAR + 1, True
     while True:
-        named = rows.join(parts.withColumnRenamed("node", "head"), "head", "left").withColumn("component", F.coalesce("component", "head"))
+        known = heads.select("head", *SMALL).join(parts.withColumnRenamed("node", "head"), "head", "left").withColumn("component", F.coalesce("component", "head"))
+        named = rows.join(known, "head")
         sides = named.groupBy("key").agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high"))
-        left = scratch.store(named.join(sides.where((F.col("low") < F.col("high")) & (F.col("rows") > start)).select("key"), "key"), "left")
+        left = scratch.store(named.join(sides.where((F.col("low") < F.col("high")) & (F.col("rows") > start)).select("key", "rows"), "key"), "left")
         if left.isEmpty():
             break
-        found = left.repartition("key").sortWithinPartitions("key", "n", "head").mapInArrow(_pairs(similarity, start, stop), "u long, v long").where("u <> v").distinct()
+        tried = left
+        if early:  # large groups first: each text by its most shared shingles only, with the texts next to it
+            nth = F.row_number().over(Window.partitionBy("head").orderBy(F.desc("rows"), "key"))
+            tried = left.withColumn("nth", nth).where(F.col("nth") <= SHARED)
+        found = tried.drop("rows").repartition("key").sortWithinPartitions("key", "n", "head").mapInArrow(_pairs(similarity, start, SHARED + 1 if early else stop), "u long, v long").where("u <> v").distinct()
         close = close.union(_close(texts, heads, found, shingle, similarity, scratch))
         parts = scratch.store(connected_components(close, scratch), "parts")
         scratch.drop(held)
-        held, rows, start, stop = left, left.select("key", "head", "n", "at"), stop, stop * SPREAD
+        held, rows = left, left.select("key", "head", "n", "at")
+        start, stop, early = (start, stop, False) if early else (stop, stop * SPREAD, False)
     named = heads.select("name", "head").join(parts.withColumnRenamed("node", "head"), "head", "left").select("name", F.coalesce("component", "head").alias("component_id"))
     out = scratch.store(own.select("doc_id", "name").join(named, "name").where("doc_id <> component_id").select("doc_id", "component_id"), "copies")
     scratch.keep(out)
