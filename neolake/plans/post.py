@@ -212,19 +212,22 @@ def peptides_of(sequences: DataFrame, lengths: list[int], alleles: list[str]) ->
     return rows.select("side", "index", F.explode("a").alias("allele"), "k.length", "k.position", "k.epitope")
 
 
-def run(variants: DataFrame, alleles: list[str], lengths: list[int], methods: list[str], o: Options, flank: int | None = None) -> Results:
+def run(variants: DataFrame, alleles: list[str], lengths: list[int], methods: list[str], o: Options, flank: int | None = None, store: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> Results:
     """A whole run on annotated variants (with ``index``): windows, peptides, predictions, the epitope table, and its post-processing.
 
     Every peptide is predicted once for each allele and method, however many variants have it.
+    ``store`` writes a step's table under a name and returns the written one, so that
+    what follows doesn't compute it again: variants, sequences, scores and epitopes.
     """
-    sequences = variant_sequences(variants, flank if flank is not None else max(lengths) - 1)
+    variants = store(variants, "variants")
+    sequences = store(variant_sequences(variants, flank if flank is not None else max(lengths) - 1), "sequences")
     peptides = peptides_of(sequences, lengths, alleles)
-    scores = predictions.predict(peptides.select("allele", "length", "epitope"), methods)
+    scores = store(predictions.predict(peptides.select("allele", "length", "epitope"), methods), "scores")
     kinds = variants.select("index", "variant_type", F.abs(F.length(F.replace(F.split_part("amino_acid_change", F.lit("/"), F.lit(2)), F.lit("-"), F.lit(""))) - F.length(F.replace(F.split_part("amino_acid_change", F.lit("/"), F.lit(1)), F.lit("-"), F.lit("")))).alias("shift"))
     key = ["index", "allele", "length", "position", "epitope"]
     mutant = peptides.where("side = 'MT'").select(*key).join(kinds.fillna(0, ["shift"]), "index")
     table = epitope_table(mutant, peptides.where("side = 'WT'").select(*key), scores)
-    return post_process(exported_epitopes(table, variants), MATCHED, o, alleles)
+    return post_process(store(exported_epitopes(table, variants), "epitopes"), MATCHED, o, alleles)
 
 
 def exported_epitopes(table: DataFrame, variants: DataFrame) -> DataFrame:

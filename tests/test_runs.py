@@ -30,7 +30,12 @@ def test_variants_to_report(spark, tmp_path):
     predictions.register("sum", lambda f: f.assign(score=f["epitope"].map(lambda e: float(sum(map(ord, e)) % 400 + 1)), percentile=1.0))
     variants = vcf.annotated_variants(spark, str(tmp_path / "x.vcf"), "T")
     variants = variants.withColumn("index", vcf.dotted_index(variants.start, variants.gene_name, variants.transcript_name, variants.variant_type, variants.protein_position))
-    done = post.run(variants, ["HLA-A*02:01"], [8], ["sum"], post.Options(Thresholds(binding=500.0)))
+
+    def store(df, name):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    done = post.run(variants, ["HLA-A*02:01"], [8], ["sum"], post.Options(Thresholds(binding=500.0)), store=store)
     rows = done.all_epitopes.collect()
     changed = PROTEIN[:8] + "W" + PROTEIN[9:]
     own = {changed[i : i + 8] for i in range(len(PROTEIN) - 7)} - {PROTEIN[i : i + 8] for i in range(len(PROTEIN) - 7)}
