@@ -36,6 +36,8 @@ from .graph import connected_components
 
 SEED = 42
 HOT = 4096
+#: Bytes of text that are outlined at once: a word takes 128 bytes there.
+OUTLINED = 1 << 19
 #: Most frequent shingles that come last in the order of a text's shingles; any order gives the same copies.
 FREQUENT = 100_000
 #: Texts of one shingle are paired by their distance in order of size: up to the first of these, then SPREAD times as far.
@@ -257,7 +259,7 @@ def _outlines(shingle: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, "text"):
+            for b in slices(batch, "text", OUTLINED):
                 h, row = _words(b)
                 upto = np.searchsorted(row, np.arange(b.num_rows + 1))
                 names = [xxhash.xxh3_128_digest(h[i:j].tobytes()) for i, j in zip(upto, upto[1:])]
