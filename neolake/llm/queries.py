@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_crf, language, mixing, quality, simhash, suffix_dedup, token_output, url_filter, winnowing
+from . import decontaminate, html_crf, language, mixing, quality, simhash, suffix_dedup, token_output, url_filter, vector_codes, winnowing
 from ._common import Scratch, table
 
 
@@ -55,6 +55,10 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(spark, path)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_url_filter": op2_url_filter,
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_simhash": op9_simhash,
     "op10_tokens": op10_tokens,
+    "op11_vector_codes": op11_vector_codes,
 }
 
-ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE, "op2_url_filter": url_filter.ORACLE, "op7_winnowing": winnowing.ORACLE}
+ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE, "op2_url_filter": url_filter.ORACLE, "op7_winnowing": winnowing.ORACLE, "op11_vector_codes": vector_codes.ORACLE}
