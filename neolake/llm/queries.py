@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_crf, language, line_dedup, mixing, quality, simhash, suffix_dedup, token_output, url_filter, vector_codes, winnowing
+from . import decontaminate, divergence, html_crf, language, line_dedup, mixing, quality, simhash, suffix_dedup, token_output, url_filter, vector_codes, winnowing
 from ._common import Scratch, table
 
 
@@ -63,6 +63,10 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), texts=False)
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_url_filter": op2_url_filter,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_tokens": op10_tokens,
     "op11_vector_codes": op11_vector_codes,
     "op12_line_dedup": op12_line_dedup,
+    "op13_divergence": op13_divergence,
 }
 
-ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE, "op2_url_filter": url_filter.ORACLE, "op7_winnowing": winnowing.ORACLE, "op11_vector_codes": vector_codes.ORACLE, "op12_line_dedup": line_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE, "op2_url_filter": url_filter.ORACLE, "op7_winnowing": winnowing.ORACLE, "op11_vector_codes": vector_codes.ORACLE, "op12_line_dedup": line_dedup.ORACLE, "op13_divergence": divergence.ORACLE}
