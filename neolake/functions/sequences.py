@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,31 +27,52 @@ def places(n: Column, last: Column | int = 0) -> Column:
     return F.when(end >= 1, F.sequence(F.lit(1), F.greatest(end, F.lit(1)).cast("int"))).otherwise(F.array().cast("array<int>"))
 
 
-def kmers(sequence: Column, k: int) -> Column:
-    """Structs (position from 1, kmer)."""
-    return F.transform(places(F.length(sequence), k - 1), lambda i: F.struct(i.alias("position"), sequence.substr(i, F.lit(k)).alias("kmer")))
+#: Letters up to which a text is cut at every place from its start; longer ones are cut into pieces first, as each such cut walks the text.
+SHORT = 256
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also inside the lambdas of ``body``."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def kmers(sequence: Column, k: int | Column) -> Column:
+    """Structs (position from 1, kmer), in time that grows with the length of the text."""
+    k = F.lit(k) if isinstance(k, int) else k
+    cut = lambda s, before: F.transform(places(F.length(s), k - 1), lambda i: F.struct((i + before).cast("int").alias("position"), s.substr(i, k).alias("kmer")))
+    size = F.greatest(F.lit(SHORT), k)  # so that a k-mer ends in its piece or the next one
+    pieces = F.regexp_extract_all(sequence, F.concat(F.lit("(?s).{1,"), size.cast("string"), F.lit("}")), F.lit(0))
+    whole = lambda p: F.transform(p, lambda x, i: F.struct(F.concat(x, F.coalesce(F.left(F.try_element_at(p, i + 2), k - 1), F.lit(""))).alias("piece"), (i * size).alias("before")))
+    # the k-1 letters of the next piece add no k-mer of their own
+    long = let(pieces, lambda p: F.flatten(F.transform(whole(p), lambda x: cut(x["piece"], x["before"]))))
+    return F.when(F.length(sequence) <= SHORT, cut(sequence, F.lit(0))).otherwise(long)
 
 
 def letters(sequence: Column) -> Column:
-    return F.transform(places(F.length(sequence)), lambda i: sequence.substr(i, F.lit(1)))
+    short = F.transform(places(F.length(sequence)), lambda i: sequence.substr(i, F.lit(1)))
+    return F.when(F.length(sequence) <= SHORT, short).otherwise(F.regexp_extract_all(sequence, F.lit("(?s)."), F.lit(0)))
+
+
+def _same(a: Column, b: Column) -> Column:
+    """For each place of the longer text whether both have the same letter there."""
+    return F.zip_with(letters(a), letters(b), lambda x, y: F.coalesce(x == y, F.lit(False)))
 
 
 def mutated_positions(mutant: Column, wildtype: Column) -> Column:
     """Positions where the two differ, joined by ``, ``; null without a wild type."""
-    at = F.filter(places(F.length(mutant)), lambda i: mutant.substr(i, F.lit(1)) != wildtype.substr(i, F.lit(1)))
+    at = F.filter(F.transform(F.slice(_same(mutant, wildtype), F.lit(1), F.length(mutant)), lambda same, i: F.when(~same, i + 1)), lambda i: i.isNotNull())
     return F.when(wildtype.isNotNull(), F.array_join(at.cast("array<string>"), ", "))
 
 
 def matches(a: Column, b: Column) -> Column:
     """Number of positions with equal residues."""
-    return F.size(F.filter(places(F.least(F.length(a), F.length(b))), lambda i: a.substr(i, F.lit(1)) == b.substr(i, F.lit(1))))
+    return F.size(F.filter(_same(a, b), lambda same: same))
 
 
 def matches_from_left(a: Column, b: Column) -> Column:
     """Length of the common prefix."""
-    n = F.least(F.length(a), F.length(b))
-    differs = F.filter(places(n), lambda i: a.substr(i, F.lit(1)) != b.substr(i, F.lit(1)))
-    return F.when(F.size(differs) == 0, n).otherwise(F.try_element_at(differs, F.lit(1)) - 1)
+    first = F.array_position(_same(a, b), F.lit(False)).cast("int")
+    return F.when(first > 0, first - 1).otherwise(F.least(F.length(a), F.length(b)))
 
 
 def matches_from_right(a: Column, b: Column) -> Column:
@@ -99,8 +121,8 @@ def overlaid(sequence: Column, changes: Column) -> Column:
 def translate_dna(dna: Column) -> Column:
     """Amino acids up to the first stop; an unknown codon is X; a rest of one or two bases is dropped."""
     table = _map(CODONS)
-    n = F.floor(F.length(dna) / 3).cast("int")
-    aa = F.transform(places(n), lambda i: F.coalesce(F.try_element_at(table, F.upper(dna.substr((i - 1) * 3 + 1, F.lit(3)))), F.lit("X")))
+    codons = F.regexp_extract_all(dna, F.lit("(?s).{3}"), F.lit(0))
+    aa = F.transform(codons, lambda c: F.coalesce(F.try_element_at(table, F.upper(c)), F.lit("X")))
     return F.regexp_extract(F.array_join(aa, ""), r"^[^*]*", 0)
 
 
@@ -143,7 +165,7 @@ def _gravy(part: Column) -> Column:
 def manufacturability(sequence: Column) -> dict[str, Column]:
     """Eight measures of how hard a peptide is to make; null below seven residues."""
     n = F.length(sequence)
-    sevens = F.transform(places(n, 6), lambda i: _gravy(sequence.substr(i, F.lit(7))))
+    sevens = F.transform(kmers(sequence, 7), lambda x: _gravy(x["kmer"]))
     count = lambda pattern: F.regexp_count(sequence, F.lit(pattern))
     last, first = sequence.substr(n, F.lit(1)), sequence.substr(F.lit(1), F.lit(1))
     measures = {
@@ -161,8 +183,8 @@ def core_position(start: Column, core: Column, peptide: Column) -> Column:
 def window_around(sequence: Column, epitope: Column, flank: int, near: Column) -> Column:
     """The epitope's occurrence closest to a position, with ``flank`` residues on either side."""
     n = F.length(epitope)
-    starts = F.filter(places(F.length(sequence), n - 1), lambda i: sequence.substr(i, n) == epitope)
-    best = F.array_min(F.transform(starts, lambda i: F.struct(F.abs(i - near).alias("d"), i.alias("i"))))["i"]
+    starts = F.filter(kmers(sequence, n), lambda x: x["kmer"] == epitope)
+    best = F.array_min(F.transform(starts, lambda x: F.struct(F.abs(x["position"] - near).alias("d"), x["position"].alias("i"))))["i"]
     start = F.greatest(best - flank, F.lit(1))
     return sequence.substr(start, F.least(best + n - 1 + flank, F.length(sequence)) - start + 1)
 
@@ -171,8 +193,8 @@ def residue_styles(sequence: Column, mutated: Column, bound_one: Column, bound_t
     """(aa, bold, color, underline, large) of every residue, from arrays of positions."""
     has = lambda a, i: F.coalesce(F.array_contains(a, i), F.lit(False))
     return F.transform(
-        places(F.length(sequence)),
-        lambda i: F.struct(sequence.substr(i, F.lit(1)).alias("aa"), has(bound_two, i).alias("bold"), has(bound_one, i).alias("color"), has(mutated, i).alias("underline"), has(difficult, i).alias("large")),
+        letters(sequence),
+        lambda x, i: F.struct(x.alias("aa"), has(bound_two, i + 1).alias("bold"), has(bound_one, i + 1).alias("color"), has(mutated, i + 1).alias("underline"), has(difficult, i + 1).alias("large")),
     )
 
 

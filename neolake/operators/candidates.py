@@ -7,11 +7,13 @@ false, then the sort keys, then a tie-break that makes the order total.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from neolake.functions.filters import col, preferred_transcript, truthy
 from neolake.schemas import NONE, Thresholds
+from neolake.storage import stored
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
@@ -111,41 +113,59 @@ def tier_place(tool: str, tier: str = "Tier") -> Column:
     return F.when(at > 0, at).otherwise(len(names) + 1)
 
 
-def with_dense_rank(df: DataFrame, value: Column, name: str, descending: bool = False, parts: int = 200) -> DataFrame:
+def _by_ranges(df: DataFrame, order: list[Column]) -> DataFrame:
+    """``df`` sorted by ranges and stored, with ``_part``, the range, and ``_at``, the place in it from 0."""
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    kept = stored(ranged.withColumn("_id", F.monotonically_increasing_id()), "ranks")
+    low = (1 << 33) - 1  # an id is the partition and, in its lower 33 bits, the place
+    return kept.withColumns({"_part": F.shiftright("_id", 33), "_at": F.col("_id").bitwiseAND(F.lit(low))}).drop("_id")
+
+
+def with_row_number(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with the place of each row in a total order, from 1, without a window over the whole table.
+
+    Rows are sorted by ranges; a place is that in the range, plus the rows of the
+    ranges before: one row a range.
+    """
+    rows = _by_ranges(df, order)
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(sizes), "_part").withColumn(name, F.col("_before") + F.col("_at") + 1).drop("_part", "_at", "_before")
+
+
+def with_dense_rank(df: DataFrame, value: Column, name: str, tie: list[Column], descending: bool = False) -> DataFrame:
     """``df`` with the dense rank of a number, nulls last, without a window over the whole table.
 
-    The different values are cut into ranges at quantiles, ranked inside each range,
-    and each range's count is added to those after it: one row a range.
+    Rows are sorted by ranges, ``tie`` splitting equal values, and ranked inside
+    each range. The ranks of the ranges before are added, less one for each border
+    that cuts through equal values: one row a range.
     """
-    df = df.withColumn("_value", -value if descending else value)
-    values = df.select("_value").where("_value is not null").distinct()
-    at = values.agg(F.percentile_approx("_value", F.array(*[F.lit(k / parts) for k in range(1, parts)]), F.lit(10_000)).alias("_cuts"))
-    values = values.join(F.broadcast(at)).select("_value", F.size(F.filter("_cuts", lambda c: c < F.col("_value"))).alias("_range"))  # one row
-    sizes = values.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = values.withColumn("_place", F.row_number().over(Window.partitionBy("_range").orderBy("_value"))).join(sizes.select("_range", before.alias("_before")), "_range")
-    last = F.broadcast(sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_all")))
-    out = df.join(ranked.select("_value", (F.col("_before") + F.col("_place")).alias(name)), "_value", "left").join(last)
-    return out.withColumn(name, F.coalesce(name, F.col("_all") + 1)).drop("_value", "_all")
+    order = [F.col("_value").asc_nulls_last(), *tie]
+    rows = _by_ranges(df.withColumn("_value", -value if descending else value), order)
+    rows = rows.withColumn("_dense", F.dense_rank().over(Window.partitionBy("_part").orderBy(F.col("_value").asc_nulls_last())))
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = rows.groupBy("_part").agg(F.max("_dense").alias("_n"), F.min_by(F.struct("_value"), "_at").alias("_first"), F.max_by(F.struct("_value"), "_at").alias("_last"))
+    cut = F.coalesce(F.col("_first").eqNullSafe(F.lag("_last").over(Window.orderBy("_part"))), F.lit(False)).cast("int")
+    ends = ends.withColumn("_cut", cut).select("_part", (F.coalesce(F.sum("_n").over(upto), F.lit(0)) - F.sum("_cut").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0))).alias("_before"))
+    return rows.join(F.broadcast(ends), "_part").withColumn(name, F.col("_before") + F.col("_dense")).drop("_part", "_at", "_value", "_dense", "_before")
 
 
 def rank_sum_order(df: DataFrame, tool: str, score: str, expression: str | None, names: list[str], ties: str = "dense") -> DataFrame:
     """Rows with ``rank``, in order of tier, then the sum of the ranks by score and expression, then names.
 
-    The ranks run over the whole report, by ranges. ``ties``: dense, or first, as
-    the viewer ranks the one report it shows (one window over it).
+    The ranks run over the whole report, by ranges. ``ties``: dense, or first (equal
+    values in the order of names), as the viewer ranks the report that it shows.
     """
+    tail = [col(c).asc_nulls_last() for c in names]
     if ties == "dense":
-        out = with_dense_rank(df, number(score), "rank")
-        if expression:
-            out = with_dense_rank(out, number(expression), "_second", descending=True).withColumn("rank", F.col("rank") + F.col("_second")).drop("_second")
+        rank = lambda d, value, down, name: with_dense_rank(d, value, name, tail, down)
     else:
-        tail = [col(c).asc_nulls_last() for c in names]
-        rank = lambda o: F.row_number().over(Window.orderBy(o, *tail))
-        total = rank(number(score).asc_nulls_last())
-        out = df.withColumn("rank", total + rank(number(expression).desc_nulls_last()) if expression else total)
+        rank = lambda d, value, down, name: with_row_number(d, [value.desc_nulls_last() if down else value.asc_nulls_last(), *tail], name)
+    out = rank(df, number(score), False, "rank")
+    if expression:
+        out = rank(out, number(expression), True, "_second").withColumn("rank", F.col("rank") + F.col("_second")).drop("_second")
     out = out.withColumn("_tier", tier_place(tool))
-    return out.orderBy("_tier", "rank", *[col(c).asc_nulls_last() for c in names]).drop("_tier")
+    return out.orderBy("_tier", "rank", *tail).drop("_tier")
 
 
 def genomic_order(index: str = "ID") -> list[Column]:
@@ -160,6 +180,32 @@ def in_order_of(df: DataFrame, order: DataFrame, key: str) -> DataFrame:
 
 
 def uniquified(df: DataFrame, column: str, order: list[str]) -> DataFrame:
-    """The first of equal values stays, the others get ``.1``, ``.2``; a suffix that is taken already is an error of the input."""
-    k = F.row_number().over(Window.partitionBy(col(column)).orderBy(*[col(c) for c in order])) - 1
-    return df.withColumn("_k", k).withColumn(column, F.when(F.col("_k") == 0, col(column)).otherwise(F.concat_ws(".", col(column), F.col("_k").cast("string")))).drop("_k")
+    """Repeats of a value get ``.1``, ``.2`` and so on in the rows' order, past names that an earlier row has; the first stays.
+
+    A given ``x.1`` after the second ``x`` repeats that one's new name, and becomes
+    ``x.1.1``. Values that differ by such endings only are numbered together, row
+    after row; those without any such relative, nearly all, by a window. ``order``
+    is a total order of the rows.
+    """
+    number = r"(\.[1-9][0-9]*)+$"
+    rows = df.withColumn("_family", F.regexp_replace(col(column), number, ""))
+    mixed = rows.where(col(column) != F.col("_family")).select("_family").distinct()
+    plain = rows.join(mixed, "_family", "left_anti")
+    k = F.row_number().over(Window.partitionBy("_family").orderBy(*[col(c) for c in order])) - 1
+    plain = plain.withColumn("_k", k).withColumn(column, F.when(F.col("_k") == 0, col(column)).otherwise(F.concat_ws(".", col(column), F.col("_k").cast("string")))).select(*[col(c) for c in df.columns])
+
+    def name(frame: pd.DataFrame) -> pd.DataFrame:
+        seen, last = set(), {}
+        for i, value in frame[column].items():
+            given, n = value, last.get(value, 0)  # numbers up to the last given one are taken
+            while value in seen:
+                n += 1
+                value = f"{given}.{n}"
+            last[given] = n
+            seen.add(value)
+            frame.at[i, column] = value
+        return frame
+
+    related = rows.join(mixed, "_family", "left_semi").select("_family", *[col(c) for c in df.columns])
+    named = related.groupBy("_family").applyInPandas(lambda f: name(f.sort_values(order, ignore_index=True)).drop(columns="_family"), df.schema)
+    return plain.unionByName(named)

@@ -104,3 +104,25 @@ def test_overlay_core_and_window(spark):
 def test_sequence_cleaning(spark):
     got = one(spark, a=fasta.clean_sequence(F.lit("mkl*vv")), b=fasta.supported(F.lit("MKU")), c=fasta.trim_unsupported(F.lit("AU" + "C" * 8 + "XX")), d=fasta.trim_unsupported(F.lit("CCCCCCUA")))
     assert tuple(got) == ("MKL", False, "CCCCCCCC", "CCCCCC")
+
+
+def test_kmers_of_long_texts_take_linear_time(spark):
+    import time
+
+    text = "".join(chr(97 + (i * i + i // 7) % 26) if i % 5 else "é\U0001f600"[i % 2] for i in range(1_000_000))
+    sizes = (256, 257, 1000, 20_000)
+    df = spark.createDataFrame([(text[:n],) for n in sizes], "s string").coalesce(1)
+    for k in (1, 9, 40, 255, 256, 700):
+        got = df.select(S.kmers(F.col("s"), k).alias("k")).select(F.size("k"), F.expr("try_element_at(k, 1)"), F.expr("try_element_at(k, greatest(size(k), 1))"), F.expr("try_element_at(k, 301)")).collect()
+        for r, n in zip(got, sizes):
+            if n < k or n < 1000:
+                assert r[0] == max(0, n - k + 1)
+                continue
+            assert r[0] == n - k + 1 and tuple(r[1]) == (1, text[:k]) and tuple(r[2]) == (n - k + 1, text[n - k : n]) and tuple(r[3]) == (301, text[300 : 300 + k])
+    took = []
+    for size in (250_000, 1_000_000):
+        one = spark.createDataFrame([(text[:size],)], "s string")
+        began = time.time()
+        one.select(F.size(S.kmers(F.col("s"), 20)), S.matches(F.col("s"), F.reverse("s")), F.length(S.translate_dna(F.col("s"))), F.size(S.letters(F.col("s")))).collect()
+        took.append(time.time() - began)
+    assert took[1] < 12 * took[0] + 2  # four times the letters; quadratic time would be over 16 times, and minutes

@@ -27,7 +27,8 @@ def test_allele_specific_filter_uses_the_default_elsewhere(spark):
     assert [r[0] for r in filters.allele_specific_filter(df, cut, Thresholds(exclude_nas=True)).collect()] == ["a"]
 
 
-def test_best_candidate_equals_the_literal_cascade(spark):
+@pytest.mark.parametrize("incomplete", [False, True])
+def test_best_candidate_equals_the_literal_cascade(spark, incomplete):
     rnd = random.Random(5)
     rows = [
         (i, rnd.randrange(40), rnd.choice(["None", "cds_start_NF"]), rnd.choice(["protein_coding", "x"]), rnd.random() < 0.5, rnd.random() < 0.5, str(rnd.choice([1, 2, "Not Supported"])), rnd.choice(["None", "3"]), float(rnd.randint(1, 4)), rnd.randint(1, 3), float(rnd.randint(1, 3)))
@@ -35,10 +36,10 @@ def test_best_candidate_equals_the_literal_cascade(spark):
     ]
     names = ["id", "key", "Transcript CDS Flags", "Biotype", "MANE Select", "Canonical", "Transcript Support Level", "Problematic Positions", "score", "Transcript Length", "Transcript Expression"]
     df = spark.createDataFrame(pd.DataFrame(rows, columns=names))
-    got = {r["key"]: r["id"] for r in candidates.best_candidate(df, ["key"], Thresholds(), "score", ["id"]).collect()}
+    got = {r["key"]: r["id"] for r in candidates.best_candidate(df, ["key"], Thresholds(), "score", ["id"], allow_incomplete=incomplete).collect()}
     for key, g in pd.DataFrame(rows, columns=names).groupby("key"):
         tsl = g["Transcript Support Level"]
-        for keep in (g["Transcript CDS Flags"] == "None", g.Biotype == "protein_coding", g["MANE Select"] | g.Canonical | (tsl == "Not Supported") | (tsl == "1"), g["Problematic Positions"] == "None"):
+        for keep in (g["Transcript CDS Flags"] == "None" if incomplete else g.key == key, g.Biotype == "protein_coding", g["MANE Select"] | g.Canonical | (tsl == "Not Supported") | (tsl == "1"), g["Problematic Positions"] == "None"):
             part = g[keep.reindex(g.index)]
             g = part if len(part) else g
         g = g.assign(t=pd.to_numeric(g["Transcript Support Level"], errors="coerce"))
@@ -183,3 +184,61 @@ def test_species_by_the_only_prefix(spark):
     assert got == {"HLA-A*02:01": "human", "H-2-Kb": "mouse", "DLA-88*01": "dog"}
     with pytest.raises(Exception, match="no single species"):
         predictions.species_of_allele(spark.createDataFrame([("X-1",)], "allele string"), prefixes).collect()
+
+
+def test_reference_hits_equal_all_kmers(spark):
+    rnd = random.Random(11)
+    word = lambda n: "".join(rnd.choice("ACDY") for _ in range(n))
+    proteins = [(f"p{i}.1", f"p{i} transcript:T{i}.2", word(rnd.choice([3, 7, 8, 40, 300]))) for i in range(30)] + [("none", "", None), ("empty", "", ""), ("same", "", "A" * 60), ("wide", "", "\U0001f600é" * 20)]
+    queries = [(f"q{i}", rnd.choice([word(20), proteins[i][2], "A" * 12, "\U0001f600é" * 6, None]), rnd.choice([None, f"T{i}.5", "p3"]), rnd.choice([None, word(12), proteins[i][2]])) for i in range(25)]
+    q = spark.createDataFrame(queries, "query string, sequence string, transcript string, wildtype string")
+    p = spark.createDataFrame(proteins, "id string, description string, sequence string")
+    for k in (1, 3, 8, 13):
+        want = {}
+        for name, seq, transcript, wild in queries:
+            for hit, description, there in proteins:
+                own = transcript and transcript.split(".")[0] in (hit.split(".")[0], (description.split("transcript:") + [""])[1].split(".")[0])
+                for i in range(len(seq or "") - k + 1):
+                    at = (there or "").find(seq[i : i + k])
+                    if at >= 0 and not own and not (wild and seq[i : i + k] in wild):
+                        want[name, hit, i + 1] = at + 1
+        got = {(r.query, r.hit, r.start): r.hit_start for r in reference.reference_hits(q, p, k).collect()}
+        assert got == want
+        reference.KNOWN, before = 0, reference.KNOWN
+        try:
+            assert {(r.query, r.hit, r.start): r.hit_start for r in reference.reference_hits(q, p, k).collect()} == want
+        finally:
+            reference.KNOWN = before
+
+
+def test_unique_names_count_on_past_given_ones(spark):
+    rnd = random.Random(3)
+    values = ["x", "x", "x.1", "x.1", "x", "y", "x.1.1", "x.3", "x", "x", "y", "z.2", "z", "z", "z", ".1", "", "", None]
+    values += [rnd.choice(["a", "a.1", "a.2", "a.1.1", "b", "b.10", "b.01"]) for _ in range(80)]
+    seen, want = set(), []
+    for v in values:
+        name, n = v, 0
+        while v is not None and name in seen:
+            n += 1
+            name = f"{v}.{n}"
+        seen.add(name)
+        want.append(name)
+    df = spark.createDataFrame(list(enumerate(values)), "i int, name string")
+    got = [r.name for r in candidates.uniquified(df, "name", ["i"]).orderBy("i").collect()]
+    assert got == want
+
+
+def test_ranks_by_ranges(spark):
+    rnd = random.Random(9)
+    rows = [(i, rnd.choice([None, 1.0, 1.0, 1.0, 2.5, float(rnd.randrange(50)), float("nan")]), f"n{i % 7}") for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, `a score` double, name string").repartition(5)
+    order = lambda r: (r[1] is None, r[1] is None or r[1] != r[1], r[1] or 0.0)
+    keys = sorted({(order(r)[0], order(r)[1], -1.0 if r[1] is None or r[1] != r[1] else r[1]) for r in rows})
+    dense = {r.id: r["rank"] for r in candidates.with_dense_rank(df, df["a score"], "rank", [df["id"].asc()]).collect()}
+    assert dense == {r[0]: keys.index((order(r)[0], order(r)[1], -1.0 if r[1] is None or r[1] != r[1] else r[1])) + 1 for r in rows}
+    place = {r.id: r["place"] for r in candidates.with_row_number(df, [df["name"].asc(), df["a score"].desc_nulls_last(), df["id"].asc()], "place").collect()}
+    assert sorted(place.values()) == list(range(1, 401))
+    by_name = sorted(rows, key=lambda r: (r[2], r[1] is None, not (r[1] is not None and r[1] != r[1]), -(r[1] or 0.0) if r[1] == r[1] else 0, r[0]))
+    assert [place[r[0]] for r in by_name] == list(range(1, 401))
+    plan = candidates.rank_sum_order(df.withColumn("Tier", F.lit("Pass")), "bind", "a score", None, ["id"], ties="first")._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(a score" not in plan
