@@ -547,7 +547,7 @@ def test_regular_long_texts_are_told_apart(spark):
     assert {r.doc_id for r in found} == {0}
 
 
-def brute_repeats(texts, n=suffix_dedup.LENGTH):
+def brute_positions(texts, n=suffix_dedup.LENGTH):
     """For each text, 1 for each byte under a string that an earlier text has."""
     seen, out = set(), []
     for t in (x.encode() for x in texts):
