@@ -8,6 +8,8 @@ from pathlib import Path
 
 import pytest
 
+from pyspark.sql import functions
+
 from neolake.operators import aggregate, candidates, compare, predictions
 from neolake.plans import post
 from neolake.schemas import Thresholds
@@ -70,7 +72,7 @@ def test_top_scores_count_repeated_epitopes_and_come_again(spark):
 
 def test_dense_ranks_without_one_window(spark):
     rows = [(i, None if i % 7 == 0 else float(i * 37 % 50)) for i in range(300)]
-    got = candidates.with_dense_rank(spark.createDataFrame(rows, "i int, x double"), candidates.number("x"), "k", [F.col("i").asc()], descending=True).collect()
+    got = candidates.with_dense_rank(spark.createDataFrame(rows, "i int, x double"), candidates.number("x"), "k", [functions.col("i").asc()], descending=True).collect()
     order = sorted({x for _, x in rows if x is not None}, reverse=True)
     assert {r.i: r.k for r in got} == {i: (order.index(x) + 1 if x is not None else len(order) + 1) for i, x in rows}
     assert candidates.with_dense_rank(spark.createDataFrame([(1, None)], "i int, x double"), candidates.number("x"), "k").first().k == 1
