@@ -1,7 +1,9 @@
 """Leaf blocks of web pages: runs of text between block-level tags, with what stands above them.
 
 Scripts, styles and what only a browser without the element would show (in
-frames, media, drawings and templates) are no text of the page. All else,
+frames, media and templates) are no text of the page; nor are the letters of a
+drawing, which stand at places of a picture and make no sentence, and on most
+pages belong to icons. All else,
 ``noscript`` and formulas among them, is left for the field to judge. What is
 kept for an open element doesn't grow with its depth.
 """
@@ -20,11 +22,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style template iframe noembed noframes svg canvas audio video".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 LOOK = frozenset("b i em strong span a u small".split())
-PLAIN = frozenset("article section p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre code table thead tbody tr td th figure figcaption b i em strong a span u small sub sup".split())
+PLAIN = frozenset("html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre code table thead tbody tr td th figure figcaption b i em strong a span u small sub sup".split())
 SCOPES = frozenset("article aside body div footer form header html main nav ol section table td th tr ul".split())
 
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"'<]|"[^"<]*"|'[^'<]*')*|[^>]*)(?:>|\Z)""",
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"'<]|"[^"]*"(?=[\s/>])|'[^']*'(?=[\s/>]))*+(?=>|\Z)|[^>]*)(?:>|\Z)""",
     re.S,
 )
 _ATTR = re.compile(r"""(?<![\w-])(class|id|role|itemprop|aria-label|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.I)
@@ -32,13 +34,13 @@ _SPLIT = re.compile(r"[^a-z]+")
 
 
 class Above(NamedTuple):
-    """The elements above a block: all their names once, the two innermost that structure a text, whether one is an article, and whether all below that are plain."""
+    """The elements above a block: all their names once, the two innermost that structure a text, whether one is an article, and whether all (below that) are plain."""
 
     names: frozenset[str] = frozenset()
     at: str = ""
     outer: str = ""
     article: bool = False
-    plain: bool = False
+    plain: bool = True
 
     def below(self, own: tuple[str, ...], known: frozenset[str] | None) -> Above:
         """With one more element, by its tag and names; of these only ``known`` ones are kept."""
@@ -46,7 +48,7 @@ class Above(NamedTuple):
         names = self.names.union(new) if new else self.names
         at, outer = (self.at, self.outer) if own[0] in LOOK else (own[0], self.at)
         top = own[0] in ("article", "main")
-        plain = len(own) == 1 if top else self.plain and len(own) == 1 and own[0] in PLAIN
+        plain = len(own) == 1 if top else self.plain and (own[0] == "body" or len(own) == 1 and own[0] in PLAIN)
         return Above(names, at, outer, self.article or top, plain)
 
 

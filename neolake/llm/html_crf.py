@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import random
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,22 +22,31 @@ from ._common import slices
 from .html_blocks import Above, Block, blocks
 
 #: Labelled pages, their seed, and the training's steps.
-PAGES, SEED, STEPS, L2 = 800, 11, 200, 0.1
+PAGES, SEED, STEPS, L2 = 1500, 11, 150, 0.1
+#: Names on fewer pages get no weight.
+PAGES_OF_NAME = 3
 
 
-def features(b: Block) -> list[str]:
-    """Names above the block, each once with its kind, the innermost tags, and whether the article's plain text holds it."""
+def features(b: Block, marked: bool) -> list[str]:
+    """Names above the block, each once with its kind, the innermost tags, whether plain elements hold it, and where it is in a page that has an article (``marked``)."""
     x = b.above
-    out = {"in:" + name for name in x.names}
+    out = {"in:" + name for name in x.names if name not in ("html", "body")}
     out.add("at:" + x.at)
     out.add("pair:" + (x.outer + ">" + x.at if x.outer else x.at))
     if x.plain:
-        out.add("plain")
-    if not x.article:
-        out.add("no article")
+        out.add("plain in article" if x.article else "plain" if not marked else "plain outside")
+    if marked and not x.article:
+        out.add("outside")
+    if not marked:
+        out.add("at:" + x.at + " unmarked")
     return sorted(out)
 
 
+def is_marked(page: list[Block]) -> bool:
+    """Some block of the page stands in an article or main element."""
+    return any(b.above.article for b in page)
+
+
 def shape(b: Block) -> list[str]:
     n = len(b.text)
     words = b.text.count(" ") + 1
@@ -76,29 +86,46 @@ class Composer:
         t = " ".join(self.word() for _ in range(self.r.randint(lo, hi))).capitalize()
         return t + (self.r.choice("....!?") if stop else "")
 
+    def joined(self, word: str) -> str:
+        """A class word by itself, or joined to one that says nothing, or to one that main text has as well."""
+        k = self.r.random()
+        other = self.r.choice([self.word(), self.r.choice(MAIN)]) if k > 0.6 else ""
+        return word if k <= 0.6 else f"{word}-{other}" if k < 0.85 else f"{other}-{word}"
+
+    def loose(self) -> str:
+        """The attributes of an element of the main text: mostly none, or words that say nothing, or joined to those of clutter."""
+        k = self.r.random()
+        if k < 0.8:
+            return ""
+        clutter = self.r.choice(self.r.choice([MENU, TOP, SIDE, NOTICE, ADVERT, FORM, COMMENT, SHARE]))
+        value = f"{self.word()} {self.word()}" if k < 0.88 else f"{clutter}-{self.word()}" if k < 0.95 else f"{self.word()}-{clutter}"
+        return f' {self.r.choice(["class", "class", "id"])}="{value}"'
+
     def name(self, words: list[str]) -> str:
         q = self.r.choice(['"', "'"])
-        return f" {self.r.choice(['class', 'class', 'id'])}={q}{self.r.choice(words)}{self.r.choice(['', '', ' ' + self.word()])}{q}" if self.r.random() < 0.9 else ""
+        return f" {self.r.choice(['class', 'class', 'id'])}={q}{self.joined(self.r.choice(words))}{self.r.choice(['', '', ' ' + self.word()])}{q}" if self.r.random() < 0.9 else ""
 
     def links(self, n: int) -> str:
         return "".join(f'<li><a href="/{self.word()}">{self.text(1, 3, False)}</a></li>' for _ in range(n))
 
     def menu(self) -> str:
         x = "<ul>" + self.links(self.r.randint(2, 8)) + "</ul>"
-        return f"<nav{self.name(MENU)}>{x}</nav>" if self.r.random() < 0.6 else f'<div class="{self.r.choice(MENU)}">{x}</div>'
+        return f"<nav{self.name(MENU)}>{x}</nav>" if self.r.random() < 0.6 else f'<div{self.r.choice([f""" class="{self.joined(self.r.choice(MENU))}\"""", f""" class="{self.word()}\""""])}>{x}</div>'
 
     def top(self) -> str:
         tag = self.r.choice(["header", "header", "div"])
-        return f'<{tag} class="{self.r.choice(TOP)}">{self.r.choice(["<h1>", "<p>", "<span>", "<div>"])}{self.text(1, 6, False)}{self.menu() if self.r.random() < 0.5 else ""}</{tag}>'
+        return f'<{tag} class="{self.joined(self.r.choice(TOP))}">{self.r.choice(["<h1>", "<p>", "<span>", "<div>"])}{self.text(1, 6, False)}{self.menu() if self.r.random() < 0.5 else ""}</{tag}>'
 
     def bottom(self) -> str:
         tag = self.r.choice(["footer", "footer", "div"])
-        name = f' class="{self.r.choice(BOTTOM)}"' if tag == "div" else self.name(BOTTOM)
+        name = f' class="{self.joined(self.r.choice(BOTTOM))}"' if tag == "div" else self.name(BOTTOM)
         return f"<{tag}{name}>{self.r.choice(['&copy; 2020 ', 'Copyright ', ''])}{self.text(1, 12)}{'<p>' + self.text(3, 12) + '</p>' if self.r.random() < 0.4 else ''}</{tag}>"
 
     def boxed(self, words: list[str], tags: list[str], lo: int, hi: int) -> str:
         tag = self.r.choice(tags)
-        name = "" if tag in ("aside", "form", "dialog") and self.r.random() < 0.5 else f' {self.r.choice(["class", "class", "id"])}="{self.r.choice(words)}"'
+        name = "" if tag in ("aside", "form", "dialog") and self.r.random() < 0.5 else f' {self.r.choice(["class", "class", "id"])}="{self.joined(self.r.choice(words))}"'
+        if tag == "p":  # holds no block
+            return f"<p{name}>{self.text(lo, hi)}</p>"
         body = self.text(lo, hi) if self.r.random() < 0.4 else "".join(f"<p>{self.text(lo, hi)}</p>" for _ in range(self.r.randint(1, 3)))
         return f"<{tag}{name}>{'<h3>' + self.text(1, 3, False) + '</h3>' if self.r.random() < 0.3 else ''}{body}</{tag}>"
 
@@ -113,8 +140,8 @@ class Composer:
     def comments(self) -> str:
         outer = self.r.choice(["section", "div", "ol", "ul", "aside"])
         inner = self.r.choice(["div", "article", "p", "li"]) if outer not in ("ol", "ul") else "li"
-        one = lambda: f'<{inner} class="{self.r.choice(COMMENT)}">{"<b>" + self.word() + "</b> " if self.r.random() < 0.4 else ""}{self.text(3, 40)}</{inner}>'
-        return f'<{outer} {self.r.choice(["class", "id"])}="{self.r.choice(COMMENT)}">{"<h2>" + self.text(1, 2, False) + "</h2>" if self.r.random() < 0.5 else ""}{"".join(one() for _ in range(self.r.randint(1, 5)))}</{outer}>'
+        one = lambda: f'<{inner} class="{self.joined(self.r.choice(COMMENT))}">{"<b>" + self.word() + "</b> " if self.r.random() < 0.4 else ""}{self.text(3, 40)}</{inner}>'
+        return f'<{outer} {self.r.choice(["class", "id"])}="{self.joined(self.r.choice(COMMENT))}">{"<h2>" + self.text(1, 2, False) + "</h2>" if self.r.random() < 0.5 else ""}{"".join(one() for _ in range(self.r.randint(1, 5)))}</{outer}>'
 
     def clutter(self) -> str:
         k = self.r.randint(0, 6)
@@ -128,7 +155,7 @@ class Composer:
         k = self.r.random()
         t = self.text(2, 80) if k < 0.8 else self.text(1, 6)
         if k < 0.12:
-            return f"<h2>{self.text(1, 8, False)}</h2>"
+            return f"<{self.r.choice(['h2', 'h2', 'h3'])}{self.loose()}>{self.text(1, 8, False)}</h2></h3>"
         if k < 0.18:
             return f"<ul>{''.join(f'<li>{self.text(1, 20)}</li>' for _ in range(3))}</ul>"
         if k < 0.22:
@@ -144,28 +171,47 @@ class Composer:
         if k < 0.5:
             return f'<p>{t} <a href="/x">{self.text(1, 3, False)}</a> {self.text(2, 9)}</p>'
         if k < 0.55:
-            return f"<div>{t}</div>"
-        return f"<p>{t}</p>"
+            return f"<div{self.loose()}>{t}</div>"
+        return f"<p{self.loose()}>{t}</p>"
+
+    def around(self) -> tuple[str, str, bool]:
+        """What opens and closes the main text, and whether it has a heading: an article or main element, a class of such pages, or any element whose names say nothing."""
+        kind = self.r.random()
+        if kind < 0.3:
+            before, after = f"<article{self.name(MAIN) if self.r.random() < 0.3 else ''}>", "</article>"
+            return ("<main>" + before, after + "</main>", True) if self.r.random() < 0.3 else (before, after, True)
+        if kind < 0.4:
+            return "<main>", "</main>", True
+        if kind < 0.55:
+            return f'<div {self.r.choice(["class", "class", "id"])}="{self.joined(self.r.choice(MAIN))}">', "</div>", True
+        headed = self.r.random() < 0.6
+        if kind < 0.65:
+            return "", "", headed
+        if kind < 0.72:
+            return "<table><tr><td>", "</td></tr></table>", headed
+        before, after = "", ""
+        for _ in range(self.r.randint(1, 3)):
+            tag = self.r.choice(["div", "div", "section"])
+            name = self.r.choice(["", f' class="{self.word()}"', f' class="{self.word()}-{self.word()}"', f' id="{self.word()}"'])
+            before, after = before + f"<{tag}{name}>", f"</{tag}>" + after
+        return before, after, headed
 
     def page(self) -> tuple[str, list[tuple[str, int]]]:
         """A page as pieces of markup, each with the label of its blocks."""
-        pieces: list[tuple[str, int]] = [("<!DOCTYPE html><html><head><title>", 0), (self.text(2, 9, False) + "</title><style>p{}</style><script>var a='<p>';</script></head><body>", 0)]
+        pieces: list[tuple[str, int]] = []
+        bare = self.r.random() < 0.2  # nothing but the main text, or little after it
+        if not bare:
+            pieces += [("<!DOCTYPE html><html><head><title>", 0), (self.text(2, 9, False) + "</title><style>p{}</style><script>var a='<p>';</script></head>", 0)]
+        pieces.append((self.r.choice(["<body>", "<body>", f'<body class="{self.word()}">']), 0))
         add = lambda x, y=0: pieces.append((x, y))
-        if self.r.random() < 0.6:
+        if not bare and self.r.random() < 0.6:
             add(self.top())
-        for _ in range(self.r.randint(0, 3)):
+        for _ in range(0 if bare else self.r.randint(0, 3)):
             add(self.clutter())
-        kind = self.r.random()
-        if kind < 0.5:
-            before, after = f"<article{self.name(MAIN) if self.r.random() < 0.3 else ''}>", "</article>"
-            if self.r.random() < 0.3:
-                before, after = "<main>" + before, after + "</main>"
-        elif kind < 0.7:
-            before, after = "<main>", "</main>"
-        else:
-            before, after = f'<div {self.r.choice(["class", "class", "id"])}="{self.r.choice(MAIN)}">', "</div>"
+        before, after, headed = self.around()
         add(before)
-        add(f"<h1>{self.text(1, 12, False)}</h1>" if self.r.random() < 0.85 else f"<header><h1>{self.text(1, 12, False)}</h1></header>", 1)
+        if headed:
+            add(f"<h1{self.loose()}>{self.text(1, 12, False)}</h1>" if self.r.random() < 0.85 else f"<header><h1>{self.text(1, 12, False)}</h1></header>", 1)
         for _ in range(self.r.randint(1, 12)):
             add(self.paragraph(), 1)
             if self.r.random() < 0.25:
@@ -221,7 +267,7 @@ class Field:
 
     def __init__(self, weights: dict[str, tuple[float, float]], move: np.ndarray) -> None:
         self.weights, self.move = weights, move.tolist()
-        self.by_path: dict[Above, tuple[float, float]] = {}
+        self.by_path: dict[tuple[Above, bool], tuple[float, float]] = {}
         self.known = frozenset(f[3:] for f in weights if f.startswith("in:"))
 
     def _score(self, names: list[str]) -> tuple[float, float]:
@@ -233,12 +279,13 @@ class Field:
         (m00, m01), (m10, m11), (s0, s1) = self.move
         back: list[tuple[int, int]] = []
         v0 = v1 = 0.0
+        marked = is_marked(page)
         for k, b in enumerate(page):
-            e = self.by_path.get(b.above)
+            e = self.by_path.get((b.above, marked))
             if e is None:
                 if len(self.by_path) > 100_000:
                     self.by_path.clear()
-                e = self.by_path[b.above] = self._score(features(b))
+                e = self.by_path[b.above, marked] = self._score(features(b, marked))
             t = self._score(shape(b))
             if k == 0:
                 v0, v1 = s0 + e[0] + t[0], s1 + e[1] + t[1]
@@ -264,12 +311,14 @@ def train(pages: list[tuple[list[Block], list[int]]], steps: int = STEPS) -> Fie
     pages = [p for p in pages if p[0]]
     index: dict[str, int] = {}
     rows, cols = [], []
+    seen = Counter(f for page, _ in pages for f in {f for b in page for f in (*features(b, True), *features(b, False))})
     longest, n = max(len(p) for p, _ in pages), len(pages)
     y, mask = np.zeros((n, longest), np.int64), np.zeros((n, longest), bool)
     for i, (page, labels) in enumerate(pages):
         y[i, : len(page)], mask[i, : len(page)] = labels, True
+        marked = is_marked(page)
         for k, b in enumerate(page):
-            for f in {*features(b), *shape(b)}:
+            for f in {*(f for f in features(b, marked) if seen[f] >= PAGES_OF_NAME), *shape(b)}:
                 rows.append(i * longest + k)
                 cols.append(index.setdefault(f, len(index)))
     rows, cols = np.array(rows), np.array(cols)

@@ -1,7 +1,7 @@
 """Token-ID output: documents to ids to files of rANS blocks, and back.
 
 A written data set is a folder with three Parquet tables: ``table`` (the shared
-frequencies), ``blocks`` (one row a block: part, block, doc_ids and their lengths,
+frequencies), ``blocks`` (one row a block: part, task and block, doc_ids and their lengths,
 states, words, checkpoints, CRC-32). Nothing else is needed to decode a block.
 Blocks hold whole documents in ascending doc_id order; part numbers ascend too.
 """
@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -178,21 +179,22 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(total[at])], ["id", "n"])
 
 
-BLOCKS = "part int, first_id long, block int, doc_ids array<bigint>, lengths array<bigint>, n long, lanes int, states binary, payload binary, marks binary, crc long"
+BLOCKS = "part int, first_id long, last_id long, task int, block int, doc_ids array<bigint>, lengths array<bigint>, n long, lanes int, states binary, payload binary, marks binary, crc long"
 
 
 def _encode(symbols: np.ndarray, freq: np.ndarray):
-    types = [pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
     names = [c.split()[0] for c in BLOCKS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, block, part, held = rans.Table(symbols, freq), 0, None, 0
+        task = TaskContext.get().partitionId()  # with the block's number a name of its own, also where one part is encoded by several tasks
         docs: list[int | None] = []
         ids: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
             e = rans.encode(np.concatenate(ids), table)
-            row = [part, docs[0], block, docs, [len(x) for x in ids], e["n"], e["lanes"], e["states"], e["payload"], e["marks"], e["crc"]]
+            row = [part, docs[0], docs[-1], task, block, docs, [len(x) for x in ids], e["n"], e["lanes"], e["states"], e["payload"], e["marks"], e["crc"]]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
 
         for b in batches:
@@ -249,8 +251,8 @@ def _decode(symbols: np.ndarray, freq: np.ndarray, keep_ids: bool):
                 views = [memoryview(ids[e - n : e]).cast("B") for n, e in zip(lengths, ends)]
                 last = pa.array([bytes(v) for v in views], pa.binary()) if keep_ids else pa.array([zlib.crc32(v) for v in views], pa.int64())
                 k = len(lengths)
-                key = [pa.array([block[c]] * k, t) for c, t in (("part", pa.int32()), ("first_id", pa.int64()), ("block", pa.int32()))]
-                yield pa.RecordBatch.from_arrays([*key, pa.array(ends - lengths), pa.array(block["doc_ids"], pa.int64()), pa.array(lengths), last], ["part", "first_id", "block", "within", "doc_id", "n_tokens", "last"])
+                key = [pa.array([block[c]] * k, t) for c, t in (("task", pa.int32()), ("block", pa.int32()))]
+                yield pa.RecordBatch.from_arrays([*key, pa.array(ends - lengths), pa.array(block["doc_ids"], pa.int64()), pa.array(lengths), last], ["task", "block", "within", "doc_id", "n_tokens", "last"])
 
     return run
 
@@ -262,16 +264,17 @@ def read_tokens(spark: SparkSession, path: str, keep_ids: bool = False) -> DataF
     """
     table = spark.read.parquet(f"{path}/table").collect()  # at most the vocabulary
     symbols, freq = np.array([r["id"] for r in table], np.int64), np.array([r["freq"] for r in table], np.int64)
-    order = np.argsort(symbols)
+    by_id = np.argsort(symbols)
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
-    heads = blocks.select("part", "first_id", "block", "n")
+    heads = blocks.select("part", "first_id", "last_id", "task", "block", "n")
     parts = heads.groupBy("part").agg(F.sum("n").alias("n"))  # as many as the range partitions
     upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before_part"))
-    inside = Window.partitionBy("part").orderBy(F.col("first_id").asc_nulls_first(), "block").rowsBetween(Window.unboundedPreceding, -1)
-    heads = heads.join(parts, "part").select("part", F.coalesce("first_id", F.lit(-(1 << 63))).alias("first_id"), "block", (F.col("before_part") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("before"))
+    # of blocks that begin with one id, those of several tasks among them, the last to end with it comes last
+    order = [F.col("first_id").asc_nulls_first(), F.col("last_id").asc_nulls_first(), "task", "block"]
+    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    heads = heads.join(parts, "part").select("task", "block", (F.col("before_part") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("before"))
     last = "ids binary" if keep_ids else "ids_crc32 long"
-    docs = blocks.mapInArrow(_decode(symbols[order], freq[order], keep_ids), "part int, first_id long, block int, within long, doc_id long, n_tokens long, last " + last.split()[1])
-    docs = docs.withColumn("first_id", F.coalesce("first_id", F.lit(-(1 << 63))))
-    docs = small_join(docs, heads, ["part", "first_id", "block"])
+    docs = blocks.mapInArrow(_decode(symbols[by_id], freq[by_id], keep_ids), "task int, block int, within long, doc_id long, n_tokens long, last " + last.split()[1])
+    docs = small_join(docs, heads, ["task", "block"])
     return docs.select("doc_id", (F.col("before") + F.col("within")).alias("start"), "n_tokens", F.col("last").alias(last.split()[0]))

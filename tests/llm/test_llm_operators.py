@@ -633,3 +633,16 @@ def test_mix_keeps_rows_without_an_id(spark):
     times = lambda rows: sorted((str(r.doc_id), str(r.source), len(r.text.split())) for r in rows)
     each = [(str(r.doc_id), str(r.source), r["size"]) for r in mixing.mix(docs).collect() if r["size"] for _ in range(r.taken // r["size"])]
     assert times(got) == sorted(each) and any(r.doc_id is None for r in got)
+
+
+def test_blocks_of_one_part_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_output, "BLOCK_IDS", 40)
+    rows = [(None, [i] * 20 + [2]) for i in range(30)] + [(7, [100 + i, 2]) for i in range(90)] + [(9, [5, 2])]
+    tokens = spark.createDataFrame([(d, bytearray(np.array(x, "<u4").tobytes()), 0) for d, x in rows], "doc_id long, ids binary, part int")
+    both, sevens = tokens.coalesce(1), tokens.where("doc_id = 7").coalesce(1)
+    token_output._encode_files(both.union(sevens).union(both), str(tmp_path / "x"))  # tasks whose blocks begin with the same ids
+    got = token_output.read_tokens(spark, str(tmp_path / "x"), keep_ids=True).collect()
+    want = [*rows, *[r for r in rows if r[0] == 7], *rows]
+    assert len(got) == len(want) and sorted((r.doc_id is not None, r.doc_id or 0, r.ids) for r in got) == sorted((d is not None, d or 0, np.array(x, "<u4").tobytes()) for d, x in want)
+    starts = sorted((r.start, r.n_tokens) for r in got)
+    assert [s for s, _ in starts] == [sum(n for _, n in starts[:i]) for i in range(len(starts))]
