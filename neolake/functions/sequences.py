@@ -15,6 +15,8 @@ MASS = {"A": 71.0788, "R": 156.1875, "N": 114.1038, "D": 115.0886, "C": 103.1388
 WATER = 18.01528
 
 CODONS = {"".join(c): a for c, a in zip(itertools.product("TCAG", repeat=3), _CODE)}
+#: Two bases whose codons all mean one amino acid.
+_SHORT = {x + y: CODONS[x + y + "T"] for x, y in itertools.product("TCAG", repeat=2) if len({CODONS[x + y + z] for z in "TCAG"}) == 1}
 
 
 def _map(d: dict) -> Column:
@@ -79,13 +81,18 @@ def matches_from_right(a: Column, b: Column) -> Column:
     return matches_from_left(F.reverse(a), F.reverse(b))
 
 
-def changed_window(mutant: Column, wildtype: Column, flank: int, to_end: bool = False) -> Column:
-    """The part of ``mutant`` that differs from ``wildtype`` with ``flank`` residues on either side (``to_end``: all that follows)."""
+def changed_bounds(mutant: Column, wildtype: Column, flank: int, to_end: bool = False) -> tuple[Column, Column]:
+    """First place and length of the part of ``mutant`` that differs from ``wildtype`` with ``flank`` residues on either side (``to_end``: all that follows)."""
     left = matches_from_left(mutant, wildtype)
     right = F.least(matches_from_right(mutant, wildtype), F.least(F.length(mutant), F.length(wildtype)) - left)
     start = F.greatest(left - flank + 1, F.lit(1))
     stop = F.length(mutant) if to_end else F.least(F.length(mutant) - right + flank, F.length(mutant))
-    return mutant.substr(start.cast("int"), F.greatest(stop - start + 1, F.lit(0)).cast("int"))
+    return start.cast("int"), F.greatest(stop - start + 1, F.lit(0)).cast("int")
+
+
+def changed_window(mutant: Column, wildtype: Column, flank: int, to_end: bool = False) -> Column:
+    """The part of ``mutant`` that differs from ``wildtype`` with its surroundings, see ``changed_bounds``."""
+    return mutant.substr(*changed_bounds(mutant, wildtype, flank, to_end))
 
 
 def centred(sequence: Column, position: Column, flank: int) -> Column:
@@ -102,11 +109,14 @@ def frameshift_window(sequence: Column, position: Column, flank: int, downstream
     return sequence.substr(start.cast("int"), F.greatest(stop - start + 1, F.lit(0)).cast("int"))
 
 
-def mutated_protein(protein: Column, change: Column, position: Column) -> Column:
-    """A protein with the change ``wild/mutant`` at a 1-based position; ``-`` is nothing, a stop ends it, an unfitting change gives null."""
+def mutated_protein(protein: Column, change: Column, position: Column, given: Column | None = None) -> Column:
+    """A protein with the change ``wild/mutant`` at a 1-based position; ``-`` is nothing, a stop ends it, an unfitting change gives null.
+
+    ``given``: the protein that the change has to fit, if ``protein`` is that one with other changes.
+    """
     wild = F.replace(F.split_part(change, F.lit("/"), F.lit(1)), F.lit("-"), F.lit(""))
     mutant = F.replace(F.split_part(change, F.lit("/"), F.lit(2)), F.lit("-"), F.lit(""))
-    fits = protein.substr(position.cast("int"), F.length(wild)) == wild
+    fits = (protein if given is None else given).substr(position.cast("int"), F.length(wild)) == wild
     # an insertion comes after the residue at its position
     before = F.when(wild == "", position).otherwise(position - 1)
     out = F.concat(F.substr(protein, F.lit(1), before.cast("int")), mutant, F.substr(protein, (before + F.length(wild) + 1).cast("int")))
@@ -118,12 +128,16 @@ def overlaid(sequence: Column, changes: Column) -> Column:
     return F.aggregate(changes, sequence, lambda s, c: F.when(s.substr(c["pos"], F.length(c["wild"])) == c["wild"], F.overlay(s, c["mutant"], c["pos"], F.length(c["wild"]))).otherwise(s))
 
 
-def translate_dna(dna: Column) -> Column:
-    """Amino acids up to the first stop; an unknown codon is X; a rest of one or two bases is dropped."""
-    table = _map(CODONS)
-    codons = F.regexp_extract_all(dna, F.lit("(?s).{3}"), F.lit(0))
-    aa = F.transform(codons, lambda c: F.coalesce(F.try_element_at(table, F.upper(c)), F.lit("X")))
-    return F.regexp_extract(F.array_join(aa, ""), r"^[^*]*", 0)
+def translate_dna(dna: Column, whole: bool = False, padded: bool = False) -> Column:
+    """Amino acids up to the first stop (``whole``: stops as ``*``); an unknown codon is X; a rest of one or two bases is dropped.
+
+    ``padded``: the rest counts as a codon whose missing bases may be any: the amino
+    acid that all such codons have, or X.
+    """
+    table = _map(CODONS if not padded else CODONS | _SHORT)
+    codons = F.regexp_extract_all(dna, F.lit("(?s).{1,3}" if padded else "(?s).{3}"), F.lit(0))
+    aa = F.array_join(F.transform(codons, lambda c: F.coalesce(F.try_element_at(table, F.upper(c)), F.lit("X"))), "")
+    return aa if whole else F.regexp_extract(aa, r"^[^*]*", 0)
 
 
 def reverse_complement(dna: Column) -> Column:

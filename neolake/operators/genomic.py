@@ -20,6 +20,19 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[str], place: str
     return near.join(right.withColumn("_bin", bin_of(other)), [*keys, "_bin"]).where(F.abs(F.col(place) - F.col(other)) <= distance).drop("_bin")
 
 
+def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], left_ends: tuple[str, str], right_ends: tuple[str, str], width: int) -> DataFrame:
+    """Pairs with equal keys whose intervals (ends included) share a place.
+
+    Both sides go to all bins of ``width`` that they touch, and a pair counts in the
+    first bin that both have; equality joins only.
+    """
+    bins = lambda ends: F.explode(F.sequence(F.floor(F.col(ends[0]) / width), F.floor(F.greatest(*map(F.col, ends)) / width)))
+    pairs = left.withColumn("_bin", bins(left_ends)).join(right.withColumn("_bin", bins(right_ends)), [*keys, "_bin"])
+    later = F.greatest(F.col(left_ends[0]), F.col(right_ends[0]))
+    shared = later <= F.least(F.col(left_ends[1]), F.col(right_ends[1]))
+    return pairs.where(shared & (F.col("_bin") == F.floor(later / width))).drop("_bin")
+
+
 def in_phase(somatic: Column, neighbour: Column, homozygous: Column) -> Column:
     """Phased genotypes share a haplotype with the alternate, or the neighbour is on both."""
     hap = lambda g: F.split(g, r"\|")

@@ -398,4 +398,4 @@ def ordered_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "nation").join(pairs, F.col("n_regionkey") == F.col("left_seq")).select("n_name", F.col("left").alias("first_region"), F.col("right").alias("second_region"))
 
 
-from neolake.plans import catalogue_operators, catalogue_reports  # noqa: E402,F401  (they add their queries)
+from neolake.plans import catalogue_operators, catalogue_reports, catalogue_runs  # noqa: E402,F401  (they add their queries)

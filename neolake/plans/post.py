@@ -8,8 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from neolake.functions.sequences import centred, changed_window, frameshift_window, kmers, manufacturability, mutated_protein
-from neolake.operators import aggregate, candidates, filters, genomic, predictions, reference, tiers, vector
+from neolake.functions.sequences import centred, changed_bounds, frameshift_window, kmers, manufacturability, mutated_protein
+from neolake.operators import aggregate, candidates, filters, genomic, haplotypes, predictions, reference, tiers, vector
 from neolake.schemas import Thresholds
 
 
@@ -189,15 +189,24 @@ def variant_sequences(variants: DataFrame, flank: int, downstream: int | None =
     Frameshifts go from ``flank`` residues before to ``downstream`` after their
     position, the others ``flank`` residues to either side of what changes. A change
     that doesn't fit its protein gives no rows; a wild type has a window of its own.
+    With neighbours (``haplotypes.with_neighbours``) the wild type carries the
+    germline ones, the mutant all of them, of a frameshift those before it; windows
+    stay where they are.
     """
     position = F.regexp_extract("protein_position", r"^(\d+)", 1).cast("int")
     shift = F.col("variant_type") == "FS"
-    wild = F.col("wildtype_amino_acid_sequence")
-    mutant = F.when(shift, F.col("frameshift_amino_acid_sequence")).otherwise(mutated_protein(wild, F.col("amino_acid_change"), position))
+    wild, change = F.col("wildtype_amino_acid_sequence"), F.col("amino_acid_change")
+    mutant = F.when(shift, F.col("frameshift_amino_acid_sequence")).otherwise(mutated_protein(wild, change, position))
     rows = variants.withColumns({"_position": position, "_wild": wild, "_mutant": mutant}).where("_mutant is not null")
+    rows = rows.withColumns({"_shown": F.col("_mutant"), "_base": F.col("_wild")})
+    if "near_all" in variants.columns:
+        merged = F.when(F.col("variant_type") == "missense", haplotypes.merged_change(change, F.col("codon_change"), F.col("near_codons"))).otherwise(change)
+        carried = mutated_protein(haplotypes.carrying(F.col("_wild"), F.col("near_all")), merged, F.col("_position"), F.col("_wild"))
+        shifted = haplotypes.carrying(F.col("_mutant"), F.col("near_all"), F.col("_position"))
+        rows = rows.withColumns({"_shown": F.when(shift, shifted).otherwise(carried), "_base": haplotypes.carrying(F.col("_wild"), F.col("near_germline"))})
     windows = {
-        "MT": F.when(shift, frameshift_window(F.col("_mutant"), F.col("_position"), flank, downstream)).otherwise(changed_window(F.col("_mutant"), F.col("_wild"), flank)),
-        "WT": F.when(shift, frameshift_window(F.col("_wild"), F.col("_position"), flank, flank)).otherwise(centred(F.col("_wild"), F.col("_position"), flank)),
+        "MT": F.when(shift, frameshift_window(F.col("_shown"), F.col("_position"), flank, downstream)).otherwise(F.col("_shown").substr(*changed_bounds(F.col("_mutant"), F.col("_wild"), flank))),
+        "WT": F.when(shift, frameshift_window(F.col("_base"), F.col("_position"), flank, flank)).otherwise(centred(F.col("_base"), F.col("_position"), flank)),
     }
     each = F.explode(F.array(*[F.struct(F.concat(F.lit(side + "."), F.col("index")).alias("id"), w.alias("sequence")) for side, w in windows.items()])).alias("x")
     return rows.select(each).select("x.*").where("sequence <> ''")
@@ -212,15 +221,19 @@ def peptides_of(sequences: DataFrame, lengths: list[int], alleles: list[str]) ->
     return rows.select("side", "index", F.explode("a").alias("allele"), "k.length", "k.position", "k.epitope")
 
 
-def run(variants: DataFrame, alleles: list[str], lengths: list[int], methods: list[str], o: Options, flank: int | None = None, store: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> Results:
-    """A whole run on annotated variants (with ``index``): windows, peptides, predictions, the epitope table, and its post-processing.
+def run(variants: DataFrame, alleles: list[str], lengths: list[int], methods: list[str], o: Options, flank: int | None = None, store: Callable[[DataFrame, str], DataFrame] = lambda df, name: df, phased: DataFrame | None = None) -> Results:
+    """A whole run on annotated variants (with ``index``): neighbours of ``phased`` calls, windows, peptides, predictions, the epitope table, and its post-processing.
 
     Every peptide is predicted once for each allele and method, however many variants have it.
     ``store`` writes a step's table under a name and returns the written one, so that
     what follows doesn't compute it again: variants, sequences, scores and epitopes.
     """
     variants = store(variants, "variants")
-    sequences = store(variant_sequences(variants, flank if flank is not None else max(lengths) - 1), "sequences")
+    flank = flank if flank is not None else max(lengths) - 1
+    if phased is not None:
+        near = haplotypes.neighbours(variants, phased, 3 * flank)
+        variants = store(haplotypes.with_neighbours(variants, near), "neighbours")
+    sequences = store(variant_sequences(variants, flank), "sequences")
     peptides = peptides_of(sequences, lengths, alleles)
     scores = store(predictions.predict(peptides.select("allele", "length", "epitope"), methods), "scores")
     kinds = variants.select("index", "variant_type", F.abs(F.length(F.replace(F.split_part("amino_acid_change", F.lit("/"), F.lit(2)), F.lit("-"), F.lit(""))) - F.length(F.replace(F.split_part("amino_acid_change", F.lit("/"), F.lit(1)), F.lit("-"), F.lit("")))).alias("shift"))
