@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from neolake.functions import sequences as S
-from neolake.operators import haplotypes
-from neolake.plans import post
+from neolake.operators import haplotypes, splicing
+from neolake.plans import other_runs, post
 from neolake.plans.catalogue import _CODONS_SQL, query, read
 
 c = F.col
@@ -66,3 +66,95 @@ def haplotype_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     somatic = calls.where("o_orderstatus <> 'F'")
     near = haplotypes.neighbours(somatic, _phased(calls), 9)
     return post.variant_sequences(haplotypes.with_neighbours(somatic, near), 8)
+
+
+# --- splicing: an order is a junction of its own transcript of four exons --------------------
+
+_HEX = "'0123456789abcdef', 'ACGTACGTACGTACGT'"
+_MODELS = f"""
+ge AS MATERIALIZED (SELECT p_partkey % 25 AS chrom, string_agg(translate(md5(p_partkey::VARCHAR), {_HEX}), '' ORDER BY p_partkey) AS seq FROM part GROUP BY ALL),
+sn AS (SELECT s_nationkey AS chrom, s_suppkey * 7 % 200 + 1 AS pos, min(substr('ACGT', (s_suppkey % 4 + 1)::INT, 1)) AS alt FROM supplier GROUP BY ALL),
+gn AS MATERIALIZED (SELECT chrom, string_agg(base, '' ORDER BY i) AS seq FROM (SELECT u.chrom, u.i, coalesce(sn.alt, u.base) AS base FROM (SELECT chrom, unnest(string_split(seq, '')) AS base, unnest(range(1, length(seq) + 1)) AS i FROM ge) u LEFT JOIN sn ON sn.chrom = u.chrom AND sn.pos = u.i) GROUP BY chrom),
+t AS (SELECT o_orderkey AS k, o_custkey % 25 AS chrom, CASE WHEN o_orderstatus = 'F' THEN '-' ELSE '+' END AS strand, ['A', 'D', 'NDA'][o_orderkey % 3 + 1] AS anchor,
+  list_transform(range(4), lambda j: {{'a': (o_orderkey % 40 + 1 + 50 * j + o_orderkey // (j + 1) % 7)::INT, 'z': (o_orderkey % 40 + 15 + 50 * j + o_orderkey // (j + 1) % 7 + (o_custkey + j) % 11)::INT}}) AS ex FROM orders),
+j AS (SELECT *, CASE WHEN anchor = 'NDA' THEN ex[1].z WHEN (anchor = 'A') = (strand = '+') THEN ex[2].a + 5 + k % 9 ELSE ex[2].z END AS s, CASE WHEN anchor = 'NDA' THEN ex[3].a + (k % 7 = 0)::INT WHEN (anchor = 'A') = (strand = '+') THEN ex[3].a ELSE ex[3].z - 10 + k % 30 END AS e FROM t),
+al AS (SELECT *, CASE WHEN anchor = 'NDA' THEN CASE WHEN k % 7 <> 0 THEN [ex[1], ex[3], ex[4]] END WHEN (anchor = 'A') = (strand = '+') THEN [ex[1], {{'a': ex[2].a, 'z': s::INT}}, ex[3], ex[4]]
+  WHEN e = ex[3].z OR e >= ex[4].z THEN NULL WHEN e < ex[3].z THEN [ex[1], ex[2], {{'a': e::INT, 'z': ex[3].z}}, ex[4]] ELSE [ex[1], ex[2], ex[3], {{'a': e::INT, 'z': ex[4].z}}] END AS alt FROM j),
+dn AS (SELECT al.k, al.strand, list_reduce(list_transform(alt, lambda x: CASE WHEN x.a <= x.z THEN substr(seq, x.a, x.z - x.a + 1) ELSE '' END), lambda x, y: x || y) AS alt, list_reduce(list_transform(ex, lambda x: substr(seq, x.a, x.z - x.a + 1)), lambda x, y: x || y) AS wt
+  FROM al JOIN gn ON gn.chrom = al.chrom WHERE alt IS NOT NULL),
+rc AS (SELECT k, CASE WHEN strand = '-' THEN translate(reverse(alt), 'ACGT', 'TGCA') ELSE alt END AS alt, CASE WHEN strand = '-' THEN translate(reverse(wt), 'ACGT', 'TGCA') ELSE wt END AS wt FROM dn),
+pr AS MATERIALIZED (SELECT k, length(alt) % 3 <> 0 AS fs, {{alt}} AS alt, {{wt}} AS wt FROM rc)"""
+_PADDED = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in (S.CODONS | S._SHORT).items()) + "}"
+_TRANSLATED = "split_part(array_to_string(list_transform(range(0, (length({0}) + 2) // 3), lambda i: coalesce(" + _PADDED + "[substr({0}, i * 3 + 1, 3)], 'X')), ''), '*', 1)"
+_PROTEINS = _MODELS.replace("{alt}", _TRANSLATED.replace("{0}", "alt")).replace("{wt}", _TRANSLATED.replace("{0}", "wt"))
+
+
+def _splice_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Junctions, exons, the genome and a sample's substitutions."""
+    key, cust = c("o_orderkey"), c("o_custkey")
+    o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
+    first = lambda j: (key % 40 + 1 + 50 * j + F.floor(key / (j + 1)) % 7).cast("int")
+    exons = [F.struct(first(j).alias("start"), (first(j) + 14 + (cust + j) % 11).cast("int").alias("stop")) for j in range(4)]
+    o = o.withColumns({"exons": F.array(*exons), "strand": F.when(c("o_orderstatus") == "F", "-").otherwise("+"), "anchor": F.element_at(F.array(F.lit("A"), F.lit("D"), F.lit("NDA")), (key % 3 + 1).cast("int"))})
+    ex = lambda j, x: c("exons")[j][x]
+    skip, acceptor = c("anchor") == "NDA", (c("anchor") == "A") == (c("strand") == "+")
+    start = F.when(skip, ex(0, "stop")).when(acceptor, ex(1, "start") + 5 + key % 9).otherwise(ex(1, "stop"))
+    stop = F.when(skip, ex(2, "start") + (key % 7 == 0).cast("int")).when(acceptor, ex(2, "start")).otherwise(ex(2, "stop") - 10 + key % 30)
+    junctions = o.select(key.cast("string").alias("index"), (cust % 25).cast("string").alias("chrom"), key.alias("transcript_id"), start.cast("int").alias("start"), stop.cast("int").alias("stop"), "anchor", "strand")
+    part = read(spark, sf_dir, "part", "p_partkey")
+    bases = F.translate(F.md5(c("p_partkey").cast("string").cast("binary")), "0123456789abcdef", "ACGTACGTACGTACGT")
+    genome = part.groupBy((c("p_partkey") % 25).cast("string").alias("chrom")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", bases.alias("b")))), lambda x: x["b"]), "").alias("sequence"))
+    new = read(spark, sf_dir, "supplier").select(c("s_nationkey").cast("string").alias("chrom"), (c("s_suppkey") * 7 % 200 + 1).alias("pos"), F.substr(F.lit("ACGT"), (c("s_suppkey") % 4 + 1).cast("int"), F.lit(1)).alias("alt"))
+    return junctions, o.select(key.alias("transcript_id"), "exons"), genome, new
+
+
+def _splice_proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    junctions, exons, genome, new = _splice_tables(spark, sf_dir)
+    return splicing.junction_proteins(junctions, exons, splicing.personal_pieces(splicing.genome_pieces(genome), new))
+
+
+@query(f"""WITH {_PROTEINS}, b AS (SELECT k || CASE WHEN fs THEN '.frameshift_splice_site' ELSE '.inframe_splice_site' END AS "index", alt, wt FROM pr WHERE alt LIKE 'M%' AND wt LIKE 'M%')
+SELECT "index", 'ALT' AS side, alt AS protein FROM b UNION ALL SELECT "index", 'WT', wt FROM b""")
+def splice_proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _splice_proteins(spark, sf_dir).select("index", "side", "protein")
+
+
+@query(f"""WITH {_PROTEINS}, b AS (SELECT k || CASE WHEN fs THEN '.frameshift_splice_site' ELSE '.inframe_splice_site' END AS "index", alt, wt FROM pr WHERE alt LIKE 'M%' AND wt LIKE 'M%'),
+s AS (SELECT "index", wt, n, unnest(list_transform(range(1, greatest(length(alt) - n + 1, 0) + 1), lambda i: {{'k': substr(alt, i, n), 'i': i}})) AS x FROM b, (SELECT unnest([4, 6])::INT AS n))
+SELECT "index", x.k AS epitope, n AS length, max(x.i)::INT AS position FROM s WHERE NOT contains(wt, x.k) AND NOT contains(x.k, 'X') GROUP BY ALL""")
+def splice_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return other_runs.splice_kmers(_splice_proteins(spark, sf_dir), [4, 6])
+
+
+# --- fusions: a line item joins its order's gene to its part's --------------------------------
+
+_FUSED = """
+d AS (SELECT DISTINCT l_orderkey, l_partkey, l_linenumber, l_quantity::INT AS q, l_suppkey FROM lineitem),
+f AS (SELECT 'chr' || l_orderkey % 22 AS c1, l_orderkey AS p1, (l_partkey % 22)::VARCHAR AS c2, l_partkey AS p2, 'G' || l_orderkey || '-G' || l_partkey AS gene, 'T' || l_orderkey || '-T' || l_linenumber AS tr, l_linenumber % 2 = 0 AS fs, q AS reads,
+  translate(md5(l_orderkey::VARCHAR), '0123456789abcdef', 'ACDEFGHIKLMNPQRS') AS a, translate(md5(l_partkey::VARCHAR), '0123456789abcdef', 'ACDEFGHIKLMNPQRX') || CASE WHEN l_suppkey % 3 = 0 THEN 'X' ELSE '' END AS z, (l_suppkey % 33)::INT AS n, l_orderkey, l_partkey FROM d),
+st AS (SELECT l_orderkey, l_partkey, max(struct_pack(r := l_quantity::INT, x := l_extendedprice)) AS s FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL),
+g AS (SELECT row_number() OVER (ORDER BY regexp_replace(c1, '^chr', ''), p1, c2, p2, gene, tr, CASE WHEN fs THEN 'frameshift_fusion' ELSE 'inframe_fusion' END, substr(a, 1, n) || z, n, reads) AS i, f.*, st.s.x AS expression FROM f LEFT JOIN st ON st.l_orderkey = f.l_orderkey AND st.l_partkey = f.l_partkey)"""
+
+
+def _fusions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", c("l_quantity").cast("int").alias("q"), "l_suppkey").distinct()
+    name = lambda k, to: F.translate(F.md5(c(k).cast("string").cast("binary")), "0123456789abcdef", to)
+    cat = lambda *x: F.concat(*[F.lit(v) if v.isalpha() or v == "-" else c(v).cast("string") for v in x])
+    peptide = F.concat(F.left(name("l_orderkey", "ACDEFGHIKLMNPQRS"), (c("l_suppkey") % 33).cast("int")), F.lit("|"), name("l_partkey", "ACDEFGHIKLMNPQRX"), F.when(c("l_suppkey") % 3 == 0, "X*").otherwise("*"))
+    fused = d.select(
+        F.concat(F.lit("chr"), c("l_orderkey") % 22).alias("left_chrom"), c("l_orderkey").alias("left_pos"), (c("l_partkey") % 22).cast("string").alias("right_chrom"), c("l_partkey").alias("right_pos"), cat("G", "l_orderkey", "-", "G", "l_partkey").alias("gene_name"),
+        cat("T", "l_orderkey", "-", "T", "l_linenumber").alias("transcript_name"), F.when(c("l_linenumber") % 2 == 0, "frameshift_fusion").otherwise("inframe_fusion").alias("variant_type"), peptide.alias("peptide"), c("q").alias("read_support"),
+    )
+    star = read(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select((c("l_orderkey") % 22).cast("string").alias("left_chrom"), c("l_orderkey").alias("left_pos"), F.concat(F.lit("chr"), c("l_partkey") % 22).alias("right_chrom"), c("l_partkey").alias("right_pos"), c("l_quantity").cast("int").alias("read_support"), c("l_extendedprice").alias("expression"))
+    return other_runs.called_fusions(fused, star)
+
+
+@query(f"""WITH {_FUSED} SELECT i || '.' || gene || '.' || tr || '.' || CASE WHEN fs THEN 'frameshift_fusion' ELSE 'inframe_fusion' END || '.' || n AS "index", regexp_replace(c1, '^chr', '') || ' / ' || c2 AS chromosome_name, p1 || ' / ' || p2 AS start, reads AS read_support, expression FROM g""")
+def fusion_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fusions(spark, sf_dir).select("index", "chromosome_name", "start", "read_support", "expression")
+
+
+@query(f"""WITH {_FUSED}, w AS (SELECT i, substr(substr(a, 1, n) || z, greatest(n - 9, 0) + 1, CASE WHEN fs THEN n + 12 ELSE n + 9 END - greatest(n - 9, 0)) AS s, gene || '.' || tr || '.' || CASE WHEN fs THEN 'frameshift_fusion' ELSE 'inframe_fusion' END || '.' || n AS name FROM g)
+SELECT i || '.' || name AS "index", regexp_replace(s, 'X$', '') AS sequence FROM w WHERE NOT contains(regexp_replace(s, 'X$', ''), 'X') AND length(regexp_replace(s, 'X$', '')) >= 9""")
+def fusion_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return other_runs.fusion_sequences(_fusions(spark, sf_dir), 9, 12, shortest=9)

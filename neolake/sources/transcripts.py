@@ -74,11 +74,12 @@ def read_arriba(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_star_fusion(spark: SparkSession, path: str) -> DataFrame:
-    """(left_chrom, left_pos, right_chrom, right_pos, read_support, expression)."""
+    """(left_chrom, left_pos, left_strand, right_chrom, right_pos, right_strand, read_support, expression)."""
     raw = spark.read.csv(path, sep="\t", header=True, inferSchema=False)
     spanning = next((c for c in raw.columns if c.lower().startswith("spanningfrag")), None)
     reads = F.coalesce(F.col("JunctionReadCount").try_cast("int"), F.lit(0)) + (F.coalesce(F.col(f"`{spanning}`").try_cast("int"), F.lit(0)) if spanning else F.lit(0))
-    return raw.select(*_breakpoint(F.col("LeftBreakpoint"), "left"), *_breakpoint(F.col("RightBreakpoint"), "right"), reads.alias("read_support"), F.col("FFPM").try_cast("double").alias("expression"))
+    strand = lambda side: F.try_element_at(F.split(f"{side}Breakpoint", ":"), F.lit(3)).alias(f"{side.lower()}_strand")
+    return raw.select(*_breakpoint(F.col("LeftBreakpoint"), "left"), strand("Left"), *_breakpoint(F.col("RightBreakpoint"), "right"), strand("Right"), reads.alias("read_support"), F.col("FFPM").try_cast("double").alias("expression"))
 
 
 def read_agfusion_exons(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -104,6 +105,14 @@ def read_agfusion(spark: SparkSession, folder: str) -> DataFrame:
     return records.select("fusion", F.split(F.trim(head[0]), r"\s+", 2)[0].alias("id"), F.regexp_extract(sequence, r"^[^*]*", 0).alias("sequence"))
 
 
+def read_agfusion_proteins(spark: SparkSession, folder: str) -> DataFrame:
+    """(fusion, genes, transcripts, effect, sequence) of the same files: what each record's title tells, and its sequence with the ``*`` at the joint."""
+    lines = spark.read.text(f"{folder}/*/*_protein.fa", lineSep="\n>").withColumn("fusion", F.element_at(F.split(F.input_file_name(), "/"), -2))
+    records = lines.select("fusion", F.split(F.regexp_replace("value", r"^>", ""), "\n", 2).alias("r")).where(F.trim(F.col("r")[0]) != "")
+    told = lambda key: F.nullif(F.regexp_extract(F.col("r")[0], rf"(?:^|, ){key}: ([^,]*?)\s*(?:,|$)", 1), F.lit("")).alias(key)
+    return records.select("fusion", told("genes"), told("transcripts"), told("effect"), F.upper(F.regexp_replace(F.coalesce(F.try_element_at("r", F.lit(2)), F.lit("")), r"\s", "")).alias("sequence"))
+
+
 def exon_extents(exons: DataFrame) -> DataFrame:
     """For each transcript pair, first and last exon coordinates of either side."""
     side = lambda g: F.col("exon_gene_source") == F.col(g)
