@@ -50,6 +50,15 @@ def kmers(sequence: Column, k: int | Column) -> Column:
     return F.when(F.length(sequence) <= SHORT, cut(sequence, F.lit(0))).otherwise(long)
 
 
+def every_kmer(sequence: Column, lengths: list[int]) -> Column:
+    """Structs (length, position from 1, epitope) of all lengths."""
+
+    def of(k: int) -> Column:
+        return F.transform(kmers(sequence, k), lambda x: F.struct(F.lit(k).alias("length"), x["position"].alias("position"), x["kmer"].alias("epitope")))
+
+    return F.flatten(F.array(*map(of, lengths)))
+
+
 def letters(sequence: Column) -> Column:
     short = F.transform(places(F.length(sequence)), lambda i: sequence.substr(i, F.lit(1)))
     return F.when(F.length(sequence) <= SHORT, short).otherwise(F.regexp_extract_all(sequence, F.lit("(?s)."), F.lit(0)))

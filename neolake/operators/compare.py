@@ -67,21 +67,6 @@ def json_differences(a: DataFrame, b: DataFrame, ignore: str = "^chr") -> DataFr
     return x.join(y, "key", "full_outer").where(~F.col("value_1").eqNullSafe(F.col("value_2")))
 
 
-def parameter_differences(a: dict, b: dict, path: str = "") -> list[tuple[str, object, object]]:
-    """Differences of two parameter files as (path, value, value); lists in any order."""
-    out = []
-    for k in sorted({*a, *b}, key=str):
-        x, y, at = a.get(k), b.get(k), f"{path}/{k}"
-        if isinstance(x, dict) and isinstance(y, dict):
-            out += parameter_differences(x, y, at)
-        elif isinstance(x, list) and isinstance(y, list):
-            if sorted(map(repr, x)) != sorted(map(repr, y)):
-                out.append((at, x, y))
-        elif x != y:
-            out.append((at, x, y))
-    return out
-
-
 # --- review forms ------------------------------------------------------------------
 
 

@@ -164,3 +164,57 @@ def species_of_allele(alleles: DataFrame, prefixes: DataFrame) -> DataFrame:
 
 def method_support(spark: SparkSession, rows: list[tuple[str, str, int]]) -> DataFrame:
     return spark.createDataFrame(rows, "method string, allele string, length int")
+
+
+# --- methods with several scores -----------------------------------------------------------
+
+# The fields of predictors with scores or percentiles of their own, by what they're called in the tables.
+PRESENTATION = {"scores": {"mhcflurry_processing_score": "mhcflurry_processing_score", "mhcflurry_presentation_score": "mhcflurry_presentation_score"}, "percentiles": {"mhcflurry_presentation_percentile": "mhcflurry_presentation_percentile"}}
+NAMED_SCORE = {"deepimmuno": "immunogenicity", "bigmhc_el": "BigMHC_EL", "bigmhc_im": "BigMHC_IM", "netmhcpan_el": "score"}
+
+
+def method_values(method: Column, fields: Column, presentation: str = "none") -> Column:
+    """Struct (scores, percentiles): maps from the kind of a predictor's value to it, of an output row given as a map from field to text.
+
+    Most methods have an ``ic50`` and one percentile, elution and immunogenicity
+    methods a ``score``. ``presentation`` tells which of its values MHCflurry is asked
+    for: ``none`` (binding), ``only``, or ``both``. A percentile that isn't there is a
+    null in the map; an elution method without any field of its own is an error.
+    """
+    name = F.lower(method)
+    of = lambda c: F.try_element_at(fields, F.lit(c)).try_cast("double")
+    pairs = lambda d: [x for k, c in d.items() for x in (F.lit(k), of(c))]
+    own = {"none": {"ic50": "ic50"}, "only": PRESENTATION["scores"], "both": {"ic50": "ic50"} | PRESENTATION["scores"]}[presentation]
+    ranks = {"none": {"percentile": "percentile"}, "only": PRESENTATION["percentiles"], "both": {"percentile": "percentile"} | PRESENTATION["percentiles"]}[presentation]
+    elution = F.coalesce(of("score"), of("ic50"))
+    missing = F.raise_error(F.concat(F.lit("no score in the output of "), method)).cast("double")
+    scores = F.when(name == "mhcflurry", F.create_map(*pairs(own)))
+    for k, c in NAMED_SCORE.items():
+        scores = scores.when(name == k, F.create_map(F.lit("score"), of(c)))
+    scores = scores.when(F.contains(name, F.lit("netmhciipan_el")), F.create_map(F.lit("score"), F.coalesce(elution, missing))).otherwise(F.create_map(F.lit("ic50"), of("ic50")))
+    has = lambda c: F.map_contains_key(fields, c)
+    rank = F.when(has("percentile"), of("percentile")).when(has("percentile_rank"), of("percentile_rank")).otherwise(of("rank"))
+    percentiles = F.when(name == "mhcflurry", F.create_map(*pairs(ranks))).otherwise(F.create_map(F.lit("percentile"), rank))
+    return F.struct(scores.alias("scores"), percentiles.alias("percentiles"))
+
+
+def summarise_maps(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Best and median of long rows (keys, method, scores, percentiles, wt_scores, wt_percentiles) with maps of values.
+
+    Binding scores (``ic50``) count for the score; for the percentile all of a
+    method's percentiles do, flattened, so that a method with two has two votes in
+    the median. The best percentile's method is the one it is of, and the wild type's
+    is the value of the same kind. Equal best values go to the first method, then kind.
+    """
+    def flat(c: str) -> DataFrame:
+        kinds = F.map_keys(c) if c == "percentiles" else F.filter(F.map_keys(c), lambda k: k == "ic50")
+        each = F.explode(F.transform(kinds, lambda k: F.struct(F.try_element_at(c, k).alias("v"), F.col("method").alias("method"), k.alias("kind"), F.try_element_at(f"wt_{c}", k).alias("wt")))).alias("x")
+        return rows.select(*keys, each).select(*keys, "x.*")
+
+    def best(df: DataFrame, name: str) -> DataFrame:
+        first = F.min(F.when(F.col("v").isNotNull(), F.struct("v", "method", "kind", "wt")))
+        out = df.groupBy(*keys).agg(first.alias("_b"), F.median("v").alias(f"median_{name}"), F.median("wt").alias(f"median_wt_{name}"))
+        return out.select(*keys, F.col("_b.v").alias(f"best_{name}"), F.col("_b.method").alias(f"best_{name}_method"), F.col("_b.wt").alias(f"corresponding_wt_{name}"), f"median_{name}", f"median_wt_{name}")
+
+    out = rows.select(*keys).distinct().join(best(flat("scores"), "score"), keys, "left").join(best(flat("percentiles"), "percentile"), keys, "left")
+    return out.withColumns({"corresponding_fold_change": fold_change(F.col("corresponding_wt_score"), F.col("best_score")), "median_fold_change": fold_change(F.col("median_wt_score"), F.col("median_score"))})

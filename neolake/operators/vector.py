@@ -43,18 +43,6 @@ def edges(junctions: DataFrame) -> DataFrame:
     return junctions.groupBy("left", "right").agg(F.max_by(F.struct(*cols), order).alias("j")).select("left", "right", "j.*")
 
 
-def unresolved(pairs: DataFrame, done: DataFrame) -> DataFrame:
-    return pairs.join(done, ["left", "right"], "left_anti")
-
-
-def can_order(peptides: DataFrame, graph: DataFrame) -> bool:
-    """At most one peptide has nothing after it, at most one nothing before it, none neither."""
-    ids = peptides.select(F.col(peptides.columns[0]).alias("id"))
-    n = ids.join(graph.select(F.col("left").alias("id")).distinct().withColumn("o", F.lit(1)), "id", "left").join(graph.select(F.col("right").alias("id")).distinct().withColumn("i", F.lit(1)), "id", "left")
-    row = n.agg(F.count_if("o is null").alias("o"), F.count_if("i is null").alias("i"), F.count_if("o is null and i is null").alias("both")).first()
-    return row["o"] <= 1 and row["i"] <= 1 and row["both"] == 0
-
-
 def best_order(nodes: list[str], weight: dict[tuple[str, str], float], exact_up_to: int = 12, seed: int = 0, steps: int = 20_000) -> list[str] | None:
     """The path over all nodes with the greatest sum of weights; None if there is none.
 
@@ -100,14 +88,5 @@ def best_order(nodes: list[str], weight: dict[tuple[str, str], float], exact_up_
     return top[1] if top[0] > missing / 2 else None
 
 
-def assembled(order: list[str], sequences: dict[str, str], junctions: dict[tuple[str, str], tuple[str, int, int]]) -> str:
-    """The construct's sequence: peptides in order with their junctions' spacers and clips."""
-    out = sequences[order[0]]
-    for a, b in itertools.pairwise(order):
-        spacer, left, right = junctions[a, b]
-        out = (out[: len(out) - left] if left else out) + ("" if spacer == "None" else spacer) + sequences[b][right:]
-    return out
-
-
 def construct_dna(df: DataFrame, sequence: str = "sequence") -> DataFrame:
     return df.withColumn("dna", back_translated(F.col(sequence)))

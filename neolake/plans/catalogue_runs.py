@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from neolake.functions import sequences as S
-from neolake.operators import haplotypes, splicing
+from neolake.operators import alignment, candidates, constructs, documents, haplotypes, metrics, predictions, splicing
 from neolake.plans import other_runs, post
 from neolake.plans.catalogue import _CODONS_SQL, query, read
+from neolake.plans.catalogue_operators import PROTEINS, proteins
+from neolake.plans.catalogue_reports import _TIE, TIE, T, X, table
 
 c = F.col
 
@@ -158,3 +160,129 @@ def fusion_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT i || '.' || name AS "index", regexp_replace(s, 'X$', '') AS sequence FROM w WHERE NOT contains(regexp_replace(s, 'X$', ''), 'X') AND length(regexp_replace(s, 'X$', '')) >= 9""")
 def fusion_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return other_runs.fusion_sequences(_fusions(spark, sf_dir), 9, 12, shortest=9)
+
+
+# --- alignment: a part's mutant protein against its wild type ----------------------------------
+
+_LOW = "-1e18::DOUBLE"
+_DIAGONALS = f"""
+al AS (SELECT p_partkey AS k, wt, mt, length(wt)::INT AS n, length(mt)::INT AS m, 0 AS d, list_transform(range(0, length(wt) + 1), lambda i: CASE WHEN i = 0 THEN 0.0::DOUBLE ELSE {_LOW} END) AS m1,
+  list_transform(range(0, length(wt) + 1), lambda i: {_LOW}) AS x1, list_transform(range(0, length(wt) + 1), lambda i: {_LOW}) AS y1, list_transform(range(0, length(wt) + 1), lambda i: {_LOW}) AS m2, list_transform(range(0, length(wt) + 1), lambda i: {_LOW}) AS x2,
+  list_transform(range(0, length(wt) + 1), lambda i: {_LOW}) AS y2 FROM p
+UNION ALL SELECT k, wt, mt, n, m, d + 1,
+  list_transform(range(0, n + 1), lambda i: CASE WHEN i >= 1 AND d + 1 - i BETWEEN 1 AND m THEN greatest(m2[i], x2[i], y2[i]) + CASE WHEN substr(wt, i::INT, 1) = substr(mt, (d + 1 - i)::INT, 1) THEN 2.0 ELSE -1.0 END ELSE {_LOW} END),
+  list_transform(range(0, n + 1), lambda i: CASE WHEN i >= 1 AND d + 1 - i BETWEEN 0 AND m THEN greatest(m1[i] - 5, x1[i] - 0.5, y1[i] - 5) ELSE {_LOW} END),
+  list_transform(range(0, n + 1), lambda i: CASE WHEN d + 1 - i BETWEEN 1 AND m THEN greatest(m1[i + 1] - 5, x1[i + 1] - 5, y1[i + 1] - 0.5) ELSE {_LOW} END), m1, x1, y1 FROM al WHERE d < n + m)"""
+
+
+@query(f"WITH RECURSIVE {PROTEINS}, {_DIAGONALS} SELECT k AS p_partkey, greatest(m1[n + 1], x1[n + 1], y1[n + 1]) AS score, greatest(m1[n + 1], x1[n + 1], y1[n + 1]) AS counted, wt, mt FROM al WHERE d = n + m")
+def aligned_proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = proteins(spark, sf_dir).select("p_partkey", alignment.aligned(c("wt"), c("mt")).alias("a")).select("p_partkey", "a.*")
+    gaps = sum((F.regexp_count(x, F.lit("-+")) for x in ("wild", "mutant")), F.lit(0))
+    dashes = sum((F.regexp_count(x, F.lit("-")) for x in ("wild", "mutant")), F.lit(0))
+    same = S.matches(c("wild"), c("mutant"))
+    counted = 2.0 * same - 1.0 * (F.length("wild") - dashes - same) - 5.0 * gaps - 0.5 * (dashes - gaps)
+    return rows.select("p_partkey", "score", counted.alias("counted"), F.replace("wild", F.lit("-"), F.lit("")).alias("wt"), F.replace("mutant", F.lit("-"), F.lit("")).alias("mt"))
+
+
+# --- documents: an order's lines as one nested object, and a changed version of it ---------------
+
+_LISTED = """
+l AS (SELECT l_orderkey AS o, l_partkey AS p, l_quantity::INT AS q, l_returnflag AS f, l_linenumber AS n, floor(l_extendedprice)::BIGINT AS x FROM lineitem),
+t AS (SELECT o, max(x) AS top FROM l GROUP BY o),
+i AS (SELECT o, '{"p":' || p || ',"q":' || q || '}' AS e, 1 AS a, 0 AS b FROM l UNION ALL SELECT o, '{"p":' || p || ',"q":' || CASE WHEN p % 10 = 0 THEN q + 1 ELSE q END || '}', 0, 1 FROM l),
+g AS (SELECT o, '"' || f || '"' AS e, 1 AS a, 0 AS b FROM l UNION ALL SELECT o, '"' || f || '"', 0, 1 FROM l WHERE n <> 3)"""
+
+
+@query(f"""WITH {_LISTED}
+SELECT o AS doc, '/items[]' AS path, CASE WHEN sum(a) > 0 THEN e END AS value_1, CASE WHEN sum(b) > 0 THEN e END AS value_2, sum(a)::BIGINT AS n_1, sum(b)::BIGINT AS n_2 FROM i GROUP BY o, e HAVING sum(a) <> sum(b)
+UNION ALL SELECT o, '/more/flags[]', CASE WHEN sum(a) > 0 THEN e END, CASE WHEN sum(b) > 0 THEN e END, sum(a)::BIGINT, sum(b)::BIGINT FROM g GROUP BY o, e HAVING sum(a) <> sum(b)
+UNION ALL SELECT o, '/more/flags', NULL, '[]', 0, 1 FROM l GROUP BY o HAVING bool_and(n = 3)
+UNION ALL SELECT o, '/more/top', top::VARCHAR, (top + 1)::VARCHAR, 1, 1 FROM t WHERE o % 3 = 0
+UNION ALL SELECT o, '/extra~1', NULL, '"x"', 0, 1 FROM t WHERE o % 5 = 0""")
+def document_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", c("l_partkey").alias("p"), c("l_quantity").cast("int").alias("q"), "l_returnflag", "l_linenumber", F.floor("l_extendedprice").alias("x"))
+    late = F.when(c("p") % 10 == 0, c("q") + 1).otherwise(c("q"))
+    items = lambda q: F.sort_array(F.collect_list(F.struct("p", q.alias("q"))))
+    flags = F.collect_list(F.when(c("l_linenumber") != 3, c("l_returnflag")))
+    all_ = rows.groupBy("l_orderkey").agg(items(c("q")).alias("i1"), F.reverse(items(late)).alias("i2"), F.collect_list("l_returnflag").alias("f1"), F.sort_array(flags, False).alias("f2"), F.max("x").alias("top"))
+    key = c("l_orderkey")
+    first = F.struct(c("i1").alias("items"), F.struct(c("top"), c("f1").alias("flags")).alias("more"), F.lit(1).alias("chr1"))
+    second = F.struct(F.when(key % 5 == 0, "x").alias("extra/"), F.struct(c("f2").alias("flags"), (c("top") + F.when(key % 3 == 0, 1).otherwise(0)).alias("top")).alias("more"), c("i2").alias("items"))
+    docs = lambda x: all_.select(key.alias("doc"), F.to_json(x).alias("json"))
+    return documents.document_differences(docs(first), docs(second), "^chr")
+
+
+# --- methods with several scores ------------------------------------------------------------------
+
+_METHODS = """
+r AS (SELECT p_partkey AS k, 'MHCflurry' AS method, p_size::DOUBLE AS ic50, [p_size / 4.0, CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_size / 2.0 END] AS ranks, [p_size / 8.0, 3.0] AS wt_ranks, 100.0::DOUBLE AS wt FROM part
+  UNION ALL SELECT p_partkey, 'NetMHC', CASE WHEN p_size % 7 = 0 THEN NULL ELSE floor(p_retailprice / 40) END, [p_partkey % 20], [5.0], p_size::DOUBLE FROM part UNION ALL SELECT p_partkey, 'BigMHC_EL', NULL, [NULL], [NULL], NULL FROM part),
+s AS (SELECT k, min([ic50::VARCHAR, method]) AS _, median(ic50) AS median_score FROM r WHERE method <> 'BigMHC_EL' GROUP BY k),
+b AS (SELECT k, ic50, method, wt, row_number() OVER (PARTITION BY k ORDER BY ic50, method) AS n FROM r WHERE ic50 IS NOT NULL),
+q AS (SELECT k, method, unnest(ranks)::DOUBLE AS v, unnest(wt_ranks)::DOUBLE AS wt, unnest(['percentile', 'presentation'][1:len(ranks)]) AS kind FROM r),
+p AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY v, method, CASE kind WHEN 'percentile' THEN 2 ELSE 1 END) AS n FROM q WHERE v IS NOT NULL), m AS (SELECT k, median(v) AS v, median(wt) AS wt FROM q GROUP BY k)"""
+
+
+@query(f"""WITH {_METHODS} SELECT s.k AS p_partkey, b.ic50 AS best_score, b.method AS best_score_method, b.wt AS corresponding_wt_score, s.median_score, p.v AS best_percentile, p.method AS best_percentile_method, p.wt AS corresponding_wt_percentile, m.v AS median_percentile, m.wt AS median_wt_percentile
+FROM s JOIN b ON b.k = s.k AND b.n = 1 JOIN p ON p.k = s.k AND p.n = 1 JOIN m ON m.k = s.k""")
+def several_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read(spark, sf_dir, "part", "p_partkey", "p_size", "p_retailprice")
+    size, key = c("p_size"), c("p_partkey")
+    fields = lambda **x: F.create_map(*[y for k, v in x.items() for y in (F.lit(k), F.coalesce(v.cast("string"), F.lit("None")))])
+    outputs = {
+        "MHCflurry": (fields(ic50=size, percentile=size / 4, mhcflurry_processing_score=size * 2, mhcflurry_presentation_score=size * 3, mhcflurry_presentation_percentile=F.when(size % 3 != 0, size / 2)), fields(ic50=F.lit(100), percentile=size / 8, mhcflurry_presentation_percentile=F.lit(3))),
+        "NetMHC": (fields(ic50=F.when(size % 7 != 0, F.floor(c("p_retailprice") / 40)), rank=key % 20), fields(ic50=size, rank=F.lit(5))), "BigMHC_EL": (fields(BigMHC_EL=size), fields(BigMHC_EL=size)),
+    }
+    rows = None
+    for method, (own, wild) in outputs.items():
+        x, y = (predictions.method_values(F.lit(method), f, "both") for f in (own, wild))
+        one = part.select("p_partkey", F.lit(method).alias("method"), x.alias("x"), y.alias("y")).select("p_partkey", "method", "x.scores", "x.percentiles", c("y.scores").alias("wt_scores"), c("y.percentiles").alias("wt_percentiles"))
+        rows = one if rows is None else rows.unionByName(one)
+    names = ["best_score", "best_score_method", "corresponding_wt_score", "median_score", "best_percentile", "best_percentile_method", "corresponding_wt_percentile", "median_percentile", "median_wt_percentile"]
+    return predictions.summarise_maps(rows, ["p_partkey"]).select("p_partkey", *names)
+
+
+# --- constructs: an order's parts in one construct --------------------------------------------------
+
+
+def _junction_scores(rows: DataFrame) -> DataFrame:
+    """A stand-in score of a junction's epitope, from its letters."""
+    score = (F.ascii(F.substring("epitope", 1, 1)) * 31 + F.ascii(F.substring("epitope", 4, 1)) * 17 + F.ascii(F.substring("epitope", 7, 1)) * 7) % 997
+    return rows.withColumns({"score": score.cast("double"), "percentile": score / 100})
+
+
+@query()
+def designed_constructs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey").distinct()
+    sequence = F.translate(F.md5(c("l_partkey").cast("string").cast("binary")), "0123456789abcdef", "ACDEFGHIKLMNPQRS")
+    peptides = lines.select(c("l_orderkey").alias("construct"), c("l_partkey").alias("id"), sequence.alias("sequence"))
+    done = constructs.design(peptides, _junction_scores, ["None", "AAY", "HHHH"], 7, 8, 60.0)
+    return done.select(c("construct").alias("l_orderkey"), F.array_join("order", ",").alias("parts"), F.size("junctions").alias("junctions"), "sequence")
+
+
+# --- metrics: the whole object of a variant, read back --------------------------------------------
+
+_X = X.replace("l_extendedprice END AS score", "floor(l_extendedprice)::BIGINT END AS score")
+
+
+@query(f"""WITH {_X}, o AS (SELECT *, row_number() OVER (ORDER BY {_TIE}) AS nth, CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE 'W' || l_suppkey % 4 END AS wt FROM x),
+e AS (SELECT v, tr, ep2, min(nth) AS nth FROM o GROUP BY ALL), own AS (SELECT v, tr, array_to_string(list(ep2 ORDER BY nth), '|') AS peptides, min(nth) AS nth FROM e GROUP BY v, tr),
+s AS (SELECT v, peptides, min_by(tr, nth) AS tr, count(*) AS members, row_number() OVER (PARTITION BY v ORDER BY min(nth)) AS set_number FROM own GROUP BY v, peptides),
+r AS (SELECT o.*, s.set_number, s.members FROM o JOIN s ON s.v = o.v AND s.tr = o.tr), k AS (SELECT *, row_number() OVER (PARTITION BY v, set_number, ep2, al ORDER BY nth DESC) AS last FROM r),
+f AS (SELECT v, set_number, ep2, al, min(nth) FILTER (NOT anchor) AS nth FROM r GROUP BY ALL), fa AS (SELECT v, set_number, ep2, string_agg(al, ', ' ORDER BY nth) AS fails FROM f WHERE nth IS NOT NULL GROUP BY ALL),
+c AS (SELECT v, set_number, ep2, string_agg(al || '=' || coalesce(score::VARCHAR, 'NA') || '/' || round(pct * 100)::INT, ';' ORDER BY al) AS calls, min(score) AS least, max(CASE WHEN al = 'HLA-A' THEN coalesce(score::VARCHAR, 'NA') END) AS a, max(CASE WHEN al = 'HLA-B' THEN coalesce(score::VARCHAR, 'NA') END) AS b, max(CASE WHEN al = 'HLA-C' THEN coalesce(score::VARCHAR, 'NA') END) AS cc FROM k WHERE last = 1 GROUP BY ALL),
+h AS (SELECT v, set_number, ep2, any_value(members) AS members, min_by(prob, nth) AS prob, min_by(coalesce(wt, CASE WHEN kind = 'FS' THEN 'FS-NA' ELSE 'NA' END), nth) AS wt FROM r GROUP BY ALL)
+SELECT h.v, 'Transcript Set ' || h.set_number AS "set", h.members, row_number() OVER (PARTITION BY h.v, h.set_number ORDER BY h.prob <> 'None', fa.fails IS NOT NULL, c.least NULLS LAST, h.ep2)::INT AS place, h.ep2 AS peptide, coalesce(a, 'X') || ',' || coalesce(b, 'X') || ',' || coalesce(cc, 'X') AS ic50s, c.calls,
+  coalesce(fa.fails, 'None') AS fails, h.wt FROM h JOIN c ON c.v = h.v AND c.set_number = h.set_number AND c.ep2 = h.ep2 LEFT JOIN fa ON fa.v = h.v AND fa.set_number = h.set_number AND fa.ep2 = h.ep2""")
+def metrics_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = table(spark, sf_dir).drop("MT Epitope Seq").withColumnRenamed("ep2", "MT Epitope Seq").withColumn("Median MT IC50 Score", F.floor("Median MT IC50 Score"))
+    df = df.withColumns({"WT Epitope Seq": F.when(c("l_suppkey") % 3 != 0, F.concat(F.lit("W"), c("l_suppkey") % 4)), "one MT IC50 Score": c("Median MT IC50 Score"), "two MT IC50 Score": F.round(c("Median MT Percentile") * 100)})
+    best = candidates.best_candidate(df, ["v"], T, "Median MT IC50 Score", TIE)
+    objects = metrics.metrics_objects(df, best, ["v"], "Transcript", ["HLA-A", "HLA-B", "HLA-C"], TIE, ["one", "two"], anchor="anchor", allow_incomplete=True)
+    detail = "struct<ic50s_MT:array<string>,anchor_fails:string,wt_peptide:string,individual_ic50_calls:struct<MT:map<string,array<string>>>>"
+    parsed = F.from_json("json", f"good_binders map<string,struct<peptides:map<string,{detail}>,transcript_count:int,place:array<string>>>")
+    sets = objects.select("v", "json", F.explode(parsed["good_binders"]).alias("set", "body"))
+    rows = sets.select("v", "json", "set", c("body.transcript_count").cast("long").alias("members"), F.posexplode("body.peptides").alias("place", "peptide", "d"))
+    calls = F.transform(F.array_sort(F.map_entries("d.individual_ic50_calls.MT")), lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], "/")))
+    return rows.select("v", "set", "members", (c("place") + 1).alias("place"), "peptide", F.array_join("d.ic50s_MT", ",").alias("ic50s"), F.array_join(calls, ";").alias("calls"), c("d.anchor_fails").alias("fails"), c("d.wt_peptide").alias("wt"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from neolake.functions.sequences import frameshift_window, kmers
+from neolake.functions.sequences import every_kmer, frameshift_window
 from neolake.operators import candidates, genomic, predictions, splicing
 from neolake.plans.post import FUSION, SPLICE, Options, Results, post_process
 from neolake.sources import fasta, transcripts
@@ -158,7 +158,7 @@ def fusion_run(fusions: DataFrame, alleles: list[str], lengths: list[int], metho
     """A whole run on ``called_fusions`` or ``assembled_fusions``: windows, peptides, predictions, the epitope table with its fusions' columns, its post-processing."""
     fusions = store(fusions, "fusions")
     sequences = store(fusion_sequences(fusions, flank if flank is not None else max(lengths) - 1, shortest=min(lengths)), "sequences")
-    each = F.explode(F.flatten(F.array(*[F.transform(kmers(F.col("sequence"), k), lambda x, k=k: F.struct(F.lit(k).alias("length"), x["position"].alias("position"), x["kmer"].alias("epitope"))) for k in lengths]))).alias("k")
+    each = F.explode(every_kmer(F.col("sequence"), lengths)).alias("k")
     peptides = sequences.select("index", each).select("index", "k.position", "k.length", "k.epitope")
     best = _summaries(peptides, ["index", "position"], alleles, methods, store)
     rows = best.join(fusions.drop("fusion_amino_acid_sequence", "protein_position"), "index")

@@ -8,8 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from neolake.functions.sequences import centred, changed_bounds, frameshift_window, kmers, manufacturability, mutated_protein
-from neolake.operators import aggregate, candidates, filters, genomic, haplotypes, predictions, reference, tiers, vector
+from neolake.functions.sequences import centred, changed_bounds, every_kmer, frameshift_window, manufacturability, mutated_protein
+from neolake.operators import aggregate, candidates, filters, genomic, haplotypes, predictions, reference, tiers
 from neolake.schemas import Thresholds
 
 
@@ -142,33 +142,6 @@ def epitope_table(mutant: DataFrame, wildtype: DataFrame, scores: DataFrame) ->
     return predictions.summarise(long, ["index", "allele", "length", "position", "epitope", "wt_epitope", "mutation_position"])
 
 
-def design_construct(peptides: DataFrame, scorer: Callable[[DataFrame], DataFrame], spacers: list[str], flank: int, k: int, threshold: float, clips: int = 2) -> tuple[list[str], DataFrame] | None:
-    """Order of the peptides and the junctions used; None if no path exists.
-
-    Tries spacers in turn, then longer clips, on the pairs that are unresolved
-    only: one Spark job a round. ``peptides``: id, sequence; ``scorer`` adds score
-    and percentile to rows with ``epitope``.
-    """
-    pairs = vector.ordered_pairs(peptides)
-    done: DataFrame | None = None
-    for clip in range(clips + 1):
-        for spacer in spacers:
-            left = pairs if done is None else vector.unresolved(pairs, done)
-            junctions = vector.junction_sequences(left, [spacer], clip, flank).where(F.greatest("left_clip", "right_clip") == clip)
-            scored = scorer(vector.junction_epitopes(junctions, k))
-            new = vector.edges(vector.junction_scores(scored, ["left", "right", "spacer", "left_clip", "right_clip"], threshold))
-            rows = new.collect()  # at most a row for each ordered pair of one construct's peptides
-            if rows:
-                new = peptides.sparkSession.createDataFrame(rows, new.schema)
-                done = new if done is None else done.union(new)
-            if done is not None and vector.can_order(peptides.select(peptides.columns[0]), done):
-                weight = {(r["left"], r["right"]): r["weight"] for r in done.collect()}
-                order = vector.best_order([r[0] for r in peptides.select(peptides.columns[0]).collect()], weight)
-                if order:
-                    return order, done
-    return None
-
-
 def peptide_fasta(sequences: DataFrame, mutant_only: bool = False, report: DataFrame | None = None, accepted: tuple[str, ...] = ("Accept",)) -> DataFrame:
     """(id, sequence, and the measures of how hard each is to make): the peptides of a FASTA report.
 
@@ -216,7 +189,7 @@ def peptides_of(sequences: DataFrame, lengths: list[int], alleles: list[str]) ->
     """(side, index, allele, length, position, epitope): every peptide of the sequences, for every allele."""
     side, index = F.split_part("id", F.lit("."), F.lit(1)), F.expr("substring(id, instr(id, '.') + 1)")
     usable = sequences.where(F.col("sequence").rlike("^[ACDEFGHIKLMNPQRSTVWY]+$"))
-    each = F.explode(F.flatten(F.array(*[F.transform(kmers(F.col("sequence"), k), lambda x, k=k: F.struct(F.lit(k).alias("length"), x["position"].alias("position"), x["kmer"].alias("epitope"))) for k in lengths]))).alias("k")
+    each = F.explode(every_kmer(F.col("sequence"), lengths)).alias("k")
     rows = usable.select(side.alias("side"), index.alias("index"), each, F.array(*[F.lit(a) for a in alleles]).alias("a"))
     return rows.select("side", "index", F.explode("a").alias("allele"), "k.length", "k.position", "k.epitope")
 

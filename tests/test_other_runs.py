@@ -237,3 +237,204 @@ def test_fusion_run(spark, tmp_path):
     assert (both.start, both.read_support, both.expression) == ("80 / 990", 9, 1.5)
     with pytest.raises(Exception, match="no joint"):
         other_runs.assembled_fusions(proteins.withColumn("sequence", F.lit("AAA")), exons).collect()
+
+
+# --- constructs, alignment, documents, metrics, several scores -----------------------------
+
+
+def plain_design(peptides, score, spacers, flank, k, threshold, clips):
+    """One construct, round by round, with all orders tried."""
+    import itertools
+
+    ids, edges = sorted(peptides), {}
+    for clip in range(clips + 1):
+        for spacer in spacers:
+            new = {}
+            for a, b in itertools.permutations(ids, 2):
+                if (a, b) in edges:
+                    continue
+                for i in range(clip + 1):
+                    for j in range(clip + 1):
+                        if max(i, j) != clip:
+                            continue
+                        left = peptides[a][: len(peptides[a]) - i][-flank:]
+                        text = left + ("" if spacer == "None" else spacer) + peptides[b][j : j + flank]
+                        scores = [score(text[n : n + k]) for n in range(len(text) - k + 1)]
+                        if scores and min(scores) >= threshold:
+                            new[a, b] = max(new.get((a, b), (-1.0,)), (min(scores), -(i + j), spacer, i, j))
+            edges |= new
+            best = max((sum(edges[e][0] for e in itertools.pairwise(p)) for p in itertools.permutations(ids) if all(e in edges for e in itertools.pairwise(p))), default=None)
+            if best is not None:
+                return best, edges
+    return None, edges
+
+
+def test_designs_of_many_constructs(spark):
+    from neolake.operators import constructs
+
+    rnd = random.Random(6)
+    rows = [(f"c{i}", f"p{j}", "".join(rnd.choice("ACDEFG") for _ in range(rnd.choice([4, 9, 12])))) for i in range(12) for j in range(rnd.choice([1, 2, 3, 4, 5]))] + [("bad", "a", "AAAAAAA"), ("bad", "b", "AAAAAAAA")]
+    score = lambda e: float(sum(ord(x) * (i + 3) for i, x in enumerate(e)) % 53)
+    scored = F.udf(lambda e: score(e) if set(e) != {"A"} else 0.0, "double")
+    plain = lambda e: score(e) if set(e) != {"A"} else 0.0
+    df = spark.createDataFrame(rows, "construct string, id string, sequence string")
+    done = {r.construct: r for r in constructs.design(df, lambda d: d.withColumns({"score": scored("epitope"), "percentile": F.lit(1.0)}), ["None", "GG"], 4, 5, 6.0, clips=1).collect()}
+    assert set(done) == {r[0] for r in rows}
+    for name, r in done.items():
+        own = {i: s for c, i, s in rows if c == name}
+        best, edges = plain_design(own, plain, ["None", "GG"], 4, 5, 6.0, 1)
+        if best is None:
+            assert r.order is None and r.sequence is None
+            continue
+        assert sorted(r.order) == sorted(own) and sum(j.weight for j in r.junctions) == best
+        text = own[r.order[0]]
+        for j in r.junctions:
+            assert (j.weight, -(j.left_clip + j.right_clip), j.spacer) == edges[j.left, j.right][:3]
+            text = text[: len(text) - j.left_clip] + ("" if j.spacer == "None" else j.spacer) + own[j.right][j.right_clip :]
+        assert r.sequence == text
+    assert done["bad"].order is None and sum(r.order is not None for r in done.values()) > 3
+
+
+def plain_alignment_score(a, b):
+    low = -1e9
+    m = {(0, 0): (0.0, low, low)}
+    for i in range(len(a) + 1):
+        for j in range(len(b) + 1):
+            if i or j:
+                x = max(m[i - 1, j - 1]) + (2 if a[i - 1] == b[j - 1] else -1) if i and j else low
+                y = max(m[i - 1, j][0] - 5, m[i - 1, j][1] - 0.5, m[i - 1, j][2] - 5) if i else low
+                z = max(m[i, j - 1][0] - 5, m[i, j - 1][1] - 5, m[i, j - 1][2] - 0.5) if j else low
+                m[i, j] = (x, y, z)
+    return max(m[len(a), len(b)])
+
+
+def test_alignments(spark):
+    from neolake.operators import alignment
+
+    rnd = random.Random(4)
+    word = lambda n: "".join(rnd.choice("ACDé") for _ in range(n))
+    rows = [(i, w := word(rnd.randrange(0, 25)), w[: rnd.randrange(len(w) + 1)] + word(rnd.randrange(6)) + w[rnd.randrange(len(w) + 1) :]) for i in range(120)] + [(998, None, "A"), (999, "A", None), (1000, "ACDEFGHIK", "ACDHIK"), (1001, "ACDEF", "ACWEF")]
+    df = spark.createDataFrame(rows, "i int, w string, m string").repartition(3)
+    got = {r.i: r for r in df.select("i", alignment.aligned(F.col("w"), F.col("m")).alias("a"), alignment.aligned(F.col("w"), F.col("m"), band=60).alias("b")).select("i", "a", "b", alignment.changed_places(F.col("a")).alias("at")).collect()}
+    for i, w, m in rows:
+        if w is None or m is None:
+            assert got[i].a is None and got[i].at is None
+            continue
+        a = got[i].a
+        assert a.wild.replace("-", "") == w and a.mutant.replace("-", "") == m and len(a.wild) == len(a.mutant) and a == got[i].b
+        assert a.score == plain_alignment_score(w, m)
+    assert got[1000].a[1:] == ("ACDEFGHIK", "ACD---HIK") and got[1001]["at"] == [3]
+
+
+def test_document_differences(spark):
+    import json
+
+    from neolake.operators import documents
+
+    rnd = random.Random(10)
+
+    def value(depth):
+        k = rnd.randrange(8 if depth else 5)
+        return [rnd.randrange(4), rnd.choice(["x", "y\"\\", "", "é\n"]), None, rnd.choice([True, False]), rnd.randrange(3) + 0.5, [value(depth - 1) for _ in range(rnd.randrange(4))] if depth else 0, {rnd.choice(["a", "b/c", "~", "chrX", 'q"']): value(depth - 1) for _ in range(rnd.randrange(4))} if depth else 0, [1, 2]][k]
+
+    def shuffled(x):
+        if isinstance(x, dict):
+            items = [(k, shuffled(v)) for k, v in x.items()]
+            rnd.shuffle(items)
+            return dict(items)
+        if isinstance(x, list):
+            return rnd.sample([shuffled(v) for v in x], len(x))
+        return x
+
+    def bare(x):
+        if isinstance(x, dict):
+            return {k: bare(v) for k, v in x.items() if not k.startswith("chr")}
+        return [bare(v) for v in x] if isinstance(x, list) else x
+
+    def form(x):
+        if isinstance(x, dict):
+            return "{" + ",".join(sorted(json.dumps(k, ensure_ascii=False) + ":" + form(v) for k, v in x.items())) + "}"
+        if isinstance(x, list):
+            return "[" + ",".join(sorted(map(form, x))) + "]"
+        return json.dumps(x, ensure_ascii=False)
+
+    def flat(x, path=""):
+        from collections import Counter
+
+        if isinstance(x, dict) and x:
+            out = Counter()
+            for k, v in x.items():
+                out += flat(v, path + "/" + k.replace("~", "~0").replace("/", "~1"))
+            return out
+        if isinstance(x, list) and x:
+            return Counter((path + "[]", form(v)) for v in x)
+        return Counter({(path, form(x)): 1})
+
+    pairs = []
+    for i in range(60):
+        a = {"top": value(3), "l": [value(2) for _ in range(3)], "chr1": value(1)}
+        b = shuffled(a) if i % 2 else {**shuffled(a), "top": value(3)}
+        pairs.append((i, a, b))
+    make = lambda k: spark.createDataFrame([(p[0], json.dumps(p[k])) for p in pairs] + [(99, None)], "doc int, json string")
+    got = documents.document_differences(make(1), make(2), "^chr").collect()
+    want = {}
+    for i, a, b in pairs:
+        x, y = flat(bare(a)), flat(bare(b))
+        for path, text in x.keys() | y.keys():
+            if x[path, text] != y[path, text]:
+                want.setdefault((i, path), []).append((text, x[path, text], y[path, text]))
+    assert {r.doc for r in got} == {i for i, _ in want} and not any(i % 2 for i, _ in want)
+    seen = {}
+    for r in got:
+        if r.path.endswith("[]"):
+            seen.setdefault((r.doc, r.path), []).append((r.value_1 or r.value_2, r.n_1, r.n_2))
+        else:
+            seen.setdefault((r.doc, r.path), []).extend((t, n, m) for t, n, m in ((r.value_1, 1, 0), (r.value_2, 0, 1)) if t is not None)
+    assert {k: sorted(v) for k, v in seen.items()} == {k: sorted(v) for k, v in want.items()}
+    with pytest.raises(Exception, match="JSON|json"):
+        documents.flattened(spark.createDataFrame([(1, "{")], "doc int, json string")).collect()
+
+
+def test_metrics_object(spark, tmp_path):
+    import json
+
+    from neolake.operators import metrics
+
+    names = ["v", "Transcript", "MT Epitope Seq", "WT Epitope Seq", "HLA Allele", "n", "Median MT IC50 Score", "Median WT IC50 Score", "Median MT Percentile", "A MT IC50 Score", "A WT IC50 Score", "A MT Percentile", "BigMHC_EL MT Score", "Problematic Positions", "Mutation Position", "Variant Type", "ok", "Transcript Expression", "MANE Select", "Tumor DNA VAF"]
+    row = lambda n, tr, ep, wt, al, mt, prob="None", ok=True, kind="missense": (1, tr, ep, wt, al, n, mt, 900.0, 0.5, mt, None, 1.5, 0.25, prob, "3", kind, ok, None, True, 0.4)
+    rows = [row(1, "T1", "PB", "WB", "X2", 50.0, ok=False), row(2, "T1", "PA", "WA", "X1", 70.0), row(3, "T1", "PA", "WA", "X1", 60.0), row(4, "T2", "PA", None, "X1", None, "2", kind="FS"), row(5, "T3", "PB", "WB", "X2", 10.0), row(6, "T3", "PA", "WA", "X1", 20.0)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` {t}" for n, t in zip(names, "int string string string string int double double double double double double double string string string boolean double boolean double".split(), strict=True)))
+    objects = metrics.metrics_objects(df, df.where("n = 5"), ["v"], "Transcript", ["X2", "X1"], ["n"], ["A"], ["BigMHC_EL"], anchor="ok")
+    metrics.write_metrics(objects, ["v"], str(tmp_path / "m"))
+    told = json.loads(spark.read.text(str(tmp_path / "m")).first()[0])
+    assert told["ID"] == "1"
+    m = told["metrics"]
+    assert m["sets"] == ["Transcript Set 1", "Transcript Set 2"] and m["transcript_counts"] == [2, 1] and m["peptide_counts"] == [2, 1] and m["best_peptide_mt"] == "PB" and m["RNA VAF"] == "NA" and m["DNA VAF"] == 0.4 and m["best_hla_allele"] == "X2"
+    one = m["good_binders"]["Transcript Set 1"]
+    assert list(one["peptides"]) == ["PA", "PB"] and sorted(one["transcripts"]) == ["T1", "T3"] and one["transcript_expr"] == ["NA", "NA"]
+    pa, pb = one["peptides"]["PA"], one["peptides"]["PB"]
+    assert pa["ic50s_MT"] == [60, "X"] and pb["ic50s_MT"] == ["X", 50] and pa["hla_types"] == ["X1", "X2"] and pb["anchor_fails"] == "X2" and pa["anchor_fails"] == "None" and pa["wt_peptide"] == "WA" and pa["mutation_position"] == "3"
+    assert pa["individual_ic50_calls"] == {"algorithms": ["A"], "MT": {"X1": [60]}, "WT": {"X1": ["NA"]}} and pb["individual_el_calls"]["MT"] == {"X2": [0.25]} and pb["individual_el_percentile_calls"]["MT"] == {"X2": ["NA"]} and pa["individual_percentile_calls"] == {"algorithms": ["A"], "MT": {"X1": [1.5]}, "WT": {"X1": ["NA"]}}
+    two = m["good_binders"]["Transcript Set 2"]["peptides"]["PA"]
+    assert two["ic50s_MT"] == ["NA", "X"] and two["wt_peptide"] == "FS-NA" and two["problematic_positions"] == "2"
+
+
+def test_values_of_methods(spark):
+    rows = [
+        ("MHCflurry", {"ic50": "10", "percentile": "0.5", "mhcflurry_processing_score": "0.1", "mhcflurry_presentation_score": "0.2", "mhcflurry_presentation_percentile": ""}), ("NetMHC", {"ic50": "20", "rank": "None"}), ("PickPocket", {"ic50": "5", "percentile_rank": "3"}),
+        ("DeepImmuno", {"immunogenicity": "0.7"}), ("NetMHCIIpanEL", {"score": "0.9", "rank": "1"}), ("netmhciipan_el-4", {"ic50": "0.4"}), ("NetMHCpan_EL", {"score": "0.3", "percentile": "2"}),
+    ]
+    df = spark.createDataFrame(rows, "m string, f map<string,string>")
+    value = lambda how: {r.m: (r.x.scores, r.x.percentiles) for r in df.select("m", predictions.method_values(F.col("m"), F.col("f"), how).alias("x")).collect()}
+    got = value("both")
+    assert got["MHCflurry"] == ({"ic50": 10.0, "mhcflurry_processing_score": 0.1, "mhcflurry_presentation_score": 0.2}, {"percentile": 0.5, "mhcflurry_presentation_percentile": None})
+    assert value("only")["MHCflurry"] == ({"mhcflurry_processing_score": 0.1, "mhcflurry_presentation_score": 0.2}, {"mhcflurry_presentation_percentile": None}) and value("none")["MHCflurry"] == ({"ic50": 10.0}, {"percentile": 0.5})
+    assert got["NetMHC"] == ({"ic50": 20.0}, {"percentile": None}) and got["PickPocket"][1] == {"percentile": 3.0} and got["DeepImmuno"] == ({"score": 0.7}, {"percentile": None}) and got["netmhciipan_el-4"][0] == {"score": 0.4} and got["NetMHCpan_EL"] == ({"score": 0.3}, {"percentile": 2.0})
+    with pytest.raises(Exception, match="no score in the output"):
+        spark.createDataFrame([("netmhciipan_el", {"x": "1"})], "m string, f map<string,string>").select(predictions.method_values(F.col("m"), F.col("f"))).collect()
+
+
+def test_peptides_of_several_lengths(spark):
+    df = spark.createDataFrame([("MT.a", "ACDEF")], "id string, sequence string")
+    got = sorted((r.length, r.position, r.epitope) for r in post.peptides_of(df, [3, 4], ["x"]).collect())
+    assert got == sorted((k, i + 1, "ACDEF"[i : i + k]) for k in (3, 4) for i in range(6 - k))
