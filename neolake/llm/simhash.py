@@ -448,6 +448,18 @@ def _close(texts: DataFrame, outlines: DataFrame, edges: DataFrame, shingle: int
     return out
 
 
+def _merged(parts: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """Components (node, component) with more edges (u, v): only components, not their nodes, are joined anew."""
+    side = lambda c: parts.select(F.col("node").alias(c), F.col("component").alias(f"{c}_part"))
+    named = edges.join(side("u"), "u", "left").join(side("v"), "v", "left").select(F.coalesce("u_part", "u").alias("u"), F.coalesce("v_part", "v").alias("v"))
+    joined = scratch.store(connected_components(named, scratch), "joined")
+    known = parts.join(joined.toDF("component", "now"), "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    fresh = joined.join(parts.select("node"), "node", "left_anti")
+    out = scratch.store(known.unionByName(fresh), "parts")
+    scratch.drop(joined)
+    return out
+
+
 def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, component_id) of the documents that are copies of one with a smaller id.
 
@@ -499,8 +511,8 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> D
             nth = F.row_number().over(Window.partitionBy("head").orderBy(F.desc("rows"), "key"))
             tried = left.withColumn("nth", nth).where(F.col("nth") <= SHARED)
         found = tried.drop("rows").repartition("key").sortWithinPartitions("key", "n", "head").mapInArrow(_pairs(similarity, start, SHARED + 1 if early else stop), "u long, v long").where("u <> v").distinct()
-        close = close.union(_close(texts, heads, found, shingle, similarity, scratch))
-        parts = scratch.store(connected_components(close, scratch), "parts")
+        parts, old = _merged(parts, _close(texts, heads, found, shingle, similarity, scratch), scratch), parts
+        scratch.drop(old)
         scratch.drop(held)
         held, rows = left, left.select("key", "head", "n", "at")
         start, stop, early = (start, stop, False) if early else (stop, stop * SPREAD, False)
