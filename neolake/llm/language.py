@@ -127,7 +127,7 @@ def held_out() -> F.Column:
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Learn from text and lang of the documents that aren't held out; null or empty lang and text are left out."""
+    """Learn from text and lang of the documents that aren't held out; rows of null lang or text are left out (an empty lang is a language)."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"), held_out().alias("_held"))
     rows = rows.where("not _held and doc_id is not null and text is not null and lang is not null").drop("_held")
     counts = rows.groupBy("lang").count().collect()  # a row a language
