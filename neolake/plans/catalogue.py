@@ -386,9 +386,16 @@ def first_row_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.first_per_group(rows, "l_suppkey", "l_tax", ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]).select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
-@query("""WITH r AS (SELECT c_custkey, c_mktsegment, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS k FROM customer) SELECT c_custkey, CASE WHEN k = 0 THEN c_mktsegment ELSE c_mktsegment || '.' || k END AS c_mktsegment FROM r""")
+@query("""WITH RECURSIVE g AS (SELECT c_custkey, CASE WHEN c_custkey % 40 = 7 THEN c_mktsegment || '.' || c_custkey // 40 ELSE c_mktsegment END AS name FROM customer), o AS (SELECT *, row_number() OVER (ORDER BY c_custkey) AS n FROM g),
+f AS (SELECT *, regexp_replace(name, '(\\.[1-9][0-9]*)+$', '') AS family FROM o), i AS (SELECT family, n, name, c_custkey, row_number() OVER (PARTITION BY family ORDER BY n) AS k FROM f),
+r AS (SELECT family, k, c_custkey, name AS c_mktsegment, [name] AS seen FROM i WHERE k = 1
+  UNION ALL SELECT i.family, i.k, i.c_custkey, u.u, list_append(r.seen, u.u) FROM r JOIN i ON i.family = r.family AND i.k = r.k + 1,
+    LATERAL (SELECT CASE WHEN NOT list_contains(r.seen, i.name) THEN i.name ELSE i.name || '.' || list_min(list_filter(range(1, len(r.seen) + 2), lambda x: NOT list_contains(r.seen, i.name || '.' || x))) END AS u) u)
+SELECT c_custkey, c_mktsegment FROM r""")
 def uniquified_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return candidates.uniquified(read(spark, sf_dir, "customer", "c_custkey", "c_mktsegment"), "c_mktsegment", ["c_custkey"])
+    key = F.col("c_custkey")
+    named = read(spark, sf_dir, "customer", "c_custkey", "c_mktsegment").withColumn("c_mktsegment", F.when(key % 40 == 7, F.concat_ws(".", "c_mktsegment", F.floor(key / 40).cast("string"))).otherwise(F.col("c_mktsegment")))
+    return candidates.uniquified(named, "c_mktsegment", ["c_custkey"])
 
 
 @query("""SELECT n_name, a.r_name AS first_region, b.r_name AS second_region FROM nation JOIN region a ON n_regionkey = a.r_regionkey JOIN region b ON b.r_regionkey <> a.r_regionkey""")

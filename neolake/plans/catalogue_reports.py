@@ -56,8 +56,8 @@ _ALLELES = ["HLA-A", "HLA-B", "HLA-C"]
 
 
 def _included(tool: str) -> str:
-    return f"""{X}, m AS (SELECT *, row_number() OVER (PARTITION BY v ORDER BY {BEST[tool]}) AS b, coalesce(score < 70000, false) AS low FROM x),
-p AS (SELECT *, row_number() OVER (PARTITION BY v, ep ORDER BY {BEST[tool]}) AS f FROM m WHERE low), q AS (SELECT v, ep, row_number() OVER (PARTITION BY v ORDER BY {INCLUDED[tool]}) AS j FROM p WHERE f = 1),
+    return f"""{X}, m AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY v ORDER BY {BEST[tool]}) AS b, coalesce(score < 70000, false) AS low FROM x),
+p AS (SELECT *, row_number() OVER (PARTITION BY v, ep ORDER BY {BEST[tool]}) AS f FROM m WHERE low), q AS MATERIALIZED (SELECT v, ep, row_number() OVER (PARTITION BY v ORDER BY {INCLUDED[tool]}) AS j FROM p WHERE f = 1),
 i AS (SELECT m.*, score < 30000 AS good FROM m LEFT JOIN q ON m.v = q.v AND m.ep = q.ep WHERE b = 1 OR (low AND j <= 4))"""
 
 

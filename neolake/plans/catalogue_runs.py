@@ -11,6 +11,7 @@ from neolake.plans import other_runs, post
 from neolake.plans.catalogue import _CODONS_SQL, query, read
 from neolake.plans.catalogue_operators import PROTEINS, proteins
 from neolake.plans.catalogue_reports import _TIE, TIE, T, X, table
+from neolake.sources import vcf
 
 c = F.col
 
@@ -286,3 +287,33 @@ def metrics_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sets.select("v", "json", "set", c("body.transcript_count").cast("long").alias("members"), F.posexplode("body.peptides").alias("place", "peptide", "d"))
     calls = F.transform(F.array_sort(F.map_entries("d.individual_ic50_calls.MT")), lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], "/")))
     return rows.select("v", "set", "members", (c("place") + 1).alias("place"), "peptide", F.array_join("d.ic50s_MT", ",").alias("ic50s"), F.array_join(calls, ";").alias("calls"), c("d.anchor_fails").alias("fails"), c("d.wt_peptide").alias("wt"))
+
+
+# --- VCF text: a part is a record of one or two alternates, with an annotation for each transcript ---
+
+_FIELDS = ["Allele", "Consequence", "SYMBOL", "Feature", "BIOTYPE", "WildtypeProtein", "FrameshiftSequence", "Amino_acids", "Protein_position", "Gene", "TSL"]
+_RECORDS = """
+k AS (SELECT p_partkey AS k, p_size AS dp, p_partkey % 4 = 0 AS two, ['PASS', '.', 'q10'][p_partkey % 3 + 1] AS filter, ['0/1', '1|1', '0/0', '1/2', './.'][p_partkey % 5 + 1] AS gt,
+  translate(md5(p_partkey::VARCHAR), '0123456789abcdef', 'ACDEFGHIKLMNPQRS') || CASE WHEN p_partkey % 6 = 0 THEN '*' ELSE '' END AS wt FROM part),
+a AS (SELECT k.*, 1 AS nth, 'T' AS alt, CASE WHEN k % 2 = 0 THEN 'missense' END AS kind, NULL AS fs FROM k UNION ALL SELECT k.*, 2, 'AG', 'FS', wt || 'ACD' FROM k WHERE two),
+c AS (SELECT *, CASE WHEN two THEN 3 ELSE 2 END AS depths FROM a WHERE list_contains(string_split(replace(gt, '|', '/'), '/'), nth::VARCHAR) AND filter <> 'q10' AND kind IS NOT NULL AND NOT contains(wt, '*'))"""
+
+
+@query(f"""WITH {_RECORDS} SELECT (k % 22)::VARCHAR AS chromosome_name, (k * 10)::INT AS start, (k * 10)::INT AS stop, 'A' AS reference, alt AS variant, 'E' || k || CASE nth WHEN 1 THEN '.1' ELSE '.2' END AS transcript_name, kind AS variant_type, wt AS wildtype_amino_acid_sequence, fs AS frameshift_amino_acid_sequence,
+dp AS tdna_depth, round((nth * 3 + k % 5) / dp::DOUBLE, 6) AS tdna_vaf, CASE WHEN k % 7 <> 0 THEN (k % 50 + 0.5)::DOUBLE END AS gene_expression, CASE WHEN fs IS NULL THEN '' ELSE '+3' END AS protein_length_change FROM c""")
+def vcf_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = c("p_partkey")
+    text = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v.cast("string") for v in x])
+    two = key % 4 == 0
+    at = lambda values, n: F.element_at(F.array(*map(F.lit, values)), (key % n + 1).cast("int"))
+    wt = F.concat(F.translate(F.md5(key.cast("string").cast("binary")), "0123456789abcdef", "ACDEFGHIKLMNPQRS"), F.when(key % 6 == 0, "*").otherwise(""))
+    first = text("T|", F.when(key % 2 == 0, "missense_variant&splice_region_variant").otherwise("synonymous_variant"), "|G", key, "|E", key, ".1|protein_coding|", wt, "||K/N|", key % 30 + 1, "|ENSG", key, "|1")
+    second = text("G|frameshift_variant|G", key, "|E", key, ".2|protein_coding|", wt, "|", wt, "ACD|K/X|", key % 30 + 1, "|ENSG", key, "|2")
+    info = text("DP=", c("p_size"), ";CSQ=", first, F.when(two, F.concat(F.lit(","), second)).otherwise(""), ";END=1")
+    depths = text(key % 9, ",", key % 5 + 3, F.when(two, text(",", key % 5 + 6)).otherwise(""))
+    call = text(at(["0/1", "1|1", "0/0", "1/2", "./."], 5), ":", c("p_size"), ":", depths, ":", F.when(key % 7 != 0, text("ENSG", key, "|", key % 50, ".5")).otherwise("."))
+    line = F.concat_ws("\t", (key % 22).cast("string"), (key * 10).cast("string"), F.lit("."), F.lit("A"), F.when(two, "T,AG").otherwise("T"), F.lit("."), at(["PASS", ".", "q10"], 3), info, F.lit("GT:DP:AD:GX"), call)
+    lines = read(spark, sf_dir, "part", "p_partkey", "p_size").select(line.alias("value"))
+    rows = vcf.annotated_records(vcf.records(lines, ["T"]), _FIELDS, "T", pass_only=True)
+    names = ["chromosome_name", "start", "stop", "reference", "variant", "transcript_name", "variant_type", "wildtype_amino_acid_sequence", "frameshift_amino_acid_sequence", "tdna_depth"]
+    return rows.select(*names, F.round("tdna_vaf", 6).alias("tdna_vaf"), "gene_expression", "protein_length_change")

@@ -22,10 +22,15 @@ def header(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
 
 
 def read_vcf(spark: SparkSession, path: str) -> DataFrame:
-    """Fixed columns, ``alts`` as an array, and a map of each sample's genotype fields in ``calls``."""
+    """The records of a VCF file, see ``records``."""
     samples, _ = header(spark, path)
+    return records(spark.read.text(path), samples)
+
+
+def records(lines: DataFrame, samples: list[str]) -> DataFrame:
+    """Records of lines of text (``value``): fixed columns, ``alts`` as an array, and a map of each sample's genotype fields in ``calls``; header and empty lines go."""
     cells = F.split("value", "\t")
-    df = spark.read.text(path).where("value not like '#%' and trim(value) <> ''").select(*[F.try_element_at(cells, F.lit(i + 1)).alias(c) for i, c in enumerate(FIXED)], cells.alias("_cells"))
+    df = lines.where("value not like '#%' and trim(value) <> ''").select(*[F.try_element_at(cells, F.lit(i + 1)).alias(c) for i, c in enumerate(FIXED)], cells.alias("_cells"))
     keys = F.split("format", ":")
 
     def call(i: int) -> Column:
@@ -114,7 +119,7 @@ def with_coverage(df: DataFrame, sample: str, normal: str | None = None) -> Data
 def expression(call: Column, tag: str, *names: Column) -> Column:
     """The value of a ``name|value,...`` list for the first of the names that it has."""
     pairs = F.transform(F.split(call[tag], ","), lambda x: F.split(x, r"\|"))
-    known = F.map_from_entries(F.transform(F.array_distinct(F.transform(pairs, lambda p: p[0])), lambda k: F.struct(k, F.filter(pairs, lambda p: p[0] == k)[0][1])))
+    known = F.map_from_entries(F.transform(F.array_distinct(F.transform(pairs, lambda p: p[0])), lambda k: F.struct(k, F.try_element_at(F.filter(pairs, lambda p: p[0] == k)[0], F.lit(2)))))
     return F.coalesce(*[F.try_element_at(known, n).try_cast("double") for n in names])
 
 
@@ -134,12 +139,17 @@ def dotted_index(*parts: Column) -> Column:
 
 
 def annotated_variants(spark: SparkSession, path: str, sample: str, normal: str | None = None, biotypes: list[str] | None = None, pass_only: bool = False, splice: bool = False) -> DataFrame:
-    """Variants of a VCF file with their transcripts: consequence, proteins, coverage and expression.
+    """Variants of a VCF file with their transcripts, see ``annotated_records``."""
+    return annotated_records(read_vcf(spark, path), header(spark, path)[1], sample, normal, biotypes, pass_only, splice)
+
+
+def annotated_records(calls: DataFrame, fields: list[str], sample: str, normal: str | None = None, biotypes: list[str] | None = None, pass_only: bool = False, splice: bool = False) -> DataFrame:
+    """Variants of ``records`` that a sample has, with their transcripts: consequence, proteins, coverage and expression.
 
-    ``splice``: keeps every consequence and asks for no protein sequence.
+    ``fields``: those of the annotation. ``splice``: keeps every consequence and asks
+    for no protein sequence.
     """
-    _, fields = header(spark, path)
-    df = explode_transcripts(explode_alternates(read_vcf(spark, path)).where(called(sample, pass_only)), fields)
+    df = explode_transcripts(explode_alternates(calls).where(called(sample, pass_only)), fields)
     csq = lambda k: F.col("csq")[k] if k in fields else F.lit(None).cast("string")
     kind = csq("Consequence") if splice else consequence(csq("Consequence"), F.col("ref"), F.col("alternate"))
     df = df.withColumn("variant_type", kind).where("variant_type is not null")

@@ -75,3 +75,21 @@ def test_fusions(spark, tmp_path):
 def test_anchor_table(spark):
     w = tables.anchor_weights(spark.createDataFrame([("A", "0.5", "True")], "HLA string, `1` string, `2` string"))
     assert sorted((r.allele, r.length, r.pos, r.weight) for r in w.collect()) == [("A", 2, 1, 0.5), ("A", 2, 2, 1.0)]
+
+
+def test_small_tables_and_forms(spark, tmp_path):
+    from neolake.operators import compare
+    from neolake.sources import tables
+
+    df = spark.createDataFrame([(1, None, ["a"])], "id int, x double, y array<string>")
+    tables.write_json(df, str(tmp_path / "j"))
+    assert spark.read.text(str(tmp_path / "j")).first()[0] == '{"id":1,"x":null,"y":["a"]}'
+    (tmp_path / "c.csv").write_text("allele,allele_specific_cutoff\nHLA-A*01:01,884.5\nHLA-B*07:02,x\n")
+    assert sorted(map(tuple, tables.allele_cutoffs(spark, str(tmp_path / "c.csv")).collect())) == [("HLA-A*01:01", 884.5), ("HLA-B*07:02", None)]
+    (tmp_path / "g.txt").write_text("TP53\n KRAS \n\nTP53\n")
+    assert sorted(r[0] for r in tables.gene_list(spark, str(tmp_path / "g.txt")).collect()) == ["KRAS", "TP53"]
+    a, b = spark.createDataFrame([(1, 2)], "x int, y int"), spark.createDataFrame([(1, 2)], "y int, z int")
+    assert compare.shared_columns(a, b) == (["y"], ["x"], ["z"])
+    sets = spark.createDataFrame([(1, "Transcript Set 1", [("T1-G-x",), ("T2-G-x",)], 2, 3, 4.5), (1, "Transcript Set 2", [("T3-G-x",)], 1, 1, 0.5), (2, "Transcript Set 1", [("T9",)], 1, 1, None)], "v int, set string, transcripts array<struct<name:string>>, transcript_count int, peptide_count int, total_expr double")
+    best = spark.createDataFrame([(1, "T3")], "v int, best_transcript string")
+    assert sorted(map(tuple, compare.set_table(sets, ["v"], best).collect())) == [(1, "Transcript Set 1", 2, 3, 4.5, False), (1, "Transcript Set 2", 1, 1, 0.5, True), (2, "Transcript Set 1", 1, 1, None, False)]
