@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from neolake.functions import filters as P
 from neolake.functions import sequences as S
 from neolake.operators import aggregate, candidates, compare, filters, genomic, predictions, reference, tiers, vector
+from neolake.plans.standins import read
 from neolake.schemas import Thresholds
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,11 +34,6 @@ def query(sql: str | None = None):
     return add
 
 
-def read(spark: SparkSession, sf_dir: str, name: str, *columns) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*columns) if columns else df
-
-
 KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
 TIE = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
 

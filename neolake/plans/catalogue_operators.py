@@ -13,6 +13,7 @@ from neolake.functions import filters as P
 from neolake.functions import sequences as S
 from neolake.operators import aggregate, candidates, compare, filters, genomic, predictions, reference, tiers, vector
 from neolake.plans.catalogue import _CODONS_SQL, _REPORT, _T, KEY, _report, epitopes, query, read
+from neolake.plans.standins import PROTEINS, proteins
 from neolake.schemas import Thresholds
 from neolake.sources import fasta, tables, transcripts, vcf
 
@@ -21,18 +22,6 @@ _KEY = ", ".join(KEY)
 
 # --- proteins ---------------------------------------------------------------------------
 
-PROTEINS = """
-q AS (SELECT p_partkey, p_size, translate(md5(p_partkey::VARCHAR), '0123456789abcdef', 'ACDEFGHIKLMNPQRS') AS wt, (p_partkey % 30 + 1)::INT AS pos, (p_partkey % 4)::INT AS gone, substr('WYV', 1, (p_partkey % 3 + 1)::INT) AS new FROM part),
-p AS (SELECT *, substr(wt, 1, pos - 1) || new || substr(wt, pos + gone) AS mt FROM q)"""
-
-
-def proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = c("p_partkey")
-    wt = F.translate(F.md5(key.cast("string").cast("binary")), "0123456789abcdef", "ACDEFGHIKLMNPQRS")
-    df = read(spark, sf_dir, "part", "p_partkey", "p_size").withColumns({"wt": wt, "pos": (key % 30 + 1).cast("int"), "gone": (key % 4).cast("int"), "new": F.substring(F.lit("WYV"), F.lit(1), (key % 3 + 1).cast("int"))})
-    return df.withColumn("mt", F.concat(F.expr("substring(wt, 1, pos - 1)"), "new", F.expr("substring(wt, pos + gone)")))
-
-
 _RUN = "coalesce(list_min(list_filter(range(1, least(length({a}), length({b})) + 1), lambda i: substr({a}, i, 1) <> substr({b}, i, 1))) - 1, least(length({a}), length({b})))::INT"
 _LEFT, _RIGHT = _RUN.format(a="mt", b="wt"), _RUN.format(a="reverse(mt)", b="reverse(wt)")
 

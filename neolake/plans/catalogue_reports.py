@@ -12,31 +12,7 @@ from pyspark.sql import functions as F
 from neolake.operators import aggregate, candidates
 from neolake.plans import post
 from neolake.plans.catalogue import query, read
-from neolake.schemas import Thresholds
-
-X = """
-x AS (SELECT l_partkey AS v, 'T' || (l_suppkey % 5) AS tr, 'P' || (l_orderkey % 20) AS ep, 'P' || (l_orderkey % 2) AS ep2, 'HLA-' || substr('ABC', l_linenumber % 3 + 1, 1) AS al, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_shipdate,
-  CASE WHEN l_linenumber = 7 THEN NULL ELSE l_extendedprice END AS score, l_discount AS pct, CASE WHEN l_returnflag = 'N' THEN 'protein_coding' ELSE 'other' END AS biotype, l_linestatus = 'O' AS mane, l_returnflag = 'R' AS canonical,
-  l_suppkey % 5 + 1 AS tsl, CASE WHEN l_orderkey % 3 = 0 THEN '2, 5' ELSE 'None' END AS prob, l_suppkey % 11 AS len, l_quantity / 10 AS expr, l_suppkey % 4 <> 0 AS anchor, CASE WHEN l_suppkey % 7 = 0 THEN 'cds_start_nf' ELSE 'None' END AS flags,
-  l_linenumber % 2 AS pre, 'T' || (l_suppkey % 5) || '.' || (l_orderkey % 3) AS cons, l_quantity AS gexpr, l_tax AS rvaf, CASE WHEN l_suppkey % 6 = 0 THEN 'FS' ELSE 'missense' END AS kind, l_suppkey % 50 AS ppos FROM lineitem)"""
-TIE = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_shipdate"]
-_TIE = ", ".join(TIE)
-
-
-def table(spark: SparkSession, sf_dir: str, tool: str = "matched") -> DataFrame:
-    c = F.col
-    side = "MT " if tool == "matched" else ""
-    df = read(spark, sf_dir, "lineitem").select(
-        c("l_partkey").alias("v"), F.concat(F.lit("T"), c("l_suppkey") % 5).alias("Transcript"), F.concat(F.lit("P"), c("l_orderkey") % 20).alias("MT Epitope Seq" if tool == "matched" else "Epitope Seq"), F.concat(F.lit("P"), c("l_orderkey") % 2).alias("ep2"),
-        F.concat(F.lit("HLA-"), F.substring(F.lit("ABC"), c("l_linenumber") % 3 + 1, F.lit(1))).alias("HLA Allele"), *TIE, F.when(c("l_linenumber") != 7, c("l_extendedprice")).alias(f"Median {side}IC50 Score"), c("l_discount").alias(f"Median {side}Percentile"),
-        F.when(c("l_returnflag") == "N", "protein_coding").otherwise("other").alias("Biotype"), (c("l_linestatus") == "O").alias("MANE Select"), (c("l_returnflag") == "R").alias("Canonical"), (c("l_suppkey") % 5 + 1).alias("Transcript Support Level"),
-        F.when(c("l_orderkey") % 3 == 0, "2, 5").otherwise("None").alias("Problematic Positions"), (c("l_suppkey") % 11).alias("WT Protein Length" if tool == "splice" else "Transcript Length"), (c("l_quantity") / 10).alias("Expression" if tool == "fusion" else "Transcript Expression"),
-        (c("l_suppkey") % 4 != 0).alias("anchor"), F.when(c("l_suppkey") % 7 == 0, "cds_start_nf").otherwise("None").alias("Transcript CDS Flags"), c("l_quantity").alias("Gene Expression"), c("l_tax").alias("Tumor RNA VAF"),
-        F.when(c("l_suppkey") % 6 == 0, "FS").otherwise("missense").alias("Variant Type"), (c("l_suppkey") % 50).cast("string").alias("Protein Position"), F.lit("V/E").alias("Mutation"),
-        F.concat_ws(".", (c("l_linenumber") % 2).cast("string"), F.concat(F.lit("T"), c("l_suppkey") % 5), (c("l_orderkey") % 3).cast("string")).alias("Index"),
-    )
-    return df if tool == "matched" else df.drop("Mutation")
-
+from neolake.plans.standins import _TIE, TIE, T, X, table
 
 _MODEL = "mane DESC, canonical DESC, tsl, len DESC, expr DESC"
 _TR = "(mane OR canonical OR tsl <= 1) DESC"
@@ -51,7 +27,6 @@ INCLUDED = {
     **dict.fromkeys(("splice", "fusion", "bind"), f"score, pct, {_TIE}"),
 }
 HOW = {"matched": {"anchor": "anchor", "allow_incomplete": True}, "splice": {}, "fusion": {}, "bind": {}}
-T = Thresholds(binding=30000.0, inclusion=70000.0, top_peptides=4)
 _ALLELES = ["HLA-A", "HLA-B", "HLA-C"]
 
 

@@ -9,8 +9,7 @@ from neolake.functions import sequences as S
 from neolake.operators import alignment, candidates, constructs, documents, haplotypes, metrics, predictions, splicing
 from neolake.plans import other_runs, post
 from neolake.plans.catalogue import _CODONS_SQL, query, read
-from neolake.plans.catalogue_operators import PROTEINS, proteins
-from neolake.plans.catalogue_reports import _TIE, TIE, T, X, table
+from neolake.plans.standins import _TIE, PROTEINS, TIE, T, X, proteins, table
 from neolake.sources import vcf
 
 c = F.col

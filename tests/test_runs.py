@@ -75,7 +75,7 @@ def test_dense_ranks_without_one_window(spark):
     got = candidates.with_dense_rank(spark.createDataFrame(rows, "i int, x double"), candidates.number("x"), "k", [functions.col("i").asc()], descending=True).collect()
     order = sorted({x for _, x in rows if x is not None}, reverse=True)
     assert {r.i: r.k for r in got} == {i: (order.index(x) + 1 if x is not None else len(order) + 1) for i, x in rows}
-    assert candidates.with_dense_rank(spark.createDataFrame([(1, None)], "i int, x double"), candidates.number("x"), "k").first().k == 1
+    assert candidates.with_dense_rank(spark.createDataFrame([(1, None)], "i int, x double"), candidates.number("x"), "k", [functions.col("i").asc()]).first().k == 1
 
 
 def test_a_repeated_index_is_an_error(spark):
