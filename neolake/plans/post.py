@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from neolake.functions.sequences import centred, changed_bounds, every_kmer, frameshift_window, manufacturability, mutated_protein
-from neolake.operators import aggregate, candidates, filters, genomic, haplotypes, predictions, reference, tiers
+from neolake.functions.sequences import centred, changed_bounds, every_kmer, frameshift_window, letters, manufacturability, mutated_protein, residue_styles
+from neolake.operators import aggregate, alignment, candidates, compare, filters, genomic, haplotypes, predictions, reference, tiers
 from neolake.schemas import Thresholds
 
 
@@ -228,3 +228,47 @@ def exported_epitopes(table: DataFrame, variants: DataFrame) -> DataFrame:
         "tdna_depth": "Tumor DNA Depth", "tdna_vaf": "Tumor DNA VAF", "trna_depth": "Tumor RNA Depth", "trna_vaf": "Tumor RNA VAF", "normal_depth": "Normal Depth", "normal_vaf": "Normal VAF", "gene_expression": "Gene Expression", "transcript_expression": "Transcript Expression",
     }
     return joined.select(*[F.col(k).alias(v) for k, v in names.items() if k in joined.columns])
+
+
+@dataclass(frozen=True)
+class OrderLimits:
+    """Up to which score or percentile a class's best peptide is marked in a peptide to order, and the residues that are hard to make."""
+
+    one: tuple[float, float] = (1000.0, 2.0)
+    two: tuple[float, float] = (500.0, 2.0)
+    difficult: tuple[str, ...] = ()
+
+
+def ordering_run(variants: DataFrame, class_one: DataFrame, class_two: DataFrame, called: tuple[DataFrame, DataFrame] | None = None, accepted: tuple[str, ...] = ("Accept",), flank: int = 25, limits: OrderLimits | None = None, phased: DataFrame | None = None) -> DataFrame:
+    """The form for ordering the peptides of accepted variants, in its three stages.
+
+    First the mutant sequences around the variants (index) of accepted rows of the
+    class I report, with how hard they are to make; then both classes' reports
+    (ID, Index, Evaluation, Best Peptide, ``IC50 MT``, ``%ile MT``) beside them, with
+    ids that repeat numbered on and (``called``: two tables of ID) whether both
+    callers have the variant; then every residue's marks: what the alignment with
+    the wild type shows as changed, either class's best peptide if it binds, and
+    ``limits.difficult`` residues.
+    """
+    limits = limits or OrderLimits()
+    if phased is not None:
+        variants = haplotypes.with_neighbours(variants, haplotypes.neighbours(variants, phased, 3 * flank))
+    sequences = variant_sequences(variants, flank)
+    index = F.expr("substring(id, instr(id, '.') + 1)").alias("Index")
+    peptides = peptide_fasta(sequences, True, class_one, accepted).withColumn("Index", index).drop("id")
+    wild = sequences.where("id like 'WT.%'").select(index, F.col("sequence").alias("_wild"))
+    form = compare.ordering_form(filters.evaluation_filter(class_one, accepted), class_two, peptides).where("sequence is not null").join(wild, "Index", "left")
+    if called is not None:
+        form = compare.in_two_vcfs(form, *called, ["ID"])
+    form = candidates.uniquified(form, "ID", ["ID", "Index"])
+
+    def bound(name: str, most: tuple[float, float]) -> Column:
+        peptide, at = F.col(f"Best Peptide {name}"), F.expr(f"instr(sequence, `Best Peptide {name}`)")
+        value = lambda c: F.coalesce(F.col(f"`{c} {name}`").try_cast("double"), F.lit(float("inf")))
+        binds = (value("IC50 MT") < most[0]) | (value("%ile MT") < most[1])
+        return F.when(binds & (at > 0), F.sequence(at, at + F.length(peptide) - 1)).otherwise(F.array().cast("array<int>"))
+
+    form = form.withColumn("_aligned", alignment.aligned(F.col("_wild"), F.col("sequence")))
+    changed = F.coalesce(alignment.changed_places(F.col("_aligned")), F.array().cast("array<int>"))
+    hard = F.filter(F.transform(letters(F.col("sequence")), lambda x, i: F.when(x.isin(*limits.difficult), i + 1)), lambda i: i.isNotNull()) if limits.difficult else F.array().cast("array<int>")
+    return form.withColumn("styles", residue_styles(F.col("sequence"), changed, bound("Class I", limits.one), bound("Class II", limits.two), hard)).drop("_wild", "_aligned")

@@ -438,3 +438,20 @@ def test_peptides_of_several_lengths(spark):
     df = spark.createDataFrame([("MT.a", "ACDEF")], "id string, sequence string")
     got = sorted((r.length, r.position, r.epitope) for r in post.peptides_of(df, [3, 4], ["x"]).collect())
     assert got == sorted((k, i + 1, "ACDEF"[i : i + k]) for k in (3, 4) for i in range(6 - k))
+
+
+def test_ordering_form(spark):
+    names = "index string, variant_type string, protein_position string, amino_acid_change string, wildtype_amino_acid_sequence string, frameshift_amino_acid_sequence string"
+    variants = spark.createDataFrame([("v1", "missense", "9", "Q/W", PROTEIN, None), ("v2", "inframe_del", "5", "YI/Y", PROTEIN, None), ("v3", "missense", "9", "Q/K", PROTEIN, None)], names)
+    shape = "ID string, Index string, Evaluation string, `Best Peptide` string, `IC50 MT` double, `%ile MT` double"
+    one = spark.createDataFrame([("1-9", "v1", "Accept", "AKWRQISF", 50.0, 9.0), ("1-5", "v2", "Accept", "TAYAKQ", 5000.0, 9.0), ("1-9", "v3", "Reject", "AKKRQISF", 1.0, 0.1)], shape)
+    two = spark.createDataFrame([("1-9", "v1", "Pending", "KWRQ", 9999.0, 0.5), ("1-5", "v2", "Pending", "TAYAKQ", 9999.0, 99.0)], shape)
+    calls = spark.createDataFrame([("1-9",), ("1-9",)], "ID string")
+    form = {r.Index: r for r in post.ordering_run(variants, one, two, (calls, calls), flank=8, limits=post.OrderLimits(difficult=("K",))).collect()}
+    assert set(form) == {"v1", "v2"}
+    r = form["v1"]
+    own = PROTEIN[:8] + "W" + PROTEIN[9:17]
+    assert r.sequence == own and r["Variant Called by External Pipeline"] and not form["v2"]["Variant Called by External Pipeline"] and r["c_terminal_cysteine"] is False
+    told = {k: [i for i, s in enumerate(r.styles) if s[k]] for k in ("bold", "color", "underline", "large")}
+    assert "".join(s.aa for s in r.styles) == own and told["underline"] == [8] and told["color"] == list(range(own.index("AKWRQISF"), own.index("AKWRQISF") + 8)) and told["bold"] == list(range(7, 11)) and told["large"] == [i for i, x in enumerate(own) if x == "K"]
+    assert not any(s.color or s.bold for s in form["v2"].styles) and form["v2"].sequence.startswith("MKTAYAKQ")
