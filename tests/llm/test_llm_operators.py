@@ -542,7 +542,7 @@ def test_regular_long_texts_are_told_apart(spark):
     texts = [x for n in (1024, 4096) for x in complements(n)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(df).collect()}
-    assert got == {i: sum(brute_repeats(texts)[i]) for i in range(len(texts))}
+    assert got == {i: sum(brute_positions(texts)[i]) for i in range(len(texts))}
     found = decontaminate.leaks(df, spark.createDataFrame([(7, texts[0])], "item_id long, text string")).collect()
     assert {r.doc_id for r in found} == {0}
 
