@@ -174,9 +174,12 @@ def variant_sequences(variants: DataFrame, flank: int, downstream: int | None =
     rows = rows.withColumns({"_shown": F.col("_mutant"), "_base": F.col("_wild")})
     if "near_all" in variants.columns:
         merged = F.when(F.col("variant_type") == "missense", haplotypes.merged_change(change, F.col("codon_change"), F.col("near_codons"))).otherwise(change)
-        carried = mutated_protein(haplotypes.carrying(F.col("_wild"), F.col("near_all")), merged, F.col("_position"), F.col("_wild"))
-        shifted = haplotypes.carrying(F.col("_mutant"), F.col("near_all"), F.col("_position"))
-        rows = rows.withColumns({"_shown": F.when(shift, shifted).otherwise(carried), "_base": haplotypes.carrying(F.col("_wild"), F.col("near_germline"))})
+        # columns of their own, as what follows uses each several times
+        rows = rows.withColumns({
+            "_all": F.when(~shift, haplotypes.carrying(F.col("_wild"), F.col("near_all"))), "_change": merged, "_base": haplotypes.carrying(F.col("_wild"), F.col("near_germline")),
+            "_shifted": F.when(shift, haplotypes.carrying(F.col("_mutant"), F.col("near_all"), F.col("_position"))),
+        })
+        rows = rows.withColumn("_shown", F.when(shift, F.col("_shifted")).otherwise(mutated_protein(F.col("_all"), F.col("_change"), F.col("_position"), F.col("_wild"))))
     windows = {
         "MT": F.when(shift, frameshift_window(F.col("_shown"), F.col("_position"), flank, downstream)).otherwise(F.col("_shown").substr(*changed_bounds(F.col("_mutant"), F.col("_wild"), flank))),
         "WT": F.when(shift, frameshift_window(F.col("_base"), F.col("_position"), flank, flank)).otherwise(centred(F.col("_base"), F.col("_position"), flank)),
