@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from neolake.functions import filters as P
 from neolake.functions import sequences as S
 from neolake.operators import aggregate, candidates, compare, filters, genomic, predictions, reference, tiers, vector
-from neolake.plans.standins import read
+from neolake.plans.standins import read, seconds
 from neolake.schemas import Thresholds
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -316,7 +316,7 @@ def reference_match_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT count(*) AS pairs FROM (SELECT user_id, event_id, epoch(ts)::BIGINT AS t FROM events) a JOIN (SELECT user_id, event_id, epoch(ts)::BIGINT AS t FROM events) b ON a.user_id = b.user_id AND abs(a.t - b.t) <= 60""")
 def interval_bin_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events").select("user_id", "event_id", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("t"))
+    e = read(spark, sf_dir, "events").select("user_id", "event_id", seconds(F.col("ts")).alias("t"))
     return genomic.interval_join(e, e.select("user_id", F.col("event_id").alias("other"), F.col("t").alias("u")), ["user_id"], "t", "u", 60).agg(F.count("*").alias("pairs"))
 
 

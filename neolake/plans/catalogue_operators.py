@@ -13,7 +13,7 @@ from neolake.functions import filters as P
 from neolake.functions import sequences as S
 from neolake.operators import aggregate, candidates, compare, filters, genomic, predictions, reference, tiers, vector
 from neolake.plans.catalogue import _CODONS_SQL, _REPORT, _T, KEY, _report, epitopes, query, read
-from neolake.plans.standins import PROTEINS, proteins
+from neolake.plans.standins import PROTEINS, proteins, seconds
 from neolake.schemas import Thresholds
 from neolake.sources import fasta, tables, transcripts, vcf
 
@@ -348,7 +348,7 @@ def exon_extents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH s AS (SELECT event_id, user_id, epoch(ts)::BIGINT AS t, event_id % 3 AS g FROM events), n AS (SELECT event_id AS other, user_id, epoch(ts)::BIGINT AS u, event_id % 4 AS h FROM events)
 SELECT event_id, other FROM s JOIN n USING (user_id) WHERE abs(t - u) <= 600 AND t <> u AND (h = 0 OR (g <> 2 AND ((g = 0 AND h = 1) OR (g = 1 AND h = 2))))""")
 def proximal_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events").withColumn("t", F.unix_timestamp(c("ts").cast("timestamp")))
+    e = read(spark, sf_dir, "events").withColumn("t", seconds(c("ts")))
     own = F.when(c("event_id") % 3 == 0, "0|1").when(c("event_id") % 3 == 1, "1|0").otherwise("0/1")
     near = F.when(c("event_id") % 4 == 0, "1/1").when(c("event_id") % 4 == 1, "0|1").when(c("event_id") % 4 == 2, "1|0").otherwise("0/1")
     somatic = e.select("event_id", c("user_id").alias("chrom"), c("t").alias("pos"), own.alias("genotype"))

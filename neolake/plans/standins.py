@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from neolake.schemas import Thresholds
@@ -15,6 +15,11 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
+def seconds(ts: Column) -> Column:
+    """Seconds since 1970 to the nearest one, of halves the even, as SQL casts an epoch to whole numbers."""
+    return F.rint(F.unix_micros(ts.cast("timestamp")) / 1e6).cast("long")
+
+
 #: Proteins from hashes of ``part``: ``wt``, and ``mt`` with residues from ``pos`` on replaced, taken out or put in.
 PROTEINS = """
 q AS (SELECT p_partkey, p_size, translate(md5(p_partkey::VARCHAR), '0123456789abcdef', 'ACDEFGHIKLMNPQRS') AS wt, (p_partkey % 30 + 1)::INT AS pos, (p_partkey % 4)::INT AS gone, substr('WYV', 1, (p_partkey % 3 + 1)::INT) AS new FROM part),
