@@ -4,59 +4,109 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from neolake.operators import vector
 from neolake.shipping import ship
-from neolake.storage import stored
+from neolake.storage import spread, stored
 
 JUNCTION = ["left", "right", "weight", "percentile", "spacer", "left_clip", "right_clip"]
 #: A scorer adds ``score`` and ``percentile`` to rows with ``epitope``.
 Scorer = Callable[[DataFrame], DataFrame]
-
-
-def pairs_of(peptides: DataFrame) -> DataFrame:
-    """(construct, left, right, left_seq, right_seq) of every two different peptides of a construct (tens of peptides each)."""
-    a, b = peptides.toDF("construct", "left", "left_seq"), peptides.toDF("construct", "right", "right_seq")
-    return a.join(b, "construct").where("left <> right").select("construct", "left", "right", "left_seq", "right_seq")
+#: Cells of the tables of paths that are filled side by side.
+CELLS = 1 << 21
 
 
 def edges_of_round(pairs: DataFrame, scorer: Scorer, spacer: str, clip: int, flank: int, k: int, threshold: float) -> DataFrame:
-    """For each pair the best of its junctions with one spacer and up to ``clip`` residues clipped, one side at least by just that many; none that holds a binder."""
-    rows = vector.junction_sequences(pairs.withColumns({"left": F.struct("construct", "left"), "right": F.struct("construct", "right")}), [spacer], clip, flank).where(F.greatest("left_clip", "right_clip") == clip)
-    scored = scorer(vector.junction_epitopes(rows, k))
-    best = vector.edges(vector.junction_scores(scored, ["left", "right", "spacer", "left_clip", "right_clip"], threshold))
-    return best.select(F.col("left.construct").alias("construct"), F.col("left.left").alias("left"), F.col("right.right").alias("right"), *JUNCTION[2:])
+    """For each pair the best of its junctions with one spacer and up to ``clip`` residues clipped, one side at least by just that many; none that holds a binder.
 
-
-def orderable(peptides: DataFrame, edges: DataFrame) -> DataFrame:
-    """(construct) whose edges don't rule a path out: at most one peptide has nothing after it, at most one nothing before it, none neither."""
-    ends = lambda c: edges.select("construct", F.col(c).alias("id")).distinct().withColumn(f"_{c}", F.lit(True))
-    marked = peptides.join(ends("left"), ["construct", "id"], "left").join(ends("right"), ["construct", "id"], "left")
-    lone = marked.groupBy("construct").agg(F.count("*").alias("n"), F.count_if(F.col("_left").isNull()).alias("o"), F.count_if(F.col("_right").isNull()).alias("i"), F.count_if(F.col("_left").isNull() & F.col("_right").isNull()).alias("both"))
-    return lone.where("n = 1 or (o <= 1 and i <= 1 and both = 0)").select("construct")
+    All groups are inside a construct: pairs dealt by it aren't shuffled again.
+    """
+    rows = vector.junction_sequences(pairs, [spacer], clip, flank, ["construct"]).where(F.greatest("left_clip", "right_clip") == clip)
+    scored = scorer(vector.junction_epitopes(rows, k))
+    best = vector.edges(vector.junction_scores(scored, ["construct", "left", "right", "spacer", "left_clip", "right_clip"], threshold), ["construct"])
+    return best.select("construct", *JUNCTION)
 
 
-def best_paths(peptides: DataFrame, edges: DataFrame, exact_up_to: int = 12, seed: int = 0) -> DataFrame:
-    """(construct, order): the path over all peptides of a construct with the greatest sum of weights, for those that have one.
+def _paths(weight: np.ndarray) -> np.ndarray:
+    """The places in order of the best path through each table of weights[row, from, to], -inf for no edge; -1 where there is none.
 
-    Each construct is a group of its own in the executors: exact up to
-    ``exact_up_to`` peptides, annealed beyond.
+    ``vector.best_order``'s choices among equal paths, for all rows of one size together.
     """
-    ship(peptides.sparkSession)
-    kind = peptides.schema["construct"].dataType.simpleString()
+    rows, n, _ = weight.shape
+    best = np.full((rows, 1 << n, n), -np.inf)
+    before = np.zeros((rows, 1 << n, n), np.int8)
+    for i in range(n):
+        best[:, 1 << i, i] = 0.0
+    for mask in range(1, 1 << n):
+        inside = [i for i in range(n) if mask >> i & 1]
+        for j in range(n):
+            if not mask >> j & 1:
+                sums = best[:, mask, inside] + weight[:, inside, j]
+                at = sums.argmax(axis=1)
+                best[:, mask | 1 << j, j] = sums[np.arange(rows), at]
+                before[:, mask | 1 << j, j] = np.array(inside, np.int8)[at]
+    each, mask = np.arange(rows), np.full(rows, (1 << n) - 1)
+    last = n - 1 - best[:, -1, ::-1].argmax(axis=1)
+    none = ~np.isfinite(best[each, -1, last])
+    out = np.empty((rows, n), np.int64)
+    for step in range(n - 1, -1, -1):
+        out[:, step] = last
+        last, mask = before[each, mask, last].astype(np.int64), mask & ~(1 << last)
+    out[none] = -1
+    return out
+
+
+def _may_have_path(weight: np.ndarray) -> bool:
+    """At most one place has nothing after it, at most one nothing before it, none neither."""
+    out, into = np.isfinite(weight).any(axis=1), np.isfinite(weight).any(axis=0)
+    return (~out).sum() <= 1 and (~into).sum() <= 1 and not (~out & ~into).any()
+
+
+def with_paths(df: DataFrame, ids: Column, edges: Column, exact_up_to: int = 12, seed: int = 0) -> DataFrame:
+    """``df`` with ``order``, that of sorted ``ids`` with the greatest sum of weights of ``edges`` (left, right, weight), null if there is none.
+
+    Exact up to ``exact_up_to`` ids, annealed beyond. Rows of one size are solved together.
+    """
+    known = F.map_from_entries(F.transform(edges, lambda e: F.struct(F.struct(e["left"], e["right"]), e["weight"])))
+    # -inf for no edge, line by line
+    weights = F.flatten(F.transform(ids, lambda a: F.transform(ids, lambda b: F.coalesce(F.try_element_at(known, F.struct(a.alias("left"), b.alias("right"))), F.lit(float("-inf"))))))
+
+    @F.pandas_udf("array<string>")
+    def path(names: pd.Series, tables: pd.Series) -> pd.Series:
+        out: list[list[int] | None] = [None] * len(tables)
+        sizes = np.array([round(len(x) ** 0.5) for x in tables], np.int64)
+        for n in np.unique(sizes).tolist():
+            at = np.flatnonzero(sizes == n)
+            if n > exact_up_to:
+                for i in at.tolist():
+                    table = np.asarray(tables.iloc[i], float).reshape(n, n)
+                    if _may_have_path(table):
+                        out[i] = vector.best_order(list(range(n)), {(a, b): float(table[a, b]) for a, b in np.argwhere(np.isfinite(table)).tolist()}, 0, seed)
+                continue
+            take = max(1, CELLS // (n << n))
+            for part in (at[i : i + take] for i in range(0, len(at), take)):
+                found = _paths(np.stack([tables.iloc[i] for i in part.tolist()]).astype(float).reshape(len(part), n, n))
+                for i, places in zip(part.tolist(), found.tolist(), strict=True):
+                    out[i] = None if places[0] < 0 else places
+        return pd.Series([None if x is None else [own[i] for i in x] for own, x in zip(names, out, strict=True)], dtype=object)
+
+    # stored, as Python takes plain columns
+    kept = stored(df.withColumns({"_ids": ids, "_weights": weights}), "junctions")
+    return kept.withColumn("order", path("_ids", "_weights")).drop("_ids", "_weights")
 
-    def path(names: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"construct": [], "order": []}, dtype=object)
-        if not len(names):
-            return none
-        weight = {(r.left, r.right): r.weight for r in found.itertuples()}
-        order = vector.best_order(list(names["id"]), weight, exact_up_to, seed)
-        return pd.DataFrame({"construct": names["construct"].iloc[:1].tolist(), "order": [order]}) if order else none
 
-    return peptides.select("construct", "id").groupBy("construct").cogroup(edges.select("construct", "left", "right", "weight").groupBy("construct")).applyInPandas(path, f"construct {kind}, order array<string>")
+def best_paths(peptides: DataFrame, edges: DataFrame, exact_up_to: int = 12, seed: int = 0) -> DataFrame:
+    """(construct, order): the path over all peptides of a construct with the greatest sum of weights, for those that have one."""
+    ship(peptides.sparkSession)
+    ids = peptides.groupBy("construct").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    found = edges.groupBy("construct").agg(F.collect_list(F.struct("left", "right", "weight")).alias("edges"))
+    none = F.array().cast(found.schema["edges"].dataType)
+    both = ids.join(found, "construct", "left").withColumn("edges", F.coalesce("edges", none))
+    return stored(with_paths(both, F.col("ids"), F.col("edges"), exact_up_to, seed).select("construct", "order"), "orders").where("order is not null")
 
 
 def design(peptides: DataFrame, scorer: Scorer, spacers: list[str], flank: int, k: int, threshold: float, clips: int = 2) -> DataFrame:
@@ -64,39 +114,47 @@ def design(peptides: DataFrame, scorer: Scorer, spacers: list[str], flank: int,
 
     All constructs take a round together: the spacers in turn, then with more
     residues clipped, on the pairs without a junction of the constructs without an
-    order. A round's junctions and orders are stored; the driver sees only whether
-    any construct is left. A construct of one peptide is that peptide.
+    order. A construct is one row with its peptides and junctions; a round deals the
+    open ones out once, and all its steps stay there. What a round makes of them is
+    stored; the driver sees only whether any construct is left. A construct of one
+    peptide is that peptide.
     """
-    peptides = stored(peptides.select("construct", F.col("id").cast("string").alias("id"), "sequence"), "peptides")
-    pairs, edges, orders = pairs_of(peptides), None, None
+    ship(peptides.sparkSession)
+    peptide = F.struct(F.col("id").cast("string").alias("id"), F.col("sequence").alias("sequence"))
+    open_ = peptides.groupBy("construct").agg(F.array_sort(F.collect_list(peptide)).alias("peptides"))
+    open_ = stored(open_.withColumn("edges", F.array().cast("array<struct<left:string,right:string,weight:double,percentile:double,spacer:string,left_clip:int,right_clip:int>>")), "peptides")
+    done = None
     for clip in range(clips + 1):
         for spacer in spacers:
-            open_ = peptides.select("construct", "id") if orders is None else peptides.select("construct", "id").join(orders, "construct", "left_anti")
             if open_.isEmpty():
                 break
-            left = pairs.join(open_.select("construct").distinct(), "construct", "left_semi")
-            if edges is not None:
-                left = left.join(edges, ["construct", "left", "right"], "left_anti")
-            new = stored(edges_of_round(left, scorer, spacer, clip, flank, k, threshold), "junctions")
-            edges = new if edges is None else edges.unionByName(new)
-            asked = open_.join(orderable(open_, edges), "construct", "left_semi")
-            found = stored(best_paths(asked, edges.join(asked.select("construct").distinct(), "construct", "left_semi")), "orders")
-            orders = found if orders is None else orders.unionByName(found)
-    return assembled(peptides, edges, orders)
-
-
-def assembled(peptides: DataFrame, edges: DataFrame, orders: DataFrame) -> DataFrame:
-    """Each construct with the junctions of its order, and its sequence: peptides with what the junctions clip and put between."""
-    steps = orders.select("construct", "order", F.posexplode("order").alias("at", "left")).withColumn("right", F.try_element_at("order", F.col("at") + 2))
-    rows = steps.join(edges, ["construct", "left", "right"], "left").join(peptides.withColumnRenamed("id", "left"), ["construct", "left"])
-    step = F.struct("at", "sequence", F.when(F.col("spacer") == "None", "").otherwise(F.coalesce("spacer", F.lit(""))).alias("between"), F.coalesce("left_clip", F.lit(0)).alias("off"), F.coalesce("right_clip", F.lit(0)).alias("on"), F.when(F.col("right").isNotNull(), F.struct(*JUNCTION)).alias("junction"))
-    each = rows.groupBy("construct", "order").agg(F.array_sort(F.collect_list(step)).alias("s"))
+            dealt = spread(open_, "construct")
+            met = lambda e, a, b: (e["left"] == a["id"]) & (e["right"] == b["id"])
+            others = lambda a: F.transform(F.filter("peptides", lambda b: (a["id"] != b["id"]) & ~F.exists("edges", lambda e: met(e, a, b))), lambda b: F.struct(a.alias("a"), b.alias("b")))
+            each = dealt.select("construct", F.explode(F.flatten(F.transform("peptides", others))).alias("p"))
+            pairs = each.select("construct", F.col("p.a.id").alias("left"), F.col("p.b.id").alias("right"), F.col("p.a.sequence").alias("left_seq"), F.col("p.b.sequence").alias("right_seq"))
+            new = edges_of_round(pairs, scorer, spacer, clip, flank, k, threshold).groupBy("construct").agg(F.collect_list(F.struct(F.col("left"), "right", F.col("weight").cast("double").alias("weight"), F.col("percentile").cast("double").alias("percentile"), "spacer", "left_clip", "right_clip")).alias("_new"))
+            joined = dealt.join(new, "construct", "left").select("construct", "peptides", F.when(F.col("_new").isNull(), F.col("edges")).otherwise(F.concat("edges", "_new")).alias("edges"))
+            state = stored(with_paths(joined, F.transform("peptides", lambda p: p["id"]), F.col("edges")), "orders")
+            found, open_ = state.where("order is not null"), state.where("order is null").drop("order")
+            done = found if done is None else done.unionByName(found)
+    left = open_.withColumn("order", F.lit(None).cast("array<string>"))
+    return assembled(left if done is None else done.unionByName(left))
+
+
+def assembled(constructs: DataFrame) -> DataFrame:
+    """Each construct of (construct, peptides, edges, order) with the junctions of its order, and its sequence: peptides with what the junctions clip and put between."""
+    after = lambda at: F.get("order", at + 1)
+    junction = lambda left, at: F.get(F.filter("edges", lambda e: (e["left"] == left) & (e["right"] == after(at))), F.lit(0))
+    step = lambda left, at: F.struct(F.get(F.filter("peptides", lambda p: p["id"] == left), F.lit(0))["sequence"].alias("sequence"), junction(left, at).alias("j"))
+    rows = constructs.select("construct", "order", F.transform("order", step).alias("s"))
     start = F.struct(F.lit("").alias("text"), F.lit(0).alias("on"))
 
     def add(done, x):  # noqa: ANN001, ANN202
         whole = F.concat(done["text"], F.substring(x["sequence"], done["on"] + 1, F.length(x["sequence"])))
-        return F.struct(F.concat(F.left(whole, F.length(whole) - x["off"]), x["between"]).alias("text"), x["on"].cast("int").alias("on"))
+        off, on = F.coalesce(x["j"]["left_clip"], F.lit(0)), F.coalesce(x["j"]["right_clip"], F.lit(0))
+        between = F.when(x["j"]["spacer"] == "None", "").otherwise(F.coalesce(x["j"]["spacer"], F.lit("")))
+        return F.struct(F.concat(F.left(whole, F.length(whole) - off), between).alias("text"), on.cast("int").alias("on"))
 
     text = F.aggregate("s", start, add, lambda r: r["text"])
-    out = each.select("construct", "order", F.filter(F.transform("s", lambda x: x["junction"]), lambda j: j.isNotNull()).alias("junctions"), text.alias("sequence"))
-    return peptides.select("construct").distinct().join(out, "construct", "left")
+    return rows.select("construct", "order", F.filter(F.transform("s", lambda x: x["j"]), lambda j: j.isNotNull()).alias("junctions"), text.alias("sequence"))

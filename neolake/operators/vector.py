@@ -18,10 +18,10 @@ def ordered_pairs(peptides: DataFrame) -> DataFrame:
     return a.join(b, F.col("left") != F.col("right"))
 
 
-def junction_sequences(pairs: DataFrame, spacers: list[str], clips: int, flank: int) -> DataFrame:
-    """A junction for each pair, spacer and number of residues clipped on either side; ``None`` is no spacer."""
+def junction_sequences(pairs: DataFrame, spacers: list[str], clips: int, flank: int, keys: list[str] = []) -> DataFrame:  # noqa: B006
+    """A junction for each pair, spacer and number of residues clipped on either side; ``None`` is no spacer. ``keys``: columns that stay."""
     grid = F.array(*[F.struct(F.lit(s).alias("spacer"), F.lit(i).alias("left_clip"), F.lit(j).alias("right_clip")) for s in spacers for i in range(clips + 1) for j in range(clips + 1)])
-    rows = pairs.withColumn("g", F.explode(grid)).select("left", "right", "left_seq", "right_seq", "g.*")
+    rows = pairs.withColumn("g", F.explode(grid)).select(*keys, "left", "right", "left_seq", "right_seq", "g.*")
     left = F.expr("right(substring(left_seq, 1, length(left_seq) - left_clip), {0})".format(flank))
     right = F.expr("substring(right_seq, right_clip + 1, {0})".format(flank))
     return rows.withColumn("sequence", F.concat(left, F.when(F.col("spacer") == "None", "").otherwise(F.col("spacer")), right))
@@ -36,11 +36,11 @@ def junction_scores(scored: DataFrame, keys: list[str], threshold: float) -> Dat
     return scored.groupBy(*keys).agg(F.bool_or(F.col("score") < threshold).alias("bad"), F.min("score").alias("weight"), F.min("percentile").alias("percentile")).where("not bad").drop("bad")
 
 
-def edges(junctions: DataFrame) -> DataFrame:
-    """For each ordered pair the junction of greatest weight; least clipping, then spacer, of equal ones."""
-    order = F.struct("weight", (-(F.col("left_clip") + F.col("right_clip"))).alias("c"), F.col("spacer"))
+def edges(junctions: DataFrame, keys: list[str] = []) -> DataFrame:  # noqa: B006
+    """For each ordered pair the junction of greatest weight; least clipping, then spacer, then least clipped on the left, of equal ones."""
+    order = F.struct("weight", (-(F.col("left_clip") + F.col("right_clip"))).alias("c"), F.col("spacer"), (-F.col("left_clip")).alias("l"))
     cols = ["weight", "percentile", "spacer", "left_clip", "right_clip"]
-    return junctions.groupBy("left", "right").agg(F.max_by(F.struct(*cols), order).alias("j")).select("left", "right", "j.*")
+    return junctions.groupBy(*keys, "left", "right").agg(F.max_by(F.struct(*cols), order).alias("j")).select(*keys, "left", "right", "j.*")
 
 
 def best_order(nodes: list[str], weight: dict[tuple[str, str], float], exact_up_to: int = 12, seed: int = 0, steps: int = 20_000) -> list[str] | None:

@@ -26,3 +26,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # any column name will do
     plain.write.parquet(path)
     return df.sparkSession.read.schema(plain.schema).parquet(path).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt over all cores, by ``keys`` if given: few or small files make few tasks, however much a row costs."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism), *keys)

@@ -32,3 +32,17 @@ def test_interval_pairs_of_rounded_seconds(spark, tmp_path):
 
 def test_proximal_variants_of_rounded_seconds(spark, tmp_path):
     same_as_sql(spark, tmp_path, "proximal_variants", events=EVENTS.format(600))
+
+
+def test_paths_of_many_tables_are_those_of_one():
+    import numpy as np
+    from neolake.operators import constructs, vector
+
+    r = np.random.default_rng(1)
+    for n in range(1, 7):
+        tables = r.integers(0, 4, (40, n, n)).astype(float)  # small weights: many equal paths
+        tables[r.random(tables.shape) < 0.4] = -np.inf
+        tables[:, range(n), range(n)] = -np.inf
+        for table, got in zip(tables, constructs._paths(tables).tolist(), strict=True):
+            edges = {(a, b): table[a, b] for a, b in np.argwhere(np.isfinite(table)).tolist()}
+            assert vector.best_order(list(range(n)), edges) == (None if got[0] < 0 else got)
