@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from neolake.schemas import Thresholds
+from neolake.storage import spread
 
 c = F.col
 
@@ -29,7 +30,7 @@ p AS (SELECT *, substr(wt, 1, pos - 1) || new || substr(wt, pos + gone) AS mt FR
 def proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = c("p_partkey")
     wt = F.translate(F.md5(key.cast("string").cast("binary")), "0123456789abcdef", "ACDEFGHIKLMNPQRS")
-    df = read(spark, sf_dir, "part", "p_partkey", "p_size").withColumns({"wt": wt, "pos": (key % 30 + 1).cast("int"), "gone": (key % 4).cast("int"), "new": F.substring(F.lit("WYV"), F.lit(1), (key % 3 + 1).cast("int"))})
+    df = spread(read(spark, sf_dir, "part", "p_partkey", "p_size")).withColumns({"wt": wt, "pos": (key % 30 + 1).cast("int"), "gone": (key % 4).cast("int"), "new": F.substring(F.lit("WYV"), F.lit(1), (key % 3 + 1).cast("int"))})
     return df.withColumn("mt", F.concat(F.expr("substring(wt, 1, pos - 1)"), "new", F.expr("substring(wt, pos + gone)")))
 
 

@@ -46,3 +46,10 @@ def test_paths_of_many_tables_are_those_of_one():
         for table, got in zip(tables, constructs._paths(tables).tolist(), strict=True):
             edges = {(a, b): table[a, b] for a, b in np.argwhere(np.isfinite(table)).tolist()}
             assert vector.best_order(list(range(n)), edges) == (None if got[0] < 0 else got)
+
+
+def test_proteins_are_dealt_over_all_cores(spark, tmp_path):
+    from neolake.plans.standins import proteins
+
+    spark.range(5000).selectExpr("id as p_partkey", "1 as p_size").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    assert proteins(spark, str(tmp_path)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
