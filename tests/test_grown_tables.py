@@ -53,3 +53,30 @@ def test_proteins_are_dealt_over_all_cores(spark, tmp_path):
 
     spark.range(5000).selectExpr("id as p_partkey", "1 as p_size").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
     assert proteins(spark, str(tmp_path)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_exploded_tables_are_not_broadcast(spark):
+    assert "Broadcast" not in _plan(catalogue.QUERIES["match_wildtype"](spark, "/root/testdata/sf0.001"))
+
+
+def test_novel_kmers_of_junctions_need_no_join(spark):
+    from neolake.plans import other_runs
+
+    rows = [("a", "ALT", "MACDAC"), ("a", "WT", "MAC"), ("b", "ALT", "MXX"), ("b", "WT", "M")]
+    out = other_runs.splice_kmers(spark.createDataFrame(rows, "index string, side string, protein string"), [2])
+    assert "Join" not in _plan(out)
+    assert sorted(map(tuple, out.collect())) == [("a", "CD", 2, 3), ("a", "DA", 2, 4)]
+
+
+def test_ids_unfold_after_the_join(spark):
+    from neolake.operators import predictions
+
+    scores = spark.createDataFrame([(1, 0.5), (2, 0.7), (1, 0.9)], "seq_num long, score double")
+    out = predictions.joined_to_ids(scores, spark.createDataFrame([(1, [7, 8]), (2, [9])], "number long, ids array<long>"))
+    plan = _plan(out)
+    assert plan.index("Generate") < plan.index("Join")  # above it
+    assert sorted(map(tuple, out.select("seq_num", "score", "index").collect())) == [(1, 0.5, 7), (1, 0.5, 8), (1, 0.9, 7), (1, 0.9, 8), (2, 0.7, 9)]
