@@ -55,12 +55,12 @@ def splice_inputs(junctions: DataFrame, gtf: DataFrame, variants: DataFrame, sco
 
 def splice_kmers(proteins: DataFrame, lengths: list[int]) -> DataFrame:
     """(index, epitope, length, position): peptides of the alternate proteins that their wild type lacks, of known residues only."""
-    side = lambda s: proteins.where(F.col("side") == s).select("index", "protein")
-    out = None
-    for k in lengths:
-        part = genomic.novel_kmers(side("ALT"), side("WT"), "index", k).where(fasta.supported(F.col("kmer"))).select("index", F.col("kmer").alias("epitope"), F.lit(k).alias("length"), "position")
-        out = part if out is None else out.unionByName(part)
-    return out
+    side = lambda s: F.collect_list(F.when(F.col("side") == s, F.col("protein")))
+    # both sides of a junction in one row: proteins are made once, and k-mers needn't be joined
+    both = proteins.groupBy("index").agg(side("ALT").alias("_alt"), side("WT").alias("_wt"))
+    fresh = F.filter(every_kmer(F.col("_a"), lengths), lambda x: ~F.exists("_wt", lambda w: F.contains(w, x["epitope"])))
+    each = both.select("index", "_wt", F.explode("_alt").alias("_a")).select("index", F.explode(fresh).alias("k")).select("index", "k.*")
+    return each.where(fasta.supported(F.col("epitope"))).groupBy("index", "epitope", "length").agg(F.max("position").alias("position"))
 
 
 def splice_run(events: DataFrame, gtf: DataFrame, genome: DataFrame, substitutions: DataFrame, alleles: list[str], lengths: list[int], methods: list[str], o: Options, store: Store = _kept) -> Results:
