@@ -2,32 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from neolake.functions.sequences import letters
 from neolake.storage import stored
 
 
-def _levels(docs: DataFrame, ignore: str | None) -> list[DataFrame]:
-    """Tables of all nodes of (doc, json), one a depth: ``node``, its parent ``up``, ``path``, ``key``, ``kind``, ``text``, and how many lists it lies in."""
-    spark = docs.sparkSession
-    rows = docs.select("doc", F.lit("").alias("node"), F.lit(None).cast("string").alias("up"), F.lit("").alias("path"), F.lit(None).cast("string").alias("key"), F.lit(0).alias("lists"), F.parse_json("json").alias("v"))
-    levels = []
-    while True:
-        schema = F.schema_of_variant("v")
-        kind = F.when(F.startswith(schema, F.lit("OBJECT")), "object").when(F.startswith(schema, F.lit("ARRAY")), "list").otherwise("value")
-        level = stored(rows.select("doc", "node", "up", "path", "key", "lists", kind.alias("kind"), F.to_json("v").alias("text")), "documents")
-        levels.append(level)
-        inner = level.where("kind <> 'value'").withColumn("v", F.parse_json("text"))
-        each = spark.sql("SELECT d.doc, d.node, d.path, d.lists, d.kind, x.pos, x.key, x.value AS v FROM {inner} d, LATERAL variant_explode(d.v) x", inner=inner)
-        if ignore is not None:
-            each = each.where(~F.coalesce(F.col("key").rlike(ignore), F.lit(False)))
-        listed = F.col("kind") == "list"
-        # names are escaped, so that a path names one field
-        name = F.replace(F.replace("key", F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
-        rows = each.select("doc", F.concat_ws("/", "node", F.col("pos").cast("string")).alias("node"), F.col("node").alias("up"), F.when(listed, F.concat("path", F.lit("[]"))).otherwise(F.concat("path", F.lit("/"), name)).alias("path"), "key", (F.col("lists") + listed.cast("int")).alias("lists"), "v")
-        if level.where("kind <> 'value' and text not in ('{}', '[]')").isEmpty():
-            return levels
+def _depth(docs: DataFrame) -> int:
+    """How many objects and lists lie in each other at most in the JSON texts of ``text``."""
+    bare = F.regexp_replace(F.regexp_replace("text", r"\\.", ""), '"[^"]*"', "")
+    shapes = docs.select(F.regexp_replace(bare, r"[^\[\]{}]+", "").alias("shape")).distinct()  # few documents have a shape of their own
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("most"))
+
+    def step(state: Column, sign: Column) -> Column:
+        at = state["at"] + F.when(sign.isin("{", "["), 1).otherwise(-1)
+        return F.struct(at.alias("at"), F.greatest(state["most"], at).alias("most"))
+
+    return shapes.agg(F.max(F.aggregate(letters(F.col("shape")), start, step)["most"])).first()[0] or 0
+
+
+def _inner(text: Column, ignore: str | None) -> Column:
+    """Structs (key, text) of what an object or a list holds, without fields to be ignored; null for a value."""
+    each = lambda key, v: F.struct(key.alias("key"), F.coalesce(F.to_json(v), F.lit("null")).alias("text"))
+    fields = F.transform(F.map_entries(F.from_json(text, "map<string,variant>")), lambda x: each(x["key"], x["value"]))
+    if ignore is not None:
+        fields = F.filter(fields, lambda x: ~x["key"].rlike(ignore))
+    elements = F.transform(F.from_json(text, "array<variant>"), lambda v: each(F.lit(None).cast("string"), v))
+    return F.when(F.startswith(text, F.lit("{")), fields).when(F.startswith(text, F.lit("[")), elements)
+
+
+def _form(text: Column, ignore: str | None, depth: int) -> Column:
+    """A JSON text with fields and lists sorted, to a depth that it doesn't pass."""
+    if depth == 0:
+        return text
+
+    def item(x: Column) -> Column:
+        quoted = F.to_json(F.struct(x["key"].alias("key")))
+        form = _form(x["text"], ignore, depth - 1)
+        return F.when(x["key"].isNull(), form).otherwise(F.concat(quoted.substr(F.lit(8), F.length(quoted) - 8), F.lit(":"), form))
+
+    joined = F.array_join(F.array_sort(F.transform(_inner(text, ignore), item)), ",")
+    return F.when(F.startswith(text, F.lit("{")), F.concat(F.lit("{"), joined, F.lit("}"))).when(F.startswith(text, F.lit("[")), F.concat(F.lit("["), joined, F.lit("]"))).otherwise(text)
+
+
+def _below(ignore: str | None, depth: int) -> Column:
+    """Structs (path, listed, text) of what lies in a row's ``_inner``; the row itself if that is nothing."""
+    path, text = F.col("path"), F.col("text")
+    row = lambda path, listed, text: F.struct(path.alias("path"), F.lit(listed).alias("listed"), text.alias("text"))
+    # names are escaped, so that a path names one field
+    name = lambda key: F.replace(F.replace(key, F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
+    below = F.transform("_inner", lambda x: F.when(x["key"].isNull(), row(F.concat(path, F.lit("[]")), True, _form(x["text"], ignore, depth))).otherwise(row(F.concat(path, F.lit("/"), name(x["key"])), False, x["text"])))
+    emptied = F.when(F.size("_inner") == 0, F.concat(F.left(text, F.lit(1)), F.right(text, F.lit(1)))).otherwise(text)
+    return F.when(F.size("_inner") > 0, below).otherwise(F.array(F.struct("path", "listed", emptied.alias("text"))))
+
+
+def _values(docs: DataFrame, ignore: str | None) -> DataFrame:
+    """(doc, side, path, listed, text) of (doc, side, json): values outside of lists, and elements of outermost lists.
+
+    Texts are stored once, for their depth, and dealt by document; a document's rows
+    unfold where it lies, level by level.
+    """
+    texts = stored(docs.where("json is not null").select("doc", "side", F.to_json(F.parse_json("json")).alias("text")), "documents")
+    rows = texts.repartition("doc").select("doc", "side", F.lit("").alias("path"), F.lit(False).alias("listed"), "text")
+    for left in reversed(range(_depth(texts))):
+        inner = F.when(~F.col("listed"), _inner(F.col("text"), ignore))
+        rows = rows.withColumn("_inner", inner).select("doc", "side", F.explode(_below(ignore, left)).alias("x")).select("doc", "side", "x.*")
+    return rows
 
 
 def flattened(docs: DataFrame, ignore: str | None = None) -> DataFrame:
@@ -39,38 +80,23 @@ def flattened(docs: DataFrame, ignore: str | None = None) -> DataFrame:
     those that lose all fields to ``ignore`` (a pattern of field names, at any
     depth), are values. A null document has no rows, a text that isn't JSON is an error.
     """
-    levels = _levels(docs.where("json is not null"), ignore)
-    below, out = None, None
-    for level in reversed(levels):
-        form = F.when(F.col("kind") == "value", F.col("text"))
-        if below is None:
-            level = level.withColumn("form", F.when(F.col("kind") == "object", F.lit("{}")).when(F.col("kind") == "list", F.lit("[]")).otherwise(form))
-            level = level.withColumn("leaf", F.lit(True))
-        else:
-            item = F.when(F.col("key").isNotNull(), F.concat(F.to_json(F.struct("key")), F.lit("\x01"), "form")).otherwise(F.col("form"))
-            inner = below.groupBy("doc", F.col("up").alias("node")).agg(F.array_sort(F.collect_list(item)).alias("_items"))
-            level = level.join(inner, ["doc", "node"], "left")
-            joined = F.array_join(F.coalesce("_items", F.array().cast("array<string>")), ",")
-            level = level.withColumn("form", F.when(F.col("kind") == "object", F.concat(F.lit("{"), joined, F.lit("}"))).when(F.col("kind") == "list", F.concat(F.lit("["), joined, F.lit("]"))).otherwise(form))
-            level = level.withColumn("leaf", (F.col("kind") == "value") | F.col("_items").isNull())
-        # a list's own elements, and values outside of all lists
-        shown = level.where("(lists = 0 and leaf) or (lists = 1 and path like '%[]' and up is not null)")
-        shown = shown.where("lists = 0 or instr(path, '[]') = length(path) - 1")
-        part = shown.select("doc", "path", F.when(F.col("lists") == 1, F.col("form")).otherwise("").alias("element"), "form")
-        out = part if out is None else out.unionByName(part)
-        below = level.select("doc", "up", "key", "form")
-    readable = F.regexp_replace("form", r'\{"key":("(?:[^"\\]|\\.)*")\}' + "\x01", "$1:")
-    out = out.withColumn("text", readable).withColumn("element", F.when(F.col("element") != "", F.col("text")).otherwise(""))
-    return out.groupBy("doc", "path", "element").agg(F.first("text").alias("text"), F.count("*").alias("n"))
+    rows = _values(docs.select("doc", F.lit(1).alias("side"), "json"), ignore)
+    element = F.when(F.col("listed"), F.col("text")).otherwise("").alias("element")
+    return rows.groupBy("doc", "path", element).agg(F.first("text").alias("text"), F.count("*").alias("n"))
 
 
 def document_differences(first: DataFrame, second: DataFrame, ignore: str | None = None) -> DataFrame:
     """(doc, path, value_1, value_2, n_1, n_2) of two tables of (doc, json): values that differ or that one side lacks, and list elements that one side has more often.
 
     A value's texts are JSON (a text in quotes, a number not); numbers of equal value
-    are equal. One full join by document, path and element.
+    are equal. Both sides' rows of a document lie in one task and are counted there;
+    a document without an id equals none of the other side.
     """
-    a, b = (flattened(df.select("doc", "json"), ignore).withColumnsRenamed({"text": f"value_{k}", "n": f"n_{k}"}) for k, df in ((1, first), (2, second)))
-    both = a.join(b, ["doc", "path", "element"], "full_outer")
-    differ = ~F.col("value_1").eqNullSafe(F.col("value_2")) | (F.coalesce("n_1", F.lit(0)) != F.coalesce("n_2", F.lit(0)))
-    return both.where(differ).select("doc", "path", "value_1", "value_2", F.coalesce("n_1", F.lit(0)).alias("n_1"), F.coalesce("n_2", F.lit(0)).alias("n_2"))
+    a, b = (df.select("doc", F.lit(k).alias("side"), "json") for k, df in ((1, first), (2, second)))
+    of = lambda k: F.count(F.when(F.col("side") == k, 1)).alias(f"n_{k}")
+    apart = F.when(F.col("doc").isNull(), F.col("side")).alias("_apart")
+    counts = _values(a.unionByName(b), ignore).groupBy("doc", apart, "path", "listed", "text").agg(of(1), of(2)).where("n_1 <> n_2")
+    # a value that differs has a row for either side's text
+    element = F.when(F.col("listed"), F.col("text")).alias("_element")
+    text = lambda k: F.min(F.when(F.col(f"n_{k}") > 0, F.col("text"))).alias(f"value_{k}")
+    return counts.groupBy("doc", "_apart", "path", element).agg(text(1), text(2), F.sum("n_1").alias("n_1"), F.sum("n_2").alias("n_2")).drop("_apart", "_element")

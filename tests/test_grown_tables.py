@@ -80,3 +80,17 @@ def test_ids_unfold_after_the_join(spark):
     plan = _plan(out)
     assert plan.index("Generate") < plan.index("Join")  # above it
     assert sorted(map(tuple, out.select("seq_num", "score", "index").collect())) == [(1, 0.5, 7), (1, 0.5, 8), (1, 0.9, 7), (1, 0.9, 8), (2, 0.7, 9)]
+
+
+def test_documents_are_dealt_once(spark):
+    from neolake.operators import documents
+
+    make = lambda *x: spark.createDataFrame(list(enumerate(x)), "doc int, json string")
+    a = make('{"l[]": [1, 2, 2], "m": {"z": [[1, {"b": 1, "a": [2, 1]}]]}, "v": 1}', "[3, 3]", '{"v": "x"}')
+    b = make('{"m": {"z": [[{"a": [1, 2], "b": 1}, 1]]}, "l[]": [2, 1]}', "[3]", '{"v": "x"}')
+    out = documents.document_differences(a, b)
+    # rows unfold where their document lies: no step is joined or dealt again
+    assert _plan(out).count("Exchange hashpartitioning") == 1 and "Join" not in _plan(out)
+    assert sorted(map(tuple, out.collect()), key=repr) == [(0, "/l[][]", "2", "2", 2, 1), (0, "/v", "1", None, 1, 0), (1, "[]", "3", "3", 2, 1)]
+    nobody = spark.createDataFrame([(None, "1")], "doc int, json string")
+    assert sorted(map(tuple, documents.document_differences(nobody, nobody).collect()), key=repr) == [(None, "", "1", None, 1, 0), (None, "", None, "1", 0, 1)]
