@@ -103,20 +103,11 @@ def aa_change(kind: str = "Variant Type", mutation: str = "Mutation", position:
     return F.when(col(kind) == "FS", F.concat(F.lit("FS"), col(position))).otherwise(F.concat(wild, col(position), mutant))
 
 
-def transcript_sets(df: DataFrame, keys: list[str], transcript: str, epitope: str, order: list[str], fields: list[str] = [], allow_incomplete: bool = False) -> DataFrame:  # noqa: B006
-    """(keys, set, peptides, transcripts, transcript_count, peptide_count, total_expr): a variant's transcripts with the same peptides.
-
-    ``order``: columns whose order is that of the rows. Peptides are listed by first
-    appearance, sets numbered by it. Transcripts in a set: [complete], coding, MANE,
-    canonical, support level, longest, highest expression, then by appearance;
-    ``transcripts`` holds structs of the name and ``fields``, from its first row.
-    """
+def set_line(df: DataFrame, transcript: str, fields: list[str] = [], allow_incomplete: bool = False) -> Column:  # noqa: B006
+    """What ``transcript_sets`` has to know of a transcript's row that comes first by ``_at``."""
     has = lambda c: c in df.columns
-    at = F.struct(*[col(c) for c in order])
-    by = [col(k) for k in keys]
     tsl = "TSL" if has("TSL") else "Transcript Support Level"
     low = lambda c: F.when(F.coalesce(c, F.lit(False)), 0).otherwise(1)
-    first = lambda c: F.min_by(c, F.col("_at"))
     sort = [
         F.coalesce(col("Transcript CDS Flags").rlike("cds_start_nf|cds_end_nf"), F.lit(False)).cast("int") if allow_incomplete and has("Transcript CDS Flags") else F.lit(0),
         low(col("Biotype") == "protein_coding") if has("Biotype") else F.lit(0), low(truthy(col("MANE Select"))) if has("MANE Select") else F.lit(0), low(truthy(col("Canonical"))) if has("Canonical") else F.lit(0),
@@ -124,18 +115,40 @@ def transcript_sets(df: DataFrame, keys: list[str], transcript: str, epitope: st
         F.coalesce(-number("Transcript Expression"), F.lit(float("inf"))) if has("Transcript Expression") else F.lit(0.0),
     ]
     expression = number("Transcript Expression") if has("Transcript Expression") else F.lit(None).cast("double")
-    rows = df.repartition(*by).withColumn("_at", at)
-    line = F.struct(*[x.alias(f"s{i}") for i, x in enumerate(sort)], F.col("_at"), expression.alias("_expr"), F.struct(col(transcript).alias("name"), *[col(f) for f in fields]).alias("line"))
-    each = rows.groupBy(*by, col(transcript).alias("_transcript"), col(epitope).alias("_peptide")).agg(F.min("_at").alias("_at"), first(line).alias("_line"))
-    own = each.groupBy(*by, "_transcript").agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_peptide"))), lambda x: x["_peptide"]).alias("peptides"), first(F.col("_line")).alias("_line"), F.min("_at").alias("_at"))
-    sets = own.groupBy(*by, "peptides").agg(F.array_sort(F.collect_list("_line")).alias("_lines"), F.min("_at").alias("_at"))
+    return F.struct(*[x.alias(f"s{i}") for i, x in enumerate(sort)], F.col("_at"), expression.alias("_expr"), F.struct(col(transcript).alias("name"), *[col(f) for f in fields]).alias("line"))
+
+
+def sets_of(each: DataFrame, keys: list[str], carried: list[str] = []) -> DataFrame:  # noqa: B006
+    """``transcript_sets`` of one row a transcript and peptide: keys, _transcript, _peptide, _at, _line (``set_line``).
+
+    ``carried``: columns of ``each`` that are kept of the first transcript of a set, as ``_carried``, structs a peptide.
+    """
+    by = [col(k) for k in keys]
+    first = lambda c: F.min_by(c, F.col("_at"))
+    kept = F.collect_list(F.struct(*carried)) if carried else F.lit(None)
+    own = each.groupBy(*by, "_transcript").agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_peptide"))), lambda x: x["_peptide"]).alias("peptides"), first(F.col("_line")).alias("_line"), F.min("_at").alias("_at"), kept.alias("_carried"))
+    sets = own.groupBy(*by, "peptides").agg(F.array_sort(F.collect_list("_line")).alias("_lines"), first(F.col("_carried")).alias("_carried"), F.min("_at").alias("_at"))
     nth = F.row_number().over(Window.partitionBy(*by).orderBy("_at"))
     total = F.aggregate("_lines", F.lit(0.0).cast("double"), lambda s, x: s + F.coalesce(x["_expr"], F.lit(0.0)))
     return sets.select(
-        *by, F.format_string("Transcript Set %d", nth).alias("set"), "peptides", F.transform("_lines", lambda x: x["line"]).alias("transcripts"), F.size("_lines").alias("transcript_count"), F.size("peptides").alias("peptide_count"), total.alias("total_expr")
+        *by, F.format_string("Transcript Set %d", nth).alias("set"), "peptides", F.transform("_lines", lambda x: x["line"]).alias("transcripts"), F.size("_lines").alias("transcript_count"), F.size("peptides").alias("peptide_count"), total.alias("total_expr"), "_carried"
     )
 
 
+def transcript_sets(df: DataFrame, keys: list[str], transcript: str, epitope: str, order: list[str], fields: list[str] = [], allow_incomplete: bool = False) -> DataFrame:  # noqa: B006
+    """(keys, set, peptides, transcripts, transcript_count, peptide_count, total_expr): a variant's transcripts with the same peptides.
+
+    ``order``: columns whose order is that of the rows. Peptides are listed by first
+    appearance, sets numbered by it. Transcripts in a set: [complete], coding, MANE,
+    canonical, support level, longest, highest expression, then by appearance;
+    ``transcripts`` holds structs of the name and ``fields``, from its first row.
+    """
+    by = [col(k) for k in keys]
+    rows = df.repartition(*by).withColumn("_at", F.struct(*[col(c) for c in order]))
+    each = rows.groupBy(*by, col(transcript).alias("_transcript"), col(epitope).alias("_peptide")).agg(F.min("_at").alias("_at"), F.min_by(set_line(df, transcript, fields, allow_incomplete), F.col("_at")).alias("_line"))
+    return sets_of(each, keys).drop("_carried")
+
+
 def peptide_calls(df: DataFrame, keys: list[str], epitope: str, allele: str, alleles: list[str], score: str, wildtype: str) -> DataFrame:
     """For each peptide, mutant and wild-type scores in the order of ``alleles`` (null: not predicted) and the least of them."""
     entry = lambda c: F.map_from_entries(F.collect_list(F.struct(col(allele), number(c))))

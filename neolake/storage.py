@@ -31,4 +31,4 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` dealt over all cores, by ``keys`` if given: few or small files make few tasks, however much a row costs."""
     spark = df.sparkSession
-    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism), *keys)
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism), *[F.col(f"`{k}`") for k in keys])

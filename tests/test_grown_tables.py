@@ -94,3 +94,14 @@ def test_documents_are_dealt_once(spark):
     assert sorted(map(tuple, out.collect()), key=repr) == [(0, "/l[][]", "2", "2", 2, 1), (0, "/v", "1", None, 1, 0), (1, "[]", "3", "3", 2, 1)]
     nobody = spark.createDataFrame([(None, "1")], "doc int, json string")
     assert sorted(map(tuple, documents.document_differences(nobody, nobody).collect()), key=repr) == [(None, "", "1", None, 1, 0), (None, "", None, "1", 0, 1)]
+
+
+def test_metrics_deal_rows_once(spark):
+    from neolake.operators import metrics
+
+    # the rows of the variants, and their best ones, which the join may deal again: no group of the objects is
+    assert _plan(catalogue.QUERIES["metrics_objects"](spark, "/root/testdata/sf0.001")).count("Exchange hashpartitioning") <= 3
+    import pyspark.sql.functions as F
+
+    numbers = spark.createDataFrame([(x,) for x in (None, 0.0, -0.0, 60.0, -0.5, 0.001, 1e-5, 1 / 3, 9999999.5, 1e7, 1e22)], "x double")
+    assert numbers.where(F.to_json(metrics._double(F.col("x"))) != F.to_json(metrics._quoted(F.col("x")))).count() == 0
