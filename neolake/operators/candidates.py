@@ -113,21 +113,22 @@ def tier_place(tool: str, tier: str = "Tier") -> Column:
     return F.when(at > 0, at).otherwise(len(names) + 1)
 
 
-def _by_ranges(df: DataFrame, order: list[Column]) -> DataFrame:
+def _by_ranges(df: DataFrame, order: list[Column], ranged: bool = False) -> DataFrame:
     """``df`` sorted by ranges and stored, with ``_part``, the range, and ``_at``, the place in it from 0."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = (df if ranged else df.repartitionByRange(*order)).sortWithinPartitions(*order)
     kept = stored(ranged.withColumn("_id", F.monotonically_increasing_id()), "ranks")
     low = (1 << 33) - 1  # an id is the partition and, in its lower 33 bits, the place
     return kept.withColumns({"_part": F.shiftright("_id", 33), "_at": F.col("_id").bitwiseAND(F.lit(low))}).drop("_id")
 
 
-def with_row_number(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+def with_row_number(df: DataFrame, order: list[Column], name: str, ranged: bool = False) -> DataFrame:
     """``df`` with the place of each row in a total order, from 1, without a window over the whole table.
 
     Rows are sorted by ranges; a place is that in the range, plus the rows of the
-    ranges before: one row a range.
+    ranges before: one row a range. ``ranged``: ``df`` lies in ranges of the first
+    columns of the order.
     """
-    rows = _by_ranges(df, order)
+    rows = _by_ranges(df, order, ranged)
     upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = rows.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"))
     return rows.join(F.broadcast(sizes), "_part").withColumn(name, F.col("_before") + F.col("_at") + 1).drop("_part", "_at", "_before")

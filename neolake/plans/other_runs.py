@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from neolake.functions.sequences import every_kmer, frameshift_window
@@ -97,8 +97,11 @@ def called_fusions(fusions: DataFrame, star: DataFrame | None = None) -> DataFra
     """
     joint = F.instr("peptide", "|") - 1
     missing = F.raise_error(F.concat(F.lit("no joint in the fusion sequence of "), "gene_name")).cast("int")
-    rows = fusions.withColumn("protein_position", F.when(joint >= 0, joint).otherwise(missing)).withColumn("fusion_amino_acid_sequence", F.regexp_replace("peptide", r"[|*]", ""))
-    return _indexed(transcripts.with_star_support(rows, star) if star is not None else rows.withColumn("star_expression", F.lit(None).cast("double")))
+    rows = fusions.select(*_BREAKS, "gene_name", "transcript_name", "variant_type", "peptide", "read_support")
+    rows = _in_ranges(rows, star) if star is not None else rows.withColumn("star_expression", F.lit(None).cast("double"))
+    # joints are looked for where the rows lie, so that a sequence is dealt once
+    rows = rows.withColumn("protein_position", F.when(joint >= 0, joint).otherwise(missing)).withColumn("fusion_amino_acid_sequence", F.regexp_replace("peptide", r"[|*]", ""))
+    return _indexed(rows, ranged=star is not None)
 
 
 def assembled_fusions(proteins: DataFrame, exons: DataFrame, star: DataFrame | None = None) -> DataFrame:
@@ -129,10 +132,22 @@ def assembled_fusions(proteins: DataFrame, exons: DataFrame, star: DataFrame | N
     return _indexed(rows.withColumns({"read_support": F.col("_s.star_reads"), "star_expression": F.col("_s.star_expression"), "left_pos": F.coalesce("_s.left_pos", "left_start"), "right_pos": F.coalesce("_s.right_pos", "right_start")}).drop("_s"))
 
 
-def _indexed(rows: DataFrame) -> DataFrame:
+_BREAKS = ["left_chrom", "left_pos", "right_chrom", "right_pos"]
+
+
+def _in_ranges(rows: DataFrame, star: DataFrame) -> DataFrame:
+    """``transcripts.with_star_support`` of rows that come to lie in ranges of their breakpoints: calls of both kinds are dealt together, once, instead of joined and then sorted."""
+    told = transcripts.bare(star).where(" and ".join(f"{x} is not null" for x in _BREAKS)).select(*_BREAKS, F.struct("read_support", "expression").alias("_star"))
+    both = transcripts.bare(rows).withColumn("_own", F.lit(True)).unionByName(told.withColumn("_own", F.lit(False)), allowMissingColumns=True)
+    best = F.max("_star").over(Window.partitionBy(*_BREAKS))
+    return both.repartitionByRange(*[F.asc_nulls_last(x) for x in _BREAKS]).withColumn("star_expression", best["expression"]).where("_own").drop("_own", "_star")
+
+
+def _indexed(rows: DataFrame, ranged: bool = False) -> DataFrame:
     """Numbered in order of their breakpoints and transcripts; a number, names, kind and joint make the index."""
-    order = ["left_chrom", "left_pos", "right_chrom", "right_pos", "gene_name", "transcript_name", "variant_type", "fusion_amino_acid_sequence", "protein_position", "read_support"]
-    rows = candidates.with_row_number(rows, [F.col(c).asc_nulls_last() for c in order], "_n")
+    shown = [*_BREAKS, "gene_name", "transcript_name", "variant_type", "protein_position", "fusion_amino_acid_sequence", "read_support", "star_expression"]
+    order = [*_BREAKS, "gene_name", "transcript_name", "variant_type", "fusion_amino_acid_sequence", "protein_position", "read_support"]
+    rows = candidates.with_row_number(rows.select(*shown), [F.asc_nulls_last(x) for x in order], "_n", ranged)
     pair = lambda a, b: F.concat_ws(" / ", F.coalesce(F.col(a).cast("string"), F.lit("NA")), F.coalesce(F.col(b).cast("string"), F.lit("NA")))
     index = F.concat_ws(".", F.col("_n").cast("string"), "gene_name", "transcript_name", "variant_type", F.col("protein_position").cast("string"))
     return rows.select(index.alias("index"), pair("left_chrom", "right_chrom").alias("chromosome_name"), pair("left_pos", "right_pos").alias("start"), "gene_name", "transcript_name", "variant_type", "protein_position", "fusion_amino_acid_sequence", "read_support", F.col("star_expression").alias("expression"))

@@ -125,10 +125,14 @@ def exon_extents(exons: DataFrame) -> DataFrame:
     return exons.groupBy("`5'_transcript`", "`3'_transcript`").agg(*aggs, F.max(F.when(side("`5'_gene`"), F.col("exon_chr"))).alias("left_chrom"), F.max(F.when(side("`3'_gene`"), F.col("exon_chr"))).alias("right_chrom"))
 
 
+def bare(df: DataFrame) -> DataFrame:
+    """Calls with chromosomes without ``chr``."""
+    return df.withColumns({c: F.regexp_replace(c, "^chr", "") for c in ("left_chrom", "right_chrom")})
+
+
 def with_star_support(fusions: DataFrame, star: DataFrame) -> DataFrame:
     """Read support and expression of the first call with the same breakpoints; chromosomes with or without ``chr``."""
     keys = ["left_chrom", "left_pos", "right_chrom", "right_pos"]
-    bare = lambda df: df.withColumns({c: F.regexp_replace(c, "^chr", "") for c in ("left_chrom", "right_chrom")})
     first = Window.partitionBy(*keys).orderBy(F.desc("read_support"), F.desc("expression"))
     star = bare(star).withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*keys, F.col("read_support").alias("star_reads"), F.col("expression").alias("star_expression"))
     return bare(fusions).join(star, keys, "left")

@@ -24,7 +24,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet and read again: rows stay as they are, whatever is lost or computed anew later."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # any column name will do
-    plain.write.parquet(path)
+    plain.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(plain.schema).parquet(path).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])
 
 

@@ -105,3 +105,18 @@ def test_metrics_deal_rows_once(spark):
 
     numbers = spark.createDataFrame([(x,) for x in (None, 0.0, -0.0, 60.0, -0.5, 0.001, 1e-5, 1 / 3, 9999999.5, 1e7, 1e22)], "x double")
     assert numbers.where(F.to_json(metrics._double(F.col("x"))) != F.to_json(metrics._quoted(F.col("x")))).count() == 0
+
+
+def test_fusions_are_dealt_once_with_their_support(spark, monkeypatch):
+    from neolake.operators import candidates
+    from neolake.plans import other_runs
+
+    seen = []
+    monkeypatch.setattr(candidates, "stored", lambda df, label: seen.append(df) or df.cache())
+    row = lambda left, pos, gene, peptide="MK|TA*": (left, pos, "chr2", 7, gene, "T-T", "inframe_fusion", peptide, 3)
+    fusions = spark.createDataFrame([row("chr1", 5, "A-B"), row("1", 5, "A-C"), row(None, 5, "A-D"), row("10", 9, "A-E")], "left_chrom string, left_pos long, right_chrom string, right_pos long, gene_name string, transcript_name string, variant_type string, peptide string, read_support int")
+    star = spark.createDataFrame([("1", 5, "2", 7, 4, 0.5), ("chr1", 5, "chr2", 7, 4, 0.7), ("1", 5, "2", 7, None, 9.0), (None, 5, "2", 7, 9, 0.9), ("3", 1, "2", 7, 9, 0.9)], "left_chrom string, left_pos int, right_chrom string, right_pos int, read_support int, expression double")
+    out = other_runs.called_fusions(fusions, star)
+    plan = _plan(seen[0])
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "peptide" not in seen[0].columns
+    assert [(r["index"][:5], r.chromosome_name, r.expression) for r in out.orderBy("index").collect()] == [("1.A-B", "1 / 2", 0.7), ("2.A-C", "1 / 2", 0.7), ("3.A-E", "10 / 2", None), ("4.A-D", "NA / 2", None)]
