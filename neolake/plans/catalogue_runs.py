@@ -11,6 +11,7 @@ from neolake.plans import other_runs, post
 from neolake.plans.catalogue import _CODONS_SQL, query, read
 from neolake.plans.standins import _TIE, PROTEINS, TIE, T, X, proteins, table
 from neolake.sources import vcf
+from neolake.storage import spread, stored
 
 c = F.col
 
@@ -29,10 +30,10 @@ n AS (SELECT s.k, x.p, x.b, x.new, x.som FROM m s JOIN ph own ON own.cust = s.cu
   WHERE s.som AND CASE WHEN own.hp IS NOT NULL AND x.hp IS NOT NULL THEN own.hp = x.hp ELSE x.hom END)"""
 
 
-def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _calls(spark: SparkSession, sf_dir: str, *unused: str) -> DataFrame:
     key, cust = c("o_orderkey"), c("o_custkey")
     md5 = lambda k: F.md5((cust + k).cast("string").cast("binary"))
-    df = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus").withColumns({"p": (key % 32 + 1).cast("int"), "b": (F.floor(key / 32) % 3 + 1).cast("int"), "dna": F.translate(F.concat(md5(0), md5(1), md5(2)), "0123456789abcdef", "ACGACGACGACGACGA")})
+    df = spread(read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus")).withColumns({"p": (key % 32 + 1).cast("int"), "b": (F.floor(key / 32) % 3 + 1).cast("int"), "dna": F.translate(F.concat(md5(0), md5(1), md5(2)), "0123456789abcdef", "ACGACGACGACGACGA")})
     df = df.withColumn("start", 3 * (c("p") - 1) + c("b")).withColumn("reference", F.substr("dna", "start", F.lit(1))).withColumn("variant", F.translate("reference", "ACG", "CGA"))
     wild = F.lower(F.substr("dna", 3 * c("p") - 2, F.lit(3)))
     marked = lambda base: F.overlay(wild, base, c("b"), F.lit(1))
@@ -41,7 +42,9 @@ def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.cast("string").alias("index"), cust.alias("chromosome_name"), "start", c("start").alias("stop"), "reference", "variant", F.concat(F.lit("T"), cust).alias("transcript_name"), F.lit("missense").alias("variant_type"), change.alias("amino_acid_change"),
         F.concat_ws("/", marked(c("reference")), marked(c("variant"))).alias("codon_change"), c("p").cast("string").alias("protein_position"), S.translate_dna(c("dna")).alias("wildtype_amino_acid_sequence"), F.lit(None).cast("string").alias("frameshift_amino_acid_sequence"), "o_orderstatus", "o_orderkey",
     )
-    return rows.where(F.split_part("amino_acid_change", F.lit("/"), F.lit(1)) != F.split_part("amino_acid_change", F.lit("/"), F.lit(2)))
+    # made once, and stored before the filter, which would make each change anew; several steps read them
+    made = stored(rows.drop(*unused), "calls")
+    return made.where(F.split_part("amino_acid_change", F.lit("/"), F.lit(1)) != F.split_part("amino_acid_change", F.lit("/"), F.lit(2)))
 
 
 def _phased(calls: DataFrame) -> DataFrame:
@@ -51,7 +54,7 @@ def _phased(calls: DataFrame) -> DataFrame:
 
 @query(f"WITH {_CALLS}, {_NEAR} SELECT k::VARCHAR AS \"index\", p::VARCHAR AS protein_position, 3 * (p - 1) + b AS start, CASE WHEN som THEN 'somatic' ELSE 'germline' END AS kind FROM n")
 def phased_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls = _calls(spark, sf_dir)
+    calls = _calls(spark, sf_dir, "wildtype_amino_acid_sequence")
     return haplotypes.neighbours(calls.where("o_orderstatus <> 'F'"), _phased(calls), 9).select("index", "protein_position", "start", "kind")
 
 

@@ -120,3 +120,8 @@ def test_fusions_are_dealt_once_with_their_support(spark, monkeypatch):
     plan = _plan(seen[0])
     assert plan.count("Exchange") == 1 and "Join" not in plan and "peptide" not in seen[0].columns
     assert [(r["index"][:5], r.chromosome_name, r.expression) for r in out.orderBy("index").collect()] == [("1.A-B", "1 / 2", 0.7), ("2.A-C", "1 / 2", 0.7), ("3.A-E", "10 / 2", None), ("4.A-D", "NA / 2", None)]
+
+
+def test_calls_are_made_once(spark):
+    for name in ("phased_neighbours", "haplotype_windows"):
+        assert "md5(" not in _plan(catalogue.QUERIES[name](spark, "/root/testdata/sf0.001"))
