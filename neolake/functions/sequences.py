@@ -83,25 +83,25 @@ def matches(a: Column, b: Column) -> Column:
 def matches_from_left(a: Column, b: Column) -> Column:
     """Length of the common prefix."""
     first = F.array_position(_same(a, b), F.lit(False)).cast("int")
-    return F.when(first > 0, first - 1).otherwise(F.least(F.length(a), F.length(b)))
+    return let(first, lambda i: F.when(i > 0, i - 1).otherwise(F.least(F.length(a), F.length(b))))
 
 
 def matches_from_right(a: Column, b: Column) -> Column:
     return matches_from_left(F.reverse(a), F.reverse(b))
 
 
-def changed_bounds(mutant: Column, wildtype: Column, flank: int, to_end: bool = False) -> tuple[Column, Column]:
-    """First place and length of the part of ``mutant`` that differs from ``wildtype`` with ``flank`` residues on either side (``to_end``: all that follows)."""
-    left = matches_from_left(mutant, wildtype)
-    right = F.least(matches_from_right(mutant, wildtype), F.least(F.length(mutant), F.length(wildtype)) - left)
-    start = F.greatest(left - flank + 1, F.lit(1))
-    stop = F.length(mutant) if to_end else F.least(F.length(mutant) - right + flank, F.length(mutant))
-    return start.cast("int"), F.greatest(stop - start + 1, F.lit(0)).cast("int")
+def changed_window(mutant: Column, wildtype: Column, flank: int, to_end: bool = False, shown: Column | None = None) -> Column:
+    """The part of ``mutant`` that differs from ``wildtype`` with ``flank`` residues on either side (``to_end``: all that follows), or what ``shown`` has there."""
+    ends = F.struct(matches_from_left(mutant, wildtype).alias("left"), matches_from_right(mutant, wildtype).alias("right"))
+    text = mutant if shown is None else shown
 
+    def cut(same: Column) -> Column:
+        right = F.least(same["right"], F.least(F.length(mutant), F.length(wildtype)) - same["left"])
+        start = F.greatest(same["left"] - flank + 1, F.lit(1))
+        stop = F.length(mutant) if to_end else F.least(F.length(mutant) - right + flank, F.length(mutant))
+        return text.substr(start.cast("int"), F.greatest(stop - start + 1, F.lit(0)).cast("int"))
 
-def changed_window(mutant: Column, wildtype: Column, flank: int, to_end: bool = False) -> Column:
-    """The part of ``mutant`` that differs from ``wildtype`` with its surroundings, see ``changed_bounds``."""
-    return mutant.substr(*changed_bounds(mutant, wildtype, flank, to_end))
+    return let(ends, cut)
 
 
 def centred(sequence: Column, position: Column, flank: int) -> Column:

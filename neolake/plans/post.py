@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from neolake.functions.sequences import centred, changed_bounds, every_kmer, frameshift_window, letters, manufacturability, mutated_protein, residue_styles
+from neolake.functions.sequences import centred, changed_window, every_kmer, frameshift_window, letters, manufacturability, mutated_protein, residue_styles
 from neolake.operators import aggregate, alignment, candidates, compare, filters, genomic, haplotypes, predictions, reference, tiers
 from neolake.schemas import Thresholds
 
@@ -181,7 +181,7 @@ def variant_sequences(variants: DataFrame, flank: int, downstream: int | None =
         })
         rows = rows.withColumn("_shown", F.when(shift, F.col("_shifted")).otherwise(mutated_protein(F.col("_all"), F.col("_change"), F.col("_position"), F.col("_wild"))))
     windows = {
-        "MT": F.when(shift, frameshift_window(F.col("_shown"), F.col("_position"), flank, downstream)).otherwise(F.col("_shown").substr(*changed_bounds(F.col("_mutant"), F.col("_wild"), flank))),
+        "MT": F.when(shift, frameshift_window(F.col("_shown"), F.col("_position"), flank, downstream)).otherwise(changed_window(F.col("_mutant"), F.col("_wild"), flank, shown=F.col("_shown"))),
         "WT": F.when(shift, frameshift_window(F.col("_base"), F.col("_position"), flank, flank)).otherwise(centred(F.col("_base"), F.col("_position"), flank)),
     }
     each = F.explode(F.array(*[F.struct(F.concat(F.lit(side + "."), F.col("index")).alias("id"), w.alias("sequence")) for side, w in windows.items()])).alias("x")

@@ -125,3 +125,13 @@ def test_fusions_are_dealt_once_with_their_support(spark, monkeypatch):
 def test_calls_are_made_once(spark):
     for name in ("phased_neighbours", "haplotype_windows"):
         assert "md5(" not in _plan(catalogue.QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
+def test_windows_compare_once_from_either_end(spark):
+    from neolake.functions import sequences as S
+    from pyspark.sql import functions as F
+
+    rows = [("MKLVTTPQR", "MKLVAAPQR"), ("MK", "MK"), ("MKAAQ", "MKAQ"), ("", "MK"), (None, "MK"), ("MK", None)]
+    df = spark.createDataFrame(rows, "m string, w string").select("m", "w", S.changed_window(F.col("m"), F.col("w"), 1).alias("a"), S.changed_window(F.col("m"), F.col("w"), 1, shown=F.lower("m")).alias("b"))
+    assert _plan(df.select("a")).count("array_position") == 2
+    assert [r.a for r in df.collect()][:4] == ["VTTP", "K", "AAQ", ""] and all(r.b == (None if r.a is None else r.a.lower()) for r in df.collect() if r.m is not None)
