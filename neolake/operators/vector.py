@@ -70,7 +70,8 @@ def best_order(nodes: list[str], weight: dict[tuple[str, str], float], exact_up_
         return [nodes[i] for i in max(ends, key=lambda v: v[0])[1]] if ends else None
     r = random.Random(seed)
     missing = -1e6
-    value = lambda p: sum(weight.get(e, missing) for e in itertools.pairwise(p))
+    known = {e: weight.get(e, missing) for e in itertools.product(nodes, nodes)}
+    value = lambda p: sum(map(known.__getitem__, itertools.pairwise(p)))
     path = nodes[:]
     r.shuffle(path)
     now, top = value(path), (value(path), path[:])

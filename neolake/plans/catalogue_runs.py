@@ -257,7 +257,7 @@ def _junction_scores(rows: DataFrame) -> DataFrame:
 
 @query()
 def designed_constructs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey").distinct()
+    lines = spread(read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey"), "l_orderkey").distinct()  # an order's parts stay together from here
     sequence = F.translate(F.md5(c("l_partkey").cast("string").cast("binary")), "0123456789abcdef", "ACDEFGHIKLMNPQRS")
     peptides = lines.select(c("l_orderkey").alias("construct"), c("l_partkey").alias("id"), sequence.alias("sequence"))
     done = constructs.design(peptides, _junction_scores, ["None", "AAY", "HHHH"], 7, 8, 60.0)

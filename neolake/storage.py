@@ -28,7 +28,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(plain.schema).parquet(path).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` dealt over all cores, by ``keys`` if given: few or small files make few tasks, however much a row costs."""
+def spread(df: DataFrame, *keys: str, parts: int = 1) -> DataFrame:
+    """``df`` dealt over all cores, by ``keys`` if given, into ``parts`` at least: few or small files make few tasks, however much a row costs."""
     spark = df.sparkSession
-    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism), *[F.col(f"`{k}`") for k in keys])
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism, parts), *[F.col(f"`{k}`") for k in keys])

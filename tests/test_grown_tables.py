@@ -48,6 +48,61 @@ def test_paths_of_many_tables_are_those_of_one():
             assert vector.best_order(list(range(n)), edges) == (None if got[0] < 0 else got)
 
 
+def test_picks_of_many_constructs_are_the_best_paths(monkeypatch):
+    import numpy as np
+    from neolake.operators import constructs, vector
+
+    monkeypatch.setattr(constructs, "CELLS", 64)  # several tables for each size
+    r = np.random.default_rng(2)
+    kinds, sizes = 5, r.integers(1, 7, 200)
+    edges = [[(p * kinds + k, float(r.integers(0, 4))) for p in range(n * n) if p // n != p % n for k in range(kinds) if r.random() < 0.2] for n in sizes.tolist()]
+    for own in edges:
+        r.shuffle(own)
+    flat = [(int(code), w) for own in edges for code, w in own]
+    found, picks = constructs._picked(sizes, np.array([len(own) for own in edges]), np.array([c for c, _ in flat]), np.array([w for _, w in flat]), kinds, 5, 0)
+    at = 0
+    for n, own, has in zip(sizes.tolist(), edges, found.tolist(), strict=True):
+        best = {}
+        for code, w in sorted((int(code), w) for code, w in own):
+            pair = divmod(int(code) // kinds, n)
+            if pair not in best or w > best[pair][0]:
+                best[pair] = w, code
+        order = vector.best_order(list(range(n)), {e: w for e, (w, _) in best.items()}, 5)
+        assert (order is not None) == has
+        if has:
+            assert [own[i][0] for i in picks[at : at + n - 1].tolist()] == [best[e][1] for e in zip(order, order[1:])]
+            at += n - 1
+    assert at == len(picks) and 0 < found.sum() < len(found)
+
+
+def test_rounds_of_constructs_unfold_numbers(spark):
+    from neolake.operators import constructs, vector
+    from neolake.plans.catalogue_runs import _junction_scores
+
+    seen = []
+    peptides = spark.createDataFrame([("c", "a", "ACDEFG"), ("c", "b", "GFED"), ("d", "a", "A")], "construct string, id string, sequence string")
+    # all junctions hold a binder, so that every round comes
+    done = constructs.design(peptides, lambda rows: seen.append(rows) or _junction_scores(rows), ["None", "GG"], 3, 5, 1000.0, clips=1)
+    assert {r.construct: (r.order, r.sequence) for r in done.collect()} == {"c": (None, None), "d": (["a"], "A")}
+    assert len(seen) == 4
+    for rows in seen:
+        # an epitope comes with its construct and a number; texts are cut by generated code, not by lambdas
+        assert sorted(t for _, t in rows.dtypes) == ["bigint", "string", "string"]
+        assert not any("substr" in x for x in _plan(rows).split("\n") if "lambda" in x)
+    pairs = spark.createDataFrame([("a", "b", "ACDEFG", "GFED"), ("b", "a", "GFED", "ACDEFG")], "left string, right string, left_seq string, right_seq string")
+    want = vector.junction_epitopes(vector.junction_sequences(pairs, ["GG"], 1, 3).where("greatest(left_clip, right_clip) = 1"), 5)
+    assert sorted(r.epitope for r in want.collect()) == sorted(r.epitope for r in seen[3].collect())
+    assert want.select("left", "right", "left_clip", "right_clip").distinct().count() == seen[3].select("code").distinct().count()
+
+
+def test_best_paths_of_ids(spark):
+    from neolake.operators import constructs
+
+    ids = spark.createDataFrame([("x", "b"), ("x", "a"), ("x", "c"), ("y", "q"), ("z", "a"), ("z", "b")], "construct string, id string")
+    edges = spark.createDataFrame([("x", "c", "a", 1.0), ("x", "a", "b", 2.0), ("x", "b", "c", 0.5), ("z", "a", "no", 1.0)], "construct string, left string, right string, weight double")
+    assert {r.construct: r.order for r in constructs.best_paths(ids, edges).collect()} == {"x": ["c", "a", "b"], "y": ["q"]}
+
+
 def test_proteins_are_dealt_over_all_cores(spark, tmp_path):
     from neolake.plans.standins import proteins
 
