@@ -137,6 +137,19 @@ def test_ids_unfold_after_the_join(spark):
     assert sorted(map(tuple, out.select("seq_num", "score", "index").collect())) == [(1, 0.5, 7), (1, 0.5, 8), (1, 0.9, 7), (1, 0.9, 8), (2, 0.7, 9)]
 
 
+@pytest.mark.parametrize("held", [8_000_000, 1])
+def test_predictions_stay_dealt_when_they_meet_ids(spark, monkeypatch, held):
+    from neolake.operators import predictions
+
+    monkeypatch.setattr(predictions, "HELD", held)
+    # one name has all predictions, which are few enough to be broadcast
+    scores = spark.range(4000).selectExpr("least(id, 0L) + 1 as seq_num", "id", "id / 2 as score")
+    out = predictions.joined_to_ids(scores, spark.createDataFrame([(1, list(range(300))), (2, [9])], "number long, ids array<long>"))
+    tasks = out.rdd.glom().map(len).collect()
+    assert sum(tasks) == 1_200_000 and max(tasks) <= 900_000
+    assert out.distinct().count() == 1_200_000 and sorted(out.columns) == ["id", "index", "score", "seq_num"]
+
+
 def test_documents_are_dealt_once(spark):
     from neolake.operators import documents
 
